@@ -1,0 +1 @@
+"""Intentionally empty: the data model is batch only, so there is no streaming operator."""
