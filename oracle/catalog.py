@@ -334,9 +334,10 @@ SQL["completeness"] = union(
 
 _DATE_COLUMNS = {"accounts": ("signup_date",), "subscriptions": ("start_date", "end_date"), "feature_usage": ("usage_date",),
                  "support_tickets": (), "churn_events": ("churn_date",)}
-_NEG_COLUMNS = {"accounts": (), "subscriptions": ("mrr_amount", "arr_amount"),
+_NEG_COLUMNS = {"accounts": ("seats",), "subscriptions": ("seats", "mrr_amount", "arr_amount"),
                 "feature_usage": ("usage_count", "usage_duration_secs", "error_count"),
-                "support_tickets": ("resolution_time_hours",), "churn_events": ("refund_amount_usd",)}
+                "support_tickets": ("resolution_time_hours", "first_response_time_minutes"),
+                "churn_events": ("refund_amount_usd",)}
 
 
 def _raw_issues(n: str) -> list[str]:

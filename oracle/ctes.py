@@ -108,7 +108,7 @@ def with_(*names: str) -> str:
 def using(sql: str) -> str:
     """The query with the WITH clause its tables need."""
     names = [n for n in CTES if re.search(rf"\b{n}\b", sql)]
-    return with_(*names) + sql
+    return with_(*names) + sql if names else sql
 
 
 # --------------------------------------------------------------- raw entities
@@ -180,7 +180,8 @@ CTES["raw_support_tickets"] = _TICKET.format(
 
 _CHURN = """
 SELECT 'C-' || o_orderkey AS churn_event_id, 'A-' || o_custkey AS account_id,
-  strftime(CAST(o_orderdate AS DATE) + 30, CASE WHEN c_nationkey = 24 THEN '%Y-%m-%d' ELSE '%d-%m-%Y' END) AS churn_date,
+  CASE WHEN c_nationkey = 24 THEN strftime(CAST(o_orderdate AS DATE) + 30, '%Y-%m-%d')
+       ELSE strftime(CAST(o_orderdate AS DATE) + 30, '%d-%m-%Y') END AS churn_date,
   {reason} AS reason_code,
   CASE WHEN c_nationkey = 7 THEN 'pending'
        WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN '(' || format('{{:,.2f}}', -c_acctbal) || ')'
@@ -255,7 +256,8 @@ SELECT s.*, {norm('s.account_id')} AS account_id_norm, {norm('subscription_id')}
   CASE WHEN NOT {blank('seats')} THEN trim(s.seats) END AS seat,
   coalesce({blank('end_date')} AND {day('c.account_churn_date_clean')} >= {day('start_date')}, false) AS derived,
   c.account_churn_date_clean AS churn_text, {day('start_date')} AS sd
-FROM one_subscriptions s LEFT JOIN c_accounts c ON c.account_id_norm = {norm('s.account_id')}"""
+FROM one_subscriptions s LEFT JOIN (SELECT account_id_norm AS k, account_churn_date_clean FROM c_accounts) c
+  ON c.k = {norm('s.account_id')}"""
 CTES["subs_plans"] = f"""
 SELECT e.*, CASE WHEN derived THEN churn_text WHEN capped THEN {dmy('sd + 30')} ELSE end_date END AS end_filled,
   CASE WHEN NOT {blank('plan_tier')} THEN plan_tier WHEN trial THEN 'Trial'
@@ -354,8 +356,8 @@ FROM (SELECT subscription_id, account_id, feature_name, usage_month, CAST(coales
   max(usage_date) AS last_use_date, CAST(coalesce(sum(errors), 0) AS BIGINT) AS error_count, bool_or(beta) AS is_beta_feature
   FROM f_usage GROUP BY 1, 2, 3, 4)"""
 CTES["fuse"] = """
-SELECT f.account_id, feature_name, first_use_date, greatest(0, raw_days) AS days_to_adopt, is_beta_feature,
-  coalesce(is_beta_feature AND greatest(0, raw_days) <= 14, false) AS beta_adopter, signup_date,
+SELECT f.account_id, feature_name, first_use_date, CASE WHEN raw_days IS NOT NULL THEN greatest(0, raw_days) END AS days_to_adopt, is_beta_feature,
+  coalesce(is_beta_feature AND raw_days <= 14, false) AS beta_adopter, signup_date,
   CASE WHEN raw_days < 0 THEN 'negative_days_to_adopt_adjusted' ELSE '' END AS reasons
 FROM (SELECT f.*, a.signup_date, CASE WHEN a.signup_date IS NOT NULL THEN first_use_date - a.signup_date END AS raw_days
       FROM (SELECT account_id, feature_name, min(usage_date) AS first_use_date,

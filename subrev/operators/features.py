@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,7 +12,6 @@ from subrev import specs
 from subrev.functions import cases, dates, numeric, text
 from subrev.functions.quantiles import exact_quantiles
 from subrev.functions.reasons import FLAG, REASONS, append_reasons, empty_reasons, reason_count
-from subrev.session import cut_lineage
 
 
 def _keys(column: str, unique: bool) -> Column:
@@ -23,19 +22,29 @@ def _keys(column: str, unique: bool) -> Column:
 
 # ------------------------------------------------------------------- load step
 def load_inputs(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Typed inputs of the feature stage from the five clean tables (texts parsed once, here).
+    """Typed inputs of the feature stage from the five clean tables (texts are parsed once, here).
 
     Cleaned columns are used wherever one exists.
     """
-    acc, sub = clean["accounts"], clean["subscriptions"]
-    use, tic, chu = clean["feature_usage"], clean["support_tickets"], clean["churn_events"]
-    accounts = acc.select(
+    return {name: load_input(name, clean) for name in clean}
+
+
+def load_input(name: str, clean: Mapping[str, DataFrame]) -> DataFrame:
+    if name == "subscriptions":
+        return _load_subscriptions(clean["subscriptions"], load_input("accounts", clean))
+    return _LOADERS[name](clean[name])
+
+
+def _load_accounts(acc: DataFrame) -> DataFrame:
+    return acc.select(
         "account_id", "account_name", "industry_clean", "country_clean",
         dates.parse_day_first(F.col("signup_date")).alias("signup_date"),
         dates.parse_day_first(F.col("account_churn_date_clean")).alias("churn_date"), FLAG, REASONS)
-    churn_of = accounts.where(F.col("churn_date").isNotNull()).select(
-        F.col("account_id").alias("_acct"), F.col("churn_date"))
-    subs = sub.select(
+
+
+def _load_subscriptions(sub: DataFrame, accounts: DataFrame) -> DataFrame:
+    churn_of = accounts.where(F.col("churn_date").isNotNull()).select(F.col("account_id").alias("_acct"), "churn_date")
+    return sub.select(
         "subscription_id", "account_id",
         dates.parse_day_first(F.col("start_date")).alias("start_date"),
         dates.parse_day_first(F.col("end_date_clean")).alias("end_date"),
@@ -44,14 +53,20 @@ def load_inputs(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         text.is_true(F.col("downgrade_flag")).alias("downgrade_flag"),
         text.is_true(F.col("churn_flag")).alias("churn_flag"), FLAG, REASONS,
     ).join(churn_of, F.col("account_id") == F.col("_acct"), "left").drop("_acct")
-    usage = use.select(
+
+
+def _load_usage(use: DataFrame) -> DataFrame:
+    return use.select(
         "usage_id", "subscription_id", dates.parse_day_first(F.col("usage_date")).alias("usage_date"),
         F.col("feature_name_imputed").alias("feature_name"),
         F.col("usage_count_clean").cast("bigint").alias("usage_count"),
         F.col("usage_duration_secs_clean").cast("bigint").alias("usage_duration_secs"),
         text.strict_number(F.col("error_count")).cast("bigint").alias("error_count"),
         text.is_true(F.col("is_beta_feature")).alias("is_beta_feature"))
-    tickets = tic.select(
+
+
+def _load_tickets(tic: DataFrame) -> DataFrame:
+    return tic.select(
         "ticket_id", "account_id", dates.parse_day_first_time(F.col("submitted_at")).alias("submitted_at"),
         dates.parse_day_first_time(F.col("closed_at")).alias("closed_at"),
         F.col("resolution_hours_clean").alias("resolution_time_hours"),
@@ -59,9 +74,14 @@ def load_inputs(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         text.nonblank(F.col("priority")).alias("priority"),
         text.is_true(F.col("escalation_flag")).alias("escalation_flag"),
         text.strict_number(F.col("satisfaction_score")).alias("satisfaction_score"), FLAG, REASONS)
-    events = chu.select("churn_event_id", "account_id", dates.parse_day_first(F.col("churn_date")).alias("churn_date"))
-    return {"accounts": accounts, "subscriptions": subs, "feature_usage": usage, "support_tickets": tickets,
-            "churn_events": events}
+
+
+def _load_events(chu: DataFrame) -> DataFrame:
+    return chu.select("churn_event_id", "account_id", dates.parse_day_first(F.col("churn_date")).alias("churn_date"))
+
+
+_LOADERS = {"accounts": _load_accounts, "feature_usage": _load_usage, "support_tickets": _load_tickets,
+            "churn_events": _load_events}
 
 
 # --------------------------------------------------------------- subscriptions
@@ -315,20 +335,20 @@ def account_base(accounts: DataFrame, subs_fe: DataFrame, support: DataFrame, fm
 
 def account_features(accounts: DataFrame, subs_fe: DataFrame, support: DataFrame, fm: DataFrame, as_of: date | str,
                      no_ticket_hours: float = 0.0, segment_basis: str = "total_mrr", unique_keys: bool = False,
-                     materialize: bool = False) -> DataFrame:
+                     keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row per account with scores and segment.
 
     Scores are relative to the 95th percentile of all accounts (0 counts as 1).
     ``no_ticket_hours`` is what an account without tickets is scored with,
-    ``segment_basis`` the column the segment is taken from.  ``materialize``
-    writes the account rows to the checkpoint folder before the percentiles
-    read them again (runs a job).
+    ``segment_basis`` the column the segment is taken from.  ``keep`` may write
+    the account rows before the percentiles read them again (``cut_lineage``
+    does, into the checkpoint folder).
     """
     base = account_base(accounts, subs_fe, support, fm, as_of, unique_keys)
     hours = F.coalesce("avg_resolution_hours", F.lit(float(no_ticket_hours)))
     base = base.withColumn("_hours", hours)
-    if materialize:
-        base = cut_lineage(base)
+    if keep is not None:
+        base = keep(base)
     caps = exact_quantiles(base, {"usage": F.col("daily_usage_rate"), "hours": F.col("_hours"),
                                   "mrr": F.col("total_mrr")}, (0.95,))
     caps = caps.agg(*[F.max(F.when(F.col("name") == n, F.col("q0"))).alias(n) for n in ("usage", "hours", "mrr")])

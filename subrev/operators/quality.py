@@ -108,7 +108,7 @@ def _issues_clean(spec: TableSpec, df: DataFrame) -> Column:
         start, end = dates.parse_date(F.col("start_date")), dates.parse_date(F.col("end_date_clean"))
         bad.append(F.coalesce(dates.days_between(end, start) >= specs.SWAP_GAP_DAYS, F.lit(False)))
     for c in df.columns:
-        if "date" in c.lower() and c not in spec.optional and c not in HELPERS:
+        if c not in HELPERS and c not in spec.optional and spec.kind(c) == "date":
             bad.append(~text.is_blank(F.col(c)) & ~dates.has_date_format(F.col(c)))
     return _any(bad)
 
@@ -116,18 +116,19 @@ def _issues_clean(spec: TableSpec, df: DataFrame) -> Column:
 def _issues_raw(spec: TableSpec, raw: DataFrame) -> tuple[Column, Column]:
     """(cells, rows) with an issue in a raw table.
 
-    Cells: blanks, null keys once more, negatives, dates out of format (null
-    dates count here too).  Rows: rows with at least one of them.
+    Cells: blanks, null keys once more, negative numbers, dates out of format
+    (null dates count here too); which columns are numbers and dates is declared,
+    not guessed from names.  Rows: rows with at least one of them.
     """
     cells, rows = [], []
     for c in raw.columns:
-        name = c.lower()
+        kind = spec.kind(c)
         checks = [text.is_blank(F.col(c))]
         if c == spec.pk:
             checks.append(text.is_blank(F.col(c)))
-        if any(w in name for w in ("amount", "mrr", "arr", "count", "duration", "hours", "refund")):
+        if kind == "numeric":
             checks.append(F.coalesce(text.bare_number(F.col(c)) < 0, F.lit(False)))
-        if "date" in name:
+        if kind == "date":
             checks.append(~dates.has_date_format(F.col(c)))
         cells += [_count(x) for x in checks]
         rows += checks

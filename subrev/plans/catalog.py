@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 from subrev.functions import cases, dates, numeric, reasons, text
 from subrev.operators import (audit, clean, dedupe, faults, features, impute, ledger, quality, reports,
                               validate)
-from subrev.plans.stages import REPORTS, FeatureTables, clean_tables
-from subrev.session import tune
+from subrev.plans.stages import REPORTS, CleanTables, FeatureTables
+from subrev.session import StageStore, tune
 from subrev.sources import adapters
 from subrev.specs import TABLES
 
@@ -49,33 +49,52 @@ def present(df: DataFrame, *columns: str) -> DataFrame:
 
 
 class Data:
-    """Lazy access to raw, clean and feature tables of one scale directory."""
+    """Raw, clean and feature tables of one scale directory.
+
+    Stage tables are written to the session's store when a query first needs
+    them, as the stages do in production, and later queries read them there.
+    Raw tables are plans over the driver tables; ``landed`` is their written form
+    for the queries that scan one several times.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.dir = tune(spark), sf_dir
-        self._clean: dict[str, DataFrame] | None = None
-        self._features: FeatureTables | None = None
-
-    @property
-    def raw(self) -> dict[str, DataFrame]:
-        return adapters.raw_tables(self.spark, self.dir)
-
-    @property
-    def clean(self) -> dict[str, DataFrame]:
-        if self._clean is None:
-            self._clean = clean_tables(self.raw, AS_OF)
-        return self._clean
+        self.store = StageStore(spark)
+        self.raw = adapters.raw_tables(spark, sf_dir)
+        self.landed = _Landed(self.raw, self.store)
+        self.clean = CleanTables(self.raw, AS_OF, self._keep("clean"))
+        self.features = FeatureTables(self.clean, AS_OF, self._keep("features"))
 
-    @property
-    def features(self) -> FeatureTables:
-        if self._features is None:
-            self._features = FeatureTables(self.clean, AS_OF)
-        return self._features
+    def _keep(self, stage: str) -> Callable[[str, DataFrame], DataFrame]:
+        return lambda name, df: self.store.put(f"{stage}/{name}", df)
 
     def table(self, name: str) -> DataFrame:
         return adapters.table(self.spark, self.dir, name)
 
 
+class _Landed(dict):
+    """Raw tables written on first use."""
+
+    def __init__(self, raw: Mapping[str, DataFrame], store: StageStore) -> None:
+        super().__init__()
+        self._raw, self._store = raw, store
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._store.put(f"raw/{name}", self._raw[name])
+        return self[name]
+
+
+_OPEN: dict[tuple[str, str], Data] = {}
+
+
+def open_data(spark: SparkSession, sf_dir: str) -> Data:
+    """The tables of a directory, one store per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _OPEN:
+        _OPEN[key] = Data(spark, sf_dir)
+    return _OPEN[key]
+
+
 def _one(columns: tuple[str, ...], table: str) -> Callable[[Data], DataFrame]:
     return lambda d: present(d.clean[table], *columns)
 
@@ -211,11 +230,11 @@ def dirty_reasons(d: Data) -> DataFrame:
 
 
 def corrections_log(d: Data) -> DataFrame:
-    return audit.corrections_log(d.raw, d.clean, TABLES)
+    return audit.corrections_log(d.landed, d.clean, TABLES)
 
 
 def validation_log(d: Data) -> DataFrame:
-    return reduce(DataFrame.unionByName, [audit.table_metrics(d.raw[n], df, TABLES[n]) for n, df in d.clean.items()])
+    return reduce(DataFrame.unionByName, [audit.table_metrics(d.landed[n], df, TABLES[n]) for n, df in d.clean.items()])
 
 
 # --------------------------------------------------------------------- cleaning
@@ -250,7 +269,7 @@ def orphan_usage(d: Data) -> DataFrame:
 
 
 def load_inputs(d: Data) -> DataFrame:
-    return present(d.features.inputs["subscriptions"])
+    return present(d.features.input("subscriptions"))
 
 
 # ----------------------------------------------------------------------- ledger
@@ -274,7 +293,7 @@ def cohort_tables(d: Data) -> DataFrame:
 # ---------------------------------------------------------------------- quality
 def completeness(d: Data) -> DataFrame:
     return present(reduce(DataFrame.unionByName, [
-        quality.completeness_before(d.raw[n]).select(
+        quality.completeness_before(d.landed[n]).select(
             F.lit(n).alias("table_name"), F.lit("before").alias("measure"), F.col("completeness_before").alias("value"))
         .unionByName(quality.completeness_effective(df).select(
             F.lit(n).alias("table_name"), F.lit("effective").alias("measure"), F.col("completeness").alias("value")))
@@ -304,7 +323,7 @@ def dq_errors(d: Data) -> DataFrame:
 
 
 def dq_validation_by_table(d: Data) -> DataFrame:
-    return quality.dq_validation_by_table(d.raw, d.clean, corrections_log(d))
+    return quality.dq_validation_by_table(d.landed, d.clean, corrections_log(d))
 
 
 # ------------------------------------------------------------------- validation
@@ -422,7 +441,7 @@ _QUERIES: dict[str, Callable[[Data], DataFrame]] = {
     "cohort_nrr_curve_rows": lambda d: present(reports.cohort_nrr_curve(d.features["cohorts"])),
     "cohort_retention_active": lambda d: reports.retention_from_subs(d.features["subscriptions"], AS_OF, active_only=True),
     "completeness": completeness,
-    "dq_summary": lambda d: present(quality.dq_summary(d.raw, d.clean)),
+    "dq_summary": lambda d: present(quality.dq_summary(d.landed, d.clean)),
     "dq_long": lambda d: present(quality.dq_long(d.clean)),
     "dq_col_profile": dq_col_profile,
     "dq_errors": dq_errors,
@@ -450,4 +469,4 @@ for _name, _report in REPORTS.items():
 
 
 def queries() -> Mapping[str, Query]:
-    return {n: (lambda spark, sf_dir, q=q: q(Data(spark, sf_dir))) for n, q in _QUERIES.items()}
+    return {n: (lambda spark, sf_dir, q=q: q(open_data(spark, sf_dir))) for n, q in _QUERIES.items()}

@@ -12,8 +12,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subrev.operators import audit, clean, quality, validate
-from subrev.plans.stages import REPORTS, FeatureTables
+from subrev.operators import audit, quality, validate
+from subrev.plans.stages import REPORTS, CleanTables, FeatureTables
 from subrev.session import tune
 from subrev.sources import files
 from subrev.specs import TABLES
@@ -28,19 +28,13 @@ def run_clean(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, as_of
               at: str) -> dict[str, DataFrame]:
     """Clean stage: annotated tables, clean tables, corrections and metric logs, quality reports."""
     tune(spark)
-    done: dict[str, DataFrame] = {}
 
-    def put(name: str, df: DataFrame) -> DataFrame:
-        done[name] = _written(df, f"{out}/annotated/{name}")
-        files.write_clean(done[name], f"{out}/clean/{name}")
-        return done[name]
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return _written(df, f"{out}/annotated/{name}")
 
-    churn = put("churn_events", clean.clean_churn_events(raw["churn_events"]))
-    put("support_tickets", clean.clean_support_tickets(raw["support_tickets"]))
-    accounts = put("accounts", clean.clean_accounts(raw["accounts"], clean.account_churn(churn)))
-    subs = put("subscriptions", clean.clean_subscriptions(raw["subscriptions"], accounts, as_of))
-    put("feature_usage", clean.clean_feature_usage(raw["feature_usage"], subs))
-    done = {n: done[n] for n in TABLES}
+    done = CleanTables(raw, as_of, keep)
+    for name in done:
+        files.write_clean(done[name], f"{out}/clean/{name}")
 
     log = _written(audit.stamp(audit.corrections_log(raw, done, TABLES), run_id, at), f"{out}/logs/corrections_log")
     metrics = None
@@ -50,7 +44,7 @@ def run_clean(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, as_of
     files.write_report(audit.stamp(metrics, run_id, at), f"{out}/logs/validation_summary_long")
     files.write_report(files.reason_lookup(spark), f"{out}/logs/dirty_reason_lookup")
     write_quality(raw, done, log, f"{out}/quality")
-    return done
+    return dict(done)
 
 
 def write_quality(raw: Mapping[str, DataFrame], annotated: Mapping[str, DataFrame], log: DataFrame, out: str) -> None:
@@ -67,10 +61,7 @@ def run_features(spark: SparkSession, clean_dir: str, out: str, as_of: date | st
     """Feature stage: nine tables, validation, deep validation with row dumps, schema document."""
     tune(spark)
     inputs = {n: files.read_clean(spark, f"{clean_dir}/{n}") for n in TABLES}
-    chain = FeatureTables(inputs, as_of, materialize=True)
-    for name in FeatureTables.NAMES:
-        chain.put(name, _written(chain[name], f"{out}/{name}"))
-    tables = chain.all()
+    tables = FeatureTables(inputs, as_of, lambda name, df: _written(df, f"{out}/{name}")).all()
     diag = f"{out}/_diagnostics"
     checks = _written(validate.validation_checks(tables), f"{diag}/validation_checks")
     files.write_report(validate.verdict(checks), f"{diag}/verdict")

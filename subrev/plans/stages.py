@@ -1,31 +1,64 @@
-"""The three stages as lazy plans."""
+"""The three stages. Tables are plans, or written as they are made when a ``keep`` function says so."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
 
 from subrev.operators import clean, features, ledger, reports
+from subrev.specs import TABLES
 
 
-def clean_tables(raw: Mapping[str, DataFrame], as_of: date | str) -> dict[str, DataFrame]:
-    """Annotated clean tables, in dependency order."""
-    churn = clean.clean_churn_events(raw["churn_events"])
-    accounts = clean.clean_accounts(raw["accounts"], clean.account_churn(churn))
-    subscriptions = clean.clean_subscriptions(raw["subscriptions"], accounts, as_of)
-    return {
-        "accounts": accounts,
-        "subscriptions": subscriptions,
-        "feature_usage": clean.clean_feature_usage(raw["feature_usage"], subscriptions),
-        "support_tickets": clean.clean_support_tickets(raw["support_tickets"]),
-        "churn_events": churn,
-    }
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def lazy(_: str, df: DataFrame) -> DataFrame:
+    """Keep nothing: the table stays a plan."""
+    return df
+
+
+class CleanTables(Mapping):
+    """The five annotated clean tables; one is made when it is first asked for, after what it depends on.
+
+    ``keep`` decides what becomes of a finished table: :func:`lazy`, or a
+    function that writes it and returns the written copy.
+    """
+
+    def __init__(self, raw: Mapping[str, DataFrame], as_of: date | str, keep: Keep = lazy) -> None:
+        self.raw, self.as_of, self.keep = raw, as_of, keep
+        self._made: dict[str, DataFrame] = {}
+
+    def __iter__(self):
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self.keep(name, getattr(self, f"_{name}")())
+        return self._made[name]
+
+    def _churn_events(self) -> DataFrame:
+        return clean.clean_churn_events(self.raw["churn_events"])
+
+    def _support_tickets(self) -> DataFrame:
+        return clean.clean_support_tickets(self.raw["support_tickets"])
+
+    def _accounts(self) -> DataFrame:
+        return clean.clean_accounts(self.raw["accounts"], clean.account_churn(self["churn_events"]))
+
+    def _subscriptions(self) -> DataFrame:
+        return clean.clean_subscriptions(self.raw["subscriptions"], self["accounts"], self.as_of)
+
+    def _feature_usage(self) -> DataFrame:
+        return clean.clean_feature_usage(self.raw["feature_usage"], self["subscriptions"])
 
 
 class FeatureTables:
-    """The nine feature tables as a lazy chain; a table is planned when it is first asked for.
+    """The nine feature tables; one is made when it is first asked for, after what it depends on.
 
     Keys are unique in clean tables, so distinct-key counts are plain counts.
     """
@@ -33,50 +66,48 @@ class FeatureTables:
     NAMES = ("subscriptions", "usage_monthly", "feature_month", "first_use", "support_events", "support_by_account",
              "accounts", "cohorts", "revenue_changes")
 
-    def __init__(self, clean_: Mapping[str, DataFrame], as_of: date | str, materialize: bool = False) -> None:
-        self.inputs = features.load_inputs(clean_)
-        self.as_of = as_of
-        self.materialize = materialize
+    def __init__(self, clean_: Mapping[str, DataFrame], as_of: date | str, keep: Keep = lazy) -> None:
+        self.clean, self.as_of, self.keep = clean_, as_of, keep
         self._made: dict[str, DataFrame] = {}
+        self._inputs: dict[str, DataFrame] = {}
+
+    def input(self, name: str) -> DataFrame:
+        """Typed input of the feature stage."""
+        if name not in self._inputs:
+            self._inputs[name] = features.load_input(name, self.clean)
+        return self._inputs[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = getattr(self, f"_{name}")()
+            self._made[name] = self.keep(name, getattr(self, f"_{name}")())
         return self._made[name]
 
-    def put(self, name: str, df: DataFrame) -> None:
-        """Replace a table by its written copy, so that later tables read that."""
-        self._made[name] = df
-
     def all(self, names: Sequence[str] = NAMES) -> dict[str, DataFrame]:
         return {n: self[n] for n in names}
 
     def _subscriptions(self) -> DataFrame:
-        return features.subscription_features(self.inputs["subscriptions"], self.inputs["churn_events"], self.as_of)
-
-    def _usage(self) -> DataFrame:
-        # The owner comes from the subscription inputs: the feature table adds nothing to that column.
-        return features.usage_with_account(self.inputs["feature_usage"], self.inputs["subscriptions"])
+        return features.subscription_features(self.input("subscriptions"), self.input("churn_events"), self.as_of)
 
     def _usage_monthly(self) -> DataFrame:
-        return features.usage_monthly(self.inputs["feature_usage"])
+        return features.usage_monthly(self.input("feature_usage"))
 
     def _feature_month(self) -> DataFrame:
-        return features.feature_month(self["usage"])
+        usage = features.usage_with_account(self.input("feature_usage"), self["subscriptions"])
+        return features.feature_month(usage)
 
     def _first_use(self) -> DataFrame:
-        return features.first_use(self["feature_month"], self.inputs["accounts"])
+        return features.first_use(self["feature_month"], self.input("accounts"))
 
     def _support_events(self) -> DataFrame:
-        return features.support_events(self.inputs["support_tickets"])
+        return features.support_events(self.input("support_tickets"))
 
     def _support_by_account(self) -> DataFrame:
         return features.support_by_account(self["support_events"], unique_keys=True)
 
     def _accounts(self) -> DataFrame:
         return features.account_features(
-            self.inputs["accounts"], self["subscriptions"], self["support_by_account"], self["feature_month"],
-            self.as_of, unique_keys=True, materialize=self.materialize)
+            self.input("accounts"), self["subscriptions"], self["support_by_account"], self["feature_month"],
+            self.as_of, unique_keys=True, keep=lambda df: self.keep("accounts_base", df))
 
     def _cohorts(self) -> DataFrame:
         return ledger.cohort_rows(ledger.ledger(self["subscriptions"], self.as_of))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,3 +40,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from there (runs a job)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class StageStore:
+    """Named tables written once to the shared checkpoint folder and read from there afterwards.
+
+    A table in the store has no lineage: an executor lost later costs nothing
+    that was computed before, and plans built on it stay small.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None) -> None:
+        self.spark = spark
+        self.root = root or f"{ensure_checkpoint_dir(spark)}/subrev-{uuid.uuid4().hex}"
+        self._tables: dict[str, DataFrame] = {}
+
+    def get(self, name: str) -> DataFrame | None:
+        return self._tables.get(name)
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` (runs a job) and return the written table."""
+        path = f"{self.root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        self._tables[name] = self.spark.read.parquet(path)
+        return self._tables[name]
