@@ -146,11 +146,12 @@ def usage_with_account(usage: DataFrame, subs_fe: DataFrame) -> DataFrame:
         "_sub", "_owner")
 
 
-def usage_monthly(usage: DataFrame) -> DataFrame:
+def usage_monthly(usage: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Subscription x month. "Heavy" means above the median month of all subscriptions.
 
     Features are reduced to one row per subscription, month and feature before
-    they are counted.
+    they are counted.  ``keep`` may write the monthly rows before the median
+    reads them, so that the usage rows are scanned once.
     """
     per_feature = usage.groupBy("subscription_id", dates.month_key(F.col("usage_date")).alias("usage_month"),
                                 "feature_name").agg(
@@ -165,6 +166,8 @@ def usage_monthly(usage: DataFrame) -> DataFrame:
     monthly = monthly.withColumns({
         "duration_per_use": numeric.ratio(F.col("usage_duration_month"), F.col("usage_count_month")),
         "usage_intensity": numeric.ratio(F.col("usage_count_month"), F.col("days_in_month"))})
+    if keep is not None:
+        monthly = keep(monthly)
     median = exact_quantiles(monthly, {"m": F.col("usage_count_month")}, (0.5,)).select("q0").scalar()
     return monthly.withColumn("is_heavy_user_month", F.col("usage_count_month") > F.coalesce(median, F.lit(0.0)))
 

@@ -41,6 +41,12 @@ def _count(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
+def _cells(conditions: Sequence[Column]) -> Column:
+    """Number of cells that meet their condition: added up in the row first, so it is one aggregate."""
+    hits = _total([F.coalesce(c, F.lit(False)).cast("int") for c in conditions])
+    return F.coalesce(F.sum(hits), F.lit(0))
+
+
 def native_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if not c.endswith(("_clean", "_imputed", "_norm")) and c not in HELPERS]
 
@@ -70,7 +76,7 @@ def curated_kind(column: str) -> str:
 def completeness_before(raw: DataFrame) -> DataFrame:
     """1 - missing cells / cells over the native columns; "unknown" counts as missing."""
     cols = native_columns(raw)
-    missing = _total([_count(text.is_missing_word(F.col(c))) for c in cols])
+    missing = _cells([text.is_missing_word(F.col(c)) for c in cols])
     return raw.agg(missing.alias("missing"), F.count(F.lit(1)).alias("n")).select(
         numeric.unit(F.coalesce(1 - numeric.ratio(F.col("missing"), F.col("n") * len(cols)), F.lit(1.0)))
         .alias("completeness_before"))
@@ -79,7 +85,7 @@ def completeness_before(raw: DataFrame) -> DataFrame:
 def completeness_effective(df: DataFrame) -> DataFrame:
     """Completeness over the effective columns; "unknown" counts as a value."""
     cols = list(effective_columns(df).values())
-    missing = _total([_count(text.is_blank(F.col(c))) for c in cols])
+    missing = _cells([text.is_blank(F.col(c)) for c in cols])
     return df.agg(missing.alias("missing"), F.count(F.lit(1)).alias("n")).select(
         numeric.unit(F.coalesce(1 - numeric.ratio(F.col("missing"), F.col("n") * len(cols)), F.lit(1.0)))
         .alias("completeness"))
@@ -120,19 +126,17 @@ def _issues_raw(spec: TableSpec, raw: DataFrame) -> tuple[Column, Column]:
     (null dates count here too); which columns are numbers and dates is declared,
     not guessed from names.  Rows: rows with at least one of them.
     """
-    cells, rows = [], []
+    checks = []
     for c in raw.columns:
         kind = spec.kind(c)
-        checks = [text.is_blank(F.col(c))]
+        checks.append(text.is_blank(F.col(c)))
         if c == spec.pk:
             checks.append(text.is_blank(F.col(c)))
         if kind == "numeric":
             checks.append(F.coalesce(text.bare_number(F.col(c)) < 0, F.lit(False)))
         if kind == "date":
             checks.append(~dates.has_date_format(F.col(c)))
-        cells += [_count(x) for x in checks]
-        rows += checks
-    return _total(cells), _count(_any(rows))
+    return _cells(checks), _count(_any(checks))
 
 
 def consistency_flags(annotated: Mapping[str, DataFrame], name: str) -> DataFrame:
@@ -176,12 +180,12 @@ def table_summary(spec: TableSpec, raw: DataFrame, annotated: Mapping[str, DataF
     cells, rows = _issues_raw(spec, raw)
     before = raw.agg(
         F.count(F.lit(1)).alias("rows_before"), cells.alias("issues_before"), rows.alias("rows_with_issues_before"),
-        _total([_count(text.is_missing_word(F.col(c))) for c in native]).alias("_missing"))
+        _cells([text.is_missing_word(F.col(c)) for c in native]).alias("_missing"))
     clean = consistency_flags(annotated, spec.name)
     eff = effective_columns(annotated[spec.name])
     after = clean.agg(
         F.count(F.lit(1)).alias("rows_after"), _count(_required_missing(spec, clean)).alias("_incomplete"),
-        _total([_count(_invalid(spec.kind(b), F.col(c))) for b, c in eff.items()]).alias("_invalid"),
+        _cells([_invalid(spec.kind(b), F.col(c)) for b, c in eff.items()]).alias("_invalid"),
         _count(F.col("_bad")).alias("_inconsistent"),
         _count(_issues_clean(spec, annotated[spec.name])).alias("issues_after"))
     keys = annotated[spec.name].groupBy(spec.pk).agg(F.lit(1).alias("_one")).agg(F.count("_one").alias("_keys"))

@@ -89,7 +89,7 @@ class FeatureTables:
         return features.subscription_features(self.input("subscriptions"), self.input("churn_events"), self.as_of)
 
     def _usage_monthly(self) -> DataFrame:
-        return features.usage_monthly(self.input("feature_usage"))
+        return features.usage_monthly(self.input("feature_usage"), lambda df: self.keep("usage_monthly_base", df))
 
     def _feature_month(self) -> DataFrame:
         usage = features.usage_with_account(self.input("feature_usage"), self["subscriptions"])
