@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 # The date format of the model and the texts a day-first reader accepts.
 DATE_PATTERN = r"^\d{2}-\d{2}-\d{4}$"
 DATE_FORMAT = "dd-MM-yyyy"
-DAY_FIRST_FORMATS = ("dd-MM-yyyy", "yyyy-MM-dd")
-DAY_FIRST_TIME_FORMATS = ("dd-MM-yyyy HH:mm:ss", "dd-MM-yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+DAY_FIRST_PATTERN = r"^\d{2}-\d{2}-\d{4}( \d{2}:\d{2}:\d{2})?$"
+ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2})?$"
 
 
 def has_date_format(c: Column) -> Column:
@@ -19,10 +19,21 @@ def has_date_format(c: Column) -> Column:
     return F.coalesce(F.trim(c.cast("string")).rlike(DATE_PATTERN), F.lit(False))
 
 
+def _reordered(t: Column) -> Column:
+    """dd-mm-yyyy text, with or without time, in ISO order: casting that is far cheaper than a
+    pattern-driven parse."""
+    return F.concat(F.substring(t, 7, 4), F.lit("-"), F.substring(t, 4, 2), F.lit("-"), F.substring(t, 1, 2),
+                    F.substring(t, 11, 9))
+
+
+def _iso_text(t: Column) -> Column:
+    return F.when(t.rlike(DAY_FIRST_PATTERN), _reordered(t)).when(t.rlike(ISO_PATTERN), t)
+
+
 def parse_date(c: Column) -> Column:
     """Strict dd-mm-yyyy parse; anything else, and impossible dates, give null."""
     t = F.trim(c)
-    return F.when(t.rlike(DATE_PATTERN), F.try_to_date(t, DATE_FORMAT))
+    return F.when(t.rlike(DATE_PATTERN), _reordered(t)).try_cast("date")
 
 
 def parse_date_part(c: Column) -> Column:
@@ -31,15 +42,13 @@ def parse_date_part(c: Column) -> Column:
 
 
 def parse_day_first(c: Column) -> Column:
-    """Lenient parse to a date: day-first or ISO."""
-    t = F.trim(c)
-    return F.coalesce(*[F.try_to_date(t, f) for f in DAY_FIRST_FORMATS])
+    """Lenient parse to a date: day-first or ISO; a time of day is cut off."""
+    return F.substring(_iso_text(F.trim(c)), 1, 10).try_cast("date")
 
 
 def parse_day_first_time(c: Column) -> Column:
     """Lenient parse to a timestamp: day-first or ISO, with or without time."""
-    t = F.trim(c)
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in DAY_FIRST_TIME_FORMATS])
+    return _iso_text(F.trim(c)).try_cast("timestamp")
 
 
 def as_date_lit(d: date | str) -> Column:

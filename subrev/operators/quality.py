@@ -292,8 +292,8 @@ def column_profile(df: DataFrame, spec: TableSpec, by_name: bool = False) -> Dat
 # --------------------------------------------------------------------- curated
 def _curated_long(annotated: Mapping[str, DataFrame]) -> DataFrame:
     """(table, column, value, n) over the curated columns of all tables."""
-    parts = [value_counts(df, [c for c in TABLES[n].curated if c in df.columns])
-             .select(F.lit(n).alias("table_name"), "*") for n, df in annotated.items()]
+    parts = [value_counts(df, cols).select(F.lit(n).alias("table_name"), "*") for n, df in annotated.items()
+             if (cols := [c for c in TABLES[n].curated if c in df.columns])]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -358,9 +358,7 @@ def dq_col_profile(annotated: Mapping[str, DataFrame]) -> DataFrame:
 def table_errors(df: DataFrame, spec: TableSpec, cap: int | None = ERROR_CAP) -> DataFrame:
     """Errors in the curated cells of one table, the first ``cap`` by key and column."""
     cells = []
-    for c in spec.curated:
-        if c not in df.columns:
-            continue
+    for c in [x for x in spec.curated if x in df.columns] or [spec.pk]:
         t = F.trim(F.col(c).cast("string"))
         kind = curated_kind(c)
         if kind == "date":
