@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from subrev.operators import quality, validate  # noqa: E402
 from subrev.plans import catalog  # noqa: E402
 from subrev.plans.stages import REPORTS  # noqa: E402
+from subrev.session import BUILD_CONF  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -33,7 +34,7 @@ EXPRESSIONS = ("parse_numeric", "parse_dates", "dedupe_keep_most_complete", "pri
 def session() -> SparkSession:
     spark = (SparkSession.builder.master(f"local[{CPUS}]").appName("subrev-bench")
              .config("spark.sql.shuffle.partitions", CPUS).config("spark.driver.memory", "16g")
-             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
+             .config("spark.ui.enabled", "false").config(map=BUILD_CONF).config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -130,8 +130,10 @@ def new_ids(rows: DataFrame, existing: DataFrame, pk: str, example: str, order:
     prefix, width = infer_prefix_and_width(example)
     spark = rows.sparkSession
     key = F.col(pk)
-    numbered = number_rows(rows, order if order is not None else F.struct(key, F.xxhash64(*rows.columns)),
-                           bucket if bucket is not None else F.pmod(F.xxhash64(key), F.lit(buckets)))
+    # The default bucket hashes the whole row, so that one very frequent key is spread too.
+    row_hash = F.xxhash64(*rows.columns)
+    numbered = number_rows(rows, order if order is not None else F.struct(row_hash, key),
+                           bucket if bucket is not None else F.pmod(row_hash, F.lit(buckets)))
     taken = existing.select(key.alias("_taken")).where(F.col("_taken").startswith(prefix)).distinct()
     total = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     counter = F.col("id")

@@ -70,9 +70,10 @@ def main(sf: str, names: list[str]) -> None:
     from pyspark.sql import SparkSession
 
     import __spark_entry__ as entry
+    from subrev.session import BUILD_CONF
 
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+             .config("spark.ui.enabled", "false").config(map=BUILD_CONF).config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "12g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = f"/root/testdata/{sf}"

@@ -8,7 +8,7 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tests"))
 
-from subrev.session import tune  # noqa: E402
+from subrev.session import BUILD_CONF, tune  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-               .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+               .config("spark.ui.enabled", "false").config(map=BUILD_CONF).config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "8g").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
