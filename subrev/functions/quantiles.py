@@ -87,7 +87,8 @@ def describe(df: DataFrame, column: Column, name: str) -> DataFrame:
         F.min("v").alias("min"), F.max("v").alias("max")).withColumn("name", F.lit(name))
     quartiles = exact_quantiles(df, {name: column}, QUARTILES).select(
         F.col("name"), F.col("q0").alias("25%"), F.col("q1").alias("50%"), F.col("q2").alias("75%"))
-    wide = moments.join(quartiles, "name", "left")
+    both = moments.unionByName(quartiles, allowMissingColumns=True)
+    wide = both.groupBy("name").agg(*[F.max(f"`{r}`").alias(r) for r in DESCRIBE_ROWS])
     cells = [F.struct(F.lit(r).alias("index"), F.col(f"`{r}`").alias(name)) for r in DESCRIBE_ROWS]
     return wide.select(F.inline(F.array(*cells)))
 

@@ -170,38 +170,50 @@ def usage_limits(accounts: DataFrame, subscriptions: DataFrame) -> DataFrame:
     return both.groupBy("_sub").agg(F.max(F.least("_end", "_churn")).alias("_last_day"))
 
 
-def table_summary(spec: TableSpec, raw: DataFrame, annotated: Mapping[str, DataFrame]) -> DataFrame:
-    """One row: completeness before and after, uniqueness, validity, consistency, score, issue counts.
-
-    ``issues_before`` counts cells, ``issues_after`` rows; ``rows_with_issues_before``
-    is the raw count in the unit of the latter.
-    """
+def _summary_parts(spec: TableSpec, raw: DataFrame, annotated: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """One-row frames with the counts a summary row is made of."""
     native = native_columns(raw)
     cells, rows = _issues_raw(spec, raw)
+    n = F.count(F.lit(1))
     before = raw.agg(
-        F.count(F.lit(1)).alias("rows_before"), cells.alias("issues_before"), rows.alias("rows_with_issues_before"),
-        _cells([text.is_missing_word(F.col(c)) for c in native]).alias("_missing"))
+        n.alias("rows_before"), cells.alias("issues_before"), rows.alias("rows_with_issues_before"),
+        _cells([text.is_missing_word(F.col(c)) for c in native]).alias("missing_cells"),
+        (n * len(native)).alias("raw_cells"))
     clean = consistency_flags(annotated, spec.name)
     eff = effective_columns(annotated[spec.name])
     after = clean.agg(
-        F.count(F.lit(1)).alias("rows_after"), _count(_required_missing(spec, clean)).alias("_incomplete"),
-        _cells([_invalid(spec.kind(b), F.col(c)) for b, c in eff.items()]).alias("_invalid"),
-        _count(F.col("_bad")).alias("_inconsistent"),
+        n.alias("rows_after"), _count(_required_missing(spec, clean)).alias("incomplete_rows"),
+        _cells([_invalid(spec.kind(b), F.col(c)) for b, c in eff.items()]).alias("invalid_cells"),
+        (n * len(eff)).alias("clean_cells"), _count(F.col("_bad")).alias("inconsistent_rows"),
         _count(_issues_clean(spec, annotated[spec.name])).alias("issues_after"))
-    keys = annotated[spec.name].groupBy(spec.pk).agg(F.lit(1).alias("_one")).agg(F.count("_one").alias("_keys"))
-    one = (before.withColumn("table_name", F.lit(spec.name))
-           .join(after.withColumn("_t", F.lit(spec.name)), F.col("table_name") == F.col("_t"))
-           .join(keys.withColumn("_k", F.lit(spec.name)), F.col("table_name") == F.col("_k")))
-
-    def share(bad: Column, whole: Column) -> Column:
-        return numeric.unit(F.coalesce(1 - numeric.ratio(bad, whole), F.lit(1.0)))
-
-    one = one.withColumns({
-        "completeness_before": share(F.col("_missing"), F.col("rows_before") * len(native)),
-        "completeness_after": share(F.col("_incomplete"), F.col("rows_after")),
-        "uniqueness": F.coalesce(numeric.ratio(F.col("_keys"), F.col("rows_after")), F.lit(1.0)),
-        "validity": share(F.col("_invalid"), F.col("rows_after") * len(eff)),
-        "consistency": share(F.col("_inconsistent"), F.col("rows_after"))})
+    keys = annotated[spec.name].groupBy(spec.pk).agg(F.lit(1).alias("_one")).agg(F.count("_one").alias("keys"))
+    return [part.withColumn("table_name", F.lit(spec.name)) for part in (before, after, keys)]
+
+
+def _by_table(parts: Sequence[DataFrame]) -> DataFrame:
+    """One-row frames of several tables side by side: one row per table."""
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return rows.groupBy("table_name").agg(*[F.max(c).alias(c) for c in rows.columns if c != "table_name"])
+
+
+def dq_summary(raw: Mapping[str, DataFrame], annotated: Mapping[str, DataFrame],
+               names: Sequence[str] | None = None) -> DataFrame:
+    """One row per table: completeness before and after, uniqueness, validity, consistency, score, issue counts.
+
+    ``issues_before`` counts cells, ``issues_after`` rows; ``rows_with_issues_before``
+    is the raw count in the unit of the latter.
+    """
+    counts = _by_table([p for n in (names or annotated) for p in _summary_parts(TABLES[n], raw[n], annotated)])
+
+    def share(bad: str, whole: str) -> Column:
+        return numeric.unit(F.coalesce(1 - numeric.ratio(F.col(bad), F.col(whole)), F.lit(1.0)))
+
+    one = counts.withColumns({
+        "completeness_before": share("missing_cells", "raw_cells"),
+        "completeness_after": share("incomplete_rows", "rows_after"),
+        "uniqueness": F.coalesce(numeric.ratio(F.col("keys"), F.col("rows_after")), F.lit(1.0)),
+        "validity": share("invalid_cells", "clean_cells"),
+        "consistency": share("inconsistent_rows", "rows_after")})
     gain = numeric.ratio(F.col("completeness_after") - F.col("completeness_before"), F.col("completeness_before"))
     drop = numeric.ratio(F.col("issues_before") - F.col("issues_after"), F.col("issues_before"))
     score = final_score(F.col("completeness_after"), F.col("uniqueness"), F.col("validity"), F.col("consistency"))
@@ -220,10 +232,6 @@ def final_score(completeness: Column, uniqueness: Column, validity: Column, cons
                         + validity * w["validity"] + consistency * w["consistency"])
 
 
-def dq_summary(raw: Mapping[str, DataFrame], annotated: Mapping[str, DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [table_summary(TABLES[n], raw[n], annotated) for n in annotated])
-
-
 # ---------------------------------------------------------------- value counts
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value, n) of several columns: one scan, one exchange."""
@@ -391,11 +399,11 @@ def dq_validation_by_table(raw: Mapping[str, DataFrame], annotated: Mapping[str,
     """Rows before and after, duplicates removed, remaining issues, corrections and imputations per table."""
     parts = []
     for n, df in annotated.items():
-        before = raw[n].agg(F.count(F.lit(1)).alias("rows_before")).withColumn("table_name", F.lit(n))
-        after = df.agg(F.count(F.lit(1)).alias("rows_after"), _count(_issues_clean(TABLES[n], df)).alias(
-            "remaining_issues")).withColumn("_t", F.lit(n))
-        parts.append(before.join(after, F.col("table_name") == F.col("_t")).drop("_t"))
-    rows = reduce(DataFrame.unionByName, parts)
+        before = raw[n].agg(F.count(F.lit(1)).alias("rows_before"))
+        after = df.agg(F.count(F.lit(1)).alias("rows_after"),
+                       _count(_issues_clean(TABLES[n], df)).alias("remaining_issues"))
+        parts += [part.withColumn("table_name", F.lit(n)) for part in (before, after)]
+    rows = _by_table(parts)
     rows = rows.withColumn("duplicates_removed", F.greatest(F.lit(0), F.col("rows_before") - F.col("rows_after")))
     out = rows.select("table_name", "rows_before", "rows_after", "duplicates_removed", "remaining_issues")
     if corrections is None:

@@ -20,10 +20,9 @@ def small(spark, make):
 
 def test_summary(small):
     raw, done = small
-    row = quality.table_summary(specs.ACCOUNTS, raw["accounts"], done).first()
+    row = quality.dq_summary(raw, done, ["accounts"]).first()
     assert (row.rows_before, row.rows_after, row.uniqueness, row.consistency) == (3, 2, 1.0, 1.0)
-    # 30 cells, filled and known: 2 ids, 2 names less one... counted by hand below
-    filled = 3 + 2 + 2 + 1  # ids, names, signup dates, seats ("unknown" is missing)
+    filled = 3 + 2 + 2 + 1  # of 30 cells: ids, names, signup dates, seats ("unknown" is missing)
     assert row.completeness_before == round(filled / 30, 6)
     # issues: 30 - 9 blank cells, one negative, one missing and one malformed date
     assert row.issues_before == (30 - 9) + 1 + 2
@@ -32,7 +31,7 @@ def test_summary(small):
 
 def test_empty_tables(small):
     raw, done = small
-    row = quality.table_summary(specs.SUBSCRIPTIONS, raw["subscriptions"], done).first()
+    row = quality.dq_summary(raw, done, ["subscriptions"]).first()
     assert (row.completeness_before, row.completeness_after, row.validity, row.issues_reduction_pct) == (1.0, 1.0, 1.0, None)
 
 
