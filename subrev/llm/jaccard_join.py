@@ -15,8 +15,10 @@ The Jaccard distance of finite sets is a metric, and pivots need not be document
    the ring below it (the triangle inequality allows no other partner).  Points
    already linked need no comparison.  After ``ROUNDS`` pivots the points of a
    region that are still in different components are compared across them.
-4. *Candidates* pass a lower bound of the symmetric difference (counts of shingles
-   in 32 hash classes), then the texts themselves are compared.
+4. *Candidates* have to pass two lower bounds of the symmetric difference: in the
+   region of the first shingle two sets share, the shingles that either ranks before
+   it are not shared; and the counts of shingles in 32 hash classes differ by no more.
+   Then the texts themselves are compared.
 
 The rarity order comes from a sketch of fixed size over all documents; any order
 gives the same result.  Shingles are compared by 64-bit hashes.
@@ -36,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subrev.llm import flat
-from subrev.llm.common import Scratch
+from subrev.llm.common import Scratch, add_columns, fresh
 from subrev.llm.components import components
 
 SKETCH_BITS = 20
@@ -137,7 +139,7 @@ def _array(rows: list, n: int) -> np.ndarray:
 
 
 def _windows(size: int, percent: int, sketch):
-    """(s, k, n): every region a set takes part in."""
+    """(s, k, n, p): every region a set takes part in, and how many of its shingles rank before s."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, seen = sketch.value, set()
         for batch in batches:
@@ -156,8 +158,8 @@ def _windows(size: int, percent: int, sketch):
                 near = (rank <= missing(n, percent)[doc]) & fresh[doc]
                 take, of = order[near], doc[near]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[take].view(np.int64)), pa.array(keys, pa.binary()).take(pa.array(of)), pa.array(n[of], pa.int64())],
-                    names=["s", "k", "n"])
+                    [pa.array(h[take].view(np.int64)), pa.array(keys, pa.binary()).take(pa.array(of)), pa.array(n[of], pa.int64()),
+                     pa.array(rank[near], pa.int32())], names=["s", "k", "n", "p"])
     return run
 
 
@@ -241,21 +243,25 @@ class _Join:
     def sizes_fit(self, a: Column, b: Column) -> Column:
         return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
 
+    def ranks_fit(self, pa_: Column, na: Column, pb: Column, nb: Column) -> Column:
+        return (100 + self.percent) * (pa_ + pb) <= (100 - self.percent) * (na + nb)
+
     def prepare(self) -> None:
         both = self.scratch.keep("sets", self.docs.mapInArrow(_describe(self.size), _SETS))
         self.sets = both.where(F.col("k").isNotNull()).select("doc_id", "k", "n", "counts")
         sketch = _array(_merged(both.where(F.col("slice").isNotNull()), np.add), 1 << SKETCH_BITS)
         self.points = self.scratch.keep("points", self.sets.where("n > 0").groupBy("k", "n").agg(F.first("counts").alias("counts")))
-        windows = self.docs.mapInArrow(_windows(self.size, self.percent, self.spark.sparkContext.broadcast(sketch)), "s bigint, k binary, n bigint")
-        near = windows.repartition("s").dropDuplicates(["s", "k", "n"]) \
+        windows = self.docs.mapInArrow(_windows(self.size, self.percent, self.spark.sparkContext.broadcast(sketch)), "s bigint, k binary, n bigint, p int")
+        near = windows.repartition("s").dropDuplicates(["s", "k", "n", "p"]) \
             .withColumn("m", F.count("*").over(_by("s"))).where("m > 1")
         self.regions = self.scratch.keep("regions", near)
 
     def small_pairs(self) -> DataFrame:
         """Pairs of the regions of up to SMALL points, in order of size: only those whose sizes allow a link."""
-        one = self.regions.where(F.col("m") <= SMALL).groupBy("s").agg(F.sort_array(F.collect_list(F.struct("n", "k"))).alias("p"))
-        pairs = F.flatten(F.transform("p", lambda x, i: F.transform(
-            F.filter(F.slice("p", i + 2, F.size("p")), lambda y: self.sizes_fit(x["n"], y["n"])),
+        one = self.regions.where(F.col("m") <= SMALL).groupBy("s").agg(F.sort_array(F.collect_list(F.struct("n", "k", "p"))).alias("m"))
+        pairs = F.flatten(F.transform("m", lambda x, i: F.transform(
+            F.filter(F.slice("m", i + 2, F.size("m")),
+                     lambda y: self.sizes_fit(x["n"], y["n"]) & self.ranks_fit(x["p"], x["n"], y["p"], y["n"])),
             lambda y: F.struct(x["k"].alias("a"), y["k"].alias("b"), x["n"].alias("na"), y["n"].alias("nb")))))
         rows = one.select(F.explode(pairs).alias("q")).select("q.*")
         return _ordered(rows).distinct()
@@ -285,11 +291,11 @@ class _Join:
     def large_regions(self, links: list[DataFrame]) -> None:
         """Pivots and rings within the regions above SMALL; adds to ``links``."""
         width = (100 - self.percent) / 100 * (1 + 1e-9)
-        live = self.regions.where(F.col("m") > SMALL).select(F.col("s").cast("string").alias("r"), "k", "n", F.lit(None).cast("binary").alias("tag"))
+        live = self.regions.where(F.col("m") > SMALL).select(F.col("s").cast("string").alias("r"), "k", "n", "p", F.lit(None).cast("binary").alias("tag"))
         for step in range(ROUNDS):
-            # a pivot that is not yet linked to an earlier one, if the region has such
-            order = F.struct(F.col("tag").isNotNull().alias("t"), F.xxhash64("k", F.lit(step)).alias("h"), "k", "n")
-            pivots = live.groupBy("r").agg(F.min(order).alias("p")).select("r", F.col("p.k").alias("pk"), F.col("p.n").alias("pn"))
+            # a pivot that is not yet linked to an earlier one, if the region has such; of these the one with the fewest shingles of its own
+            order = F.struct(F.col("tag").isNotNull().alias("t"), "p", F.xxhash64("k", F.lit(step)).alias("h"), "k", "n")
+            pivots = live.groupBy("r").agg(F.min(order).alias("o")).select("r", F.col("o.k").alias("pk"), F.col("o.n").alias("pn"))
             rows = live.join(pivots, "r")
             far = rows.where(F.col("k") != F.col("pk")).select(
                 F.col("k").alias("a"), F.col("pk").alias("b"), F.col("n").alias("na"), F.col("pn").alias("nb"))
@@ -300,19 +306,28 @@ class _Join:
             ring = F.when(F.col("k") == F.col("pk"), 0).otherwise(
                 F.floor((1 - F.col("common") / (F.col("both") - F.col("common"))) / width).cast("int"))
             near = F.when((F.col("k") == F.col("pk")) | (100 * F.col("common") >= self.percent * (F.col("both") - F.col("common"))), F.col("pk"))
-            split = at.select("r", "k", "n", F.coalesce(near, "tag").alias("tag"), F.explode(F.array(ring, ring + 1)).alias("ring"))
-            split = split.select(F.concat_ws("/", "r", F.col("ring").cast("string")).alias("r"), "k", "n", "tag")
+            split = at.select("r", "k", "n", "p", F.coalesce(near, "tag").alias("tag"), F.explode(F.array(ring, ring + 1)).alias("ring"))
+            split = split.select(F.concat_ws("/", "r", F.col("ring").cast("string")).alias("r"), "k", "n", "p", "tag")
             # a ring is open while it holds a point without a link, or points of two pivots
             still = split.groupBy("r").agg(F.count("*").alias("m"), F.count("tag").alias("t"), F.min("tag").alias("x"), F.max("tag").alias("y")) \
                 .where("m > 1 AND (t < m OR x != y)").select("r")
             live = self.scratch.keep(f"rings-{step}", split.join(still, "r"))
         label = components(_union(links), self.scratch, "part")
-        named = live.join(label, live["k"] == label["vertex"], "left").select("r", "k", "n", F.coalesce("component", "k").alias("c"))
-        most = named.groupBy("r", "c").agg(F.count("*").alias("size")).groupBy("r").agg(F.max(F.struct("size", "c")).alias("top"), F.count("*").alias("cs"))
-        named = self.scratch.keep("named", named.join(most.where("cs > 1").select("r", F.col("top.c").alias("main")), "r"))
-        x = named.where(F.col("c") != F.col("main")).select("r", F.col("k").alias("a"), F.col("n").alias("na"), F.col("c").alias("xc"))
-        y = named.select("r", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("c").alias("yc"))
-        across = x.join(y, "r").where((F.col("xc") != F.col("yc")) & self.sizes_fit(F.col("na"), F.col("nb")))
+        named = live.join(label, live["k"] == label["vertex"], "left").select("r", "k", "n", "p", F.coalesce("component", "k").alias("c"))
+        most = named.groupBy("r", "c").agg(F.count("*").alias("size"), F.max("n").alias("n")).groupBy("r") \
+            .agg(F.max(F.struct("size", "c")).alias("top"), F.count("*").alias("cs"), F.max("n").alias("top_n"))
+        # steps of ranks: a set meets only those whose rank leaves room beside its own
+        step = F.expr(f"greatest(1, ({100 - self.percent} * 2 * top_n) div ({8 * (100 + self.percent)}))")
+        most = most.where("cs > 1").select("r", F.col("top.c").alias("main"), step.alias("step"))
+        named = self.scratch.keep("named", named.join(most, "r"))
+        room = F.expr(f"({100 - self.percent} * (n + n * 100 div {self.percent} + 1)) div {100 + self.percent} - p")
+        x = named.where(F.col("c") != F.col("main")).where(room >= 0).select(
+            "r", F.col("k").alias("a"), F.col("n").alias("na"), F.col("c").alias("xc"), F.col("p").alias("px"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(room / F.col("step")).cast("bigint"))).alias("g"))
+        y = named.select("r", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("c").alias("yc"), F.col("p").alias("py"),
+                         F.floor(F.col("p") / F.col("step")).cast("bigint").alias("g"))
+        across = x.join(y, ["r", "g"]).where((F.col("xc") != F.col("yc")) & self.sizes_fit(F.col("na"), F.col("nb"))
+                                             & self.ranks_fit(F.col("px"), F.col("na"), F.col("py"), F.col("nb")))
         rest = self.filtered(_ordered(across).distinct())
         links.append(self.scratch.keep("across", self.measured(rest).where(self.linked()).select("a", "b")))
 
@@ -357,3 +372,30 @@ def near_classes(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame
     least = named.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     alone = run.sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return named.join(least, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
+
+
+def one_of_each(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The documents, unchanged, without all but one of each component: the row of the least doc_id stays.
+
+    Documents with an empty set are linked with nothing and all stay.  Of rows that agree in
+    doc_id and set any one stays.
+    """
+    run = _Join(docs, size, percent)
+    label = components(run.links(), run.scratch, "all")
+    named = run.sets.where("n > 0").join(label, run.sets["k"] == label["vertex"], "left") \
+        .select("doc_id", "k", F.coalesce("component", "k").alias("c"))
+    chosen = run.scratch.keep("chosen", named.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k")).alias("w"))
+                              .select(F.col("w.doc_id").alias("chosen_id"), F.col("w.k").alias("chosen_k")))
+    key, empty = fresh("set_key", docs.columns), fresh("set_empty", docs.columns)
+
+    def describe(text: pa.Array) -> list[pa.Array]:
+        keys, none = [], []
+        for b in flat.slices(pa.RecordBatch.from_arrays([text], names=["text"]), "text"):
+            h, first = shingle_sets(flat.texts_of(b.column(0)), size)
+            keys += _keys(h, first)
+            none += (np.diff(first) == 0).tolist()
+        return [pa.array(keys, pa.binary()), pa.array(none, pa.bool_())]
+
+    marked = add_columns(docs, ["text"], describe, {key: "binary", empty: "boolean"})
+    stay = marked.where(~F.col(empty)).join(chosen, (marked[key] == chosen["chosen_k"]) & marked["doc_id"].eqNullSafe(chosen["chosen_id"]), "left_semi")
+    return stay.dropDuplicates(["doc_id", key]).unionByName(marked.where(empty)).select(*docs.columns)
