@@ -49,3 +49,28 @@ def by_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callabl
             if out is not None:
                 yield out
     return run
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    while name in taken:
+        name += "_"
+    return name
+
+
+def add_columns(docs: DataFrame, reads: list[str], work: Callable[..., list[pa.Array]], added: dict[str, str]) -> DataFrame:
+    """``docs`` with columns that ``work`` computes from the columns it reads, batch by batch.
+
+    Columns of ``docs`` pass through, whatever their names; one that is named as an added column is replaced.
+    """
+    names = docs.columns
+    at = [names.index(c) for c in reads]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        new = work(*(batch.column(i) for i in at))
+        return pa.RecordBatch.from_arrays([*batch.columns, *new], names=[f"c{i}" for i in range(len(names))] + [f"a{i}" for i in range(len(new))])
+
+    kinds = [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema)] + [f"a{i} {t}" for i, t in enumerate(added.values())]
+    out = docs.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(by_batch(run), ", ".join(kinds))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c not in added],
+                      *[F.col(f"a{i}").alias(c) for i, c in enumerate(added)])

@@ -6,21 +6,58 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subrev.llm import decontaminate, jaccard_join, quality_rules
+from subrev.llm import (decontaminate, html_text, jaccard_join, language_id, mixing, quality_rules, sharding, token_counts,
+                        token_files, toxicity)
 from subrev.llm.common import table
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), budget=1.5, cap=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assignments(table(spark, sf_dir, "documents"), shards=40)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rule_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                       public_tokenizers.PATTERN)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_files.token_index(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_quality_rules, op7_decontaminate, op10_jaccard_join)}
+    f.__name__: f for f in (op1_mix_sources, op2_toxicity, op3_shard, op4_quality_rules, op5_html_text,
+                            op6_language_id, op7_decontaminate, op8_token_counts, op9_token_files,
+                            op10_jaccard_join)}

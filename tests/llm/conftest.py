@@ -1,0 +1,18 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from helpers import DOCS, documents  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.createDataFrame(documents(), DOCS).repartition(5).cache()
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], DOCS)
