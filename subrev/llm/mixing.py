@@ -20,6 +20,8 @@ columns are ignored; an empty table gives an empty mix.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +34,10 @@ BLOCK_WORDS = 4096
 BUCKET_ROWS = 20_000
 SLOT_BUCKET = 50_000
 GRID = 4096
-_GOLDEN = 0.6180339887498949
 _SPLIT = 1 << 20
+#: 1 / golden ratio, and the fraction of _SPLIT times it, each to the last bit of a double.
+_GOLDEN = (Decimal(5).sqrt() - 1) / 2
+_GOLDEN_SPLIT = float(_SPLIT * _GOLDEN % 1)
 
 
 def word_count(text: Column) -> Column:
@@ -43,7 +47,7 @@ def word_count(text: Column) -> Column:
 def golden(i: Column) -> Column:
     """frac(i / golden ratio), split so that large i keep their precision."""
     high, low = F.floor(i / _SPLIT), i % _SPLIT
-    x = high * F.lit((_SPLIT * _GOLDEN) % 1.0) + low * F.lit(_GOLDEN)
+    x = high * F.lit(_GOLDEN_SPLIT) + low * F.lit(float(_GOLDEN))
     return x - F.floor(x)
 
 
@@ -127,10 +131,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
     slot = slots(plan, -(-total // block), block).select(F.col("source").alias("_s"), F.col("block").alias("_b"), "take", "slot")
     low = F.greatest(F.col("start") - F.col("block") * block, F.lit(0))
     high = F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block))
-    words = F.greatest(F.least(high, "take") - low, F.lit(0))
+    words = F.when(F.col("take").isNotNull(), F.greatest(F.least(high, F.col("take")) - low, F.lit(0))).otherwise(0)
     met = pieces.join(slot, (F.col("block") == F.col("_b")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     taken = met.groupBy("doc_id", "source", *extra, "size", "start").agg(
-        F.sum(F.coalesce(words, F.lit(0))).alias("taken"), F.min(F.when(words > 0, F.col("slot"))).alias("first_slot"))
+        F.sum(words).alias("taken"), F.min(F.when(words > 0, F.col("slot"))).alias("first_slot"))
     every = taken.select("doc_id", "source", *extra, "size", "taken", "first_slot").unionByName(
         placed.where("size = 0").select("doc_id", "source", *extra, "size", F.lit(0).cast("bigint").alias("taken"), F.lit(None).cast("bigint").alias("first_slot")))
     info = plan.select(F.col("source").alias("_s"), "source_size", "target")

@@ -22,7 +22,7 @@ from subrev.llm.common import by_batch
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_upper")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_upper", "n_stutters")
 _SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 _UPPER = np.isin(np.arange(256), range(0x41, 0x5B))
 _LETTER = _UPPER | np.isin(np.arange(256), range(0x61, 0x7B))
@@ -53,14 +53,16 @@ def measure(t: flat.Texts) -> dict[str, np.ndarray]:
     order = np.argsort(key, kind="stable")
     again = np.zeros(len(key), bool)
     again[order[1:]] = key[order[1:]] == key[order[:-1]]
+    stutter = np.flatnonzero((w.hash[1:] == w.hash[:-1]) & (w.doc[1:] == w.doc[:-1])) + 1
     return {
         "n_words": np.diff(w.first), "word_chars": flat.per_doc(t, byte_doc[begins_char]),
         "n_symbols": flat.per_doc(t, byte_doc[_SYMBOL[t.data]]), "n_dup_lines": flat.per_doc(t, line_doc[again]),
         "n_repeat_words": flat.per_doc(t, w.doc[covered]), "n_lines": flat.per_doc(t, line_doc),
-        "n_letters": flat.per_doc(t, byte_doc[_LETTER[t.data]]), "n_upper": flat.per_doc(t, byte_doc[_UPPER[t.data]])}
+        "n_letters": flat.per_doc(t, byte_doc[_LETTER[t.data]]), "n_upper": flat.per_doc(t, byte_doc[_UPPER[t.data]]),
+        "n_stutters": flat.per_doc(t, w.doc[stutter])}
 
 
-RULE_NAMES = ("few_words", "repeated_windows", "symbols", "repeated_lines", "word_length", "upper_case")
+RULE_NAMES = ("few_words", "repeated_windows", "symbols", "repeated_lines", "word_length", "upper_case", "stutter")
 
 
 def rules() -> dict[str, Column]:
@@ -73,13 +75,14 @@ def rules() -> dict[str, Column]:
         10 * c["n_dup_lines"] > 4 * c["n_lines"],
         (c["word_chars"] < 2 * c["n_words"]) | (c["word_chars"] > 12 * c["n_words"]),
         (2 * c["n_upper"] > c["n_letters"]) & (c["n_letters"] > 0),
+        10 * c["n_stutters"] > 3 * c["n_words"],
     ), strict=True))
 
 
 #: Policy versions: the rules that reject a document.
 POLICIES = {
     "base": ("few_words", "repeated_windows"),
-    "v1": ("few_words", "repeated_windows", "symbols", "repeated_lines", "word_length", "upper_case"),
+    "v1": ("few_words", "repeated_windows", "symbols", "repeated_lines", "word_length", "upper_case", "stutter"),
 }
 
 

@@ -13,16 +13,18 @@ five AS (SELECT r, i, array_to_string(ws[i:i + 4], ' ') AS x
          FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
 hit AS (SELECT r, i FROM five WHERE (r, x) IN (SELECT (r, x) FROM five GROUP BY r, x HAVING count(*) > 1)),
 covered AS (SELECT r, count(DISTINCT i + k) AS n FROM hit, range(5) AS o(k) GROUP BY r),
+stutter AS (SELECT r, count(*) AS n FROM (SELECT r, ws, unnest(range(2, len(ws) + 1)) AS i FROM w) WHERE ws[i] = ws[i - 1] GROUP BY r),
 line AS (SELECT r, unnest(ls) AS x FROM w),
 lines AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT x) AS dup FROM line WHERE regexp_matches(x, '{_WHITE}') GROUP BY r),
-m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+m AS (SELECT doc_id, ws, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(lines.dup, 0)::BIGINT AS n_dup_lines,
              coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(lines.n, 0)::BIGINT AS n_lines,
-             length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS letters, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS uppers
-      FROM w LEFT JOIN covered USING (r) LEFT JOIN lines USING (r)),
+             length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS letters, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS uppers,
+             coalesce(stutter.n, 0) AS stutters
+      FROM w LEFT JOIN covered USING (r) LEFT JOIN lines USING (r) LEFT JOIN stutter USING (r)),
 f AS (SELECT *, (n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
              + 8 * (10 * n_dup_lines > 4 * n_lines)::INT + 16 * (word_chars < 2 * n_words OR word_chars > 12 * n_words)::INT
-             + 32 * (2 * uppers > letters AND letters > 0)::INT AS failures FROM m)
+             + 32 * (2 * uppers > letters AND letters > 0)::INT + 64 * (10 * stutters > 3 * len(ws))::INT AS failures FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 != 0 AS base_failed,
        failures & {quality_rules.policy_mask("v1")} = 0 AS kept, failures::BIGINT AS failures, 'v1' AS policy
 FROM f

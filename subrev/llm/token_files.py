@@ -141,6 +141,10 @@ def pack(docs: list[np.ndarray]) -> bytes:
     return b"".join([head, *(x.astype("<u4").tobytes() for x in (rules[:, 0], rules[:, 1], expansions(base, rules), seq)), start.tobytes()])
 
 
+def symbols_in(data: bytes) -> int:
+    return _HEAD.unpack_from(data)[3]
+
+
 class Shard:
     """A shard file, read."""
 
@@ -194,10 +198,9 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, shard_ids: int = SHA
 
         def full() -> pa.RecordBatch:
             data = pack(kept)
-            symbols = _HEAD.unpack_from(data)[3]
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([file], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([n], pa.int64()),
-                 pa.array([symbols], pa.int64()), pa.array([data], pa.binary())], names=["part", "file", "doc_ids", "n_ids", "n_symbols", "data"])
+                 pa.array([symbols_in(data)], pa.int64()), pa.array([data], pa.binary())], names=["part", "file", "doc_ids", "n_ids", "n_symbols", "data"])
 
         for batch in batches:
             for b in flat.slices(batch, "text", 1 << 20):

@@ -6,7 +6,7 @@ frequencies and the examples.  The examples are kept as posting lists cut into b
 with the greatest weight of each block.  For a document the sums of block maxima bound
 the cosine of every example in a block; blocks are read in falling order of that bound
 until it is below the k-th best cosine, so the k nearest are exact.  Their votes,
-weighted by cosine, and a prior vote are mapped to probabilities by isotonic regression
+weighted by cosine and by how often their kind occurs among all labels, and a prior vote are mapped to probabilities by isotonic regression
 on a part of the sample that is not in the index.
 
 Labels come only from rows that are not held out.  Every document is scored, whole, in
@@ -38,8 +38,10 @@ SAMPLE = 2400
 MAX_TERMS = 3000
 #: One in so many sampled documents calibrates the votes and is not in the index.
 CALIBRATE = 4
-#: Least chi-squared of a term, and least toxic examples that hold it.
-CHI2, LEAST_DOCS = 30.0, 8
+#: Least chi-squared of a term, and least toxic examples that hold it (a number, and a share of them).
+CHI2, LEAST_DOCS, LEAST_SHARE = 20.0, 4, 0.005
+#: How many times as often a term has to be held by toxic examples as by others.
+LIFT = 4
 BEGINNINGS = (4, 5, 6)
 K = 15
 BLOCK = 32
@@ -71,6 +73,11 @@ class Model:
         self.term = {t: i for i, t in enumerate(sorted(idf))}
         self.idf = np.array([idf[t] for t in sorted(idf)])
         self.prior, self.memo = prior, {}
+        kinds = Counter(toxic for _, toxic, _ in examples)
+        #: what a vote of each kind counts: the sample is balanced, the labels are not
+        self.weight = {1: base / max(kinds[1], 1), 0: (1 - base) / max(kinds[0], 1)}
+        top = max(self.weight.values()) or 1.0
+        self.weight = {k: w / top for k, w in self.weight.items()}
         vectors = [(doc, toxic, self._weights(counts)) for doc, toxic, counts in examples]
         held = vectors[::CALIBRATE]
         indexed = [v for i, v in enumerate(vectors) if i % CALIBRATE and v[2]]
@@ -143,7 +150,8 @@ class Model:
 
     def _vote(self, near: tuple[np.ndarray, np.ndarray]) -> float:
         sims, toxic = near
-        return float(((sims * toxic).sum() + PRIOR * self.prior) / (sims.sum() + PRIOR))
+        yes, no = self.weight[1] * (sims * toxic).sum(), self.weight[0] * (sims * (1 - toxic)).sum()
+        return float((yes + PRIOR * self.weight[1] * self.prior) / (yes + no + PRIOR * self.weight[1]))
 
     def score(self, text: str) -> tuple[float, list[int]]:
         """Probability and the ids of the nearest examples."""
@@ -223,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         chi2 = apart * apart * (pos + neg) / (F.lit(float(pos)) * neg * (a + b) * (pos + neg - a - b + 1))
         terms = rows.select("text", "toxic").mapInArrow(_by_term, "term string, positive bigint, negative bigint").groupBy("term") \
             .agg(F.sum("positive").alias("positive"), F.sum("negative").alias("negative")) \
-            .where((a >= LEAST_DOCS) & (a * neg > b * pos)).withColumn("chi2", chi2).where(F.col("chi2") >= CHI2)
+            .where((a >= max(LEAST_DOCS, LEAST_SHARE * pos)) & (a * neg >= LIFT * b * pos)).withColumn("chi2", chi2).where(F.col("chi2") >= CHI2)
         kept = terms.orderBy(F.col("chi2").desc(), "term").limit(MAX_TERMS).collect()
         idf = {r["term"]: math.log((1 + pos + neg) / (1 + r["positive"] + r["negative"])) + 1 for r in kept}
         found = rows.select("doc_id", "text", "toxic").mapInArrow(_only(set(idf)), "doc_id bigint, toxic int, counts map<string,bigint>").collect()

@@ -41,6 +41,17 @@ def test_targets_and_taken_words(docs, block):
     assert all(taken[s] == round(want[s]) for s in sizes)
 
 
+def test_a_source_of_small_weight_is_taken_in_part(spark):
+    rows = [(i, " ".join(["w"] * 50), "en", "abc"[i % 3], 1) for i in range(300)]
+    got = mixing.mix(spark.createDataFrame(rows, DOCS), weights=(5, 2, 1), block=64).collect()
+    taken = Counter()
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        assert (r["taken"] > 0) == (r["first_slot"] is not None)
+    # 22,500 words: a stops at 10,000, b and c share the rest 2 to 1
+    assert taken == {"a": 10_000, "b": 8_333, "c": 4_167}
+
+
 def test_reruns_and_other_partitions_agree(docs):
     assert rows_of(mixing.mix(docs, block=64)) == rows_of(mixing.mix(docs.repartition(2), block=64))
 
