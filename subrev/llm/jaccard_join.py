@@ -244,7 +244,9 @@ class _Join:
         return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
 
     def ranks_fit(self, pa_: Column, na: Column, pb: Column, nb: Column) -> Column:
-        return (100 + self.percent) * (pa_ + pb) <= (100 - self.percent) * (na + nb)
+        """What ranks leave of a pair: the shingles before the first shared one are not shared, on either side."""
+        common = F.least(na - pa_, nb - pb)
+        return ((100 + self.percent) * (pa_ + pb) <= (100 - self.percent) * (na + nb)) & ((100 + self.percent) * common >= self.percent * (na + nb))
 
     def prepare(self) -> None:
         both = self.scratch.keep("sets", self.docs.mapInArrow(_describe(self.size), _SETS))
