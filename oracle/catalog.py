@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from oracle.ctes import (AS_OF, CTES, blank, day, dmy, iso, looks, loose_day, months, norm, num, rnd, stamp, strict, tf,
                          using, words, ym, yes)
-from subrev.specs import TABLES
+from subrev.operators.faults import FAULTS, SIDES
+from subrev.plans.catalog import DIE_FACTORS
+from subrev.specs import FILE_NULL_WORDS, TABLES, classify_name
 
 SQL: dict[str, str] = {}
 FLAG = "reasons <> '' AS dirty_row_flag, reasons AS dirty_row_reason"
@@ -265,8 +267,8 @@ SQL["cohort_nrr_by_segment"] = f"""SELECT customer_segment, months_since_signup,
   {rnd('mrr / nullif(starting_mrr, 0)')} AS nrr_pct
 FROM (SELECT *, first_value(mrr) OVER (PARTITION BY customer_segment ORDER BY months_since_signup) AS starting_mrr FROM (
   SELECT customer_segment, months_since_signup, sum(mrr_clean) AS mrr FROM (
-    SELECT coalesce(a.customer_segment, 'SMB') AS customer_segment, mrr_clean, CAST(unnest(range(0, least(24, greatest(0,
-      CASE WHEN start_date IS NULL THEN 1 ELSE {months('start_date', f'coalesce(s.churn_date, newest, {AS_OF})')} + 1 END)))) AS BIGINT) AS months_since_signup
+    SELECT coalesce(a.customer_segment, 'SMB') AS customer_segment, mrr_clean, CAST(unnest(range(0, greatest(0,
+      CASE WHEN start_date IS NULL THEN 1 ELSE {months('start_date', f'coalesce(s.churn_date, newest, {AS_OF})')} + 1 END))) AS BIGINT) AS months_since_signup
     FROM subs_fe s LEFT JOIN acct_fe a ON a.account_id = s.account_id
       LEFT JOIN (SELECT max(end_date) AS newest FROM subs_fe) ON true WHERE mrr_clean <> 0) GROUP BY 1, 2))"""
 SQL["support_segment_stats"] = f"""SELECT customer_segment, {rnd('t')} AS total_tickets, n AS active_accounts, {rnd('m')} AS total_revenue,
@@ -376,7 +378,7 @@ def _summary(n: str) -> str:
 
 
 def _six(x: str) -> str:
-    return rnd(f"round_even({x}, 6)")
+    return f"floor(round_even({x}, 6) * 1000000 + 0.501) / 1000000"
 
 
 SQL["dq_summary"] = f"""SELECT table_name, {_six('cb')} AS completeness_before, {_six('ca')} AS completeness_after,
@@ -402,7 +404,7 @@ def _long(n: str, c: str) -> str:
 
 
 SQL["dq_long"] = f"""SELECT table_name, column_name, {rnd('m')} AS pct_missing, {rnd('i')} AS pct_invalid, {rnd('u')} AS pct_unique
-FROM ({union([_long(n, c) for n, s in TABLES.items() for c in s.curated])}) ORDER BY m DESC, i DESC, table_name, column_name LIMIT 12"""
+FROM ({union([_long(n, c) for n, s in TABLES.items() for c in s.curated])})"""
 
 
 def _profile(n: str, c: str) -> str:
@@ -433,7 +435,7 @@ def _errors(n: str) -> str:
             e = f"CASE WHEN lower({_t(c)}) IN ('nan', 'none', 'null') THEN 'unexpected_token' END"
         cells.append(f"""SELECT '{n}' AS table_name, {s.pk} AS primary_key, '{c}' AS column_name, {e} AS error_type,
       CAST({c} AS VARCHAR) AS original_value, NULL::VARCHAR AS cleaned_value FROM c_{n} WHERE NOT {blank(c)} AND lower({_t(c)}) <> 'unknown'""")
-    return f"(SELECT * FROM ({union(cells)}) WHERE error_type IS NOT NULL ORDER BY primary_key, column_name LIMIT 1000)"
+    return f"(SELECT * FROM ({union(cells)}) WHERE error_type IS NOT NULL)"
 
 
 SQL["dq_errors"] = union([f"SELECT * FROM {_errors(n)}" for n in TABLES])
@@ -459,8 +461,8 @@ def _metrics(n: str, c: str, kind: str) -> str:
             + ", ".join(f"{_six(f'{e} / count(*)')} AS {p}" for p, e in shares) + f" FROM raw_{n}")
 
 
-SQL["column_metrics"] = union([_metrics("support_tickets", c, TABLES["support_tickets"].types[c])
-                               for c in TABLES["support_tickets"].columns])
+SQL["column_metrics"] = union([_metrics(n, c, s.kind(c)) for n, s in TABLES.items() for c in s.columns])
+SQL["column_metrics_by_name"] = union([_metrics(n, c, classify_name(c)) for n, s in TABLES.items() for c in s.columns])
 
 
 def _column_profile(n: str, c: str, kind: str) -> str:
@@ -473,8 +475,7 @@ def _column_profile(n: str, c: str, kind: str) -> str:
     AS sample_values, {', '.join(stats)} FROM raw_{n}"""
 
 
-SQL["column_profile"] = union([_column_profile("feature_usage", c, TABLES["feature_usage"].types[c])
-                               for c in TABLES["feature_usage"].columns])
+SQL["column_profile"] = union([_column_profile(n, c, s.kind(c)) for n, s in TABLES.items() for c in s.columns])
 
 # ------------------------------------------------------------------- validation
 CTES["checks_t"] = union([
@@ -554,6 +555,13 @@ WHERE f.first_use_date < a.signup_date""",
     "SELECT 'B3_churn_after_end', count(*) FROM subs_fe WHERE churn_date > end_date",
     "SELECT 'C1_negative_months', count(*) FROM cohorts_t WHERE months_since_signup < 0"])
 SQL["churn_after_end_rows"] = f"SELECT subscription_id, {d('churn_date', 'end_date')} FROM subs_fe WHERE churn_date > end_date"
+SQL["churned_without_date_rows"] = "SELECT subscription_id, account_id FROM subs_fe WHERE is_churned AND churn_date IS NULL"
+SQL["active_with_churn_date_rows"] = "SELECT subscription_id, account_id FROM subs_fe WHERE NOT is_churned AND churn_date IS NOT NULL"
+SQL["first_use_before_signup_rows"] = f"""SELECT f.account_id, feature_name, {d('first_use_date')} FROM fuse f JOIN acct_fe a ON a.account_id = f.account_id
+WHERE f.first_use_date < a.signup_date"""
+SQL["negative_cohort_rows"] = "SELECT subscription_id, month, months_since_signup FROM cohorts_t WHERE months_since_signup < 0"
+SQL["reason_texts"] = f"""SELECT ticket_id, reasons, CAST(CASE WHEN reasons = '' THEN 0 ELSE len(string_split(reasons, '|')) END AS BIGINT) AS reason_count
+FROM c_support_tickets"""
 SQL["row_counts"] = union([f"SELECT '{n}' AS table_name, count(*) AS rows FROM {t}" for n, t in (
     ("subscriptions", "subs_fe"), ("usage_monthly", "monthly_t"), ("feature_month", "fmonth"), ("first_use", "fuse"),
     ("support_events", "sevents"), ("support_by_account", "sacct"), ("accounts", "acct_fe"), ("cohorts", "cohorts_t"),
@@ -578,6 +586,34 @@ CTES["messy_t"] = """SELECT account_id, account_name, industry, country, churn_f
 UNION ALL SELECT new_id, account_name, industry, country, churn_flag, messiness_description
 FROM (SELECT *, row_number() OVER (ORDER BY k) AS n FROM damaged WHERE NOT keep) JOIN free_ids ON idx = n"""
 SQL["new_ids"] = "SELECT * FROM messy_t"
+SQL["new_ids_overflow"] = """SELECT 'A-' || CASE WHEN length(h) < 2 THEN lpad(h, 2, '0') ELSE h END AS account_id, account_name
+FROM (SELECT *, lower(printf('%x', row_number() OVER (ORDER BY k))) AS h FROM clean_customers)"""
+
+
+def _injected(n: str) -> str:
+    """The fault rules of a table on its raw rows, dice from the digits of the key."""
+    s = TABLES[n]
+    die = lambda name: f"(k * {DIE_FACTORS[name]} % {SIDES})"
+    new, labels = {c: c for c in s.columns}, []
+    for i, fault in enumerate(FAULTS[n]):
+        for j, c in enumerate(fault.columns):
+            mine = f"({die(f'hit{i}')} < {round(fault.chance * SIDES)} AND {die(f'pick{i}')} % {len(fault.columns)} = {j})"
+            value = {"null": "NULL", "minus_one": "'-1'", "flip": f"CASE WHEN {yes(c)} THEN 'False' ELSE 'True' END",
+                     "negate": f"'-' || regexp_replace({c}, '^-', '')"}[fault.action]
+            new[c] = f"CASE WHEN {mine} THEN {value} ELSE {new[c]} END"
+            labels.append(f"CASE WHEN {mine} THEN '{fault.label.format(column=c)}' END")
+    cells = ", ".join(f"{e} AS {c}" for c, e in new.items())
+    return f"""SELECT {cells}, coalesce(nullif(concat_ws('; ', {', '.join(labels)}), ''), 'no_issue') AS messiness_description
+FROM (SELECT *, CAST(regexp_replace({s.pk}, '[^0-9]', '', 'g') AS BIGINT) AS k FROM raw_{n}) WHERE {die('sample')} < 100"""
+
+
+for _n in ("subscriptions", "feature_usage", "churn_events", "support_tickets"):
+    SQL[f"fault_injection_{_n}"] = _injected(_n)
+
+_FILE_NULL = ", ".join(f"'{w}'" for w in FILE_NULL_WORDS)
+SQL["csv_round_trip"] = union([
+    f"""SELECT '{n}' AS table_name, '{c}' AS column_name, count(*) AS rows, count(x) AS filled, count(DISTINCT x) AS values
+FROM (SELECT CASE WHEN {c} NOT IN ({_FILE_NULL}) THEN {c} END AS x FROM raw_{n})""" for n, s in TABLES.items() for c in s.columns])
 SQL["merge_raw"] = """SELECT count(*) AS rows, count(DISTINCT account_id) AS keys, count(*) FILTER (industry IS NULL) AS no_industry,
   count(*) FILTER (country IS NULL) AS no_country, count(*) FILTER (churn_flag = 'True') AS churned FROM (
   SELECT account_id, industry, country, churn_flag FROM clean_customers UNION ALL SELECT account_id, industry, country, churn_flag FROM messy_t)"""

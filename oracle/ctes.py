@@ -123,12 +123,12 @@ SELECT 'A-' || c_custkey AS account_id, c_name AS account_name,
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
   LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY 1) ON o_custkey = c_custkey
 UNION ALL
-SELECT 'E-' || c_custkey, upper(c_name), NULL, NULL, {dmy('min(ts)')}, 'events', NULL, NULL, 'False', 'False'
-FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'signup' GROUP BY c_custkey, c_name
+SELECT 'E-' || user_id, upper(c_name), NULL, NULL, {dmy('min(ts)')}, 'events', NULL, NULL, 'False', 'False'
+FROM events LEFT JOIN customer ON user_id = c_custkey WHERE event_type = 'signup' GROUP BY user_id, c_name
 UNION ALL
-SELECT 'A-' || c_custkey, c_name, c_mktsegment, n_name, NULL, NULL, NULL, NULL, NULL, NULL
-FROM (SELECT DISTINCT user_id FROM events WHERE event_type = 'error') JOIN customer ON user_id = c_custkey
-  LEFT JOIN nation ON c_nationkey = n_nationkey"""
+SELECT 'A-' || user_id, c_name, c_mktsegment, n_name, NULL, NULL, NULL, NULL, NULL, NULL
+FROM (SELECT user_id, bool_or(event_type = 'error') AS failed FROM events GROUP BY 1) LEFT JOIN customer ON user_id = c_custkey
+  LEFT JOIN nation ON c_nationkey = n_nationkey WHERE failed OR c_custkey IS NULL"""
 
 _SUB = """
 SELECT 'S-' || o_orderkey AS subscription_id, 'A-' || o_custkey AS account_id, {start} AS start_date, {end} AS end_date,
@@ -180,21 +180,22 @@ CTES["raw_support_tickets"] = _TICKET.format(
 
 _CHURN = """
 SELECT 'C-' || o_orderkey AS churn_event_id, 'A-' || o_custkey AS account_id,
-  CASE WHEN c_nationkey = 24 THEN strftime(CAST(o_orderdate AS DATE) + 30, '%Y-%m-%d')
-       ELSE strftime(CAST(o_orderdate AS DATE) + 30, '%d-%m-%Y') END AS churn_date,
+  CASE WHEN o_orderstatus = 'F' AND c_acctbal < 2500 THEN
+       CASE WHEN c_nationkey = 24 THEN strftime(CAST(o_orderdate AS DATE) + 30, '%Y-%m-%d')
+            ELSE strftime(CAST(o_orderdate AS DATE) + 30, '%d-%m-%Y') END END AS churn_date,
   {reason} AS reason_code,
   CASE WHEN c_nationkey = 7 THEN 'pending'
        WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN '(' || format('{{:,.2f}}', -c_acctbal) || ')'
        ELSE format('{{:,.2f}}', c_acctbal) END AS refund_amount_usd,
   {up} AS preceding_upgrade_flag, {down} AS preceding_downgrade_flag, 'False' AS is_reactivation,
   {text} AS feedback_text
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND c_acctbal < 2500"""
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""
 CTES["raw_churn_events"] = _CHURN.format(
     reason="""CASE o_orderpriority WHEN '1-URGENT' THEN 'pricing' WHEN '2-HIGH' THEN 'support'
        WHEN '3-MEDIUM' THEN 'features' WHEN '5-LOW' THEN 'budget' END""",
     text="CASE WHEN c_mktsegment <> 'FURNITURE' THEN lower(c_mktsegment) || ' feedback' END",
     up=_COMMON["up"], down=_COMMON["down"]) + "\nUNION ALL" + _CHURN.format(
-    reason="NULL", text="NULL", up=_COMMON["up"], down=_COMMON["down"]) + " AND o_totalprice < 50000"
+    reason="NULL", text="NULL", up=_COMMON["up"], down=_COMMON["down"]) + " WHERE o_totalprice < 50000"
 
 for _t, _spec in TABLES.items():
     _ties = ", ".join(f"{c} ASC NULLS FIRST" for c in _spec.columns)

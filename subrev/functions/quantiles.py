@@ -3,8 +3,9 @@
 The built-in exact ``percentile`` gathers every distinct value of the column in
 one task.  Here distinct values are counted (a shuffle with map-side combine),
 an approximate sketch proposes one narrow band per requested quantile, the
-exact number of rows below and inside each band is summed, and only the rows of
-the band that holds the wanted rank are sorted.  The sketch decides how much is
+exact number of rows below and inside each band is summed, the band that holds
+the wanted rank is cut into equal steps whose rows are summed too, and only the
+step with the rank is sorted.  The sketch decides how much is
 sorted, never the result: when it is off, the rank simply falls outside the
 band and that side is sorted instead.
 """
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 DESCRIBE_ROWS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
 QUARTILES = (0.25, 0.5, 0.75)
+#: Steps that a band is cut into; one of them is sorted.
+STEPS = 4096
 
 
 def _long(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
@@ -66,9 +69,17 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequenc
 
     in_zone = (F.when(F.col("zone") == 0, v < lo).when(F.col("zone") == 1, (v >= lo) & (v <= hi))
                .otherwise(v > hi))
+    # The step never falls as the value rises, so the steps are in order, too.
+    step = F.when((F.col("zone") == 1) & (hi > lo), F.floor((v - lo) / (hi - lo) * STEPS)).otherwise(0)
+    rows = counts.join(F.broadcast(ranks), "name").where(in_zone).withColumn("step", step)
+    before = Window.partitionBy("name", "i", "rank").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = (rows.groupBy("name", "i", "rank", "start", "step").agg(F.sum("n").alias("size"))
+              .withColumn("from", F.col("start") + F.coalesce(F.sum("size").over(before), F.lit(0)))
+              .where((F.col("from") <= F.col("rank")) & (F.col("rank") < F.col("from") + F.col("size")))
+              .select("name", "i", "rank", "step", "from"))
     run = Window.partitionBy("name", "i", "rank").orderBy("v")
-    reached = (counts.join(F.broadcast(ranks), "name").where(in_zone)
-               .withColumn("reached", F.col("start") + F.sum("n").over(run)))
+    reached = (rows.join(F.broadcast(chosen), ["name", "i", "rank", "step"])
+               .withColumn("reached", F.col("from") + F.sum("n").over(run)))
     picked = (reached.where(F.col("reached") > F.col("rank"))
               .groupBy("name", "i", "pos", "rank").agg(F.min("v").alias("v")))
     weight = F.col("pos") - F.floor("pos")

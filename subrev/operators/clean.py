@@ -7,7 +7,7 @@ columns untouched, ``*_clean`` / ``*_imputed`` siblings, ``*_norm`` helper keys,
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -97,13 +97,14 @@ def repair_start_end(df: DataFrame, start: str = "start_date", end: str = "end_d
 def clean_subscriptions(raw: DataFrame, accounts: DataFrame, as_of: date | str,
                         tiebreak: Sequence[str] | None = None,
                         price_order: Sequence[str] = ("subscription_id",),
-                        only_when_missing: bool = False) -> DataFrame:
-    """``price_order`` decides which of several prices of the same (seats, plan) wins (the last).
+                        only_when_missing: bool = False, keep: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``keep`` may write the deduplicated rows and the price lists, which are used several times.  ``price_order`` decides which of several prices of the same (seats, plan) wins (the last).
     ``only_when_missing`` keeps a native price and uses the lookup for missing ones only."""
-    df = _prepare(raw, specs.SUBSCRIPTIONS, tiebreak)
+    keep = keep or (lambda _, table: table)
+    df = keep("subscriptions_unique", _prepare(raw, specs.SUBSCRIPTIONS, tiebreak))
     churn_days = _distinct_keys(accounts.withColumn("_churn_day", dates.parse_date(F.col("account_churn_date_clean"))),
                                 "account_id_norm", "_churn_day").withColumnRenamed("account_id_norm", "_acct")
-    prices = impute.price_by_seats_plan(df, price_order)
+    prices = keep("prices", impute.price_by_seats_plan(df, price_order))
     by_price = impute.plan_by_price(df, price_order)
 
     # End date: from the account's churn date, then the 30-day rule of free trials.

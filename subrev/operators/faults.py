@@ -57,8 +57,11 @@ def hash_die(pk: str, seed: int = 42) -> Die:
 
 
 def sample_rows(df: DataFrame, die: Die, fraction: float = FRACTION_DIRTY) -> DataFrame:
-    """The rows whose die falls in the fraction."""
-    return df.where(die("sample") < int(round(fraction * SIDES)))
+    """The rows whose die falls in the fraction; if no die does, the row with the least (runs a small job)."""
+    picked = df.where(die("sample") < int(round(fraction * SIDES)))
+    if picked.isEmpty():
+        return df.orderBy(die("sample"), *df.columns).limit(1)
+    return picked
 
 
 def _damaged(action: str, c: str) -> Column:
@@ -124,7 +127,7 @@ def new_ids(rows: DataFrame, existing: DataFrame, pk: str, example: str, order:
             bucket: Column | None = None, buckets: int = 4096) -> DataFrame:
     """Give every row a fresh key: prefix and zero-padded hex counter, taken keys skipped.
 
-    Runs one counting job to size the candidate range; the keys themselves stay
+    A counter that outgrows the width is written in full, so no key is given twice.  Runs one counting job to size the candidate range; the keys themselves stay
     on the executors.
     """
     prefix, width = infer_prefix_and_width(example)
@@ -137,8 +140,9 @@ def new_ids(rows: DataFrame, existing: DataFrame, pk: str, example: str, order:
     taken = existing.select(key.alias("_taken")).where(F.col("_taken").startswith(prefix)).distinct()
     total = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     counter = F.col("id")
-    made = F.concat(F.lit(prefix), F.lpad(F.lower(F.hex(counter)), width, "0"))
-    used = taken.where(F.length("_taken") == len(prefix) + width).count()
+    digits = F.lower(F.hex(counter))
+    made = F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
+    used = taken.count()
     free = (spark.range(1, total + used + 1).withColumn("_new", made)
             .join(taken, F.col("_new") == F.col("_taken"), "left_anti"))
     free = number_rows(free, counter, F.floor(counter / CANDIDATES_PER_BUCKET), "_index").select("_index", "_new")
@@ -162,8 +166,3 @@ def merge_raw(base: DataFrame, messy: DataFrame) -> DataFrame:
     return base.unionByName(messy.drop(LABEL_COLUMN))
 
 
-def label_counts(messy: DataFrame) -> DataFrame:
-    """Rows per label combination."""
-    return messy.groupBy(LABEL_COLUMN).agg(F.count(F.lit(1)).alias("rows"))
-
-

@@ -100,7 +100,7 @@ def subscription_features(subs: DataFrame, churn: DataFrame, as_of: date | str)
     subscriptions never sits in one window partition.
     """
     first_event = churn.where(F.col("account_id").isNotNull()).groupBy("account_id").agg(
-        F.min_by("churn_date", "churn_event_id").alias("_event_date"))
+        F.min_by("churn_date", F.when(F.col("churn_date").isNotNull(), F.col("churn_event_id"))).alias("_event_date"))
     first_start = subs.where(F.col("account_id").isNotNull()).groupBy("account_id").agg(
         F.min("start_date").alias("_first_start"))
     facts = first_start.join(first_event, "account_id", "left").withColumnRenamed("account_id", "_acct")
@@ -344,8 +344,7 @@ def account_features(accounts: DataFrame, subs_fe: DataFrame, support: DataFrame
     Scores are relative to the 95th percentile of all accounts (0 counts as 1).
     ``no_ticket_hours`` is what an account without tickets is scored with,
     ``segment_basis`` the column the segment is taken from.  ``keep`` may write
-    the account rows before the percentiles read them again (``cut_lineage``
-    does, into the checkpoint folder).
+    the account rows before the percentiles read them again.
     """
     base = account_base(accounts, subs_fe, support, fm, as_of, unique_keys)
     hours = F.coalesce("avg_resolution_hours", F.lit(float(no_ticket_hours)))

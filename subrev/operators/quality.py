@@ -21,12 +21,9 @@ from subrev.functions.reasons import CORRECTIONS, FLAG, REASONS
 from subrev.specs import TABLES, TableSpec, classify_name
 
 HELPERS = (FLAG, REASONS, CORRECTIONS)
-# Words in a curated column name that make it numeric there, and the sample size.
+# Words in a curated column name that make it numeric there.
 CURATED_NUMERIC_WORDS = ("mrr", "arr", "amount", "count", "duration", "hours", "resolution")
 NEVER_INVALID = ("country_clean", "industry_clean")
-SAMPLE_VALUES = 10
-TOP_LONG = 12
-ERROR_CAP = 1000
 
 
 def _total(parts: Sequence[Column]) -> Column:
@@ -273,8 +270,8 @@ def column_metrics(df: DataFrame, spec: TableSpec, by_name: bool = False) -> Dat
                           *[c.alias(p) for p, c in share.items()])
 
 
-def column_profile(df: DataFrame, spec: TableSpec, by_name: bool = False) -> DataFrame:
-    """Per column: counts, the first 10 distinct values in order, and min / max / mean of numeric ones."""
+def column_profile(df: DataFrame, spec: TableSpec, by_name: bool = False, samples: int = 10) -> DataFrame:
+    """Per column: counts, its first ``samples`` distinct values in order, and min / max / mean of numeric ones."""
     cols = [c for c in df.columns if c not in HELPERS]
     kinds = {c: classify_name(c) if by_name else spec.kind(c) for c in cols}
     counts = value_counts(df, cols)
@@ -288,11 +285,11 @@ def column_profile(df: DataFrame, spec: TableSpec, by_name: bool = False) -> Dat
         numeric.ratio(F.sum(F.col("_x") * F.col("n")), F.sum(F.when(F.col("_x").isNotNull(), F.col("n"))))
         .alias("mean"))
     rank = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
-    samples = (counts.where(v.isNotNull()).withColumn("_r", rank).where(F.col("_r") <= SAMPLE_VALUES)
+    first = (counts.where(v.isNotNull()).withColumn("_r", rank).where(F.col("_r") <= samples)
                .groupBy(F.col("column_name").alias("_c"))
                .agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("_r", "value"))),
                                           lambda x: x["value"])).alias("sample_values")))
-    return (stats.join(samples, F.col("column_name") == F.col("_c"), "left")
+    return (stats.join(first, F.col("column_name") == F.col("_c"), "left")
             .select(F.lit(spec.name).alias("table_name"), "column_name", "col_type", "non_null_count", "blank_count",
                     "null_count", "distinct_count", "sample_values", "min", "max", "mean"))
 
@@ -313,8 +310,8 @@ def _absent(annotated: Mapping[str, DataFrame]) -> list[tuple[str, str]]:
     return [(n, c) for n, df in annotated.items() for c in TABLES[n].curated if c not in df.columns]
 
 
-def dq_long(annotated: Mapping[str, DataFrame], top: int | None = TOP_LONG) -> DataFrame:
-    """Missing, invalid and unique shares of the curated columns, worst ``top`` first (names break ties).
+def dq_long(annotated: Mapping[str, DataFrame], top: int | None = None) -> DataFrame:
+    """Missing, invalid and unique shares of the curated columns; with ``top`` only the worst (names break ties).
 
     An end date is never missing, country and industry never invalid, "Unknown"
     is a value, and the empty text counts as one distinct value.
@@ -343,7 +340,7 @@ def dq_long(annotated: Mapping[str, DataFrame], top: int | None = TOP_LONG) -> D
 
 
 def dq_col_profile(annotated: Mapping[str, DataFrame]) -> DataFrame:
-    """Type, min, max, mean, missing and unique shares of the curated columns."""
+    """Type, min, max, mean, missing and unique shares of the curated columns; an absent column is ``missing`` throughout."""
     kind, v = F.col("dtype"), F.col("value")
     number = F.when(kind == "numeric", text.strict_number(v))
     day = F.when(kind == "date", dates.parse_date(v))
@@ -355,16 +352,21 @@ def dq_col_profile(annotated: Mapping[str, DataFrame]) -> DataFrame:
         F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.min("_d").alias("_first"), F.max("_d").alias("_last"),
         numeric.ratio(F.sum(F.col("_x") * F.col("n")), F.sum(F.when(F.col("_x").isNotNull(), F.col("n"))))
         .alias("avg_val")))
-    return out.select(
+    out = out.select(
         "table_name", "column_name", "dtype",
         F.coalesce(dates.format_date(F.col("_first")), F.col("_lo").cast("string")).alias("min_val"),
         F.coalesce(dates.format_date(F.col("_last")), F.col("_hi").cast("string")).alias("max_val"), "avg_val",
         numeric.ratio(F.col("_missing"), F.col("_rows")).alias("missing_pct"),
         numeric.ratio(F.col("_distinct"), F.col("_rows")).alias("unique_pct"))
+    gone = _absent(annotated)
+    if gone:
+        out = out.unionByName(out.sparkSession.createDataFrame(
+            [(n, c, "missing", None, None, None, 1.0, 0.0) for n, c in gone], out.schema))
+    return out
 
 
-def table_errors(df: DataFrame, spec: TableSpec, cap: int | None = ERROR_CAP) -> DataFrame:
-    """Errors in the curated cells of one table, the first ``cap`` by key and column."""
+def table_errors(df: DataFrame, spec: TableSpec, cap: int | None = None) -> DataFrame:
+    """Errors in the curated cells of one table; with ``cap`` only the first by key and column."""
     cells = []
     for c in [x for x in spec.curated if x in df.columns] or [spec.pk]:
         t = F.trim(F.col(c).cast("string"))
@@ -389,7 +391,7 @@ def table_errors(df: DataFrame, spec: TableSpec, cap: int | None = ERROR_CAP) ->
     return out.orderBy("primary_key", "column_name").limit(cap)
 
 
-def dq_errors(annotated: Mapping[str, DataFrame], cap: int | None = ERROR_CAP) -> DataFrame:
+def dq_errors(annotated: Mapping[str, DataFrame], cap: int | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, [table_errors(df, TABLES[n], cap) for n, df in annotated.items()])
 
 

@@ -124,8 +124,11 @@ def feature_depth_vs_churn(accounts_fe: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- features
-def feature_adoption(fm: DataFrame) -> DataFrame:
-    """Accounts per feature. Pairs are reduced before they are counted."""
+def feature_adoption(fm: DataFrame, approx: bool = False) -> DataFrame:
+    """Accounts per feature. Pairs are reduced before they are counted; ``approx`` counts them by a sketch in one exchange."""
+    if approx:
+        return fm.where(F.col("feature_name").isNotNull()).groupBy("feature_name").agg(
+            F.approx_count_distinct("account_id").alias("accounts_used"))
     return (fm.where(F.col("feature_name").isNotNull()).select("feature_name", "account_id").distinct()
             .groupBy("feature_name").agg(F.count("account_id").alias("accounts_used")))
 
@@ -146,15 +149,14 @@ def usage_monthly_trends(monthly: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- cohorts
-# From the cohort table.
+# From the cohort table, which has one row per subscription and month.
 def cohort_retention(cohorts: DataFrame) -> DataFrame:
-    return cohorts.groupBy("cohort_month", "months_since_signup").agg(
-        F.countDistinct("subscription_id").alias("active_subs"))
+    return cohorts.groupBy("cohort_month", "months_since_signup").agg(F.count("subscription_id").alias("active_subs"))
 
 
 def cohort_churn_lifecycle(cohorts: DataFrame) -> DataFrame:
     return cohorts.where("is_churned_month").groupBy("months_since_signup").agg(
-        F.countDistinct("subscription_id").alias("churned_subs"))
+        F.count("subscription_id").alias("churned_subs"))
 
 
 def _with_baseline(curve: DataFrame, key: str) -> DataFrame:
@@ -202,8 +204,9 @@ def saas_quick_ratio(changes: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- opportunity
-def cohort_nrr_by_segment(subs_fe: DataFrame, accounts_fe: DataFrame, as_of: date | str) -> DataFrame:
-    """Revenue kept by segment over at most 24 months from the start.
+def cohort_nrr_by_segment(subs_fe: DataFrame, accounts_fe: DataFrame, as_of: date | str,
+                          months: int | None = None) -> DataFrame:
+    """Revenue kept by segment over the months from the start, all of them or the first ``months``.
 
     A subscription runs to its churn date, else to the newest end date of the
     data (else ``as_of``); one whose churn month is before its start has no
@@ -218,14 +221,14 @@ def cohort_nrr_by_segment(subs_fe: DataFrame, accounts_fe: DataFrame, as_of: dat
     span = F.when(F.col("start_date").isNull(), 1).otherwise(
         F.greatest(F.lit(0), dates.months_between(F.col("start_date"), F.col("_end")) + 1))
     folded = (df.where(F.col("mrr_clean") != 0)
-              .withColumn("months", F.least(span, F.lit(specs.SEGMENT_LEDGER_MONTHS)))
+              .withColumn("months", span if months is None else F.least(span, F.lit(months)))
               .where(F.col("months") > 0)
               .groupBy("account_id", "months").agg(F.sum("mrr_clean").alias("mrr"))
               .join(segments, F.col("account_id") == F.col("_acct"), "left")
               .groupBy(F.coalesce("customer_segment", F.lit("SMB")).alias("customer_segment"), "months")
               .agg(F.sum("mrr").alias("mrr")))
-    months = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("months") - 1))
-    curve = (folded.withColumn("months_since_signup", months)
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("months") - 1))
+    curve = (folded.withColumn("months_since_signup", each)
              .groupBy("customer_segment", "months_since_signup").agg(F.sum("mrr").alias("mrr")))
     return _with_baseline(curve, "customer_segment")
 

@@ -1,11 +1,13 @@
 """Registered queries: every operator over the driver tables, whole tables each.
 
 ``present`` gives results a form that two engines can agree on: dates as ISO
-text, arrays as text joined with "|", doubles on a fixed grid of four decimals.
+text, arrays as text joined with "|", doubles on a fixed grid of four decimals,
+or six for shares that are rounded to six.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from functools import reduce
 
@@ -18,19 +20,19 @@ from subrev.operators import (audit, clean, dedupe, faults, features, impute, le
                               validate)
 from subrev.plans.stages import REPORTS, CleanTables, FeatureTables
 from subrev.session import StageStore, tune
-from subrev.sources import adapters
+from subrev.sources import adapters, files
 from subrev.specs import TABLES
 
 AS_OF = adapters.AS_OF
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def on_grid(c: Column) -> Column:
-    """Four decimals. The small excess over one half keeps exact halves on one side."""
-    return F.floor(c * 10000 + 0.501) / 10000
+def on_grid(c: Column, digits: int = 4) -> Column:
+    """So many decimals. The small excess over one half keeps exact halves on one side."""
+    return F.floor(c * 10**digits + 0.501) / 10**digits
 
 
-def present(df: DataFrame, *columns: str) -> DataFrame:
+def present(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
     out = []
     for f in (df.select(*columns) if columns else df).schema:
         c = F.col(f"`{f.name}`")
@@ -41,7 +43,7 @@ def present(df: DataFrame, *columns: str) -> DataFrame:
         elif isinstance(f.dataType, T.ArrayType):
             c = F.concat_ws("|", c)
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = on_grid(c.cast("double"))
+            c = on_grid(c.cast("double"), digits)
         elif isinstance(f.dataType, T.IntegralType):
             c = c.cast("bigint")
         out.append(c.alias(f.name))
@@ -62,7 +64,7 @@ class Data:
         self.store = StageStore(spark)
         self.raw = adapters.raw_tables(spark, sf_dir)
         self.landed = _Landed(self.raw, self.store)
-        self.clean = CleanTables(self.raw, AS_OF, self._keep("clean"))
+        self.clean = CleanTables(self.landed, AS_OF, self._keep("clean"))
         self.features = FeatureTables(self.clean, AS_OF, self._keep("features"))
 
     def _keep(self, stage: str) -> Callable[[str, DataFrame], DataFrame]:
@@ -95,6 +97,12 @@ def open_data(spark: SparkSession, sf_dir: str) -> Data:
     return _OPEN[key]
 
 
+def forget_data() -> None:
+    """Remove the stores of all directories: the next query computes its stages anew."""
+    while _OPEN:
+        _OPEN.popitem()[1].store.close()
+
+
 def _one(columns: tuple[str, ...], table: str) -> Callable[[Data], DataFrame]:
     return lambda d: present(d.clean[table], *columns)
 
@@ -301,12 +309,32 @@ def completeness(d: Data) -> DataFrame:
 
 
 
-def column_metrics(d: Data) -> DataFrame:
-    return present(quality.column_metrics(d.raw["support_tickets"], TABLES["support_tickets"]))
+def column_metrics(d: Data, by_name: bool = False) -> DataFrame:
+    return present(reduce(DataFrame.unionByName, [quality.column_metrics(d.landed[n], s, by_name) for n, s in TABLES.items()]), digits=6)
 
 
 def column_profile(d: Data) -> DataFrame:
-    return present(quality.column_profile(d.raw["feature_usage"], TABLES["feature_usage"]))
+    return present(reduce(DataFrame.unionByName, [quality.column_profile(d.landed[n], s) for n, s in TABLES.items()]))
+
+
+def csv_round_trip(d: Data) -> DataFrame:
+    """Raw tables written as CSV, read back by the raw reader, and counted by column."""
+    parts = []
+    for n, spec in TABLES.items():
+        path = f"{d.store.root}/csv-{uuid.uuid4().hex}/{n}"
+        d.raw[n].write.option("header", True).option("escape", '"').csv(path)
+        back = files.read_raw(d.spark, path, spec)
+        cells = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("filled"), F.countDistinct(c).alias("values")) for c in spec.columns]
+        parts.append(back.agg(F.count(F.lit(1)).alias("rows"), F.array(*cells).alias("cells"))
+                     .select(F.lit(n).alias("table_name"), "rows", F.inline("cells")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def reason_texts(d: Data) -> DataFrame:
+    """Reason lists as text with commas or semicolons, read back."""
+    joined = F.when(F.pmod(F.crc32("ticket_id"), F.lit(2)) == 0, F.concat_ws(", ", "dirty_row_reason")).otherwise(F.concat_ws("; ", "dirty_row_reason"))
+    back = reasons.parse_reasons(joined)
+    return present(d.clean["support_tickets"].select("ticket_id", back.alias("reasons"), reasons.reason_count(back).alias("reason_count")))
 
 
 def dq_col_profile(d: Data) -> DataFrame:
@@ -343,10 +371,12 @@ def _key_number() -> Column:
     return F.substring("account_id", 3, 30).cast("bigint")
 
 
-def _key_die() -> faults.Die:
-    """A die from the numeric key alone (multiplier by rule name), so that any engine can throw it."""
-    factor = {"sample": 7919, "keep": 6271, "hit0": 5281, "pick0": 3571, "hit1": 4409, "pick1": 2311}
-    return lambda name: F.pmod(_key_number() * factor[name], F.lit(faults.SIDES))
+DIE_FACTORS = {"sample": 7919, "keep": 6271, "hit0": 5281, "pick0": 3571, "hit1": 4409, "pick1": 2311, "hit2": 1879, "pick2": 983}
+
+
+def _die(number: Column) -> faults.Die:
+    """A die from the number in the key alone (multiplier by rule name), so that any engine can throw it."""
+    return lambda name: F.pmod(number * DIE_FACTORS[name], F.lit(faults.SIDES))
 
 
 def _clean_customers(d: Data) -> DataFrame:
@@ -359,12 +389,26 @@ def _clean_customers(d: Data) -> DataFrame:
 
 
 def fault_injection(d: Data) -> DataFrame:
-    die = _key_die()
+    die = _die(_key_number())
     return faults.inject(faults.sample_rows(_clean_customers(d), die), "accounts", die)
 
 
+def fault_injection_of(name: str) -> Callable[[Data], DataFrame]:
+    """The fault rules of another table on its raw rows."""
+    def run(d: Data) -> DataFrame:
+        die = _die(F.regexp_replace(TABLES[name].pk, "[^0-9]", "").cast("bigint"))
+        return faults.inject(faults.sample_rows(d.raw[name], die), name, die)
+    return run
+
+
+def new_ids_overflow(d: Data) -> DataFrame:
+    """Keys of two hex digits for all customers: the counter outgrows its width."""
+    rows = _clean_customers(d).select("account_id", "account_name")
+    return faults.new_ids(rows, rows.limit(0), "account_id", "A-00", order=_key_number(), bucket=F.floor(_key_number() / 100000))
+
+
 def _messy(d: Data) -> DataFrame:
-    return faults.messy_copy(_clean_customers(d), TABLES["accounts"], "A-000000000", _key_die(),
+    return faults.messy_copy(_clean_customers(d), TABLES["accounts"], "A-000000000", _die(_key_number()),
                              order=_key_number(), bucket=F.floor(_key_number() / 100000))
 
 
@@ -441,13 +485,16 @@ _QUERIES: dict[str, Callable[[Data], DataFrame]] = {
     "cohort_nrr_curve_rows": lambda d: present(reports.cohort_nrr_curve(d.features["cohorts"])),
     "cohort_retention_active": lambda d: reports.retention_from_subs(d.features["subscriptions"], AS_OF, active_only=True),
     "completeness": completeness,
-    "dq_summary": lambda d: present(quality.dq_summary(d.landed, d.clean)),
+    "dq_summary": lambda d: present(quality.dq_summary(d.landed, d.clean), digits=6),
     "dq_long": lambda d: present(quality.dq_long(d.clean)),
     "dq_col_profile": dq_col_profile,
     "dq_errors": dq_errors,
     "dq_validation_by_table": dq_validation_by_table,
     "dq_validation_totals": lambda d: quality.dq_validation_totals(dq_validation_by_table(d)),
     "column_metrics": column_metrics,
+    "column_metrics_by_name": lambda d: column_metrics(d, by_name=True),
+    "csv_round_trip": csv_round_trip,
+    "reason_texts": reason_texts,
     "column_profile": column_profile,
     "validation_checks": lambda d: validate.validation_checks(d.features.all(_VALIDATED)),
     "validation_verdict": lambda d: validate.verdict(validate.validation_checks(d.features.all(_VALIDATED))),
@@ -457,9 +504,16 @@ _QUERIES: dict[str, Callable[[Data], DataFrame]] = {
     "deep_validation": deep_validation,
     "churn_after_end_rows": lambda d: present(
         validate.churn_after_end(d.features["subscriptions"]), "subscription_id", "churn_date", "end_date"),
+    "churned_without_date_rows": lambda d: validate.churned_without_date(d.features["subscriptions"]).select("subscription_id", "account_id"),
+    "active_with_churn_date_rows": lambda d: validate.active_with_churn_date(d.features["subscriptions"]).select("subscription_id", "account_id"),
+    "first_use_before_signup_rows": lambda d: present(validate.first_use_before_signup(
+        d.features["first_use"], d.features["accounts"]), "account_id", "feature_name", "first_use_date"),
+    "negative_cohort_rows": lambda d: present(validate.negative_cohort_months(d.features["cohorts"]), "subscription_id", "month", "months_since_signup"),
     "row_counts": lambda d: validate.row_counts(d.features.all()),
     "fault_injection": fault_injection,
     "new_ids": new_ids,
+    "new_ids_overflow": new_ids_overflow,
+    **{f"fault_injection_{n}": fault_injection_of(n) for n in ("subscriptions", "feature_usage", "churn_events", "support_tickets")},
     "merge_raw": merge_raw,
 }
 for _name, _table in _FEATURE_QUERIES.items():

@@ -51,7 +51,7 @@ def write_quality(raw: Mapping[str, DataFrame], annotated: Mapping[str, DataFram
     files.write_report(quality.dq_summary(raw, annotated), f"{out}/data_quality_summary")
     files.write_report(quality.dq_long(annotated), f"{out}/data_quality_long_curated")
     files.write_report(quality.dq_col_profile(annotated), f"{out}/data_quality_col_profile_curated")
-    files.write_report(quality.dq_errors(annotated), f"{out}/data_quality_errors_curated")
+    files.write_table(quality.dq_errors(annotated), f"{out}/data_quality_errors_curated")
     by_table = _written(quality.dq_validation_by_table(raw, annotated, log), f"{out}/validation_by_table")
     files.write_report(by_table, f"{out}/dq_validation_summary_by_table")
     files.write_report(quality.dq_validation_totals(by_table), f"{out}/dq_validation_summary_totals")

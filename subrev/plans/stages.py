@@ -51,7 +51,7 @@ class CleanTables(Mapping):
         return clean.clean_accounts(self.raw["accounts"], clean.account_churn(self["churn_events"]))
 
     def _subscriptions(self) -> DataFrame:
-        return clean.clean_subscriptions(self.raw["subscriptions"], self["accounts"], self.as_of)
+        return clean.clean_subscriptions(self.raw["subscriptions"], self["accounts"], self.as_of, keep=self.keep)
 
     def _feature_usage(self) -> DataFrame:
         return clean.clean_feature_usage(self.raw["feature_usage"], self["subscriptions"])

@@ -1,9 +1,12 @@
-"""Session settings and lineage cuts."""
+"""Session settings, and tables kept in the shared folder."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +33,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster. Only a local session without one gets a temporary folder."""
+    """The shared folder named by the cluster. Only a local session without one gets a temporary folder, removed at exit.
+
+    A ``file:`` folder on a cluster has to be a mount that all machines share; it cannot be told from a local disk, so it is warned of.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
@@ -39,16 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             current = tempfile.mkdtemp(prefix="subrev-")
+            atexit.register(shutil.rmtree, current, ignore_errors=True)
         sc.setCheckpointDir(current)
+    if not sc.master.startswith("local") and (current.startswith("file:") or ":" not in current.split("/")[0]):
+        warnings.warn(f"{current} has to be a folder that the driver and all executors share", stacklevel=2)
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from there (runs a job)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 class StageStore:
     """Named tables written once to the shared checkpoint folder and read from there afterwards.
 
@@ -70,3 +73,9 @@ class StageStore:
         df.write.mode("overwrite").parquet(path)
         self._tables[name] = self.spark.read.parquet(path)
         return self._tables[name]
+
+    def close(self) -> None:
+        """Remove the store's folder."""
+        self._tables.clear()
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

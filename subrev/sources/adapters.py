@@ -39,10 +39,11 @@ def _none() -> Column:
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers, plus the copies of them that the event stream registered.
+    """Customers, plus what the event stream knows of every user.
 
-    A ``signup`` event registers the customer again under a new id and an
-    upper-case name, an ``error`` event leaves a sparse copy under the same id.
+    A user with a ``signup`` event is registered again under a new id and an
+    upper-case name; one with an ``error`` event leaves a sparse copy under the
+    same id, as does a user that is no customer.
     """
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     first = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
@@ -59,10 +60,14 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("plan_tier"),
         (key % 60 + 1).cast("string").alias("seats"), _yes(bal < 0).alias("is_trial"),
         _yes(key % 4 == 0).alias("churn_flag"))
-    seen = (table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "error"))
-            .groupBy("user_id", "event_type").agg(F.min("ts").alias("first_seen"))
-            .join(cust, F.col("user_id") == key, "inner"))
-    again = F.col("event_type") == "signup"
+    of = F.col("event_type")
+    seen = (table(spark, sf_dir, "events").groupBy("user_id")
+            .agg(F.min(F.when(of == "signup", F.col("ts"))).alias("first_seen"), F.max(of == "error").alias("failed"))
+            .join(cust, F.col("user_id") == key, "left"))
+    sparse = F.col("failed") | key.isNull()
+    kinds = F.array_compact(F.array(F.when(F.col("first_seen").isNotNull(), F.lit(True)), F.when(sparse, F.lit(False))))
+    seen = seen.withColumn("again", F.explode(kinds))
+    again, key = F.col("again"), F.col("user_id")
     copies = seen.select(
         F.when(again, _id("E-", key)).otherwise(_id("A-", key)).alias("account_id"),
         F.when(again, F.upper("c_name")).otherwise(F.col("c_name")).alias("account_name"),
@@ -147,17 +152,18 @@ def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished orders of customers with a balance under 2,500; cheap ones also as a sparse copy."""
-    cust = (table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 2500)
-            .select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey"))
-    o = (table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
-         .join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner"))
+    """Orders as churn events; cheap ones also as a sparse copy.
+
+    Only a finished order of a customer with a balance under 2,500 has a date.
+    """
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
+    o = table(spark, sf_dir, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
     copies = F.when(F.col("o_totalprice") < 50000, F.array(F.lit(False), F.lit(True))).otherwise(
         F.array(F.lit(False)))
     o = o.withColumn("sparse", F.explode(copies))
     full = ~F.col("sparse")
     bal, prio, seg = F.col("c_acctbal"), F.col("o_orderpriority"), F.col("c_mktsegment")
-    gone = F.date_add(F.to_date("o_orderdate"), 30)
+    gone = F.when((F.col("o_orderstatus") == "F") & (bal < 2500), F.date_add(F.to_date("o_orderdate"), 30))
     return o.select(
         _id("C-", F.col("o_orderkey")).alias("churn_event_id"), _id("A-", F.col("o_custkey")).alias("account_id"),
         F.when(F.col("c_nationkey") == 24, F.date_format(gone, "yyyy-MM-dd")).otherwise(_day(gone))

@@ -14,11 +14,6 @@ from subrev.functions.reasons import CORRECTIONS, reasons_json
 from subrev.specs import FILE_NULL_WORDS, REASON_CODES, TABLES, TableSpec
 
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-            .option("multiLine", False).option("escape", '"').csv(path))
-
-
 def _null_words(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(~F.col(c).isin(*FILE_NULL_WORDS), F.col(c)).alias(c) for c in df.columns])
 

@@ -180,7 +180,6 @@ BETA_ADOPTION_DAYS = 14
 TRIAL_DAYS = 30
 SWAP_GAP_DAYS = 30
 RECENT_TICKET_DAYS = 90
-SEGMENT_LEDGER_MONTHS = 24
 NO_LOSS_RATIO = 999.0
 VALID_STATUSES = ("active", "churned", "trial", "closed", "canceled")
 

@@ -49,6 +49,8 @@ def test_long_report_and_absent_columns(small):
     got = {(r.table_name, r.column_name): r for r in quality.dq_long(annotated, top=None).collect()}
     assert got["churn_events", "churn_date"].pct_missing == 1.0
     assert got["support_tickets", "resolution_hours_clean"].pct_missing == 0.5
+    profile = {(r.table_name, r.column_name): r for r in quality.dq_col_profile(annotated).collect()}
+    assert profile["churn_events", "churn_date"].dtype == "missing" and profile["churn_events", "churn_date"].missing_pct == 1.0
     assert got["accounts", "country_clean"].pct_invalid == 0.0
 
 
@@ -121,3 +123,16 @@ def test_cleaner_finds_injected_faults(spark):
     for row in both.collect():
         for label, code in pairs.items():
             assert (label in row[1].split("; ")) == (code in row[2])
+
+
+def test_new_keys_never_repeat_when_the_counter_outgrows_its_width(spark):
+    rows = spark.range(300).select(F.concat(F.lit("A-"), F.lpad(F.col("id").cast("string"), 2, "0")).alias("account_id"))
+    got = [r.account_id for r in faults.new_ids(rows, rows, "account_id", "A-00").collect()]
+    taken = {r.account_id for r in rows.collect()}
+    assert len(set(got)) == 300 and not taken & set(got)
+
+
+def test_a_sample_holds_at_least_one_row(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("k"))
+    none = lambda name: F.lit(999) - F.col("k").cast("int")
+    assert [r.k for r in faults.sample_rows(df, none).collect()] == ["49"]
