@@ -89,13 +89,16 @@ class Model:
         for i, (_, _, w) in enumerate(indexed):
             for t, x in w.items():
                 lists.setdefault(t, []).append((i, x))
-        # of each term: blocks, their maxima, where the postings of each begin, examples, weights
-        self.lists = {}
+        # of each term: blocks, their maxima, and where a block's postings are, one row of BLOCK weights for each term and block
+        self.lists, rows_of = {}, []
         for t, rows in lists.items():
             at, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            block = at // BLOCK
-            start = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-            self.lists[t] = block[start], np.maximum.reduceat(x, start), np.append(start, len(at)), at, x
+            block, which = np.unique(at // BLOCK, return_inverse=True)
+            dense = np.zeros((len(block), BLOCK))
+            dense[which, at % BLOCK] = x
+            self.lists[t] = block, dense.max(axis=1), np.arange(len(block)) + sum(map(len, rows_of))
+            rows_of.append(dense)
+        self.postings = np.concatenate(rows_of) if rows_of else np.zeros((0, BLOCK))
         self.blocks = -(-len(indexed) // BLOCK)
         self.steps: list[tuple[float, float]] = []
         votes = [(self._vote(self.nearest(w)[1:]), toxic) for _, toxic, w in held]
@@ -124,22 +127,21 @@ class Model:
 
     def nearest(self, query: dict[int, float], k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(example, cosine, toxic) of the k nearest with a cosine above 0; of equal cosines the first in the index."""
-        bound = np.zeros(self.blocks)
-        mine = [(x, self.lists[t]) for t, x in sorted(query.items()) if t in self.lists]
-        for x, (block, most, *_) in mine:
-            bound[block] += x * most
-        order = np.argsort(-bound, kind="stable")
         found, sims, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in order:
-            if bound[b] <= 0 or (len(found) >= k and bound[b] < least - 1e-9):
+        mine = [(x, *self.lists[t]) for t, x in sorted(query.items()) if t in self.lists]
+        if not mine:
+            return found, sims, self.toxic[found]
+        block = np.concatenate([m[1] for m in mine])
+        bound = np.bincount(block, np.concatenate([m[0] * m[2] for m in mine]), self.blocks)
+        by = np.argsort(block, kind="stable")
+        row, weight = np.concatenate([m[3] for m in mine])[by], np.repeat([m[0] for m in mine], [len(m[1]) for m in mine])[by]
+        first = np.searchsorted(block[by], np.arange(self.blocks + 1))
+        for b in np.argsort(-bound, kind="stable"):
+            if bound[b] <= 0 or (len(found) == k and bound[b] < least - 1e-9):
                 break
-            score = np.zeros(BLOCK)
-            for x, (block, _, start, at, w) in mine:
-                i = int(np.searchsorted(block, b))
-                if i < len(block) and block[i] == b:
-                    part = slice(start[i], start[i + 1])
-                    score[at[part] - b * BLOCK] += x * w[part]
-            hit = np.flatnonzero(score > max(0.0, least - 1e-9) if len(found) >= k else score > 0)
+            part = slice(first[b], first[b + 1])
+            score = weight[part] @ self.postings[row[part]]
+            hit = np.flatnonzero(score > (max(0.0, least - 1e-9) if len(found) == k else 0.0))
             if not len(hit):
                 continue
             found, sims = np.concatenate([found, hit + b * BLOCK]), np.concatenate([sims, score[hit]])
