@@ -40,8 +40,11 @@ SHARD_IDS = 1 << 18
 ROUNDS = 8
 PAIRS_PER_ROUND = 1024
 MIN_COUNT = 8
+TABLE_BITS = 16
+#: A round that shortens the sequence by less than this share is the last.
+LEAST_GAIN = 0.005
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 _HEAD = struct.Struct("<4s5q")
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
@@ -60,15 +63,16 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
+    def _encode_new(self, runs: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         runs = [t.split() for t in texts]
         known = self.known
         new = {w for r in runs for w in r if w not in known}
         more: dict[bytes, bytes] = {}
         if new:
-            order = list(new)
-            for w, e in zip(order, self.tokenizer.encode_batch_fast([w.decode() for w in order], add_special_tokens=False)):
-                more[w] = np.array(e.ids, np.uint32).tobytes()
+            more = dict(zip(new, self._encode_new([w.decode() for w in new])))
             if len(known) < REMEMBERED:
                 known.update(more)
                 more = {}
@@ -98,6 +102,10 @@ def _choose(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
+def _place(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
 def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
     """(first rule symbol, rules as pairs, sequence)."""
     seq = ids.astype(np.int64)
@@ -115,15 +123,19 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
         chosen = _choose(s[edge[:-1][often]], counts[often]) if often.any() else np.zeros(0, np.int64)
         if not len(chosen):
             break
-        order = np.argsort(chosen)
-        at = np.minimum(np.searchsorted(chosen[order], code), len(chosen) - 1)
-        hit = np.flatnonzero(chosen[order][at] == code)
-        seq[hit] = top + order[at[hit]]
+        # a pair's place in a small table by a hash of it; of two pairs in one place the later waits for another round
+        table = np.zeros(1 << TABLE_BITS, np.int64)
+        table[_place(chosen)] = np.arange(len(chosen))
+        at = table[_place(code)]
+        hit = np.flatnonzero(chosen[at] == code)
+        seq[hit] = top + at[hit]
         keep = np.ones(len(seq), bool)
         keep[hit + 1] = False
-        seq = seq[keep]
+        before, seq = len(seq), seq[keep]
         rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
         top += len(chosen)
+        if before - len(seq) < LEAST_GAIN * before:
+            break
     return base, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), seq
 
 
