@@ -11,6 +11,9 @@ The scores are fitted on a bounded sample, ``SAMPLE_PAGES`` pages chosen by a ha
 the contexts counted are the known tags, so the table that reaches the driver is
 small whatever the pages hold.
 
+A page without a mark of its own on which nothing scores is scanned with the scores of
+unseen contexts.
+
 Defined results: null or empty html, and a page without words outside the elements
 left out, give the empty text; of regions with equal sums the first and then the
 longest is taken; broken or unclosed tags end with the element around them; repeated
@@ -51,6 +54,7 @@ LEFT_OUT_NAMES = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|adbox|sponsor\w*|p
     re.I)
 KNOWN = BLOCKS | VOID | LEFT_OUT | frozenset("a abbr b big cite code del em font i ins kbd mark q s samp small span strike strong sub sup tt u var".split())
 MARKS = ("article", "main")
+RUNNING = (KNOWN - BLOCKS) | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -168,15 +172,17 @@ class Scores:
         for kind, name in names:
             ratio = math.log((counts.get((kind, name, True), 0) + 1) / total[True]) - math.log((counts.get((kind, name, False), 0) + 1) / total[False])
             self.of[kind, name] = max(LEAST, min(ratio, TAG_MOST) if kind == "tag" else ratio)
-        # unseen contexts, and all when no page marks its article: words count for, tags against
-        self.word, self.tag = 1.0, -2.0
         if not any(side for _, _, side in counts):
             self.of = {}
 
     def __call__(self, t: Token, n_words: int) -> float:
+        """Contexts that were not seen: words count for, tags against, those of running text less."""
         if t.kind == "words":
-            return n_words * self.of.get(("words", t.name), self.word)
-        return self.of.get(("tag", t.name), self.tag)
+            return n_words * self.of.get(("words", t.name), 1.0)
+        return self.of.get(("tag", t.name), -0.2 if t.name.lstrip("/") in RUNNING else -3.0)
+
+
+UNSEEN = Scores({})
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -194,7 +200,10 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str, scores: Scores) -> str:
     found = tokens(page)
     texts = [html.unescape(t.text) if t.kind == "words" else "" for t in found]
-    start, end = best_region([scores(t, len(x.split())) for t, x in zip(found, texts)])
+    words = [len(x.split()) for x in texts]
+    start, end = best_region([scores(t, n) for t, n in zip(found, words)])
+    if end == 0 and not any(t.name in MARKS for t in found if t.kind == "tag"):
+        start, end = best_region([UNSEEN(t, n) for t, n in zip(found, words)])
     blocks, now = [], []
     for t, x in zip(found[start:end], texts[start:end]):
         if t.kind == "words":

@@ -153,6 +153,8 @@ class Model:
     def _vote(self, near: tuple[np.ndarray, np.ndarray]) -> float:
         sims, toxic = near
         yes, no = self.weight[1] * (sims * toxic).sum(), self.weight[0] * (sims * (1 - toxic)).sum()
+        if not yes + no:
+            return self.prior
         return float((yes + PRIOR * self.weight[1] * self.prior) / (yes + no + PRIOR * self.weight[1]))
 
     def score(self, text: str) -> tuple[float, list[int]]:
