@@ -88,6 +88,16 @@ def write_shards(sharded: DataFrame, path: str) -> None:
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Whole documents with size, text_crc32, law, shard and slot; columns of these names are replaced."""
-    sized = docs.withColumn("size", size_bytes(F.col("text"))).withColumn("text_crc32", text_crc(F.col("text")))
-    return shard(sized, F.col("size"), shards).withColumn("law", F.lit("rows"))
+    """Whole documents with size, text_crc32, law, shard and slot; columns of these names are replaced.
+
+    The two passes move 128-bit hashes of the records; equal records are folded, and the texts are
+    moved once, to their places.
+    """
+    sized = docs.withColumn("size", size_bytes(F.col("text"))).withColumn("text_crc32", text_crc(F.col("text"))).drop("law", "shard", "slot")
+    names = sized.columns
+    records = sized.toDF(*[f"c{i}" for i in range(len(names))])
+    columns = records.columns
+    records = records.select("*", F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(SEED), *columns).alias("b"))
+    placed = shard(records.select("a", "b"), F.lit(16), shards)
+    once = records.dropDuplicates(["a", "b"])
+    return once.join(placed, ["a", "b"]).select(*[F.col(c).alias(name) for c, name in zip(columns, names)], F.lit("rows").alias("law"), "shard", "slot")
