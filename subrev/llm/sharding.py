@@ -97,7 +97,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     names = sized.columns
     records = sized.toDF(*[f"c{i}" for i in range(len(names))])
     columns = records.columns
-    records = records.select("*", F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(SEED), *columns).alias("b"))
+    # the hash skips nulls, so it also gets which columns are null
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    records = records.select("*", F.xxhash64(nulls, *columns).alias("a"), F.xxhash64(F.lit(SEED), nulls, *columns).alias("b"))
     placed = shard(records.select("a", "b"), F.lit(16), shards)
     once = records.dropDuplicates(["a", "b"])
     return once.join(placed, ["a", "b"]).select(*[F.col(c).alias(name) for c, name in zip(columns, names)], F.lit("rows").alias("law"), "shard", "slot")

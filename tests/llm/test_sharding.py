@@ -1,7 +1,7 @@
 import zlib
 from collections import Counter
 
-from helpers import documents, rows_of
+from helpers import DOCS, documents, rows_of
 from pyspark.sql import functions as F
 
 from subrev.llm import sharding
@@ -49,6 +49,12 @@ def test_whole_documents_and_files(docs, spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == docs.count()
 
 
+def test_records_that_differ_in_where_their_nulls_are(spark):
+    rows = [(1, "t", "x", None, None), (1, "t", None, "x", None), (1, "t", "x", "x", None)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, DOCS), 2)
+    assert sorted((r["lang"] or "", r["source"] or "") for r in got.collect()) == [("", "x"), ("x", ""), ("x", "x")]
+
+
 def test_plan_has_no_python_and_empty_table(docs, nothing):
     plan = sharding.assignments(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan.replace("PythonRDD", "") and "InPandas" not in plan and "InArrow" not in plan
