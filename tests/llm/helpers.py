@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -41,3 +43,13 @@ def documents(seed=3, n=60):
 
 def rows_of(df):
     return Counter(tuple(tuple(x) if isinstance(x, list) else x for x in r) for r in df.collect())
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.createDataFrame(documents(), DOCS).repartition(5).cache()
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], DOCS)

@@ -1,7 +1,7 @@
 import hashlib
 from collections import Counter
 
-from helpers import ALNUM, DOCS, LOWER, documents, rows_of
+from helpers import ALNUM, DOCS, LOWER, docs, documents, nothing, rows_of
 from pyspark.sql import functions as F
 
 from subrev.llm import decontaminate

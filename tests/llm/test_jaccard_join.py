@@ -2,7 +2,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import pytest
-from helpers import DOCS, LOWER, documents, rows_of, words
+from helpers import DOCS, LOWER, docs, documents, nothing, rows_of, words
 from pyspark.sql import functions as F
 
 from subrev.llm import jaccard_join

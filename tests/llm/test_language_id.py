@@ -1,7 +1,7 @@
 import math
 import random
 
-from helpers import DOCS, documents
+from helpers import DOCS, docs, documents, nothing
 from pyspark.sql import functions as F
 
 from subrev.llm import language_id

@@ -1,7 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
-from helpers import DOCS, documents, rows_of, words
+from helpers import DOCS, docs, documents, nothing, rows_of, words
 from pyspark.sql import functions as F
 
 from subrev.llm import mixing

@@ -3,7 +3,7 @@
 from collections import Counter
 
 import pytest
-from helpers import documents, words
+from helpers import docs, documents, words
 from test_decontaminate import folded
 from test_jaccard_join import expected
 

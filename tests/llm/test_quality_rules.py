@@ -1,6 +1,6 @@
 from collections import Counter
 
-from helpers import documents, rows_of, words
+from helpers import docs, documents, nothing, rows_of, words
 from pyspark.sql import functions as F
 
 from subrev.llm import quality_rules

@@ -1,7 +1,7 @@
 import zlib
 from collections import Counter
 
-from helpers import DOCS, documents, rows_of
+from helpers import DOCS, docs, documents, nothing, rows_of
 from pyspark.sql import functions as F
 
 from subrev.llm import sharding

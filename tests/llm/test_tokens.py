@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from helpers import ODD, documents, prose
+from helpers import ODD, docs, documents, nothing, prose
 from pyspark.sql import functions as F
 
 from subrev.llm import token_counts, token_files

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import DOCS, documents
+from helpers import DOCS, docs, documents, nothing
 from pyspark.sql import functions as F
 
 from subrev.llm import toxicity
