@@ -1,8 +1,12 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-A bounded, balanced sample of labelled documents gives the terms (words, and word
-beginnings, that toxic examples hold more often than chance), their inverse document
-frequencies and the examples.  The examples are kept as posting lists cut into blocks,
+A bounded, balanced sample of labelled documents gives the examples.  Examples and
+documents are vectors of all their terms: words, and beginnings of words.  The
+weight of a term is its inverse document frequency among the examples times the
+logarithm of how many times as often toxic examples hold it, at least ``NEUTRAL``: with
+the bare frequencies the ordinary words of a text outweigh the few that make it toxic.
+A term is never left out for being rare or neutral; a term that no example holds
+meets none.  The examples are kept as posting lists cut into blocks,
 with the greatest weight of each block.  For a document the sums of block maxima bound
 the cosine of every example in a block; blocks are read in falling order of that bound
 until it is below the k-th best cosine, so the k nearest are exact.  Their votes,
@@ -10,7 +14,7 @@ weighted by cosine and by how often their kind occurs among all labels, and a pr
 on a part of the sample that is not in the index.
 
 Labels come only from rows that are not held out.  Every document is scored, whole, in
-one pass without a shuffle; the model is bounded by ``SAMPLE`` and ``MAX_TERMS``.
+one pass without a shuffle; the model is bounded by ``SAMPLE`` and the lengths of the texts sampled.
 
 Defined results: null and empty texts, and texts without a term, get the score of no
 neighbours; a document with several labels is toxic if half of them or more say so;
@@ -33,18 +37,19 @@ from pyspark.sql import functions as F
 
 from subrev.llm.common import by_batch, held_out
 
-#: Labelled documents of each kind that are sampled at most, and the terms kept at most.
+#: Labelled documents of each kind that are sampled at most.
 SAMPLE = 2400
-MAX_TERMS = 3000
 #: One in so many sampled documents calibrates the votes and is not in the index.
 CALIBRATE = 4
-#: Least chi-squared of a term, and least toxic examples that hold it (a number, and a share of them).
-CHI2, LEAST_DOCS, LEAST_SHARE = 20.0, 4, 0.005
-#: How many times as often a term has to be held by toxic examples as by others.
-LIFT = 4
+#: What the weight of a term keeps of its idf if toxic examples hold it no more often than others.
+NEUTRAL = 0.02
 BEGINNINGS = (4, 5, 6)
 K = 15
 BLOCK = 32
+#: Blocks read before the first look at the bounds; each next lot has four times as many.
+FIRST_BLOCKS = 4
+#: A lot of more than one block in so many reads the lists whole.
+READ_ALL = 4
 #: Weight of the prior vote, in cosines.
 PRIOR = 0.5
 THRESHOLD = 0.7
@@ -65,10 +70,16 @@ def term_counts(text: str) -> Counter:
     return out
 
 
+def ranges(starts: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All of ``starts[i]`` to ``starts[i + 1]`` (exclusive), one i of ``of`` after the other, and how many each has."""
+    n = starts[of + 1] - starts[of]
+    return np.arange(n.sum()) + np.repeat(starts[of] - np.cumsum(n) + n, n), n
+
+
 class Model:
     """Terms, examples as block-max posting lists, and the calibration."""
 
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int, int, dict[str, int]]], prior: float, base: float) -> None:
+    def __init__(self, idf: dict[str, float], examples: list[tuple[int, int, dict[str, int] | Counts]], prior: float, base: float) -> None:
         """``examples``: (doc_id, toxic, term counts) in a fixed order; ``base`` is the toxic share among all labels."""
         self.term = {t: i for i, t in enumerate(sorted(idf))}
         self.idf = np.array([idf[t] for t in sorted(idf)])
@@ -78,38 +89,38 @@ class Model:
         self.weight = {1: base / max(kinds[1], 1), 0: (1 - base) / max(kinds[0], 1)}
         top = max(self.weight.values()) or 1.0
         self.weight = {k: w / top for k, w in self.weight.items()}
-        vectors = [(doc, toxic, self._weights(counts)) for doc, toxic, counts in examples]
+        vectors = [(doc, toxic, *self._weights(counts)) for doc, toxic, counts in examples]
         held = vectors[::CALIBRATE]
-        indexed = [v for i, v in enumerate(vectors) if i % CALIBRATE and v[2]]
+        indexed = [v for i, v in enumerate(vectors) if i % CALIBRATE and len(v[2])]
         # neighbours in a block should share terms, so that its maxima are close to its weights
-        indexed.sort(key=lambda v: (max(v[2], key=lambda t: (v[2][t], t)), v[0]))
+        indexed.sort(key=lambda v: (v[2][v[3] == v[3].max()].max(), v[0]))
         self.doc = np.array([v[0] for v in indexed], np.int64)
         self.toxic = np.array([v[1] for v in indexed], float)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for i, (_, _, w) in enumerate(indexed):
-            for t, x in w.items():
-                lists.setdefault(t, []).append((i, x))
-        # of each term: blocks, their maxima, and where a block's postings are, one row of BLOCK weights for each term and block
-        self.lists, rows_of = {}, []
-        for t, rows in lists.items():
-            at, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            block, which = np.unique(at // BLOCK, return_inverse=True)
-            dense = np.zeros((len(block), BLOCK))
-            dense[which, at % BLOCK] = x
-            self.lists[t] = block, dense.max(axis=1), np.arange(len(block)) + sum(map(len, rows_of))
-            rows_of.append(dense)
-        self.postings = np.concatenate(rows_of) if rows_of else np.zeros((0, BLOCK))
         self.blocks = -(-len(indexed) // BLOCK)
+        # postings by term and example; the postings of a term in a block are a group, which has the greatest of their weights
+        term = np.concatenate([np.zeros(0, np.int64), *(v[2] for v in indexed)])
+        x = np.concatenate([np.zeros(0), *(v[3] for v in indexed)])
+        example = np.repeat(np.arange(len(indexed)), [len(v[2]) for v in indexed])
+        by = np.lexsort((example, term))
+        self.example, self.x = example[by].astype(np.int32), x[by]
+        key = term[by] * max(self.blocks, 1) + example[by] // BLOCK
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.posting_at = np.append(first, len(key))
+        self.block = (key[first] % max(self.blocks, 1)).astype(np.int32)
+        self.most = np.maximum.reduceat(self.x, first) if len(first) else np.zeros(0)
+        self.group_at = np.searchsorted(key[first] // max(self.blocks, 1), np.arange(len(self.idf) + 1))
         self.steps: list[tuple[float, float]] = []
-        votes = [(self._vote(self.nearest(w)[1:]), toxic) for _, toxic, w in held]
+        votes = [(self._vote(self.nearest(dict(zip(t.tolist(), x.tolist())))[1:]), toxic) for _, toxic, t, x in held]
         share = {k: sum(1 for _, y in votes if y == k) for k in (0, 1)}
         weight = {1: base / max(share[1], 1), 0: (1 - base) / max(share[0], 1)}
         self.steps = isotonic([(v, y, weight[y]) for v, y in votes])
 
-    def _weights(self, counts: dict[str, int]) -> dict[int, float]:
-        raw = {self.term[t]: (1 + math.log(n)) * self.idf[self.term[t]] for t, n in counts.items() if t in self.term}
-        norm = math.sqrt(sum(x * x for x in raw.values()))
-        return {t: x / norm for t, x in raw.items()} if norm else {}
+    def _weights(self, counts: dict[str, int] | Counts) -> tuple[np.ndarray, np.ndarray]:
+        mine = [(self.term[t], n) for t, n in counts.items() if t in self.term]
+        terms = np.array([t for t, _ in mine], np.int64)
+        raw = (1 + np.log(np.array([n for _, n in mine], float))) * self.idf[terms]
+        norm = math.sqrt((raw * raw).sum())
+        return terms, raw / norm if norm else raw
 
     def vector(self, text: str) -> dict[int, float]:
         counts: dict[int, int] = {}
@@ -128,26 +139,41 @@ class Model:
     def nearest(self, query: dict[int, float], k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(example, cosine, toxic) of the k nearest with a cosine above 0; of equal cosines the first in the index."""
         found, sims, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        mine = [(x, *self.lists[t]) for t, x in sorted(query.items()) if t in self.lists]
-        if not mine:
+        terms = np.array(sorted(query), np.int64)
+        groups, n = ranges(self.group_at, terms)
+        if not len(groups):
             return found, sims, self.toxic[found]
-        block = np.concatenate([m[1] for m in mine])
-        bound = np.bincount(block, np.concatenate([m[0] * m[2] for m in mine]), self.blocks)
-        by = np.argsort(block, kind="stable")
-        row, weight = np.concatenate([m[3] for m in mine])[by], np.repeat([m[0] for m in mine], [len(m[1]) for m in mine])[by]
-        first = np.searchsorted(block[by], np.arange(self.blocks + 1))
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(found) == k and bound[b] < least - 1e-9):
+        x = np.repeat(np.array([query[t] for t in terms.tolist()]), n)
+        block = self.block[groups]
+        bound = np.bincount(block, x * self.most[groups], self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        order, at, many = order[bound[order] > 0], 0, FIRST_BLOCKS
+        while at < len(order):
+            part = order[at:at + many]
+            if len(found) == k:
+                part = part[bound[part] >= least - 1e-9]
+            if not len(part):
+                break
+            at, many = at + many, many * 4
+            if len(part) * READ_ALL > self.blocks:
+                # most blocks are left: whole lists are read faster than their parts, all sums are made anew
+                lists = list(zip(self.posting_at[self.group_at[terms]].tolist(), self.posting_at[self.group_at[terms + 1]].tolist()))
+                weight = np.repeat(np.array([query[t] for t in terms.tolist()]), [b - a for a, b in lists])
+                score = np.bincount(np.concatenate([self.example[a:b] for a, b in lists]), weight * np.concatenate([self.x[a:b] for a, b in lists]))
+                found = np.flatnonzero(score > 0)
+                keep = np.lexsort((found, -np.round(score[found], 9)))[:k]
+                found, sims = found[keep], score[found[keep]]
                 break
-            part = slice(first[b], first[b + 1])
-            score = weight[part] @ self.postings[row[part]]
+            chosen = np.zeros(self.blocks, bool)
+            chosen[part] = True
+            mine = chosen[block]
+            rows, n = ranges(self.posting_at, groups[mine])
+            score = np.bincount(self.example[rows], np.repeat(x[mine], n) * self.x[rows])
             hit = np.flatnonzero(score > (max(0.0, least - 1e-9) if len(found) == k else 0.0))
-            if not len(hit):
-                continue
-            found, sims = np.concatenate([found, hit + b * BLOCK]), np.concatenate([sims, score[hit]])
+            found, sims = np.concatenate([found, hit]), np.concatenate([sims, score[hit]])
             keep = np.lexsort((found, -np.round(sims, 9)))[:k]
             found, sims = found[keep], sims[keep]
-            least = sims[-1]
+            least = sims[-1] if len(sims) else 0.0
         return found, sims, self.toxic[found]
 
     def _vote(self, near: tuple[np.ndarray, np.ndarray]) -> float:
@@ -190,24 +216,49 @@ def apply_steps(steps: list[tuple[float, float]], vote: float) -> float:
     return float(np.interp(vote, at, value))
 
 
-def _by_term(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, positive, negative): examples of each kind that hold a term, added up in the task."""
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for b in batches:
-        for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-            counts[toxic].update(term_counts(text or "").keys())
-    terms = list(counts[0].keys() | counts[1].keys())
-    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([counts[k][t] for t in terms], pa.int64()) for k in (1, 0))],
-                                     names=["term", "positive", "negative"])
+class Counts:
+    """Term counts of one text as a string and an array, a tenth of what a dict takes on the driver."""
 
+    __slots__ = ("terms", "n")
 
-def _only(terms: set[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [{t: n for t, n in term_counts(x or "").items() if t in terms} for x in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array([list(f.items()) for f in found], pa.map_(pa.string(), pa.int64()))],
-                                             names=["doc_id", "toxic", "counts"])
-    return run
+    def __init__(self, terms: str, n: bytes) -> None:
+        self.terms, self.n = terms, n
+
+    def keys(self) -> list[str]:
+        return self.terms.split("\n") if self.terms else []
+
+    def items(self) -> Iterator[tuple[str, int]]:
+        return zip(self.keys(), np.frombuffer(self.n, np.int32).tolist())
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, toxic, terms, n) with all terms of each text; no term holds a line end."""
+    for b in batches:
+        found = [term_counts(x or "") for x in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(["\n".join(f) for f in found], pa.string()),
+                                          pa.array([np.fromiter(f.values(), np.int32, len(f)).tobytes() for f in found], pa.binary())],
+                                         names=["doc_id", "toxic", "terms", "n"])
+
+
+def term_weights(examples: list[tuple[int, int, dict[str, int] | Counts]]) -> dict[str, float]:
+    """Weight of every term of the indexed examples: idf, times how far the term tells toxic examples from others.
+
+    The latter is the logarithm of the ratio of the two shares of examples that hold the term, and ``NEUTRAL``
+    at least, so that every term counts; the calibrating part has no say, its terms are weighed like those of any text.
+    """
+    kinds: Counter = Counter()
+    held: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    for i, (_, toxic, counts) in enumerate(examples):
+        if i % CALIBRATE:
+            kinds[toxic] += 1
+            held[toxic].update(counts.keys())
+    n = kinds[0] + kinds[1]
+    out = {}
+    for t in held[0].keys() | held[1].keys():
+        yes, no = held[1][t], held[0][t]
+        tells = math.log((yes + 0.5) / (kinds[1] + 1)) - math.log((no + 0.5) / (kinds[0] + 1))
+        out[t] = (math.log((1 + n) / (1 + yes + no)) + 1) * max(tells + NEUTRAL, NEUTRAL)
+    return out
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -226,24 +277,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     base = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).agg(F.avg("toxic")).first()[0] or 0.0
     rows = labelled_sample(docs, labels).repartition(24, "doc_id").persist()
     try:
-        n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-        pos, neg = n.get(1, 0), n.get(0, 0)
-        if not pos or not neg:
-            return Model({}, [], base, base)
-        a, b = F.col("positive"), F.col("negative")
-        apart = a * (neg - b) - (pos - a) * b
-        chi2 = apart * apart * (pos + neg) / (F.lit(float(pos)) * neg * (a + b) * (pos + neg - a - b + 1))
-        terms = rows.select("text", "toxic").mapInArrow(_by_term, "term string, positive bigint, negative bigint").groupBy("term") \
-            .agg(F.sum("positive").alias("positive"), F.sum("negative").alias("negative")) \
-            .where((a >= max(LEAST_DOCS, LEAST_SHARE * pos)) & (a * neg >= LIFT * b * pos)).withColumn("chi2", chi2).where(F.col("chi2") >= CHI2)
-        kept = terms.orderBy(F.col("chi2").desc(), "term").limit(MAX_TERMS).collect()
-        idf = {r["term"]: math.log((1 + pos + neg) / (1 + r["positive"] + r["negative"])) + 1 for r in kept}
-        found = rows.select("doc_id", "text", "toxic").mapInArrow(_only(set(idf)), "doc_id bigint, toxic int, counts map<string,bigint>").collect()
+        found = rows.select("doc_id", "text", "toxic").mapInArrow(_counted, "doc_id bigint, toxic int, terms string, n binary")
+        found = [(r["doc_id"], r["toxic"], Counts(r["terms"], bytes(r["n"]))) for r in found.toLocalIterator()]
     finally:
         rows.unpersist()
+    if len({toxic for _, toxic, _ in found}) < 2:
+        return Model({}, [], base, base)
     # an order by hash, so that the calibrating part is as mixed as the sample
-    examples = sorted(((r["doc_id"], r["toxic"], r["counts"]) for r in found), key=lambda e: (e[0] * 2654435761 % (1 << 32), e[0], e[1]))
-    return Model(idf, examples, 0.0, base)
+    examples = sorted(found, key=lambda e: (e[0] * 2654435761 % (1 << 32), e[0], e[1]))
+    return Model(term_weights(examples), examples, 0.0, base)
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -55,6 +56,22 @@ def test_nearest_examples_are_exact():
         assert len(set(found.tolist())) == len(found)
 
 
+def test_rare_toxic_words_meet_their_example(spark):
+    docs, labels = corpus()
+    free = [i for i in range(10_000, 10_100)]
+    known, asked = [i for i in free if zlib.crc32(str(i).encode()) % 3 != 1], [i for i in free if zlib.crc32(str(i).encode()) % 3 == 1]
+    rare = [f"{x}bq" for x in "vxyz"]
+    # each of these words is in two toxic examples only
+    docs += [(i, f"w1 w2 {rare[j % 4]} w3", "en", "s", 1) for j, i in enumerate(known[:8])] + [(asked[0], f"w9 {rare[0]} w8", "en", "s", 1)]
+    labels += [(i, 0, 1) for i in known[:8]]
+    docs += [(i, "w4 w5 w6", "en", "s", 1) for i in known[8:10]] + [(asked[1], "w4 w5 w6", "en", "s", 1)]
+    labels += [(i, 1, 0) for i in known[8:10]]
+    rows = {r["doc_id"]: r for r in toxicity.scores(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).collect()}
+    assert set(rows[asked[0]]["evidence"][:2]) & {known[0], known[4]}
+    assert rows[asked[0]]["score"] > rows[asked[1]]["score"]
+    assert len(rows[asked[1]]["evidence"]) == toxicity.K
+
+
 def test_isotonic_steps():
     steps = toxicity.isotonic([(0.1, 0, 1), (0.2, 1, 1), (0.3, 0, 1), (0.4, 1, 1), (0.4, 1, 1)])
     assert steps == [(0.1, 0.0), (0.2, 0.5), (0.4, 1.0)]
