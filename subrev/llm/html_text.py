@@ -14,6 +14,10 @@ small whatever the pages hold.
 A page without a mark of its own on which nothing scores is scanned with the scores of
 unseen contexts.
 
+A hidden element, or one whose class, id or role has a whole token that names something
+else than text, is left out too, unless it has all the marked articles of the page or, on
+a page without any, most of its words.
+
 Defined results: null or empty html, and a page without words outside the elements
 left out, give the empty text; of regions with equal sums the first and then the
 longest is taken; broken or unclosed tags end with the element around them; repeated
@@ -23,6 +27,7 @@ rows get rows of their own; other columns are ignored.
 from __future__ import annotations
 
 import html
+import itertools
 import math
 import re
 from collections import Counter
@@ -45,20 +50,23 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
     ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "xmp")
-# Elements and names in class, id or role that are never article text.
+# Elements that are never article text.
 LEFT_OUT = frozenset("""head title nav footer aside form menu dialog button select option label fieldset input object applet canvas audio video map
     """.split()) | frozenset(RAW)
-LEFT_OUT_NAMES = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|alert|popup|modal|overlay|
-    subscribe|newsletter|signup|login|sidebar|side|widget|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|share|sharing|social|related|
-    recommended|comments?|comment-?list|replies|respond|disqus|footer|masthead|header|topbar|copyright|tags)(?:$|[\s_-])""".replace("\n", "").replace(" ", ""),
-    re.I)
+# Whole tokens of class, id or role whose elements are not article text, unless the page's article is in them.
+LEFT_OUT_NAMES = frozenset("""ad ads advert adverts advertisement advertising adbox ad-box ad-container sponsor sponsored promo promotion banner
+    cookie cookies cookie-notice cookie-banner cookie-bar cookie-consent consent gdpr popup modal overlay subscribe newsletter signup login
+    sidebar side-bar widget widgets menu nav navbar navigation breadcrumb breadcrumbs pagination pager share sharing share-buttons social
+    social-share social-links related related-posts related-articles recommended comment comments comments-area comment-list comment_list
+    commentlist replies respond disqus disqus_thread footer site-footer page-footer masthead site-header topbar copyright""".split())
 KNOWN = BLOCKS | VOID | LEFT_OUT | frozenset("a abbr b big cite code del em font i ins kbd mark q s samp small span strike strong sub sup tt u var".split())
 MARKS = ("article", "main")
 RUNNING = (KNOWN - BLOCKS) | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_TELLING = re.compile(r"class|id|role|hidden|style", re.I)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _CLOSES = {"p": BLOCKS - {"option"}, "li": {"li"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "dt": {"dt", "dd"},
            "dd": {"dt", "dd"}, "option": {"option"}}
 
@@ -72,16 +80,43 @@ class Token:
         self.kind, self.name, self.text, self.inside = kind, name, text, inside
 
 
-def _left_out(name: str, attributes: str, marked: bool) -> bool:
-    if name in LEFT_OUT or (name == "header" and not marked):
+def _never_text(name: str, marked: bool) -> bool:
+    return name != "form" and name in LEFT_OUT or (name == "header" and not marked)
+
+
+def _in_doubt(name: str, attributes: str) -> bool:
+    """Elements that are hidden or named as something else than text; a form is, too, as some pages are one."""
+    if name == "form":
         return True
-    if not attributes or name in ("body", "html", *MARKS):
+    if not attributes or name in ("body", "html", *MARKS) or not _TELLING.search(attributes):
         return False
-    if name in BLOCKS or name in ("span", "section"):
-        for m in _NAMES.finditer(attributes):
-            if LEFT_OUT_NAMES.search(m[1] or m[2] or m[3] or ""):
+    for m in _ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if key in ("class", "id", "role"):
+            if (name in BLOCKS or name == "span") and not LEFT_OUT_NAMES.isdisjoint(value.split()):
                 return True
-    return bool(_HIDDEN.search(attributes))
+        elif (key == "hidden" and value.strip() != "false") or (key == "aria-hidden" and value.strip() == "true") or \
+                (key == "style" and _NO_DISPLAY.search(value)):
+            return True
+    return False
+
+
+def _decide(found: list[Token], doubtful: list[tuple[int, int, str]]) -> list[Token]:
+    """The tokens without those of doubtful elements (from, to, name).
+
+    An element stays if it has all the marked articles of the page, or, on a page without any, more than half of
+    the words; the scores then judge its words like all others.  A form stays for the former only.
+    """
+    marks = [i for i, t in enumerate(found) if t.kind == "tag" and t.name in MARKS]
+    words = [0, *itertools.accumulate(len(t.text.split()) for t in found)] if not marks else []
+    gone = bytearray(len(found))
+    for start, end, name in doubtful:
+        if marks and start <= marks[0] and marks[-1] < end:
+            continue
+        if not marks and name != "form" and 2 * (words[end] - words[start]) > words[-1]:
+            continue
+        gone[start:end] = b"\1" * (end - start)
+    return [t for t, out in zip(found, gone) if not out]
 
 
 def tokens(page: str) -> list[Token]:
@@ -91,6 +126,8 @@ def tokens(page: str) -> list[Token]:
     skip = 0  # depth of the stack at which the element left out began
     marked = 0
     at = 0
+    open_doubt: list[tuple[int, int, str]] = []  # depth of the stack, first token and name of doubtful elements that are open
+    doubtful: list[tuple[int, int, str]] = []
 
     def text(raw: str) -> None:
         if raw and not skip:
@@ -105,6 +142,9 @@ def tokens(page: str) -> list[Token]:
             marked -= gone in MARKS
             if skip > len(stack):
                 skip = 0
+            if open_doubt and open_doubt[-1][0] > len(stack):
+                _, start, name = open_doubt.pop()
+                doubtful.append((start, len(out), name))
 
     n = len(page)
     while at < n:
@@ -145,9 +185,13 @@ def tokens(page: str) -> list[Token]:
             continue
         marked += name in MARKS
         stack.append(name)
-        if not skip and _left_out(name, attributes or "", marked > 0):
-            skip = len(stack)
-    return out
+        if not skip:
+            if _never_text(name, marked > 0):
+                skip = len(stack)
+            elif _in_doubt(name, attributes or ""):
+                open_doubt.append((len(stack), len(out), name))
+    doubtful += [(start, len(out), name) for _, start, name in open_doubt]
+    return _decide(out, doubtful) if doubtful else out
 
 
 def count_contexts(page: str) -> Counter | None:

@@ -49,6 +49,25 @@ def test_pages_without_marks_and_empty_table(spark):
     assert html_text.main_texts(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_names_and_attributes_that_only_contain_a_left_out_word():
+    def words(page):
+        return " ".join(" ".join(t.text for t in html_text.tokens(page)).split())
+
+    for attributes in ('class="overflow-hidden"', 'class="layout has-sidebar"', 'class="no-sidebar"', 'class="single-post no-comments"',
+                       'class="article-header"', 'class="post-header"', 'class="side-by-side"', 'title="The hidden cost"', 'data-class="ad"',
+                       'hidden="false"', 'style="x-display:nonesuch"'):
+        assert words(f"<div {attributes}><article><p>one two</p></article></div>") == "one two", attributes
+        assert words(f"<p>a b c</p><div {attributes}>one</div>") == "a b c one", attributes
+    assert words('<p>see <a href="/hidden-gems">gems</a> here</p>') == "see gems here"
+    # an element that has the whole article stays, whatever its name
+    assert words('<div class="modal"><main><p>one two</p></main></div>') == "one two"
+    assert words('<form><article><p>one two</p></article></form>') == "one two"
+    assert words('<div class="widget"><p>one two three</p></div><p>four</p>') == "one two three four"
+    for left_out in ('<div class="x sidebar">z</div>', "<div id=comments>z</div>", "<span hidden>z</span>", '<p style="color:red; display: none">z</p>',
+                     '<div aria-hidden="true">z</div>', '<div class="related"><article>z</article></div>', "<form>z</form>"):
+        assert words(f"<main><p>one two</p></main>{left_out}<p>three</p>") == "one two three", left_out
+
+
 def test_best_region_against_all_regions():
     rng = random.Random(7)
     for _ in range(300):
