@@ -70,6 +70,35 @@ def test_held_out_accuracy_and_defined_results(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_many_labels_do_not_weaken_the_large_languages(spark, monkeypatch):
+    rare = [(10_000 + i, "qux", f"x{i}", "s", 1) for i in range(300)]
+    docs = spark.createDataFrame([*corpus(), *rare], DOCS)
+    few, many = language_id.fit(spark.createDataFrame(corpus(), DOCS)), language_id.fit(docs)
+    bits = {x.name: x.bits for x in few.parts[0]}
+    assert len(many.languages) > 150 and bits == {x.name: x.bits for p in many.parts for x in p if x.name in bits}
+    truth = {i: lang for i, _, lang, *_ in corpus()}
+    rows = [r for r in language_id.predictions(docs).collect() if r["held_out"] and r["doc_id"] in truth]
+    assert len(rows) > 50 and sum(r["lang_pred"] == truth[r["doc_id"]] for r in rows) >= 0.97 * len(rows)
+    whole = sorted(language_id.predictions(docs).collect())
+    # the same by edges, and in parts
+    monkeypatch.setattr(language_id, "CELLS", 0)
+    assert sorted(language_id.predictions(docs).collect()) == whole
+    monkeypatch.setattr(language_id, "PART_EDGES", 2000)
+    assert len(language_id.fit(docs).parts) > 2 and sorted(language_id.predictions(docs).collect()) == whole
+
+
+def test_scripts_of_many_letters():
+    rng = random.Random(8)
+    han = [chr(0x4E00 + i) for i in range(2000)]
+    kinds = {"h1": han[:1000], "h2": han[1000:], "ko": [chr(0xAC00 + i) for i in range(1500)]}
+    model = Model({k: ["".join(rng.choice(v) for _ in range(200)) for _ in range(60)] for k, v in kinds.items()})
+    symbols = model.symbols()
+    letters = {c for v in kinds.values() for c in v if symbols[ord(c)] != language_id.UNLEARNT}
+    assert len(letters) > 3000 and len({int(symbols[ord(c)]) for c in letters}) == len(letters)
+    for k, v in kinds.items():
+        assert set(model.predict(["".join(rng.choice(v) for _ in range(12)) for _ in range(50)])[0]) == {k}
+
+
 def test_labels_of_held_out_rows_are_never_used(spark):
     docs = spark.createDataFrame(corpus(), DOCS)
     from subrev.llm.common import held_out
