@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subrev.llm.common import fresh
+from subrev.llm.common import Scratch, fresh
 from subrev.llm.prefix import _join, bucket_starts
 
 SEED = 40
@@ -75,18 +75,25 @@ def shard(records: DataFrame, weight: Column, shards: int = SHARDS, seed: int =
     return placed.withColumn("shard", of).withColumn("slot", F.col(position) - first).withColumn("shard", F.col("shard").cast("int")).drop(position)
 
 
-def assignments(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every document."""
-    digests = docs.select("doc_id", size_bytes(F.col("text")).alias("size"), text_crc(F.col("text")).alias("text_crc32"))
-    return shard(digests, F.lit(64), shards).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
-
-
 def write_shards(sharded: DataFrame, path: str) -> None:
     """One folder per shard, its records in slot order."""
     (sharded.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
 
 
+def assignments(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every document, read from the shards written.
+
+    Whole documents are scattered, shuffled and written to the shared folder.
+    """
+    spark = docs.sparkSession
+    sharded = shard(docs, size_bytes(F.col("text")), shards)
+    path = Scratch(spark, "shards").path("rows")
+    write_shards(sharded, path)
+    return spark.read.schema(sharded.schema).parquet(path).select(
+        "doc_id", size_bytes(F.col("text")).alias("size"), text_crc(F.col("text")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Whole documents with size, text_crc32, law, shard and slot; columns of these names are replaced.
 

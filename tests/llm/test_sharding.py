@@ -17,6 +17,27 @@ def test_assignments(docs):
     assert {(r["law"], r["grown_shard"]) for r in rows} == {("rows", None)}
 
 
+def test_assignments_are_those_of_the_shards_written(spark, docs, monkeypatch):
+    paths, sizes = [], []
+    write, shuffle = sharding.write_shards, sharding.external_shuffle
+
+    def written(sharded, path):
+        paths.append(path)
+        write(sharded, path)
+
+    def shuffled(records, weight, *rest):
+        sizes.append(records.agg(F.sum(weight)).first()[0])
+        return shuffle(records, weight, *rest)
+
+    monkeypatch.setattr(sharding, "write_shards", written)
+    monkeypatch.setattr(sharding, "external_shuffle", shuffled)
+    got = rows_of(sharding.assignments(docs).select("doc_id", "size", "shard", "slot"))
+    files = spark.read.parquet(paths[0])
+    assert rows_of(files.select(*docs.columns)) == rows_of(docs)
+    assert rows_of(files.select("doc_id", sharding.size_bytes(F.col("text")), "shard", "slot")) == got
+    assert sizes == [sum(len((t or "").encode()) + 16 for _, t, *_ in documents())]
+
+
 def test_reruns_agree_and_seeds_differ(docs, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 8)
     a = rows_of(sharding.assignments(docs))
