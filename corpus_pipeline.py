@@ -17,9 +17,12 @@ from subrev.llm.common import Scratch, fresh, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no letters, or no language was learnt for them) go."""
+    """Documents without a letter go; they have no language, or would have none if any language was learnt."""
+    model = language_id.fit(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     lang, score = fresh("predicted", docs.columns), fresh("certainty", docs.columns)
-    known = language_id.identify(docs, language_id.fit(docs), lang, score)
+    known = language_id.identify(docs, model, lang, score)
     return known.where(F.col(lang) != language_id.UNDEFINED).select(*docs.columns)
 
 

@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from helpers import docs, documents, words
+from pyspark.sql import functions as F
 from test_decontaminate import folded
 from test_jaccard_join import expected
 
@@ -39,6 +40,12 @@ def test_texts_without_letters_go(stages):
     assert Counter(rows(out["language_id"])) == Counter(r for r in rows(out["documents"]) if any(c.isalpha() for c in r[1] or ""))
 
 
+def test_lettered_documents_stay_when_no_language_was_learnt(spark, docs):
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.identify_language(spark, unlabelled, "")
+    assert Counter(rows(got)) == Counter(r for r in rows(unlabelled) if any(c.isalpha() for c in r[1] or ""))
+
+
 def test_one_document_of_each_group_stays(stages):
     out, _ = stages
     before = rows(out["language_id"])
