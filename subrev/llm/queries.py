@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subrev.llm import (decontaminate, html_text, jaccard_join, language_id, mixing, quality_rules, sharding, token_counts,
-                        token_files, toxicity)
+from subrev.llm import (decontaminate, hard_negatives, html_text, jaccard_join, language_id, merkle, mixing, permutation_index,
+                        quality_rules, sharding, token_counts, token_files, toxicity)
 from subrev.llm.common import table
 
 
@@ -57,7 +58,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=moved)
+
+
+def op12_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_toxicity, op3_shard, op4_quality_rules, op5_html_text,
                             op6_language_id, op7_decontaminate, op8_token_counts, op9_token_files,
-                            op10_jaccard_join)}
+                            op10_jaccard_join, op11_hard_negatives, op12_permutation_search, op13_merkle_manifest)}

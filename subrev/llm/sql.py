@@ -65,4 +65,57 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
 FROM d LEFT JOIN n USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": _OP4.strip(), "op7_decontaminate": _OP7, "op10_jaccard_join": _OP10}
+_OP11 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+           AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.r, a.vec_id AS anchor_id, a.label AS anchor_label, b.r AS other, b.vec_id, b.label,
+             list_dot_product(a.e, b.e)::BIGINT AS score
+      FROM v AS a JOIN v AS b ON a.r != b.r WHERE a.vec_id % 50 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other) AS slot FROM s WHERE label = anchor_label QUALIFY slot <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.r, p.slot ORDER BY s.score DESC, s.vec_id, s.other)::INT AS rank
+      FROM p JOIN s ON s.r = p.r AND s.label != p.anchor_label AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: crc32 of the decimal id, bit by bit, lowest first.
+_CRC = """xor(4294967295, list_reduce([4294967295] || flatten([[(ascii(c) >> k) & 1 FOR k IN range(8)] FOR c IN string_split(doc_id::VARCHAR, '')]),
+    lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)))"""
+
+_OP13 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, lang, {_leaf('text')} AS leaf,
+                            CASE WHEN doc_id IS NOT NULL AND {_CRC} % 3 = 0 THEN {_leaf(_LOWERED)} END AS other FROM documents),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d),
+node(lang, level, i, h, n) AS (SELECT lang, 0, i, leaf, n FROM leaf UNION ALL
+    SELECT lang, level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM node WHERE n > 1 GROUP BY lang, level, i // 8, n),
+sub AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM node WHERE n = 1),
+top(level, i, h, n) AS (SELECT 0, i, h, n FROM sub UNION ALL
+    SELECT level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY level, i // 8, n),
+run AS (SELECT leaf.r, node.level AS k, node.i, node.h, leaf.i // (8 ** node.level)::BIGINT AS own FROM leaf JOIN node
+            ON node.lang IS NOT DISTINCT FROM leaf.lang AND node.n > 1 AND node.i // 8 = leaf.i // (8 ** (node.level + 1))::BIGINT
+        UNION ALL SELECT leaf.r, 1000 + top.level, top.i, top.h, sub.i // (8 ** top.level)::BIGINT FROM leaf JOIN sub ON sub.lang IS NOT DISTINCT FROM leaf.lang
+            JOIN top ON top.n > 1 AND top.i // 8 = sub.i // (8 ** (top.level + 1))::BIGINT),
+step AS (SELECT r, coalesce(string_agg(h, '' ORDER BY i) FILTER (i < own), '') AS before, coalesce(string_agg(h, '' ORDER BY i) FILTER (i > own), '') AS after,
+                row_number() OVER (PARTITION BY r ORDER BY k) AS k FROM run GROUP BY r, k),
+proof AS (SELECT r, sha256(string_agg(before || after, '' ORDER BY k)) AS p, count(*) AS steps FROM step GROUP BY r),
+fold(r, k, h) AS (SELECT r, 0, coalesce(other, leaf) FROM leaf UNION ALL
+    SELECT fold.r, fold.k + 1, sha256(before || h || after) FROM fold JOIN step ON step.r = fold.r AND step.k = fold.k + 1)
+SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, coalesce(p, sha256('')) AS proof_sha256, fold.h AS folded_root, fold.h = top.h AS verified
+FROM leaf JOIN sub ON sub.lang IS NOT DISTINCT FROM leaf.lang JOIN top ON top.n = 1 LEFT JOIN proof USING (r)
+JOIN fold ON fold.r = leaf.r AND fold.k = coalesce(steps, 0)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_quality_rules": _OP4.strip(), "op7_decontaminate": _OP7, "op10_jaccard_join": _OP10, "op11_hard_negatives": _OP11, "op13_merkle_manifest": _OP13}
