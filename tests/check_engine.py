@@ -47,7 +47,7 @@ def spark_rows(df):
     return [names[i] for i in order], Counter(tuple(_cell(r[i]) for i in order) for r in df.collect()), kinds
 
 
-SAME_KIND = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+SAME_KIND = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def compare(df, con, sql: str) -> str | None:
