@@ -228,7 +228,8 @@ def descend(rounds: list[DataFrame], tops: DataFrame) -> DataFrame:
 
 def manifest(rows: DataFrame, group: Column, order: Column, leaf: Column, payload: Column, scratch: Scratch) -> DataFrame:
     """Blocks with their nodes (``levels``), the ``payload`` of their leaves, the witness ``path`` from the block on, and ``top`` (subroot, root)."""
-    leaves = rows.select(group.alias("grp"), order.alias("_by"), leaf.alias("node"), payload.alias("payload"))
+    # Written first: the cut by ranges reads its input twice, and the texts are to be hashed once.
+    leaves = scratch.keep("hashed", rows.select(group.alias("grp"), order.alias("_by"), leaf.alias("node"), payload.alias("payload")))
     rounds, subroots = build(numbered(leaves, ["_by", "node"], scratch, "leaves").select("grp", "idx", "size", "node", "payload"), scratch, "blocks")
     groups = numbered(subroots.select(F.lit(0).alias("grp"), F.col("grp").alias("_by"), F.col("root").alias("node")), ["_by"], scratch, "subroots")
     over = groups.select("grp", "idx", "size", "node", F.struct(F.col("_by").alias("grp"), F.col("node").alias("subroot")).alias("payload"))
