@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subrev import specs
-from subrev.functions import cases, dates, numeric
+from subrev.functions import cases, dates, numeric, sketches
 from subrev.functions.quantiles import describe, describe_days, exact_quantiles
 from subrev.operators import ledger
 
@@ -40,8 +40,8 @@ def subs_churn_summary(subs_fe: DataFrame) -> DataFrame:
         _days_median("subscription_age_days").alias("median_age"))
 
 
-def subs_mrr_stats(subs_fe: DataFrame) -> DataFrame:
-    return describe(subs_fe, F.col("mrr_clean"), "mrr_clean")
+def subs_mrr_stats(subs_fe: DataFrame, approx: bool = False) -> DataFrame:
+    return describe(subs_fe, F.col("mrr_clean"), "mrr_clean", approx)
 
 
 def subs_top_decile_stats(subs_fe: DataFrame) -> DataFrame:
@@ -69,12 +69,12 @@ def subs_tenure_stats(subs_fe: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- accounts
-def acct_mrr_stats_global(accounts_fe: DataFrame) -> DataFrame:
-    return describe(accounts_fe, F.coalesce("total_mrr", F.lit(0.0)), "total_mrr")
+def acct_mrr_stats_global(accounts_fe: DataFrame, approx: bool = False) -> DataFrame:
+    return describe(accounts_fe, F.coalesce("total_mrr", F.lit(0.0)), "total_mrr", approx)
 
 
-def acct_mrr_stats_paying_only(accounts_fe: DataFrame) -> DataFrame:
-    return describe(accounts_fe.where(F.col("total_mrr") > 0), F.col("total_mrr"), "total_mrr")
+def acct_mrr_stats_paying_only(accounts_fe: DataFrame, approx: bool = False) -> DataFrame:
+    return describe(accounts_fe.where(F.col("total_mrr") > 0), F.col("total_mrr"), "total_mrr", approx)
 
 
 def acct_churn_comparison(accounts_fe: DataFrame) -> DataFrame:
@@ -89,11 +89,11 @@ def acct_segment_distribution(accounts_fe: DataFrame) -> DataFrame:
         F.avg("health_score").alias("avg_health"))
 
 
-def acct_paying_aov_stats(accounts_fe: DataFrame) -> DataFrame:
+def acct_paying_aov_stats(accounts_fe: DataFrame, approx: bool = False) -> DataFrame:
     """Describe of lifetime revenue per subscription, accounts that ever paid."""
     payers = accounts_fe.where(F.col("lifetime_gross_mrr") > 0)
     n = F.col("num_subscriptions_lifetime")
-    return describe(payers, F.col("lifetime_gross_mrr") / F.when(n == 0, 1).otherwise(n), "lifetime_aov")
+    return describe(payers, F.col("lifetime_gross_mrr") / F.when(n == 0, 1).otherwise(n), "lifetime_aov", approx)
 
 
 def ltv_proxy_by_segment(accounts_fe: DataFrame) -> DataFrame:
@@ -124,11 +124,17 @@ def feature_depth_vs_churn(accounts_fe: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- features
+def adoption_sketches(fm: DataFrame) -> DataFrame:
+    """Accounts per feature and month, as sketches to keep and merge."""
+    return fm.where(F.col("feature_name").isNotNull()).groupBy("feature_name", "usage_month").agg(
+        sketches.distinct_sketch(F.col("account_id")).alias("accounts"))
+
+
 def feature_adoption(fm: DataFrame, approx: bool = False) -> DataFrame:
-    """Accounts per feature. Pairs are reduced before they are counted; ``approx`` counts them by a sketch in one exchange."""
+    """Accounts per feature. Pairs are reduced before they are counted; ``approx`` merges the sketches of the months."""
     if approx:
-        return fm.where(F.col("feature_name").isNotNull()).groupBy("feature_name").agg(
-            F.approx_count_distinct("account_id").alias("accounts_used"))
+        merged = adoption_sketches(fm).groupBy("feature_name").agg(sketches.merged_distinct(F.col("accounts")).alias("accounts"))
+        return merged.select("feature_name", sketches.distinct_estimate(F.col("accounts")).alias("accounts_used"))
     return (fm.where(F.col("feature_name").isNotNull()).select("feature_name", "account_id").distinct()
             .groupBy("feature_name").agg(F.count("account_id").alias("accounts_used")))
 
@@ -138,8 +144,8 @@ def feature_usage_distribution(fm: DataFrame) -> DataFrame:
         numeric.sum_or_zero(F.col("usage_count")).alias("total_usage"))
 
 
-def feature_first_use_stats(fu: DataFrame) -> DataFrame:
-    return describe(fu, F.col("days_to_adopt"), "days_to_adopt")
+def feature_first_use_stats(fu: DataFrame, approx: bool = False) -> DataFrame:
+    return describe(fu, F.col("days_to_adopt"), "days_to_adopt", approx)
 
 
 def usage_monthly_trends(monthly: DataFrame) -> DataFrame:
@@ -150,11 +156,25 @@ def usage_monthly_trends(monthly: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- cohorts
 # From the cohort table, which has one row per subscription and month.
-def cohort_retention(cohorts: DataFrame) -> DataFrame:
+def cohort_sketches(cohorts: DataFrame) -> DataFrame:
+    """Active and churned subscriptions per cohort and month, as sketches to keep and merge."""
+    gone = F.when(F.col("is_churned_month"), F.col("subscription_id"))
+    return cohorts.groupBy("cohort_month", "months_since_signup").agg(
+        sketches.distinct_sketch(F.col("subscription_id")).alias("active"), sketches.distinct_sketch(gone).alias("churned"))
+
+
+def cohort_retention(cohorts: DataFrame, approx: bool = False) -> DataFrame:
+    """Subscriptions per cohort and month; ``approx`` also holds for rows that repeat a subscription in a month."""
+    if approx:
+        return cohort_sketches(cohorts).select("cohort_month", "months_since_signup", sketches.distinct_estimate(F.col("active")).alias("active_subs"))
     return cohorts.groupBy("cohort_month", "months_since_signup").agg(F.count("subscription_id").alias("active_subs"))
 
 
-def cohort_churn_lifecycle(cohorts: DataFrame) -> DataFrame:
+def cohort_churn_lifecycle(cohorts: DataFrame, approx: bool = False) -> DataFrame:
+    """Subscriptions that churn per month of their life; ``approx`` merges the sketches of the cohorts."""
+    if approx:
+        merged = cohort_sketches(cohorts).groupBy("months_since_signup").agg(sketches.merged_distinct(F.col("churned")).alias("churned"))
+        return merged.select("months_since_signup", sketches.distinct_estimate(F.col("churned")).alias("churned_subs")).where("churned_subs > 0")
     return cohorts.where("is_churned_month").groupBy("months_since_signup").agg(
         F.count("subscription_id").alias("churned_subs"))
 
@@ -233,9 +253,10 @@ def cohort_nrr_by_segment(subs_fe: DataFrame, accounts_fe: DataFrame, as_of: dat
     return _with_baseline(curve, "customer_segment")
 
 
-def support_segment_stats(accounts_fe: DataFrame, unique_keys: bool = True) -> DataFrame:
-    """Tickets per account and revenue per ticket, by segment."""
-    accounts = F.count("account_id") if unique_keys else F.countDistinct("account_id")
+def support_segment_stats(accounts_fe: DataFrame, unique_keys: bool = True, approx: bool = False) -> DataFrame:
+    """Tickets per account and revenue per ticket, by segment; ``approx`` estimates the different accounts by a sketch."""
+    accounts = (sketches.distinct_estimate(sketches.distinct_sketch(F.col("account_id"))) if approx
+                else F.count("account_id") if unique_keys else F.countDistinct("account_id"))
     stats = accounts_fe.groupBy("customer_segment").agg(
         F.sum("ticket_count").cast("double").alias("total_tickets"), accounts.alias("active_accounts"),
         numeric.sum_or_zero(F.col("total_mrr")).alias("total_revenue"))

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from subrev.functions import cases, dates, numeric, reasons, text
+from subrev.functions import sketches
 from subrev.functions.quantiles import describe, exact_quantiles
 from subrev.specs import ACCOUNTS, classify_name
 
@@ -126,3 +127,43 @@ def test_describe(spark):
     got = {r["index"]: r["v"] for r in describe(df, F.col("v"), "v").collect()}
     assert got["count"] == 4 and got["mean"] == 4.0 and got["min"] == 1.0 and got["max"] == 10.0
     assert np.isclose(got["std"], np.std([1, 2, 3, 10], ddof=1)) and got["75%"] == 4.75 and got["50%"] == 2.5
+
+
+def test_describe_approx_and_without_values(spark):
+    df = spark.range(20_000).select((F.col("id") % 9973).cast("double").alias("v"))
+    exact = {r["index"]: r["v"] for r in describe(df, F.col("v"), "v").collect()}
+    near = {r["index"]: r["v"] for r in describe(df, F.col("v"), "v", approx=True).collect()}
+    for name in ("count", "mean", "min", "max"):
+        assert np.isclose(exact[name], near[name])
+    for name in ("25%", "50%", "75%"):
+        assert abs(exact[name] - near[name]) <= 2 * sketches.RANK_ERROR * 9973
+    for approx in (False, True):
+        none = {r["index"]: r["v"] for r in describe(df.where("v < 0"), F.col("v"), "v", approx).collect()}
+        assert none["count"] == 0 and none["50%"] is None
+
+
+def test_quantiles_beyond_the_whole_sort(spark):
+    """Bands of a sketch, among them one inside a value that most rows share."""
+    df = spark.range(0, 5000, 1, 5).select(F.when(F.col("id") % 5 < 3, 7.0).otherwise(F.col("id") * 1.0).alias("v"))
+    values = [7.0 if i % 5 < 3 else float(i) for i in range(5000)]
+    probs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0)
+    row = exact_quantiles(df, {"x": F.col("v")}, probs, accuracy=20).first()
+    assert np.allclose([row[f"q{i}"] for i in range(len(probs))], np.quantile(values, probs))
+
+
+def test_quantile_plan_is_short(spark, tmp_path):
+    spark.range(1000).withColumn("v", F.rand(1)).write.parquet(str(tmp_path / "t"))
+    plan = describe(spark.read.parquet(str(tmp_path / "t")), F.col("v"), "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 7 and plan.count("FileScan parquet") <= 2
+
+
+def test_sketches_merge_upward(spark):
+    df = spark.range(0, 30_000, 1, 4).select((F.col("id") % 12).alias("month"), (F.col("id") % 7000).cast("string").alias("key"), F.col("id").alias("v"))
+    kept = df.groupBy("month").agg(sketches.distinct_sketch(F.col("key")).alias("d"), sketches.quantile_sketch(F.col("v")).alias("q"))
+    one = kept.agg(sketches.merged_distinct(F.col("d")).alias("d"), sketches.merged_quantiles(F.col("q")).alias("q"))
+    row = one.select(sketches.distinct_estimate(F.col("d")).alias("n"), *sketches.estimated_quantiles(one, "q", (0.1, 0.5, 0.9))).first()
+    assert abs(row.n - 7000) <= 0.03 * 7000
+    for got, p in zip((row.q0, row.q1, row.q2), (0.1, 0.5, 0.9)):
+        assert abs(got / 30_000 - p) <= 2 * sketches.RANK_ERROR
+    empty = df.where("v < 0").agg(sketches.distinct_sketch(F.col("key")).alias("d"))
+    assert empty.select(sketches.distinct_estimate(F.col("d"))).first()[0] == 0
