@@ -68,10 +68,10 @@ def read_clean(spark: SparkSession, path: str, schema: T.StructType | None = Non
     date columns of a given schema are parsed day-first or ISO, as the report
     stage expects.
     """
-    if not path.endswith(".csv"):
+    if not path.rstrip("/").endswith(".csv"):
         df = spark.read.parquet(path)
         return drop_repeated_columns(df)
-    header = spark.read.option("header", False).option("inferSchema", False).csv(path).limit(1)
+    header = spark.read.option("header", False).option("escape", '"').option("inferSchema", False).csv(path).limit(1)
     names = [str(x) for x in header.first()]
     raw = (spark.read.schema(T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]))
            .option("header", True).option("enforceSchema", True).option("escape", '"').csv(path))
@@ -116,10 +116,19 @@ def write_report(df: DataFrame, path: str) -> None:
     flat_text(df).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def clean_columns(df: DataFrame) -> DataFrame:
+    """What of an annotated table goes out: the ``*_norm`` helpers and the correction cells stay behind."""
+    return df.drop(*[c for c in df.columns if c.endswith("_norm") or c == CORRECTIONS])
+
+
 def write_clean(df: DataFrame, path: str) -> None:
-    """Clean-table sink: the ``*_norm`` helpers and the correction cells stay behind."""
-    drop = [c for c in df.columns if c.endswith("_norm") or c == CORRECTIONS]
-    write_table(df.drop(*drop), path)
+    """Clean-table sink."""
+    write_table(clean_columns(df), path)
+
+
+def write_clean_csv(df: DataFrame, path: str) -> None:
+    """Clean tables for readers outside: CSV parts with a header, lists as JSON text."""
+    flat_text(clean_columns(df)).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_if_any(df: DataFrame, path: str) -> bool:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subrev import specs
-from subrev.plans import jobs
+from subrev.plans import jobs, runs
 from subrev.plans.stages import REPORTS, FeatureTables
 from subrev.sources import adapters, files
 
@@ -50,29 +50,88 @@ def test_sinks(spark, tmp_path):
 @pytest.fixture(scope="module")
 def run(spark, sf_dir, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("run"))
-    jobs.run_all(spark, adapters.raw_tables(spark, sf_dir), out, adapters.AS_OF, "run-1", "2024-01-01T00:00:00Z")
-    return out
+    return jobs.run_all(spark, adapters.raw_tables(spark, sf_dir), out, adapters.AS_OF, "run-1", "2024-01-01T00:00:00Z")
 
 
-def test_jobs_write_every_artifact(run):
-    stage = Path(run)
-    names = {p.name for p in (stage / "reports").iterdir()}
-    assert names == set(REPORTS) and len(REPORTS) == 24
-    assert {p.name for p in (stage / "clean_stage" / "clean").iterdir()} == set(specs.TABLES)
-    assert {p.name for p in (stage / "clean_stage" / "logs").iterdir()} == {
+def test_jobs_write_every_artifact(spark, run):
+    folders = {stage: Path(runs.folder(spark, r.root)) for stage, r in run.items()}
+    assert {stage: str(f) for stage, f in folders.items()} == {stage: r.folder for stage, r in run.items()}
+    assert {p.name for p in folders["reports"].iterdir()} == set(REPORTS) and len(REPORTS) == 24
+    assert {p.name for p in (folders["clean"] / "clean").iterdir()} == set(specs.TABLES)
+    assert {p.name for p in (folders["clean"] / "logs").iterdir()} == {
         "corrections_log", "validation_summary_long", "dirty_reason_lookup"}
-    assert set(FeatureTables.NAMES) <= {p.name for p in (stage / "features").iterdir()}
+    assert set(FeatureTables.NAMES) <= {p.name for p in folders["features"].iterdir()}
     assert {"validation_checks", "verdict", "schema", "deep_validation"} <= {
-        p.name for p in (stage / "features" / "_diagnostics").iterdir()}
+        p.name for p in (folders["features"] / "_diagnostics").iterdir()}
+
+
+def test_run_summary_counts_what_was_written(spark, run):
+    clean = {r["artifact"]: r for r in runs.summary(spark, run["clean"].root).collect()}
+    assert {r["run_id"] for r in clean.values()} == {"run-1"} and {r["at"] for r in clean.values()} == {"2024-01-01T00:00:00Z"}
+    for n in specs.TABLES:
+        table = spark.read.parquet(f"{run['clean'].folder}/clean/{n}")
+        assert clean[f"clean/{n}"]["rows_in"] == spark.read.parquet(f"{run['clean'].folder}/raw/{n}").count()
+        assert clean[f"clean/{n}"]["rows_out"] == table.count()
+        assert clean[f"clean/{n}"]["rows_flagged"] == table.where("dirty_row_flag").count()
+    features = {r["artifact"]: r for r in runs.summary(spark, run["features"].root).collect()}
+    assert features["cohorts"]["rows_in"] == clean["clean/subscriptions"]["rows_out"] and features["cohorts"]["rows_flagged"] is None
+
+
+def test_counts_cost_no_job(spark, tmp_path):
+    spark.range(0, 1000, 1, 4).write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    stage = runs.StageRun(spark, str(tmp_path / "s"), "r", "t")
+    spark.sparkContext.setJobGroup("counted", "")
+    stage.write("x", df)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) == 1
+    assert stage.counts["x"] == (None, 1000, None)
+
+
+def test_a_killed_stage_leaves_the_former_one(spark, sf_dir, tmp_path, monkeypatch):
+    root, raw = str(tmp_path / "clean"), adapters.raw_tables(spark, sf_dir)
+    assert runs.folder(spark, root) == root and runs.summary(spark, root).count() == 0
+    stage = runs.StageRun(spark, root, "first", "t1")
+    for n in ("accounts", "churn_events"):
+        stage.write(f"clean/{n}", raw[n])
+    stage.commit()
+    before = {r["artifact"]: r["rows_out"] for r in runs.summary(spark, root).collect()}
+
+    def broken(*_):
+        raise RuntimeError("executor lost for good")
+
+    monkeypatch.setattr(jobs.audit, "corrections_log", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.run_clean(spark, raw, root, adapters.AS_OF, "second", "t2")
+    assert runs.folder(spark, root) == stage.folder and len(list((tmp_path / "clean" / "runs").iterdir())) == 2
+    assert {r["artifact"]: r["rows_out"] for r in runs.summary(spark, root).collect()} == before
+    assert spark.read.parquet(f"{runs.folder(spark, root)}/clean/accounts").count() == before["clean/accounts"]
+    again = runs.StageRun(spark, root, "third", "t3")
+    again.write("clean/accounts", raw["accounts"])
+    assert [r["run_id"] for r in again.commit().collect()] == ["third"]
+    assert runs.newest(spark, root)["seq"] == 2
+
+
+def test_features_read_plain_folders_too(spark, run, tmp_path):
+    got = jobs.run_features(spark, f"{run['clean'].folder}/clean", str(tmp_path / "f"), adapters.AS_OF, "r", "t")
+    assert got.counts["subscriptions"][1:] == run["features"].counts["subscriptions"][1:]
+    assert got.counts["subscriptions"][0] is None
+
+
+def test_clean_csv_for_readers_outside(spark, tmp_path):
+    df = spark.createDataFrame([("a", ["x", 'y"z'], "n"), ("b", [], None)], "k string, r array<string>, k_norm string")
+    files.write_clean_csv(df, str(tmp_path / "c.csv"))
+    back = files.read_clean(spark, str(tmp_path / "c.csv"), T.StructType.fromDDL("k string, r array<string>"))
+    assert sorted((r.k, r.r) for r in back.collect()) == [("a", ["x", 'y"z']), ("b", [])]
 
 
 def test_invariants_of_a_run(spark, run):
     """Totals that must agree between the tables and the reports of one run."""
     def table(n):
-        return spark.read.parquet(f"{run}/features/{n}")
+        return spark.read.parquet(f"{run['features'].folder}/{n}")
 
     def report(n):
-        return spark.read.option("header", True).csv(f"{run}/reports/{n}")
+        return spark.read.option("header", True).csv(f"{run['reports'].folder}/{n}")
 
     def total(df, c):
         return float(df.agg(F.sum(F.col(c).cast("double"))).first()[0])
