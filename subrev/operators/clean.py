@@ -94,6 +94,28 @@ def repair_start_end(df: DataFrame, start: str = "start_date", end: str = "end_d
     return log.apply(df).withColumns(swapped)
 
 
+def _impute_plan(subs: DataFrame, prices: DataFrame, price_order: Sequence[str]) -> DataFrame:
+    """``plan_tier_imputed``: native, else by price, else by seats when only one plan is sold with them.
+
+    Rows with a plan, and trials, pass by the lookups: only those that ask are joined, and
+    only the prices they ask for are aggregated.
+    """
+    no_plan, trial = text.is_blank(F.col("plan_tier")), text.is_true(F.col("is_trial"))
+    ask = no_plan & ~trial
+    mrr, arr = F.abs(text.signed_number(F.col("mrr_amount"))), F.abs(text.signed_number(F.col("arr_amount")))
+    price = F.when((mrr > 0) & (arr > 0), lookup.text_key(mrr, arr))
+    by_price = impute.plan_by_price(subs, price_order, impute.asked(subs, price, ask))
+    pk = F.coalesce(F.col("subscription_id"), F.lit(""))
+    seats = F.when(~text.is_blank(F.col("seats")), F.trim("seats"))
+    asking = subs.where(ask).withColumn("_price_key", lookup.spread_key(F.lit(True), price, pk))
+    asking = asking.join(by_price, F.col("_price_key") == F.col("price_key"), "left")
+    asking = asking.withColumn("_seat_key", lookup.spread_key(F.col("price_plan").isNull(), seats, pk))
+    asking = asking.join(impute.plan_by_seats(prices), F.col("_seat_key") == F.col("seat_key"), "left")
+    found = asking.select(*subs.columns, F.coalesce("price_plan", "seat_plan", F.lit("Unknown")).alias("plan_tier_imputed"))
+    rest = subs.where(~ask).select("*", F.when(~no_plan, F.col("plan_tier")).otherwise("Trial").alias("plan_tier_imputed"))
+    return rest.unionByName(found)
+
+
 def clean_subscriptions(raw: DataFrame, accounts: DataFrame, as_of: date | str,
                         tiebreak: Sequence[str] | None = None,
                         price_order: Sequence[str] = ("subscription_id",),
@@ -105,7 +127,7 @@ def clean_subscriptions(raw: DataFrame, accounts: DataFrame, as_of: date | str,
     churn_days = _distinct_keys(accounts.withColumn("_churn_day", dates.parse_date(F.col("account_churn_date_clean"))),
                                 "account_id_norm", "_churn_day").withColumnRenamed("account_id_norm", "_acct")
     prices = keep("prices", impute.price_by_seats_plan(df, price_order))
-    by_price = impute.plan_by_price(df, price_order)
+    df = _impute_plan(df, prices, price_order)
 
     # End date: from the account's churn date, then the 30-day rule of free trials.
     df = df.withColumns({"subscription_id_norm": text.normalize_id(F.col("subscription_id")),
@@ -125,20 +147,10 @@ def clean_subscriptions(raw: DataFrame, accounts: DataFrame, as_of: date | str,
                        F.when(F.col("_derived"), dates.format_date(F.col("_churn_day")))
                        .when(F.col("_capped"), dates.format_date(cutoff)).otherwise(F.col("end_date")))
 
-    # Plan tier: native, else by price, else by seats when only one plan is sold with them.
     no_plan = text.is_blank(F.col("plan_tier"))
     ask = no_plan & ~F.col("_trial")
     pk = F.coalesce(F.col("subscription_id"), F.lit(""))
     seats = F.when(~text.is_blank(F.col("seats")), F.trim("seats"))
-    priced = (F.col("_mrr") > 0) & (F.col("_arr") > 0)
-    df = df.withColumn("_price_key", lookup.spread_key(
-        F.coalesce(ask & priced, F.lit(False)), lookup.text_key(F.col("_mrr"), F.col("_arr")), pk))
-    df = df.join(by_price, F.col("_price_key") == F.col("price_key"), "left")
-    df = df.withColumn("_seat_key", lookup.spread_key(ask & F.col("price_plan").isNull(), seats, pk))
-    df = df.join(impute.plan_by_seats(prices), F.col("_seat_key") == F.col("seat_key"), "left")
-    df = df.withColumn("plan_tier_imputed",
-                       F.when(~no_plan, F.col("plan_tier")).when(F.col("_trial"), "Trial")
-                       .otherwise(F.coalesce("price_plan", "seat_plan", F.lit("Unknown"))))
 
     # Prices: trials are free; (seats, plan) lookup; else the other price times or over 12.
     df = df.withColumn("_plan_key", lookup.spread_key(
@@ -167,8 +179,7 @@ def clean_subscriptions(raw: DataFrame, accounts: DataFrame, as_of: date | str,
     log.correct(ask, "plan_tier_imputed_from_lookup", "plan_tier", F.col("plan_tier"), F.col("plan_tier_imputed"))
     log.flag(F.col("_sold"), "mrr_arr_imputed_from_lookup")
     df = log.apply(df).drop(
-        "_acct", "_churn_day", "_start", "_trial", "_mrr", "_arr", "_derived", "_capped", "_price_key", "price_key",
-        "price_plan", "_seat_key", "seat_key", "seat_plan", "_plan_key", "_sold_key", "_sold_mrr", "_sold_arr", "_sold")
+        "_acct", "_churn_day", "_start", "_trial", "_mrr", "_arr", "_derived", "_capped", "_plan_key", "_sold_key", "_sold_mrr", "_sold_arr", "_sold")
     return repair_start_end(df)
 
 

@@ -66,11 +66,15 @@ def identical_groups(df: DataFrame, pk: str, columns: Sequence[str], by: str = "
     ``by="key"``: same key and one signature over ``columns`` (never after a
     dedupe on that key).  ``by="signature"``: same cleaned cells whatever the key.
     """
-    sig = F.xxhash64(signature(columns)) if by == "key" else signature(columns)
     if by == "key":
+        sig = F.xxhash64(signature(columns))
         groups = df.groupBy(pk).agg(F.count(F.lit(1)).alias("copies"), F.min(sig).alias("lo"), F.max(sig).alias("hi"))
         return groups.where((F.col("copies") > 1) & (F.col("lo") == F.col("hi"))).select(pk, "copies")
-    return (df.groupBy(sig.alias("signature")).agg(F.count(F.lit(1)).alias("copies"))
+    # Rows meet by a digest of fixed width; the cells behind equal digests are compared, and only theirs are moved.
+    rows = df.select(signature(columns).alias("signature")).withColumns({
+        "_a": F.xxhash64("signature"), "_b": F.xxhash64(F.lit(1), F.col("signature"))})
+    met = rows.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_a", "_b")
+    return (rows.join(met, ["_a", "_b"], "left_semi").groupBy("signature").agg(F.count(F.lit(1)).alias("copies"))
             .where(F.col("copies") > 1))
 
 
@@ -86,8 +90,7 @@ def flag_identical(df: DataFrame, pk: str, columns: Sequence[str], by: str = "ke
     groups = identical_groups(df, pk, columns, by).select(
         F.col(pk if by == "key" else "signature").alias("_group"), F.lit(True).alias("_same"))
     mine = F.col(pk) if by == "key" else signature(columns)
-    out = (df.withColumn("_mine", mine)
-           .join(groups, F.col("_mine").eqNullSafe(F.col("_group")), "left"))
+    out = df.withColumn("_mine", mine).join(groups, F.col("_mine").eqNullSafe(F.col("_group")), "left")
     log = RuleLog()
     log.correct(F.coalesce(F.col("_same"), F.lit(False)), code, "")
     return log.apply(out).drop("_mine", "_group", "_same")

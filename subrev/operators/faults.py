@@ -104,60 +104,95 @@ def infer_prefix_and_width(example: str) -> tuple[str, int]:
     return (head + dash, len(tail)) if dash else ("", len(example))
 
 
-def number_rows(df: DataFrame, order: Column, bucket: Column, name: str = "row_index") -> DataFrame:
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def number_rows(df: DataFrame, order: Column, bucket: Column, name: str = "row_index", keep: Keep | None = None) -> DataFrame:
     """Consecutive numbers 1.. over the whole frame.
 
     Rows are numbered inside buckets and shifted by the running total of the
     bucket sizes, so only the list of buckets is ever sorted in one task.
-    ``bucket`` has to rise with ``order`` for the numbers to follow it.
+    ``bucket`` has to rise with ``order`` for the numbers to follow it.  ``keep`` may write
+    the rows with their numbers inside the buckets, which are used twice.
     """
-    df = df.withColumn("_bucket", bucket)
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(order))
-    sizes = df.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    rows = df.withColumn("_bucket", bucket).withColumn("_inside", inside)
+    if keep is not None:
+        rows = keep(f"numbered_{name}", rows)
+    sizes = rows.groupBy("_bucket").agg(F.max("_inside").alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     shifts = sizes.select(F.col("_bucket").alias("_b"), F.coalesce(before, F.lit(0)).alias("_shift"))
-    return (df.withColumn("_inside", inside).join(shifts, F.col("_bucket") == F.col("_b"))
+    return (rows.join(shifts, F.col("_bucket") == F.col("_b"))
             .withColumn(name, F.col("_inside") + F.col("_shift")).drop("_bucket", "_b", "_inside", "_shift"))
 
 
-CANDIDATES_PER_BUCKET = 1 << 20
+#: Numbers that one bucket of the gap search spans.
+SPAN = 1 << 16
+
+
+def free_numbers(rows: DataFrame, index: str, taken: DataFrame, number: str, out: str, keep: Keep | None = None) -> DataFrame:
+    """``rows`` with the ``index``-th positive number that is not in ``taken``, as ``out``.
+
+    The i-th taken number t has t - i free ones before it, so the k-th free number is k plus the
+    count of taken ones with fewer than k free ones before them.  Both sides meet in buckets of the
+    index; what lies before a bucket comes from a running maximum over the buckets.
+    """
+    ranked = number_rows(taken.select(number).distinct(), F.col(number), F.floor(F.col(number) / SPAN), "_rank", keep)
+    # Neighbours without a gap share one mark: from this index on, so many numbers are skipped.
+    last = rows.agg(F.max(index)).scalar()
+    marks = ranked.groupBy((F.col(number) - F.col("_rank") + 1).alias("_at")).agg(F.max("_rank").cast("bigint").alias("_skip"))
+    marks = marks.where(F.col("_at") <= last)
+    points = rows.select(F.col(index).cast("bigint").alias("_at"), F.lit(None).cast("bigint").alias("_skip"), F.struct(*rows.columns).alias("_row"))
+    both = points.unionByName(marks.withColumn("_row", F.lit(None).cast(points.schema["_row"].dataType)))
+    both = both.withColumn("_span", F.floor(F.col("_at") / SPAN))
+    run = Window.partitionBy("_span").orderBy("_at", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    here = both.withColumn("_here", F.max("_skip").over(run)).where(F.col("_row").isNotNull())
+    per = marks.groupBy(F.floor(F.col("_at") / SPAN).alias("_of")).agg(F.max("_skip").alias("_most"))
+    by_span = Window.orderBy("_of")
+    steps = per.select("_of", F.max("_most").over(by_span.rowsBetween(Window.unboundedPreceding, 0)).alias("_most"), F.lead("_of").over(by_span).alias("_next"))
+    # What a bucket of marks skips holds for the buckets after it, up to the next one that has marks.
+    end = F.floor(last / SPAN)
+    spread = steps.where(F.col("_of") < end).select("_most", F.explode(F.sequence(F.col("_of") + 1, F.coalesce("_next", end))).alias("_after"))
+    found = here.join(spread, F.col("_span") == F.col("_after"), "left")
+    skipped = F.greatest(F.coalesce("_here", F.lit(0)), F.coalesce("_most", F.lit(0)))
+    return found.select("_row.*", (F.col("_at") + skipped).alias(out))
 
 
 def new_ids(rows: DataFrame, existing: DataFrame, pk: str, example: str, order: Column | None = None,
-            bucket: Column | None = None, buckets: int = 4096) -> DataFrame:
+            bucket: Column | None = None, buckets: int = 4096, keep: Keep | None = None) -> DataFrame:
     """Give every row a fresh key: prefix and zero-padded hex counter, taken keys skipped.
 
-    A counter that outgrows the width is written in full, so no key is given twice.  Runs one counting job to size the candidate range; the keys themselves stay
-    on the executors.
+    A counter that outgrows the width is written in full, so no key is given twice.  ``rows`` and
+    ``existing`` are read once each when ``keep`` writes what is numbered; the keys stay on the executors.
     """
     prefix, width = infer_prefix_and_width(example)
-    spark = rows.sparkSession
     key = F.col(pk)
+
+    def made(counter: Column) -> Column:
+        digits = F.lower(F.hex(counter))
+        return F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
+
     # The default bucket hashes the whole row, so that one very frequent key is spread too.
     row_hash = F.xxhash64(*rows.columns)
     numbered = number_rows(rows, order if order is not None else F.struct(row_hash, key),
-                           bucket if bucket is not None else F.pmod(row_hash, F.lit(buckets)))
-    taken = existing.select(key.alias("_taken")).where(F.col("_taken").startswith(prefix)).distinct()
-    total = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    counter = F.col("id")
-    digits = F.lower(F.hex(counter))
-    made = F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
-    used = taken.count()
-    free = (spark.range(1, total + used + 1).withColumn("_new", made)
-            .join(taken, F.col("_new") == F.col("_taken"), "left_anti"))
-    free = number_rows(free, counter, F.floor(counter / CANDIDATES_PER_BUCKET), "_index").select("_index", "_new")
-    out = numbered.join(free, F.col("row_index") == F.col("_index"))
-    return out.withColumn(pk, F.col("_new")).select(*rows.columns)
+                           bucket if bucket is not None else F.pmod(row_hash, F.lit(buckets)), "_index", keep)
+    # Only keys that a counter writes in just this form can be met again.
+    digits = F.substring(key, len(prefix) + 1, 64)
+    counter = F.when(digits.rlike("^[0-9a-f]{1,15}$"), F.conv(digits, 16, 10).try_cast("bigint"))
+    taken = existing.where(key.startswith(prefix)).select(counter.alias("_number"), key.alias("_key"))
+    taken = taken.where((F.col("_number") > 0) & (made(F.col("_number")) == F.col("_key"))).select("_number")
+    out = free_numbers(numbered, "_index", taken, "_number", "_new", keep)
+    return out.withColumn(pk, made(F.col("_new"))).select(*rows.columns)
 
 
 def messy_copy(df: DataFrame, spec: TableSpec, example: str, die: Die | None = None, order: Column | None = None,
-               bucket: Column | None = None) -> DataFrame:
+               bucket: Column | None = None, keep: Keep | None = None) -> DataFrame:
     """Sample, damage and label; 30 % of the copies keep their key, the rest get new ones."""
     die = die or hash_die(spec.pk)
     dirty = inject(sample_rows(df, die), spec.name, die).withColumn(
         "_keep", die("keep") < int(round(FRACTION_KEEP_KEY * SIDES)))
     kept = dirty.where("_keep").drop("_keep")
-    fresh = new_ids(dirty.where(~F.col("_keep")).drop("_keep"), df, spec.pk, example, order, bucket)
+    fresh = new_ids(dirty.where(~F.col("_keep")).drop("_keep"), df, spec.pk, example, order, bucket, keep=keep)
     return kept.unionByName(fresh)
 
 

@@ -29,10 +29,19 @@ def load_inputs(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: load_input(name, clean) for name in clean}
 
 
+ID_COLUMNS = ("account_id", "subscription_id", "usage_id", "ticket_id", "churn_event_id")
+
+
+def text_ids(df: DataFrame) -> DataFrame:
+    """Ids as text, whatever type the table was stored with, so that joins compare like with like; "None" is no id."""
+    ids = {c: F.col(c).cast("string") for c in ID_COLUMNS if c in df.columns}
+    return df.withColumns({c: F.when(v != "None", v) for c, v in ids.items()})
+
+
 def load_input(name: str, clean: Mapping[str, DataFrame]) -> DataFrame:
     if name == "subscriptions":
-        return _load_subscriptions(clean["subscriptions"], load_input("accounts", clean))
-    return _LOADERS[name](clean[name])
+        return _load_subscriptions(text_ids(clean["subscriptions"]), load_input("accounts", clean))
+    return _LOADERS[name](text_ids(clean[name]))
 
 
 def _load_accounts(acc: DataFrame) -> DataFrame:
@@ -85,6 +94,7 @@ _LOADERS = {"accounts": _load_accounts, "feature_usage": _load_usage, "support_t
 
 
 # --------------------------------------------------------------- subscriptions
+# The columns of the table, in their order.
 SUBSCRIPTION_COLUMNS = (
     "subscription_id", "account_id", "start_date", "end_date", "start_month", "end_month",
     "subscription_age_days", "subscription_age_months", "mrr_clean", "arr_clean", "lifetime_mrr", "churned_mrr",
@@ -189,11 +199,28 @@ def feature_month(usage: DataFrame) -> DataFrame:
     return dense_rank_by_group(fm, ("account_id", "usage_month"), "usage_count", "account_feature_rank")
 
 
-def dense_rank_by_group(df: DataFrame, group: tuple[str, ...], value: str, out: str) -> DataFrame:
-    """Dense rank of ``value`` (descending) in a group, computed on the distinct values only."""
-    levels = df.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col(value).alias("_v")).distinct()
-    order = Window.partitionBy(*[f"_g_{g}" for g in group]).orderBy(F.col("_v").desc())
-    ranks = levels.withColumn(out, F.dense_rank().over(order).cast("bigint"))
+#: Values that one bucket of a dense rank spans.
+RANK_SPAN = 1 << 16
+
+
+def dense_rank_by_group(df: DataFrame, group: tuple[str, ...], value: str, out: str, span: int = RANK_SPAN) -> DataFrame:
+    """Dense rank of a whole number ``value`` (descending, null last) in a group, computed on the distinct values only.
+
+    Two levels: the rank inside a bucket of values, and the count of different values in
+    the greater buckets of the group, so that a group of very many values is not sorted in one task.
+    """
+    keys = [f"_g_{g}" for g in group]
+    levels = df.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(value).alias("_v")).distinct()
+    levels = levels.withColumn("_span", F.floor(F.col("_v") / span))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_span").orderBy(F.col("_v").desc()))
+    sizes = levels.groupBy(*keys, "_span").agg(F.count(F.lit(1)).alias("_n"))
+    greater = Window.partitionBy(*keys).orderBy(F.col("_span").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    above = sizes.select(*[F.col(k).alias(f"_a{k}") for k in keys], F.col("_span").alias("_of"), F.coalesce(F.sum("_n").over(greater), F.lit(0)).alias("_above"))
+    same = F.col("_span").eqNullSafe(F.col("_of"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_a{k}"))
+    ranks = levels.withColumn("_inside", inside).join(above, same)
+    ranks = ranks.select(*keys, "_v", (F.col("_inside") + F.col("_above")).alias(out))
     on = F.col(value) == F.col("_v")
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
@@ -275,6 +302,7 @@ def support_by_account(events: DataFrame, unique_keys: bool = False) -> DataFram
 
 
 # -------------------------------------------------------------------- accounts
+# The columns of the table, in their order.
 ACCOUNT_COLUMNS = (
     "account_id", "account_name", "industry_clean", "country_clean", "signup_date", "churn_date", "total_mrr",
     "total_arr", "avg_mrr", "max_mrr", "lifetime_gross_mrr", "total_churned_mrr", "num_subscriptions_lifetime",

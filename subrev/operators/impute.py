@@ -15,13 +15,24 @@ def _order(columns: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in columns])
 
 
-def first_values(df: DataFrame, key: Column, columns: Sequence[str], tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """Per key, the first non-blank value of every column in tiebreak order."""
+def asked(df: DataFrame, key: Column, needed: Column) -> DataFrame:
+    """The different keys of the rows that need a lookup."""
+    return df.where(needed).select(key.alias("_ask")).where(F.col("_ask").isNotNull()).distinct()
+
+
+def only_asked(df: DataFrame, key: str, asks: DataFrame | None) -> DataFrame:
+    """Rows whose key is asked for: what nobody asks for is neither shuffled nor aggregated."""
+    return df if asks is None else df.join(asks, F.col(key) == F.col("_ask"), "left_semi")
+
+
+def first_values(df: DataFrame, key: Column, columns: Sequence[str], tiebreak: Sequence[str] | None = None,
+                 asks: DataFrame | None = None) -> DataFrame:
+    """Per key (of those asked for), the first non-blank value of every column in tiebreak order."""
     order = _order(tiebreak or df.columns)
     some = None
     for c in columns:
         some = ~is_blank(F.col(c)) if some is None else some | ~is_blank(F.col(c))
-    return (df.withColumn("_key", key).where(F.col("_key").isNotNull() & some)
+    return (only_asked(df.withColumn("_key", key).where(F.col("_key").isNotNull() & some), "_key", asks)
             .groupBy("_key").agg(*[F.min_by(F.when(~is_blank(F.col(c)), F.col(c)),
                                             F.when(~is_blank(F.col(c)), order)).alias(c) for c in columns]))
 
@@ -54,8 +65,8 @@ def impute_accounts(df: DataFrame, raw: DataFrame, columns: Sequence[str], strat
     pk = F.coalesce(F.col("account_id"), F.lit(""))
     id_key, name_key = normalize_id(F.col("account_id")), F.lower(F.col("account_name"))
     lookups = ([("id", id_key, mode_values(df, id_key, columns))] if strategy == "mode" else
-               [("id", id_key, first_values(raw, id_key, columns, tiebreak)),
-                ("name", name_key, first_values(raw, name_key, columns, tiebreak))])
+               [(label, key, first_values(raw, key, columns, tiebreak, asked(df, key, blank)))
+                for label, key in (("id", id_key), ("name", name_key))])
     out = df
     for label, key, found in lookups:
         found = found.select(F.col("_key").alias(f"_{label}_key"), *[F.col(c).alias(f"_{label}_{c}") for c in columns])
@@ -75,11 +86,10 @@ def priced_rows(subs: DataFrame) -> DataFrame:
     ).where((F.col("_mrr") > 0) & (F.col("_arr") > 0))
 
 
-def plan_by_price(subs: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
-    """(mrr, arr) to plan; the last row in tiebreak order wins."""
-    return (priced_rows(subs).where(F.col("_plan").isNotNull())
-            .groupBy("_mrr", "_arr").agg(F.max_by("_plan", _order(tiebreak)).alias("price_plan"))
-            .select(text_key(F.col("_mrr"), F.col("_arr")).alias("price_key"), "price_plan"))
+def plan_by_price(subs: DataFrame, tiebreak: Sequence[str], asks: DataFrame | None = None) -> DataFrame:
+    """(mrr, arr) to plan, of the prices asked for; the last row in tiebreak order wins."""
+    rows = priced_rows(subs).where(F.col("_plan").isNotNull()).withColumn("price_key", text_key(F.col("_mrr"), F.col("_arr")))
+    return only_asked(rows, "price_key", asks).groupBy("price_key").agg(F.max_by("_plan", _order(tiebreak)).alias("price_plan"))
 
 
 def price_by_seats_plan(subs: DataFrame, tiebreak: Sequence[str]) -> DataFrame:

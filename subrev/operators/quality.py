@@ -1,9 +1,8 @@
 """Data-quality metrics.
 
-Cell-level counts of one table come out of one aggregate.  Everything that needs
-distinct values (uniqueness of a column, samples, minima, means) is derived from
-one frame of value counts, ``(column, value, n)``, whose groups combine
-map-side; no column is ever collected into one task.
+Counts, bounds and shares of all columns of a table come out of one aggregate over a generated list of
+expressions; distinct values are counted by fixed-width digests, whose groups
+combine map-side.  Only samples of values move cell texts, and no column is ever collected into one task.
 """
 
 from __future__ import annotations
@@ -178,13 +177,15 @@ def _summary_parts(spec: TableSpec, raw: DataFrame, annotated: Mapping[str, Data
         (n * len(native)).alias("raw_cells"))
     clean = consistency_flags(annotated, spec.name)
     eff = effective_columns(annotated[spec.name])
-    after = clean.agg(
+    # Added up per key first, so that the keys are counted by the same scan.
+    per_key = clean.groupBy(spec.pk).agg(
         n.alias("rows_after"), _count(_required_missing(spec, clean)).alias("incomplete_rows"),
         _cells([_invalid(spec.kind(b), F.col(c)) for b, c in eff.items()]).alias("invalid_cells"),
-        (n * len(eff)).alias("clean_cells"), _count(F.col("_bad")).alias("inconsistent_rows"),
-        _count(_issues_clean(spec, annotated[spec.name])).alias("issues_after"))
-    keys = annotated[spec.name].groupBy(spec.pk).agg(F.lit(1).alias("_one")).agg(F.count("_one").alias("keys"))
-    return [part.withColumn("table_name", F.lit(spec.name)) for part in (before, after, keys)]
+        _count(F.col("_bad")).alias("inconsistent_rows"), _count(_issues_clean(spec, annotated[spec.name])).alias("issues_after"))
+    after = per_key.agg(F.count(F.lit(1)).alias("keys"), *[
+        F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_after", "incomplete_rows", "invalid_cells", "inconsistent_rows", "issues_after")])
+    after = after.withColumn("clean_cells", F.col("rows_after") * len(eff))
+    return [part.withColumn("table_name", F.lit(spec.name)) for part in (before, after)]
 
 
 def _by_table(parts: Sequence[DataFrame]) -> DataFrame:
@@ -229,40 +230,47 @@ def final_score(completeness: Column, uniqueness: Column, validity: Column, cons
                         + validity * w["validity"] + consistency * w["consistency"])
 
 
-# ---------------------------------------------------------------- value counts
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, value, n) of several columns: one scan, one exchange."""
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
-    return df.select(F.inline(F.array(*cells))).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+# ------------------------------------------------------------- column profiles
+def cell_counts(df: DataFrame, columns: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+    """One row per column: its aggregates, each column's the same names; all columns in one scan and one aggregate."""
+    names = list(next(iter(columns.values())))
+    wide = df.agg(*[agg.alias(f"_{i}_{name}") for i, aggs in enumerate(columns.values()) for name, agg in aggs.items()])
+    cells = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"_{i}_{name}").alias(name) for name in names])
+             for i, c in enumerate(columns)]
+    return wide.select(F.inline(F.array(*cells)))
 
 
-def _kind_column(kinds: Mapping[str, str]) -> Column:
-    """Kind of a column name, as a case over the plan-time registry."""
-    out = None
-    for c, kind in kinds.items():
-        hit = F.col("column_name") == c
-        out = F.when(hit, kind) if out is None else out.when(hit, kind)
-    return out.otherwise("text")
+def distinct_counts(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """(_c, distinct): different non-null values of every column.
+
+    The exchange carries a column number and a 128-bit digest of the cell, whatever its length.
+    """
+    cells = [F.struct(F.lit(i).alias("i"), F.when(v.isNotNull(), F.struct(F.xxhash64(v).alias("a"), F.xxhash64(F.lit(1), v).alias("b"))).alias("digest"))
+             for i, v in enumerate(columns.values())]
+    each = df.select(F.inline(F.array(*cells))).where(F.col("digest").isNotNull()).select("i", "digest.a", "digest.b").distinct()
+    counts = each.groupBy("i").agg(F.count(F.lit(1)).alias("distinct"))
+    return counts.select(F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1).alias("_c"), "distinct")
 
 
-def _n_if(cond: Column) -> Column:
-    return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+def _with_distinct(counts: DataFrame, df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """``counts`` with the distinct values per column, 0 for a column of nulls; both sides have a row per column."""
+    found = distinct_counts(df, columns)
+    return counts.join(found, F.col("column_name") == F.col("_c"), "left").withColumn("distinct", F.coalesce("distinct", F.lit(0))).drop("_c")
 
 
 def column_metrics(df: DataFrame, spec: TableSpec, by_name: bool = False) -> DataFrame:
     """Per column: shares of missing, invalid, unique, negative and zero cells."""
     cols = [c for c in df.columns if c not in HELPERS]
-    kinds = {c: classify_name(c) if by_name else spec.kind(c) for c in cols}
-    v, kind = F.col("value"), F.col("col_type")
-    number = text.bare_number(v)
-    empty = v.isNull() | (v == "")
-    invalid = (F.when(kind == "numeric", number.isNull()).when(kind == "date", ~dates.has_date_format(v))
-               .when(kind.isin("id", "categorical"), empty).otherwise(False))
-    numeric_cell = kind == "numeric"
-    grouped = value_counts(df, cols).withColumn("col_type", _kind_column(kinds)).groupBy("column_name", "col_type").agg(
-        F.sum("n").alias("_rows"), _n_if(empty).alias("missing"), _n_if(invalid).alias("invalid"),
-        F.count("value").alias("distinct"), _n_if(numeric_cell & (number < 0)).alias("negative"),
-        _n_if(numeric_cell & (number == 0)).alias("zero"))
+    aggs = {}
+    for c in cols:
+        kind = classify_name(c) if by_name else spec.kind(c)
+        v = F.col(c).cast("string")
+        empty = v.isNull() | (v == "")
+        number = text.bare_number(v) if kind == "numeric" else F.lit(None).cast("double")
+        invalid = {"numeric": number.isNull(), "date": ~dates.has_date_format(v), "id": empty, "categorical": empty}.get(kind, F.lit(False))
+        aggs[c] = {"col_type": F.max(F.lit(kind)), "_rows": F.count(F.lit(1)), "missing": _count(empty), "invalid": _count(invalid),
+                   "negative": _count(number < 0), "zero": _count(number == 0)}
+    grouped = _with_distinct(cell_counts(df, aggs), df, {c: F.col(c).cast("string") for c in cols}).where("_rows > 0")
     share = {p: F.bround(numeric.ratio(F.col(c), F.col("_rows")), 6) for p, c in (
         ("percent_missing", "missing"), ("percent_invalid", "invalid"), ("percent_unique", "distinct"),
         ("percent_negative", "negative"), ("percent_zero", "zero"))}
@@ -270,40 +278,39 @@ def column_metrics(df: DataFrame, spec: TableSpec, by_name: bool = False) -> Dat
                           *[c.alias(p) for p, c in share.items()])
 
 
+def first_distinct(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
+    """(_c, sample_values): the first ``n`` different values of every column in order, as JSON."""
+    cells = [F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("value")) for c in columns]
+    values = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull()).distinct()
+    rank = F.row_number().over(Window.partitionBy("_c").orderBy("value"))
+    first = values.withColumn("_r", rank).where(F.col("_r") <= n)
+    return first.groupBy("_c").agg(F.to_json(F.transform(
+        F.array_sort(F.collect_list(F.struct("_r", "value"))), lambda x: x["value"])).alias("sample_values"))
+
+
 def column_profile(df: DataFrame, spec: TableSpec, by_name: bool = False, samples: int = 10) -> DataFrame:
-    """Per column: counts, its first ``samples`` distinct values in order, and min / max / mean of numeric ones."""
+    """Per column: counts, its first ``samples`` distinct values in order, and min / max / mean of numeric ones.
+
+    Only the samples move cell texts.
+    """
     cols = [c for c in df.columns if c not in HELPERS]
-    kinds = {c: classify_name(c) if by_name else spec.kind(c) for c in cols}
-    counts = value_counts(df, cols)
-    v = F.col("value")
-    number = F.when(F.col("col_type") == "numeric", text.bare_number(v))
-    stats = counts.withColumn("col_type", _kind_column(kinds)).withColumn("_x", number).groupBy(
-        "column_name", "col_type").agg(
-        _n_if(v.isNotNull()).alias("non_null_count"), _n_if(v == "").alias("blank_count"),
-        _n_if(v.isNull()).alias("null_count"), F.count("value").alias("distinct_count"),
-        F.min("_x").alias("min"), F.max("_x").alias("max"),
-        numeric.ratio(F.sum(F.col("_x") * F.col("n")), F.sum(F.when(F.col("_x").isNotNull(), F.col("n"))))
-        .alias("mean"))
-    rank = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
-    first = (counts.where(v.isNotNull()).withColumn("_r", rank).where(F.col("_r") <= samples)
-               .groupBy(F.col("column_name").alias("_c"))
-               .agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("_r", "value"))),
-                                          lambda x: x["value"])).alias("sample_values")))
-    return (stats.join(first, F.col("column_name") == F.col("_c"), "left")
+    aggs = {}
+    for c in cols:
+        kind = classify_name(c) if by_name else spec.kind(c)
+        v = F.col(c).cast("string")
+        number = text.bare_number(v) if kind == "numeric" else F.lit(None).cast("double")
+        aggs[c] = {"col_type": F.max(F.lit(kind)), "_rows": F.count(F.lit(1)), "non_null_count": F.count(v), "blank_count": _count(v == ""),
+                   "null_count": _count(v.isNull()), "min": F.min(number), "max": F.max(number), "mean": F.avg(number)}
+    stats = _with_distinct(cell_counts(df, aggs), df, {c: F.col(c).cast("string") for c in cols}).where("_rows > 0")
+    return (stats.join(first_distinct(df, cols, samples), F.col("column_name") == F.col("_c"), "left")
             .select(F.lit(spec.name).alias("table_name"), "column_name", "col_type", "non_null_count", "blank_count",
-                    "null_count", "distinct_count", "sample_values", "min", "max", "mean"))
+                    "null_count", F.col("distinct").alias("distinct_count"), "sample_values", "min", "max", "mean"))
 
 
 # --------------------------------------------------------------------- curated
-def _curated_long(annotated: Mapping[str, DataFrame]) -> DataFrame:
-    """(table, column, value, n) over the curated columns of all tables."""
-    parts = [value_counts(df, cols).select(F.lit(n).alias("table_name"), "*") for n, df in annotated.items()
-             if (cols := [c for c in TABLES[n].curated if c in df.columns])]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _curated_kinds() -> dict[str, str]:
-    return {c: curated_kind(c) for spec in TABLES.values() for c in spec.curated}
+def _curated(annotated: Mapping[str, DataFrame]) -> list[tuple[str, DataFrame, list[str]]]:
+    """Table, rows, and the curated columns it has."""
+    return [(n, df, cols) for n, df in annotated.items() if (cols := [c for c in TABLES[n].curated if c in df.columns])]
 
 
 def _absent(annotated: Mapping[str, DataFrame]) -> list[tuple[str, str]]:
@@ -316,19 +323,19 @@ def dq_long(annotated: Mapping[str, DataFrame], top: int | None = None) -> DataF
     An end date is never missing, country and industry never invalid, "Unknown"
     is a value, and the empty text counts as one distinct value.
     """
-    counts = _curated_long(annotated).withColumn("_v", F.coalesce(F.trim("value"), F.lit("")))
-    counts = counts.groupBy("table_name", "column_name", "_v").agg(F.sum("n").alias("n"))
-    kind = _kind_column(_curated_kinds())
-    name, v = F.col("column_name"), F.col("_v")
-    missing = text.is_missing_value(v)
-    invalid = ~missing & (F.when(name.isin(*NEVER_INVALID), False).when(kind == "date", ~dates.has_date_format(v))
-                          .when(kind == "numeric", v.try_cast("double").isNull()).otherwise(False))
-    out = counts.groupBy("table_name", "column_name").agg(
-        F.sum("n").alias("_rows"), _n_if(missing & (name != "end_date_clean")).alias("m"), _n_if(invalid).alias("i"),
-        F.count(F.lit(1)).alias("u"))
-    out = out.select("table_name", "column_name", numeric.ratio(F.col("m"), F.col("_rows")).alias("pct_missing"),
-                     numeric.ratio(F.col("i"), F.col("_rows")).alias("pct_invalid"),
-                     numeric.ratio(F.col("u"), F.col("_rows")).alias("pct_unique"))
+    parts = []
+    for n, df, cols in _curated(annotated):
+        aggs, values = {}, {}
+        for c in cols:
+            v, kind = F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")), curated_kind(c)
+            missing = text.is_missing_value(v)
+            wrong = {"date": ~dates.has_date_format(v), "numeric": v.try_cast("double").isNull()}.get(kind, F.lit(False))
+            aggs[c] = {"_rows": F.count(F.lit(1)), "m": F.lit(0) if c == "end_date_clean" else _count(missing), "i": _count(~missing & wrong)}
+            values[c] = v
+        parts.append(_with_distinct(cell_counts(df, aggs), df, values).where("_rows > 0").select(
+            F.lit(n).alias("table_name"), "column_name", numeric.ratio(F.col("m"), F.col("_rows")).alias("pct_missing"),
+            numeric.ratio(F.col("i"), F.col("_rows")).alias("pct_invalid"), numeric.ratio(F.col("distinct"), F.col("_rows")).alias("pct_unique")))
+    out = reduce(DataFrame.unionByName, parts)
     gone = _absent(annotated)
     if gone:
         out = out.unionByName(out.sparkSession.createDataFrame(
@@ -341,23 +348,23 @@ def dq_long(annotated: Mapping[str, DataFrame], top: int | None = None) -> DataF
 
 def dq_col_profile(annotated: Mapping[str, DataFrame]) -> DataFrame:
     """Type, min, max, mean, missing and unique shares of the curated columns; an absent column is ``missing`` throughout."""
-    kind, v = F.col("dtype"), F.col("value")
-    number = F.when(kind == "numeric", text.strict_number(v))
-    day = F.when(kind == "date", dates.parse_date(v))
-    blank = v.isNull() | (F.trim(v) == "")
-    out = (_curated_long(annotated).withColumn("dtype", _kind_column(_curated_kinds()))
-           .withColumns({"_x": number, "_d": day})
-           .groupBy("table_name", "column_name", "dtype").agg(
-        F.sum("n").alias("_rows"), _n_if(blank).alias("_missing"), F.count("value").alias("_distinct"),
-        F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.min("_d").alias("_first"), F.max("_d").alias("_last"),
-        numeric.ratio(F.sum(F.col("_x") * F.col("n")), F.sum(F.when(F.col("_x").isNotNull(), F.col("n"))))
-        .alias("avg_val")))
-    out = out.select(
-        "table_name", "column_name", "dtype",
-        F.coalesce(dates.format_date(F.col("_first")), F.col("_lo").cast("string")).alias("min_val"),
-        F.coalesce(dates.format_date(F.col("_last")), F.col("_hi").cast("string")).alias("max_val"), "avg_val",
-        numeric.ratio(F.col("_missing"), F.col("_rows")).alias("missing_pct"),
-        numeric.ratio(F.col("_distinct"), F.col("_rows")).alias("unique_pct"))
+    parts = []
+    for n, df, cols in _curated(annotated):
+        aggs = {}
+        for c in cols:
+            v, kind = F.col(c).cast("string"), curated_kind(c)
+            number = text.strict_number(v) if kind == "numeric" else F.lit(None).cast("double")
+            day = dates.parse_date(v) if kind == "date" else F.lit(None).cast("date")
+            aggs[c] = {"dtype": F.max(F.lit(kind)), "_rows": F.count(F.lit(1)), "_missing": _count(v.isNull() | (F.trim(v) == "")),
+                       "_lo": F.min(number), "_hi": F.max(number), "avg_val": F.avg(number), "_first": F.min(day), "_last": F.max(day)}
+        rows = _with_distinct(cell_counts(df, aggs), df, {c: F.col(c).cast("string") for c in cols}).where("_rows > 0")
+        parts.append(rows.select(
+            F.lit(n).alias("table_name"), "column_name", "dtype",
+            F.coalesce(dates.format_date(F.col("_first")), F.col("_lo").cast("string")).alias("min_val"),
+            F.coalesce(dates.format_date(F.col("_last")), F.col("_hi").cast("string")).alias("max_val"), "avg_val",
+            numeric.ratio(F.col("_missing"), F.col("_rows")).alias("missing_pct"),
+            numeric.ratio(F.col("distinct"), F.col("_rows")).alias("unique_pct")))
+    out = reduce(DataFrame.unionByName, parts)
     gone = _absent(annotated)
     if gone:
         out = out.unionByName(out.sparkSession.createDataFrame(

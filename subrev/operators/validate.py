@@ -108,8 +108,8 @@ def schema_doc(tables: Mapping[str, DataFrame]) -> DataFrame:
     for n, df in tables.items():
         aggs = [F.count(F.lit(1)).alias("_rows")]
         for i, f in enumerate(df.schema):
-            shown = (F.to_json(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name).cast("string"))
-            aggs += [F.count(F.col(f.name)).alias(f"_n{i}"), F.min(shown).alias(f"_s{i}")]
+            shown = F.min(F.to_json(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)).cast("string")
+            aggs += [F.count(F.col(f.name)).alias(f"_n{i}"), shown.alias(f"_s{i}")]
         cells = [F.struct(
             F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("dtype"),
             F.lit(is_derived(f.name)).alias("synthetic"), (F.col("_rows") - F.col(f"_n{i}")).alias("null_count"),
@@ -134,9 +134,23 @@ def churn_after_end(subs_fe: DataFrame) -> DataFrame:
     return subs_fe.where(F.col("churn_date") > F.col("end_date"))
 
 
+def unique_right(right: DataFrame, key: str, *columns: str) -> DataFrame:
+    """``key`` and ``columns`` of the right side of a many-to-one join, which fails on an executor when a key occurs twice.
+
+    The check is part of the aggregate that brings the rows of a key together; the
+    error names the key.  Null keys match nothing and are left out.
+    """
+    held = F.count(F.lit(1))
+    broken = F.raise_error(F.concat(F.lit(f"many-to-one join: {key} "), F.col(key).cast("string"), F.lit(" occurs "),
+                                    held.cast("string"), F.lit(" times on the right side")))
+    kinds = dict(right.dtypes)
+    return right.where(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.when(held == 1, F.any_value(c)).otherwise(broken.cast(kinds[c])).alias(c) for c in columns])
+
+
 def first_use_before_signup(fu: DataFrame, accounts_fe: DataFrame) -> DataFrame:
-    """First uses earlier than the signup date of their account (taken from the account table, once per id)."""
-    signup = accounts_fe.groupBy(F.col("account_id").alias("_acct")).agg(F.min("signup_date").alias("_signup"))
+    """First uses earlier than the signup date of their account; an account that the account table holds twice is an error."""
+    signup = unique_right(accounts_fe, "account_id", "signup_date").toDF("_acct", "_signup")
     return (fu.join(signup, F.col("account_id") == F.col("_acct"), "inner")
             .where(F.col("first_use_date") < F.col("_signup")).drop("_acct", "_signup"))
 

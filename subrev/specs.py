@@ -55,7 +55,7 @@ def classify_name(column: str) -> str:
     return "text"
 
 
-# --- fixed values: tables, keys, required / optional / curated fields ------
+# --- fixed values: tables, keys, required / optional / curated fields, reason codes and descriptions, weights, limits ---
 ACCOUNTS = TableSpec(
     name="accounts",
     pk="account_id",

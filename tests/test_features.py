@@ -175,3 +175,30 @@ def test_account_scores(spark):
     strict = by_key(features.account_features(acc, s, sup, features.feature_month(usage(spark)), AS_OF, no_ticket_hours=100.0,
                                               segment_basis="lifetime_gross_mrr"), "account_id")
     assert strict["A9"]["support_score"] == 0.0
+
+
+def test_dense_rank_in_two_levels(spark):
+    """One account-month holds half of all levels; small spans make many buckets of it."""
+    rows = [("a", "m", v) for v in (*range(0, 600, 3), 5, 5, None)] + [("b", "m", v) for v in (7, 7, 1)] + [(None, None, 3), (None, None, 9)]
+    df = spark.createDataFrame(rows, "g string, h string, v bigint").repartition(5)
+    levels = {}
+    for g, h, v in rows:
+        levels.setdefault((g, h), set()).add(v)
+    rank = {k: {v: i + 1 for i, v in enumerate(sorted(vs, key=lambda x: (x is None, -(x or 0))))} for k, vs in levels.items()}
+    for span in (4, 1 << 16):
+        got = features.dense_rank_by_group(df, ("g", "h"), "v", "r", span).where("v is not null").collect()
+        assert len(got) == len(rows) - 1 and all(r.r == rank[r.g, r.h][r.v] for r in got)
+
+
+def test_ids_are_text_after_the_load(spark):
+    df = spark.createDataFrame([(7, "None", 1.5), (8, "A-1", None)], "ticket_id bigint, account_id string, x double")
+    assert [tuple(r) for r in features.text_ids(df).collect()] == [("7", None, 1.5), ("8", "A-1", None)]
+
+
+def test_ticket_account_through_its_subscription(spark):
+    tickets = spark.createDataFrame(
+        [("T1", None, None, None, 1.0, None, False, None, "S1"), ("T2", None, None, None, None, None, False, None, "S9")],
+        "ticket_id string, account_id string, submitted_at timestamp, closed_at timestamp, resolution_time_hours double, priority string, "
+        "escalation_flag boolean, satisfaction_score double, subscription_id string")
+    got = {r.ticket_id: r.account_id for r in features.support_events(tickets, sample(spark)).collect()}
+    assert got == {"T1": "A1", "T2": None}

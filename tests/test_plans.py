@@ -3,6 +3,7 @@
 import pytest
 from conftest import SF_DIR
 
+from subrev.operators import impute
 from subrev.plans.stages import CleanTables, FeatureTables
 from subrev.sources import adapters
 from subrev.specs import TABLES
@@ -35,3 +36,14 @@ def test_scans_read_only_what_is_used(plans):
 
 def test_ledger_adds_no_exchange(plans):
     assert plans["revenue_changes"].count("Exchange hashpartitioning") <= plans["subscriptions"].count("Exchange hashpartitioning")
+
+
+def test_lookups_aggregate_what_is_asked_for(spark, plans, tmp_path):
+    """The keys that rows ask for reduce the raw side below its partial aggregate."""
+    assert all("LeftSemi" in plans[n] for n in ("clean_accounts", "clean_subscriptions"))
+    spec = TABLES["accounts"]
+    spark.createDataFrame([], spec.raw_schema).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    lines = impute.impute_accounts(raw, raw, ("country", "industry"))._jdf.queryExecution().executedPlan().toString().splitlines()
+    semi = [i for i, line in enumerate(lines) if "LeftSemi" in line]
+    assert len(semi) == 2 and all(any("partial_min_by" in line for line in lines[i - 3: i]) for i in semi)

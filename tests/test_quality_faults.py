@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from subrev import specs
-from subrev.operators import clean, faults, quality, validate
+from subrev.operators import clean, dedupe, faults, quality, validate
 from subrev.plans.stages import CleanTables
 
 
@@ -136,3 +136,73 @@ def test_a_sample_holds_at_least_one_row(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("k"))
     none = lambda name: F.lit(999) - F.col("k").cast("int")
     assert [r.k for r in faults.sample_rows(df, none).collect()] == ["49"]
+
+
+@pytest.mark.parametrize("span", [4, 1 << 16])
+def test_fresh_keys_fill_the_gaps(spark, monkeypatch, span):
+    monkeypatch.setattr(faults, "SPAN", span)
+    numbers = [1, 2, 3, 7, 8, 20, 21, 22, 40, 300, 5000, 1 << 50]
+    odd = ["X-00A", "X-1", "X-zz", "X-", "Y-00c", "X-000", None, "X-" + "f" * 30]
+    taken = spark.createDataFrame([(f"X-{n:03x}",) for n in numbers + [7, 7]] + [(x,) for x in odd], "pk string").repartition(3)
+    rows = spark.createDataFrame([(f"old-{i}", i) for i in range(60)], "pk string, i int").repartition(4)
+    got = [r.pk for r in faults.new_ids(rows, taken, "pk", "X-abc", order=F.col("i"), bucket=F.floor(F.col("i") / 7)).orderBy("i").collect()]
+    free = [n for n in range(1, 100) if n not in numbers][:60]
+    assert got == [f"X-{n:03x}" for n in free]
+    assert [r.pk for r in faults.new_ids(rows, taken.limit(0), "pk", "X-abc", order=F.col("i"), bucket=F.lit(0)).orderBy("i").collect()] == [
+        f"X-{n:03x}" for n in range(1, 61)]
+    assert faults.new_ids(rows.limit(0), taken, "pk", "X-abc").count() == 0
+
+
+def test_fresh_keys_read_each_side_once(spark, tmp_path):
+    spark.range(500).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("pk")).write.parquet(str(tmp_path / "rows"))
+    spark.range(1, 400, 3).select(F.concat(F.lit("X-"), F.lpad(F.lower(F.hex("id")), 3, "0")).alias("pk")).write.parquet(str(tmp_path / "taken"))
+    plans = []
+
+    def keep(name, df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    out = faults.new_ids(spark.read.parquet(str(tmp_path / "rows")), spark.read.parquet(str(tmp_path / "taken")), "pk", "X-abc", keep=keep)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    for side in ("rows", "taken"):
+        assert sum(p.count(f"{tmp_path}/{side}") for p in plans) == 1
+    assert not any("Range (" in p for p in plans)
+    assert out.distinct().count() == 500
+
+
+def test_profiles_move_digests(spark):
+    raw = {"accounts": spark.createDataFrame([("A-1", "x" * 50)], "account_id string, account_name string")}
+    plan = quality.column_metrics(raw["accounts"], specs.ACCOUNTS)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        assert not ("Exchange hashpartitioning" in line and "account_" in line)
+    assert "xxhash64" in plan
+
+
+def test_summary_reads_a_table_twice_at_most(spark, tmp_path):
+    spec = specs.CHURN_EVENTS
+    spark.createDataFrame([tuple(None for _ in spec.columns)], spec.raw_schema).write.parquet(str(tmp_path / "raw"))
+    raw = {"churn_events": spark.read.parquet(str(tmp_path / "raw"))}
+    CleanTables(raw, "2024-01-01")["churn_events"].write.parquet(str(tmp_path / "done"))
+    done = {"churn_events": spark.read.parquet(str(tmp_path / "done"))}
+    plan = quality.dq_summary(raw, done)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+
+
+def test_identical_groups_by_digest_and_by_key(spark):
+    rows = [("k1", "a", 1), ("k2", "a", 1), ("k3", "b", None), ("k4", "b", None), ("k5", "c", 2), ("k1", "a", 1), ("k5", "d", 2)]
+    df = spark.createDataFrame(rows, "pk string, x string, y int")
+    by_signature = dedupe.identical_groups(df, "pk", ("x", "y"), "signature")
+    assert sorted(r.copies for r in by_signature.collect()) == [2, 3]
+    assert [(r.pk, r.copies) for r in dedupe.identical_groups(df, "pk", ("x", "y"), "key").collect()] == [("k1", 2)]
+
+
+def test_many_to_one(spark):
+    left = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-03-01"), (None, "2020-01-01")], "account_id string, d string")
+    left = left.select("account_id", F.to_date("d").alias("first_use_date"))
+    right = spark.createDataFrame([("a", "2024-02-01"), ("b", "2024-02-01"), (None, "2024-02-01"), (None, "2024-02-02")], "account_id string, d string")
+    right = right.select("account_id", F.to_date("d").alias("signup_date"))
+    assert [r.account_id for r in validate.first_use_before_signup(left, right).collect()] == ["a"]
+    twice = right.unionByName(right.where("account_id = 'b'"))
+    with pytest.raises(Exception, match="account_id b occurs 2 times"):
+        validate.first_use_before_signup(left, twice).collect()
