@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.ctes import (AS_OF, CTES, blank, day, dmy, iso, looks, loose_day, months, norm, num, rnd, stamp, strict, tf,
                          using, words, ym, yes)
+from oracle.stages import stage_sql
 from subrev.operators.faults import FAULTS, SIDES
 from subrev.plans.catalog import DIE_FACTORS
 from subrev.specs import FILE_NULL_WORDS, TABLES, classify_name
@@ -58,14 +59,8 @@ SQL["reason_lists"] = """SELECT ticket_id, CASE WHEN reasons = '' THEN '[]' ELSE
 
 # ---------------------------------------------------------------- audit, dedupe
 SQL["dedupe_keep_most_complete"] = f"SELECT {', '.join(TABLES['feature_usage'].columns)} FROM one_feature_usage"
-SQL["dedupe_dropped_log"] = "SELECT usage_id, count(*) - 1 AS rows_dropped FROM raw_feature_usage GROUP BY 1 HAVING count(*) > 1"
 SQL["dedupe_counts"] = union([f"""SELECT '{n}' AS table_name, count(*) AS rows_in, (SELECT count(*) FROM one_{n}) AS rows_after_raw_dedupe,
   count(*) - (SELECT count(*) FROM one_{n}) AS duplicates_raw_removed FROM raw_{n}""" for n in TABLES])
-SQL["post_clean_duplicates"] = """SELECT copies, count(*) AS groups FROM (SELECT count(*) AS copies FROM c_feature_usage
-  GROUP BY usage_count_clean, usage_duration_secs_clean, feature_name_imputed HAVING count(*) > 1) GROUP BY 1"""
-SQL["post_clean_flags"] = """SELECT ticket_id, concat_ws('|', nullif(reasons, ''),
-  CASE WHEN count(*) OVER (PARTITION BY resolution_hours_clean, satisfaction_imputed) > 1 THEN 'duplicate_after_cleaning_detected' END)
-  AS dirty_row_reason FROM c_support_tickets"""
 SQL["pk_validation"] = union([f"""SELECT '{n}' AS table_name, count(*) AS rows, count(*) FILTER ({norm(s.pk)} IS NULL) AS pk_null_count
 FROM raw_{n}""" for n, s in TABLES.items()])
 SQL["dirty_reasons"] = union([f"""SELECT '{n}' AS table_name, reason, count(*) AS rows
@@ -536,16 +531,6 @@ _FILLED_COUNTS = [f"SELECT 'accounts' AS table_name, '{c}' AS column_name, count
 SQL["constant_columns"] = f"""SELECT table_name, column_name FROM ({union(_constant('subscriptions', 'subs_fe', _NUM_SUBS)
     + _constant('accounts', 'acct_fe', _NUM_ACCT) + _FILLED_COUNTS + _constant('usage_monthly', 'monthly_t', _NUM_MONTH))}) WHERE n <= 1"""
 
-_DOC = {
-    ("usage_monthly", "monthly_t", ""): dict(zip(_MONTH, "string string bigint double bigint bigint bigint double double boolean".split())),
-    ("revenue_changes", "changes_t", "WHERE change_type <> 'unchanged'"): dict(zip(_CHANGE, "string string string string double double double".split())),
-    ("support_by_account", "sacct", ""): dict(zip(_SACCT, "string bigint bigint double double double bigint".split())),
-}
-_DERIVED = ("duration_per_use", "usage_intensity")
-SQL["schema_doc"] = union([
-    f"""SELECT '{out}' AS table_name, count(*) AS rows, '{c}' AS column_name, '{t}' AS dtype, {str(c in _DERIVED).lower()} AS synthetic,
-  count(*) - count({c}) AS null_count, {rnd(f'coalesce(round_even((count(*) - count({c})) * 100 / count(*), 2), 0)')} AS null_pct FROM {table} {where}"""
-    for (out, table, where), columns in _DOC.items() for c, t in columns.items()])
 SQL["deep_validation"] = union([
     "SELECT 'A1_zero_days_to_adopt' AS check, count(*) FILTER (days_to_adopt = 0) AS violations FROM fuse",
     """SELECT 'A2_first_use_before_signup', count(*) FROM fuse f JOIN acct_fe a ON a.account_id = f.account_id
@@ -589,6 +574,12 @@ SQL["new_ids"] = "SELECT * FROM messy_t"
 SQL["new_ids_overflow"] = """SELECT 'A-' || CASE WHEN length(h) < 2 THEN lpad(h, 2, '0') ELSE h END AS account_id, account_name
 FROM (SELECT *, lower(printf('%x', row_number() OVER (ORDER BY k))) AS h FROM clean_customers)"""
 
+SQL["new_ids_in_gaps"] = """WITH taken AS (SELECT DISTINCT c_custkey * 3 AS t FROM customer WHERE c_custkey > 0),
+free AS (SELECT c, row_number() OVER (ORDER BY c) AS i FROM (SELECT unnest(range(1, (SELECT count(*) FROM orders) + (SELECT count(*) FROM taken) + 1)) AS c)
+  WHERE c NOT IN (SELECT t FROM taken))
+SELECT 'A-' || CASE WHEN c < 256 THEN lpad(lower(printf('%x', c)), 3, '0') ELSE lower(printf('%x', c)) END AS id, o_orderkey AS was
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS i FROM orders) JOIN free USING (i)"""
+
 
 def _injected(n: str) -> str:
     """The fault rules of a table on its raw rows, dice from the digits of the key."""
@@ -619,5 +610,8 @@ SQL["merge_raw"] = """SELECT count(*) AS rows, count(DISTINCT account_id) AS key
   SELECT account_id, industry, country, churn_flag FROM clean_customers UNION ALL SELECT account_id, industry, country, churn_flag FROM messy_t)"""
 
 
+SQL |= stage_sql(SQL)
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: using(sql) for name, sql in SQL.items()}

@@ -15,15 +15,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subrev.functions import cases, dates, numeric, reasons, text
+from subrev.functions import cases, dates, numeric, reasons, sketches, text
+from subrev.functions.quantiles import exact_quantiles
 from subrev.operators import (audit, clean, dedupe, faults, features, impute, ledger, quality, reports,
                               validate)
+from subrev.plans import jobs, runs
 from subrev.plans.stages import REPORTS, CleanTables, FeatureTables
 from subrev.session import StageStore, tune
 from subrev.sources import adapters, files
 from subrev.specs import TABLES
 
 AS_OF = adapters.AS_OF
+#: Run id and time that the registered runs of the jobs carry.
+RUN_ID, RUN_AT = "registered", "2002-01-01T00:00:00Z"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -62,6 +66,7 @@ class Data:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.dir = tune(spark), sf_dir
         self.store = StageStore(spark)
+        self._stages: dict[str, str] = {}
         self.raw = adapters.raw_tables(spark, sf_dir)
         self.landed = _Landed(self.raw, self.store)
         self.clean = CleanTables(self.landed, AS_OF, self._keep("clean"))
@@ -73,6 +78,19 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return adapters.table(self.spark, self.dir, name)
 
+    def stage(self, name: str) -> str:
+        """Root folder of a stage that the jobs ran and committed; each runs once, after the one it reads."""
+        if name not in self._stages:
+            root = f"{self.store.root}/jobs/{name}"
+            if name == "clean":
+                jobs.run_clean(self.spark, self.raw, root, AS_OF, RUN_ID, RUN_AT)
+            elif name == "features":
+                jobs.run_features(self.spark, self.stage("clean"), root, AS_OF, RUN_ID, RUN_AT)
+            else:
+                jobs.run_reports(self.spark, self.stage("features"), root, AS_OF, RUN_ID, RUN_AT)
+            self._stages[name] = root
+        return self._stages[name]
+
 
 class _Landed(dict):
     """Raw tables written on first use."""
@@ -201,7 +219,9 @@ def dedupe_keep_most_complete(d: Data) -> DataFrame:
 
 
 def dedupe_dropped_log(d: Data) -> DataFrame:
-    return dedupe.dropped_duplicates(d.raw["feature_usage"], "usage_id")
+    return reduce(DataFrame.unionByName, [
+        dedupe.dropped_duplicates(df, TABLES[n].pk).select(F.lit(n).alias("table_name"), F.col(TABLES[n].pk).alias("key"), "rows_dropped")
+        for n, df in d.raw.items()])
 
 
 def dedupe_counts(d: Data) -> DataFrame:
@@ -210,17 +230,157 @@ def dedupe_counts(d: Data) -> DataFrame:
 
 
 def post_clean_duplicates(d: Data) -> DataFrame:
-    """Usage rows that are the same after cleaning, whatever their key."""
-    spec = TABLES["feature_usage"]
-    groups = dedupe.identical_groups(d.clean["feature_usage"], spec.pk, spec.clean_columns, "signature")
-    return groups.groupBy("copies").agg(F.count(F.lit(1)).alias("groups"))
+    """Rows that are the same after cleaning, whatever their key, by size of group."""
+    return reduce(DataFrame.unionByName, [
+        dedupe.identical_groups(df, TABLES[n].pk, TABLES[n].clean_columns, "signature").groupBy("copies").agg(F.count(F.lit(1)).alias("groups"))
+        .select(F.lit(n).alias("table_name"), "copies", "groups") for n, df in d.clean.items()])
 
 
 def post_clean_flags(d: Data) -> DataFrame:
     """Rows flagged as equal to another one after cleaning."""
-    spec = TABLES["support_tickets"]
-    out = dedupe.flag_identical(d.clean["support_tickets"], spec.pk, spec.clean_columns, "signature")
-    return present(out, "ticket_id", "dirty_row_reason")
+    return reduce(DataFrame.unionByName, [
+        present(dedupe.flag_identical(df, TABLES[n].pk, TABLES[n].clean_columns, "signature").select(
+            F.lit(n).alias("table_name"), F.col(TABLES[n].pk).alias("key"), "dirty_row_reason")) for n, df in d.clean.items()])
+
+
+#: Columns in which the copies of a raw row agree.
+COPIED = {"accounts": ("account_id", "account_name"), "subscriptions": ("account_id", "start_date", "seats"),
+          "feature_usage": ("subscription_id", "usage_date"), "churn_events": ("account_id", "churn_date"),
+          "support_tickets": ("account_id", "submitted_at", "escalation_flag")}
+
+
+def identical_by_key(d: Data) -> DataFrame:
+    """Keys of the raw tables whose rows agree in the columns that copies share, by number of rows."""
+    return reduce(DataFrame.unionByName, [
+        dedupe.identical_groups(df, TABLES[n].pk, COPIED[n], "key").groupBy("copies").agg(F.count(F.lit(1)).alias("groups"))
+        .select(F.lit(n).alias("table_name"), "copies", "groups") for n, df in ((n, d.landed[n]) for n in TABLES)])
+
+
+# ---------------------------------------------------------- jobs, files, summary
+def stage_summary(stage: str) -> Callable[[Data], DataFrame]:
+    """Run summary of a committed stage: rows in, out and flagged of every artifact, counted by the writes."""
+    return lambda d: runs.summary(d.spark, d.stage(stage)).withColumnRenamed("at", "run_at")
+
+
+def report_files(d: Data) -> DataFrame:
+    """The written reports, read back: rows of each."""
+    base = runs.folder(d.spark, d.stage("reports"))
+    parts = []
+    for name in REPORTS:
+        back = d.spark.read.option("header", True).csv(f"{base}/{name}")
+        parts.append(back.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("report"), "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def clean_files(d: Data) -> DataFrame:
+    """The committed clean tables through the clean reader: filled cells of every column."""
+    base = runs.folder(d.spark, d.stage("clean"))
+    parts = []
+    for n in TABLES:
+        back = files.read_clean(d.spark, f"{base}/clean/{n}")
+        back = back.drop("dirty_row_flag", "dirty_row_reason")
+        cells = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("filled")) for c in back.columns]
+        parts.append(back.agg(F.count(F.lit(1)).alias("rows"), F.array(*cells).alias("cells")).select(F.lit(n).alias("table_name"), "rows", F.inline("cells")))
+    return reduce(DataFrame.unionByName, parts).where(F.col("column_name").isin(*CLEAN_CHECKED))
+
+
+#: Columns of the clean tables that carry one name on both sides.
+CLEAN_CHECKED = sorted({c for s in TABLES.values() for c in s.columns if c not in ("start_date",)})
+
+
+def clean_csv(d: Data) -> DataFrame:
+    """Clean tables as CSV for readers outside, read back as text by the clean reader."""
+    parts = []
+    for n in TABLES:
+        path = f"{d.store.root}/csv-{uuid.uuid4().hex}/{n}.csv"
+        files.write_clean_csv(d.clean[n], path)
+        back = files.read_clean(d.spark, path)
+        reason = F.col("dirty_row_reason")
+        parts.append(back.agg(F.count(F.lit(1)).alias("rows"), F.count(TABLES[n].pk).alias("keys"),
+                              F.count_if(F.col("dirty_row_flag") == "true").alias("flagged"),
+                              F.sum(reasons.reason_count(reasons.parse_reasons(reason))).cast("bigint").alias("reasons"))
+                     .select(F.lit(n).alias("table_name"), "rows", "keys", "flagged", "reasons"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def subscription_features_csv(d: Data) -> DataFrame:
+    """The subscription features written as CSV and read back with their types."""
+    df = d.features["subscriptions"]
+    path = f"{d.store.root}/csv-{uuid.uuid4().hex}/subscriptions.csv"
+    files.flat_text(df).write.option("header", True).option("escape", '"').csv(path)
+    return present(files.read_clean(d.spark, path, df.schema))
+
+
+def reason_lookup(d: Data) -> DataFrame:
+    """Rows per reason, with its description from the written lookup."""
+    lookup = d.spark.read.option("header", True).csv(f"{runs.folder(d.spark, d.stage('clean'))}/logs/dirty_reason_lookup")
+    rows = dirty_reasons(d).groupBy("reason").agg(F.sum("rows").alias("rows"))
+    return rows.join(lookup, F.col("reason") == F.col("code")).select("reason", "rows", (F.length("description") > 0).alias("described"))
+
+
+def load_numeric_ids(d: Data) -> DataFrame:
+    """Tickets stored with numeric ids and "None" for some accounts: ids are text after the load."""
+    t = d.clean["support_tickets"]
+    number = F.regexp_replace("ticket_id", "[^0-9]", "").cast("bigint")
+    stored = t.withColumns({"account_id": F.when(number % 10 == 0, "None").otherwise(F.col("account_id")), "ticket_id": number})
+    return present(features.load_input("support_tickets", {"support_tickets": stored}), "ticket_id", "account_id", "submitted_at")
+
+
+def support_events_by_subscription(d: Data) -> DataFrame:
+    """Tickets that know their subscription only."""
+    t = d.features.input("support_tickets").withColumns({
+        "subscription_id": F.concat(F.lit("S-"), F.regexp_replace("ticket_id", "[^0-9]", "")), "account_id": F.lit(None).cast("string")})
+    return present(features.support_events(t, d.features["subscriptions"]), "ticket_id", "account_id", "resolution_bucket", "dirty_row_reason")
+
+
+# --------------------------------------------------------------------- sketches
+def distinct_estimates(d: Data) -> DataFrame:
+    """Exact counts of the four distinct reports, and whether the merged sketches stay within 3 percent."""
+    t = d.features
+
+    def both(report: str, exact: DataFrame, approx: DataFrame, keys: list[str], count: str) -> DataFrame:
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys])
+        a = exact.select(key.alias("group_key"), F.col(count).cast("bigint").alias("exact"))
+        b = approx.select(key.alias("_key"), F.col(count).alias("_estimate"))
+        close = F.abs(F.col("_estimate") - F.col("exact")) <= 0.03 * F.col("exact")
+        return a.join(b, F.col("group_key") == F.col("_key"), "full").select(F.lit(report).alias("report"), "group_key", "exact", close.alias("close"))
+
+    return reduce(DataFrame.unionByName, [
+        both("feature_adoption", reports.feature_adoption(t["feature_month"]), reports.feature_adoption(t["feature_month"], approx=True),
+             ["feature_name"], "accounts_used"),
+        both("cohort_retention", reports.cohort_retention(t["cohorts"]), reports.cohort_retention(t["cohorts"], approx=True),
+             ["cohort_month", "months_since_signup"], "active_subs"),
+        both("cohort_churn_lifecycle", reports.cohort_churn_lifecycle(t["cohorts"]), reports.cohort_churn_lifecycle(t["cohorts"], approx=True),
+             ["months_since_signup"], "churned_subs"),
+        both("support_segment_stats", reports.support_segment_stats(t["accounts"]), reports.support_segment_stats(t["accounts"], approx=True),
+             ["customer_segment"], "active_accounts")])
+
+
+PROBS = (0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
+
+
+def quantile_estimates(d: Data) -> DataFrame:
+    """Exact quantiles, and whether sketches kept per month and merged stay within their rank error."""
+    t = d.features
+    parts = []
+    for measure, df, value, month in (
+            ("mrr_clean", t["subscriptions"], F.col("mrr_clean"), F.col("start_month")),
+            ("usage_count_month", t["usage_monthly"], F.col("usage_count_month"), F.col("usage_month")),
+            ("resolution_time_hours", t["support_events"], F.col("resolution_time_hours"), dates.month_key(F.col("submitted_at")))):
+        kept = df.groupBy(month.alias("month")).agg(sketches.quantile_sketch(value).alias("s"))
+        merged = kept.agg(sketches.merged_quantiles(F.col("s")).alias("s"))
+        guess = merged.select(F.array(*sketches.estimated_quantiles(merged, "s", PROBS)).alias("guess")).select("guess").scalar()
+        v = value.cast("double")
+        rows = df.where(v.isNotNull()).select(v.alias("v")).withColumn("guess", guess)
+        ranks = rows.agg(F.count(F.lit(1)).alias("n"), *[F.struct(
+            F.count_if(F.col("v") < F.col("guess")[i]).alias("lo"), F.count_if(F.col("v") <= F.col("guess")[i]).alias("hi")).alias(f"r{i}") for i in range(len(PROBS))])
+        error = F.lit(sketches.RANK_ERROR) * F.col("n") + 1
+        cells = [F.struct(F.lit(p).alias("p"), ((F.col(f"r{i}.lo") <= p * F.col("n") + error) & (F.col(f"r{i}.hi") >= p * F.col("n") - error)).alias("close"),
+                          F.lit(i).alias("i")) for i, p in enumerate(PROBS)]
+        exact = exact_quantiles(df, {measure: value}, PROBS).select(F.array(*[f"q{i}" for i in range(len(PROBS))]).alias("exact"))
+        long = ranks.select("n", F.inline(F.array(*cells))).withColumn("exact", exact.scalar())
+        parts.append(long.select(F.lit(measure).alias("measure"), "p", "n", F.col("exact")[F.col("i")].alias("exact"), "close"))
+    return present(reduce(DataFrame.unionByName, parts))
 
 
 def pk_validation(d: Data) -> DataFrame:
@@ -356,9 +516,31 @@ def dq_validation_by_table(d: Data) -> DataFrame:
 
 # ------------------------------------------------------------------- validation
 def schema_doc(d: Data) -> DataFrame:
-    names = ("usage_monthly", "revenue_changes", "support_by_account")
-    doc = validate.schema_doc({n: d.features[n] for n in names})
-    return present(doc, "table_name", "rows", "column_name", "dtype", "synthetic", "null_count", "null_pct")
+    """All nine tables; the sample of a fraction as a number, of anything else as text."""
+    doc = validate.schema_doc(d.features.all())
+    fraction = F.col("dtype") == "double"
+    doc = doc.withColumns({"sample_number": F.when(fraction, F.col("sample").try_cast("double")), "sample": F.when(~fraction, F.col("sample"))})
+    return present(doc, "table_name", "rows", "column_name", "dtype", "synthetic", "null_count", "null_pct", "sample", "sample_number")
+
+
+def constant_columns_by_churn(d: Data) -> DataFrame:
+    """Subscriptions that churned and those that did not, as tables of their own: what an active one has lost is always 0."""
+    subs = d.features["subscriptions"]
+    parts = {"active": subs.where(~F.col("is_churned")), "churned": subs.where("is_churned")}
+    return validate.constant_columns(parts, tuple(parts))
+
+
+def active_with_churn_date_native(d: Data) -> DataFrame:
+    """The check against the native churn flag, which the dates contradict."""
+    subs = d.features.input("subscriptions").withColumn("is_churned", F.coalesce("churn_flag", F.lit(False)))
+    return present(validate.active_with_churn_date(subs), "subscription_id", "churn_date")
+
+
+def negative_months_after_end(d: Data) -> DataFrame:
+    """The check on months counted from the end of a subscription to its churn."""
+    subs = d.features["subscriptions"].where(F.col("churn_date").isNotNull() & F.col("end_date").isNotNull())
+    rows = subs.select("subscription_id", dates.months_between(F.col("end_date"), F.col("churn_date")).alias("months_since_signup"))
+    return present(validate.negative_cohort_months(rows))
 
 
 def deep_validation(d: Data) -> DataFrame:
@@ -401,15 +583,29 @@ def fault_injection_of(name: str) -> Callable[[Data], DataFrame]:
     return run
 
 
+def _scratch(d: Data) -> faults.Keep:
+    """Tables of one call, apart from those of any other."""
+    root = f"keys/{uuid.uuid4().hex}"
+    return lambda name, df: d.store.put(f"{root}/{name}", df)
+
+
 def new_ids_overflow(d: Data) -> DataFrame:
     """Keys of two hex digits for all customers: the counter outgrows its width."""
     rows = _clean_customers(d).select("account_id", "account_name")
-    return faults.new_ids(rows, rows.limit(0), "account_id", "A-00", order=_key_number(), bucket=F.floor(_key_number() / 100000))
+    return faults.new_ids(rows, rows.limit(0), "account_id", "A-00", order=_key_number(), bucket=F.floor(_key_number() / 100000), keep=_scratch(d))
+
+
+def new_ids_in_gaps(d: Data) -> DataFrame:
+    """Fresh keys for all orders between the taken ones, the customers' numbers times three as hex."""
+    rows = d.table("orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderkey").alias("was"))
+    digits = F.lower(F.hex(F.col("c_custkey") * 3))
+    taken = d.table("customer").select(F.concat(F.lit("A-"), F.when(F.length(digits) >= 3, digits).otherwise(F.lpad(digits, 3, "0"))).alias("id"))
+    return faults.new_ids(rows, taken, "id", "A-000", order=F.col("was"), bucket=F.floor(F.col("was") / 100000), keep=_scratch(d))
 
 
 def _messy(d: Data) -> DataFrame:
     return faults.messy_copy(_clean_customers(d), TABLES["accounts"], "A-000000000", _die(_key_number()),
-                             order=_key_number(), bucket=F.floor(_key_number() / 100000))
+                             order=_key_number(), bucket=F.floor(_key_number() / 100000), keep=_scratch(d))
 
 
 def new_ids(d: Data) -> DataFrame:
@@ -494,6 +690,23 @@ _QUERIES: dict[str, Callable[[Data], DataFrame]] = {
     "column_metrics": column_metrics,
     "column_metrics_by_name": lambda d: column_metrics(d, by_name=True),
     "csv_round_trip": csv_round_trip,
+    "identical_by_key": identical_by_key,
+    "clean_run_summary": stage_summary("clean"),
+    "feature_run_summary": stage_summary("features"),
+    "report_run_summary": stage_summary("reports"),
+    "report_files": report_files,
+    "clean_files": clean_files,
+    "clean_csv": clean_csv,
+    "subscription_features_csv": subscription_features_csv,
+    "reason_lookup": reason_lookup,
+    "load_numeric_ids": load_numeric_ids,
+    "support_events_by_subscription": support_events_by_subscription,
+    "distinct_estimates": distinct_estimates,
+    "quantile_estimates": quantile_estimates,
+    "constant_columns_by_churn": constant_columns_by_churn,
+    "active_with_churn_date_native": active_with_churn_date_native,
+    "negative_months_after_end": negative_months_after_end,
+    **{f"dedupe_keep_most_complete_{n}": (lambda d, n=n: dedupe.keep_most_complete(d.raw[n], TABLES[n].pk)) for n in TABLES if n != "feature_usage"},
     "reason_texts": reason_texts,
     "column_profile": column_profile,
     "validation_checks": lambda d: validate.validation_checks(d.features.all(_VALIDATED)),
@@ -513,6 +726,7 @@ _QUERIES: dict[str, Callable[[Data], DataFrame]] = {
     "fault_injection": fault_injection,
     "new_ids": new_ids,
     "new_ids_overflow": new_ids_overflow,
+    "new_ids_in_gaps": new_ids_in_gaps,
     **{f"fault_injection_{n}": fault_injection_of(n) for n in ("subscriptions", "feature_usage", "churn_events", "support_tickets")},
     "merge_raw": merge_raw,
 }
