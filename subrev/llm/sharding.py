@@ -5,11 +5,15 @@ two shuffles each bucket (``shuffle`` is a seeded Fisher-Yates shuffle of an arr
 and puts the buckets one after the other.  The positions are cut into shards of equal
 counts: the law ``rows``, shard sizes at most one apart.
 
-Equal records are scattered like all others: they are folded to one row with a count
-first and told apart by a number, so a hot record does not fill a bucket.  The number
-of partitions of the second pass is fixed by the data and its rows are in bucket
-order there, so the seeded shuffle, which draws by partition, gives the same order on
-every run and on every retry.
+What is drawn and shuffled in memory are keys: two 64-bit hashes of a record and its number among
+equal records.  The records move once, into the partition of their bucket, together with the
+shuffled keys of the bucket, and take their positions there; that task also writes them.  So a bucket has no
+limit by the size of its texts, and a very large text is a row like any other.
+
+Equal records share their hashes and are told apart by a number, so a hot record does not
+fill a bucket.  Which of them gets which number makes no difference.  The number of partitions of the
+second pass is fixed by the data and its keys are in bucket order there, so the seeded
+shuffle, which draws by partition, gives the same order on every run and on every retry.
 
 Defined results: a null text has no bytes; an empty table gives no row; every column
 is carried, and only columns of map type cannot be.
@@ -17,7 +21,7 @@ is carried, and only columns of map type cannot be.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subrev.llm.common import Scratch, fresh
@@ -31,6 +35,8 @@ BUCKET_BYTES = 16 << 20
 MAX_PARTITIONS = 20_000
 #: Copies of one record that one row stands for before it is split.
 COPIES = 10_000
+#: Hashes of repeated records that are broadcast, 24 bytes each; more are joined.
+FEW_REPEATED = 1 << 20
 
 
 def size_bytes(text: Column) -> Column:
@@ -46,23 +52,47 @@ def external_shuffle(records: DataFrame, weight: Column, position: str, seed: in
 
     ``weight`` is a record's bytes; with it the buckets are sized.
     """
-    n, total = records.agg(F.count("*"), F.sum(weight)).first()
-    buckets = max(1, -(-n // BUCKET_ROWS), -(-(total or 0) // BUCKET_BYTES))
+    scratch = Scratch(records.sparkSession, "shuffle")
     names = records.columns
-    folded = records.toDF(*[f"c{i}" for i in range(len(names))])
-    columns = folded.columns
-    folded = folded.groupBy(*columns).agg(F.count("*").alias("n"))
-    some = folded.select(*columns, "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(COPIES).cast("bigint"))).alias("from"))
-    each = some.select(*columns, F.explode(F.sequence("from", F.least(F.col("from") + COPIES, "n") - 1)).alias("copy"))
-    h = F.xxhash64(F.lit(seed), *columns, "copy")
-    scattered = each.withColumn("h", h).withColumn("bucket", F.pmod("h", F.lit(buckets)))
-    scattered = scattered.repartition(min(buckets, MAX_PARTITIONS), "bucket")
-    filled = scattered.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("h", "copy", *columns))).alias("rows"))
-    filled = filled.sortWithinPartitions("bucket").select("bucket", F.size("rows").cast("bigint").alias("n"), F.shuffle("rows", seed).alias("rows"))
-    starts = bucket_starts(scattered.groupBy("bucket").agg(F.count("*").alias("n")), [], "bucket", "n", "start")
-    placed = filled.select("bucket", F.posexplode("rows").alias("at", "row")).select("bucket", "at", *[F.col(f"row.{c}").alias(c) for c in columns])
-    placed = _join(placed, starts, ["bucket"], take="start")
-    return placed.select(*[F.col(c).alias(name) for c, name in zip(columns, names) if name != position], (F.col("start") + F.col("at")).alias(position))
+    columns = [f"c{i}" for i in range(len(names))]
+    rows = records.select("*", weight.cast("bigint").alias(fresh("weight", names))).toDF(*columns, "w")
+    # a hash skips nulls, so it also gets which columns are null
+    nulls = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    rows = rows.withColumn("a", F.xxhash64(nulls, *columns)).withColumn("b", F.xxhash64(F.lit(seed), nulls, *columns))
+    found = scratch.keep("records", rows.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("w").alias("w")))
+    n, total, repeated = found.agg(F.sum("n"), F.sum(F.col("n") * F.col("w")), F.count_if(F.col("n") > 1)).first()
+    buckets = max(1, -(-(n or 0) // BUCKET_ROWS), -(-(total or 0) // BUCKET_BYTES))
+    partitions = min(buckets, MAX_PARTITIONS)
+
+    def numbered(of: DataFrame) -> DataFrame:
+        """A row for every copy, in steps, as one record may have very many."""
+        some = of.withColumn("from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(COPIES).cast("bigint"))))
+        return some.withColumn("copy", F.explode(F.sequence("from", F.least(F.col("from") + COPIES, "n") - 1))).drop("from", "n")
+
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "a", "b", "copy"), F.lit(buckets))
+    keys = numbered(found.select("a", "b", "n")).withColumn("bucket", bucket)
+    drawn = keys.repartition(partitions, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("a", "b", "copy"))).alias("keys"))
+    drawn = drawn.sortWithinPartitions("bucket").select("bucket", F.size("keys").cast("bigint").alias("n"), F.shuffle("keys", seed).alias("keys"))
+    drawn = scratch.keep("drawn", drawn)
+    starts = bucket_starts(drawn.select("bucket", "n"), [], "bucket", "n", "start")
+    places = _join(drawn, starts, ["bucket"], take="start").select("bucket", "start", F.posexplode("keys").alias("at", "key"))
+    places = places.select("bucket", "key.*", (F.col("start") + F.col("at")).alias("position"))
+
+    carried = ["a", "b", "copy", *columns]
+    if not repeated:
+        copies = rows.withColumn("copy", F.lit(0).cast("bigint")).select(*carried)
+    else:
+        twice = found.where("n > 1").select(F.col("a").alias("_a"), F.col("b").alias("_b"), "n")
+        twice = F.broadcast(twice) if repeated <= FEW_REPEATED else twice
+        marked = rows.join(twice, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left")
+        single = marked.where(F.col("n").isNull()).withColumn("copy", F.lit(0).cast("bigint")).select(*carried)
+        folded = marked.where(F.col("n").isNotNull()).groupBy("a", "b", "n").agg(*[F.any_value(c).alias(c) for c in columns])
+        copies = single.unionByName(numbered(folded).select(*carried))
+    # records and keys of a bucket meet in one partition; the window needs no further exchange
+    both = copies.withColumn("bucket", bucket).withColumn("position", F.lit(None).cast("bigint")).withColumn("is_row", F.lit(True))
+    both = both.unionByName(places.withColumn("is_row", F.lit(False)), allowMissingColumns=True).repartition(partitions, "bucket")
+    placed = both.withColumn("position", F.max("position").over(Window.partitionBy("bucket", "a", "b", "copy"))).where("is_row")
+    return placed.select(*[F.col(c).alias(name) for c, name in zip(columns, names) if name != position], F.col("position").alias(position))
 
 
 def shard(records: DataFrame, weight: Column, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -76,8 +106,8 @@ def shard(records: DataFrame, weight: Column, shards: int = SHARDS, seed: int =
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, its records in slot order."""
-    (sharded.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+    """One folder per shard; the task that placed a bucket writes it, in slot order."""
+    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def assignments(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -95,18 +125,7 @@ def assignments(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Whole documents with size, text_crc32, law, shard and slot; columns of these names are replaced.
-
-    The two passes move 128-bit hashes of the records; equal records are folded, and the texts are
-    moved once, to their places.
-    """
+    """Whole documents with size, text_crc32, law, shard and slot; columns of these names are replaced."""
     sized = docs.withColumn("size", size_bytes(F.col("text"))).withColumn("text_crc32", text_crc(F.col("text"))).drop("law", "shard", "slot")
-    names = sized.columns
-    records = sized.toDF(*[f"c{i}" for i in range(len(names))])
-    columns = records.columns
-    # the hash skips nulls, so it also gets which columns are null
-    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
-    records = records.select("*", F.xxhash64(nulls, *columns).alias("a"), F.xxhash64(F.lit(SEED), nulls, *columns).alias("b"))
-    placed = shard(records.select("a", "b"), F.lit(16), shards)
-    once = records.dropDuplicates(["a", "b"])
-    return once.join(placed, ["a", "b"]).select(*[F.col(c).alias(name) for c, name in zip(columns, names)], F.lit("rows").alias("law"), "shard", "slot")
+    placed = shard(sized, F.col("size"), shards)
+    return placed.select(*sized.columns, F.lit("rows").alias("law"), "shard", "slot")

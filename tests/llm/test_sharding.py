@@ -80,3 +80,26 @@ def test_plan_has_no_python_and_empty_table(docs, nothing):
     plan = sharding.assignments(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan.replace("PythonRDD", "") and "InPandas" not in plan and "InArrow" not in plan
     assert sharding.assignments(nothing).count() == 0
+
+
+def test_a_very_large_text_among_small_ones(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_BYTES", 1 << 16)
+    rows = spark.range(300).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 7, F.repeat(F.lit("x"), 20_000_000)).otherwise("small").alias("text"))
+    got = sharding.assignments(rows, 4).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(300)) and max(r["size"] for r in got) == 20_000_016
+    assert sorted((r["shard"], r["slot"]) for r in got) == [(s, i) for s in range(4) for i in range(75)]
+
+
+def test_records_are_read_once_and_move_once_when_none_repeats(spark, tmp_path):
+    spark.range(500).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 50).alias("text")).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    plan = sharding.shard(docs, sharding.size_bytes(F.col("text")), 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{tmp_path}/docs") == 1
+    carried = [line for line in plan.splitlines() if "Exchange" in line and "REPARTITION_BY_NUM" in line]
+    assert len(carried) == 1 and "collect_list" not in plan
+
+
+def test_repeated_records_without_a_broadcast(docs, monkeypatch):
+    whole = rows_of(sharding.assignments(docs))
+    monkeypatch.setattr(sharding, "FEW_REPEATED", 0)
+    assert rows_of(sharding.assignments(docs)) == whole
