@@ -69,7 +69,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], budget: float, cap: fl
     rows = rows.withColumn("_budget", F.sum("source_size").over(every) * budget) \
         .withColumn("_level", (F.col("_budget") - F.coalesce(capped, F.lit(0.0))) / open_weight)
     # the first source, in order of its cap per weight, that the level leaves below its cap sets the level of all from it on
-    level = F.min(F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.struct(F.col("_cap") / F.col("_w"), F.col("_level").alias("level")))).over(every)
+    level = F.min(F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.struct(F.col("_cap") / F.col("_w"), "_rank", F.col("_level").alias("level")))).over(every)
     target = F.when(level.isNull(), F.col("_cap")).otherwise(F.least("_cap", level["level"] * F.col("_w")))
     rows = rows.withColumn("target", target).withColumn("words", F.round("target").cast("bigint"))
     upto = F.sum("words").over(Window.orderBy("_rank"))

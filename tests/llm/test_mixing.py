@@ -92,3 +92,13 @@ def test_golden_points_keep_their_precision(spark):
     for i in (1, 2, 1000, 10**9, 10**12):
         x = spark.range(1).select(mixing.golden(F.lit(i)).alias("x")).first()["x"]
         assert abs(Decimal(x) - (i * ratio) % 1) < Decimal("1e-7")
+
+
+@pytest.mark.parametrize("n", [6, 60, 3000])
+def test_targets_of_equal_sources_use_the_budget_up(spark, n):
+    """Ties of cap per weight: the first in order that the level leaves open sets it."""
+    rows = [(f"s{i:05d}", 100) for i in range(n)]
+    plan = mixing.targets(spark.createDataFrame(rows, "source string, source_size bigint"), (5, 2, 1), 1.5, 2.0).collect()
+    want = plain_targets(dict(rows), (5, 2, 1), 1.5, 2.0)
+    assert all(r["target"] == pytest.approx(want[r["source"]]) for r in plan)
+    assert sum(r["target"] for r in plan) == pytest.approx(150 * n)
