@@ -108,8 +108,15 @@ def _spans(t: Texts, inside: np.ndarray, fold: np.ndarray | None, begins: np.nda
     c = t.data[at] if fold is None else fold[t.data[at]]
     v = _BYTE_AT[((place & 63) << 8) | c]
     if length.max() > 64:
-        v *= ((place >> 6) * 2 + 1).astype(U64)
-    h = mix(np.add.reduceat(v, np.cumsum(length) - length) + length.astype(U64))
+        # blocks of 64 bytes share the tables: each is mixed with its number before they are added up
+        begin = np.flatnonzero((place & 63) == 0)
+        block, number = np.add.reduceat(v, begin), place[begin] >> 6
+        v = np.where(number == 0, block, mix(block ^ mix(number.astype(U64))))
+        blocks = (length + 63) >> 6
+        total = np.add.reduceat(v, np.cumsum(blocks) - blocks)
+    else:
+        total = np.add.reduceat(v, np.cumsum(length) - length)
+    h = mix(total + length.astype(U64))
     return Spans(start, end, doc, h, first)
 
 

@@ -53,6 +53,7 @@ def measure(t: flat.Texts) -> dict[str, np.ndarray]:
     order = np.argsort(key, kind="stable")
     again = np.zeros(len(key), bool)
     again[order[1:]] = key[order[1:]] == key[order[:-1]]
+    _verify_lines(t, rows.start[full], rows.end[full], key, order, again)
     stutter = np.flatnonzero((w.hash[1:] == w.hash[:-1]) & (w.doc[1:] == w.doc[:-1])) + 1
     return {
         "n_words": np.diff(w.first), "word_chars": flat.per_doc(t, byte_doc[begins_char]),
@@ -62,6 +63,23 @@ def measure(t: flat.Texts) -> dict[str, np.ndarray]:
         "n_stutters": flat.per_doc(t, w.doc[stutter])}
 
 
+def _verify_lines(t: flat.Texts, start: np.ndarray, end: np.ndarray, key: np.ndarray, order: np.ndarray, again: np.ndarray) -> None:
+    """Compare each repeated line with the one of its hash before it; lines that differ are told apart by their bytes."""
+    at = np.flatnonzero(again[order[1:]]) + 1
+    a, b = order[at - 1], order[at]
+    size = end[b] - start[b]
+    same = end[a] - start[a] == size
+    place = np.arange(size[same].sum()) - np.repeat(np.cumsum(size[same]) - size[same], size[same])
+    differs = t.data[np.repeat(start[a[same]], size[same]) + place] != t.data[np.repeat(start[b[same]], size[same]) + place]
+    bad = np.unique(np.concatenate([key[b[~same]], key[b[same][np.unique(np.repeat(np.arange(same.sum()), size[same])[differs])]]]))
+    for k in bad.tolist():
+        seen: set[bytes] = set()
+        for i in np.flatnonzero(key == np.uint64(k)).tolist():
+            line = t.data[start[i]: end[i]].tobytes()
+            again[i] = line in seen
+            seen.add(line)
+
+
 RULE_NAMES = ("few_words", "repeated_windows", "symbols", "repeated_lines", "word_length", "upper_case", "stutter")
 
 

@@ -68,3 +68,10 @@ def test_rows_of_one_id(spark):
     rows = [(1, "a b c d e f", "en", "s", 1), (1, "u v w x y z", "en", "s", 1), (1, "a b c d e f", "en", "s", 1)]
     got = jaccard_join.one_of_each(spark.createDataFrame(rows, DOCS), 5, 80)
     assert sorted(r["text"] for r in got.collect()) == ["a b c d e f", "u v w x y z"]
+
+
+def test_long_words_of_the_same_blocks_are_different_shingles(spark):
+    a, b = "abcdefgh" * 8, "hgfedcba" * 8
+    rows = [(1, f"x {a}{b}{b}{a} y"), (2, f"x {b}{a}{a}{b} y"), (3, f"x {a}{b}{b}{a} y")]
+    got = jaccard_join.near_classes(spark.createDataFrame(rows, "doc_id bigint, text string"), size=3, percent=90).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 2, 3: 1}

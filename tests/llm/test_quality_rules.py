@@ -1,9 +1,10 @@
 from collections import Counter
 
+import pyarrow as pa
 from helpers import docs, documents, nothing, rows_of, words
 from pyspark.sql import functions as F
 
-from subrev.llm import quality_rules
+from subrev.llm import flat, quality_rules
 
 
 def measured(text):
@@ -41,3 +42,26 @@ def test_empty_table_and_clashing_columns(docs, nothing):
     assert quality_rules.rule_verdicts(nothing).count() == 0
     clash = docs.withColumn("n_words", F.lit("x")).withColumn("failures", F.lit(1)).withColumn("kept", F.lit(None))
     assert rows_of(quality_rules.rule_verdicts(clash)) == rows_of(quality_rules.rule_verdicts(docs))
+
+
+A, B = ("abcdefgh" * 8, "hgfedcba" * 8)
+
+
+def test_long_lines_and_words_of_the_same_blocks(spark):
+    """64-byte blocks in another order are another line."""
+    text = f"{A}{B}{B}{A}\n{B}{A}{A}{B}\n{A}{A}{B}{B}\n{A}{B}{B}{A}"
+    row = quality_rules.rule_verdicts(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert row["n_dup_lines"] == 1
+
+
+def test_lines_behind_equal_hashes_are_compared(spark, monkeypatch):
+    real = flat.lines
+
+    def blind(t):
+        rows = real(t)
+        rows.hash[:] = 5
+        return rows
+
+    monkeypatch.setattr(quality_rules.flat, "lines", blind)
+    t = flat.texts_of(pa.array(["one x\ntwo y\none x\none x\nthree", "one x\n \nfour", None]))
+    assert quality_rules.measure(t)["n_dup_lines"].tolist() == [2, 0, 0]
