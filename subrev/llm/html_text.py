@@ -21,7 +21,8 @@ a page without any, most of its words.
 Defined results: null or empty html, and a page without words outside the elements
 left out, give the empty text; of regions with equal sums the first and then the
 longest is taken; broken or unclosed tags end with the element around them; repeated
-rows get rows of their own; other columns are ignored.
+rows get rows of their own; other columns are ignored; an empty table has no row, and
+learns nothing.
 """
 
 from __future__ import annotations
@@ -61,9 +62,16 @@ LEFT_OUT_NAMES = frozenset("""ad ads advert adverts advertisement advertising ad
     commentlist replies respond disqus disqus_thread footer site-footer page-footer masthead site-header topbar copyright""".split())
 KNOWN = BLOCKS | VOID | LEFT_OUT | frozenset("a abbr b big cite code del em font i ins kbd mark q s samp small span strike strong sub sup tt u var".split())
 MARKS = ("article", "main")
+HEADINGS = ("h1", "h2", "h3")
+# What no title holds.
+NO_TITLE = ("nav", "ul", "ol", "form", "input", "table")
 RUNNING = (KNOWN - BLOCKS) | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_QUOTED = re.compile(r"""((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
+_PLAIN = re.compile(r"([^>]*)>")
+#: Tags of a page whose quotes do not close, after which quotes count for nothing in the rest of it.
+BROKEN_QUOTES = 8
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _TELLING = re.compile(r"class|id|role|hidden|style", re.I)
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
@@ -80,8 +88,45 @@ class Token:
         self.kind, self.name, self.text, self.inside = kind, name, text, inside
 
 
-def _never_text(name: str, marked: bool) -> bool:
-    return name != "form" and name in LEFT_OUT or (name == "header" and not marked)
+def _tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(start, end, is an end tag, name, attributes) of tags in page order; comments and declarations have no name.
+
+    Every step moves on or is one of a fixed number of failures, so the time is linear in the page.
+    """
+    last, broken, at = page.rfind(">"), 0, 0
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            end = len(page) if end < 0 else end + 3
+        elif start > last:
+            # no tag ends after this place, but a comment may begin
+            at = page.find("<!--", start)
+            if at < 0:
+                return
+            continue
+        elif page.startswith(("<!", "<?"), start):
+            end = page.find(">", start) + 1
+        else:
+            name = _NAME.match(page, start)
+            if name is None:
+                at = start + 1
+                continue
+            rest = _QUOTED.match(page, name.end()) if broken < BROKEN_QUOTES else None
+            if rest is None:
+                broken += 1
+                rest = _PLAIN.match(page, name.end())
+            if rest is None:
+                at = start + 1
+                continue
+            at = yield start, rest.end(), name[1] == "/", name[2].lower(), rest[1]
+            at = at or rest.end()
+            continue
+        yield start, end, False, "", ""
+        at = end
+
+
+def _never_text(name: str) -> bool:
+    return name != "form" and name in LEFT_OUT
 
 
 def _in_doubt(name: str, attributes: str) -> bool:
@@ -105,24 +150,62 @@ def _decide(found: list[Token], doubtful: list[tuple[int, int, str]]) -> list[To
     """The tokens without those of doubtful elements (from, to, name).
 
     An element stays if it has all the marked articles of the page, or, on a page without any, more than half of
-    the words; the scores then judge its words like all others.  A form stays for the former only.
+    the words; the scores then judge its words like all others.  A form stays for the former only.  A header inside
+    the page also stays if it has a heading and no list, menu or form: the title of a text rather than the head of a site.
     """
     marks = [i for i, t in enumerate(found) if t.kind == "tag" and t.name in MARKS]
     words = [0, *itertools.accumulate(len(t.text.split()) for t in found)] if not marks else []
+    headings, lists = ([0, *itertools.accumulate(t.kind == "tag" and t.name in names for t in found)] for names in (HEADINGS, NO_TITLE))
     gone = bytearray(len(found))
-    for start, end, name in doubtful:
+    reach = 0  # what is before this place and after the start of the present element is gone
+    for start, end, name in sorted(doubtful, key=lambda d: (d[0], -d[1])):
+        if end <= reach:
+            continue
         if marks and start <= marks[0] and marks[-1] < end:
             continue
         if not marks and name != "form" and 2 * (words[end] - words[start]) > words[-1]:
             continue
+        if name == "header" and headings[end] > headings[start] and lists[end] == lists[start]:
+            continue
         gone[start:end] = b"\1" * (end - start)
+        reach = end
     return [t for t, out in zip(found, gone) if not out]
 
 
+class _Open:
+    """The open elements: their names, and where each name and the blocks are, so that no step searches them all."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.of: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, name: str) -> None:
+        self.of.setdefault(name, []).append(len(self.names))
+        if name in BLOCKS:
+            self.blocks.append(len(self.names))
+        self.names.append(name)
+
+    def pop(self) -> str:
+        name = self.names.pop()
+        self.of[name].pop()
+        if name in BLOCKS:
+            self.blocks.pop()
+        return name
+
+    def innermost(self, name: str) -> int:
+        """Depth of the innermost open element of the name, or -1."""
+        at = self.of.get(name)
+        return at[-1] if at else -1
+
+    def block_above(self, depth: int) -> bool:
+        return bool(self.blocks) and self.blocks[-1] > depth
+
+
 def tokens(page: str) -> list[Token]:
     """Words and tags in page order; ``inside`` tells whether a token is in a marked article."""
     out: list[Token] = []
-    stack: list[str] = []
+    stack = _Open()
     skip = 0  # depth of the stack at which the element left out began
     marked = 0
     at = 0
@@ -131,66 +214,70 @@ def tokens(page: str) -> list[Token]:
 
     def text(raw: str) -> None:
         if raw and not skip:
-            block = next((s for s in reversed(stack) if s in BLOCKS), "body")
-            link = "a" in stack[-3:]
+            block = stack.names[stack.blocks[-1]] if stack.blocks else "body"
+            link = "a" in stack.names[-3:]
             out.append(Token("words", f"{block if block in KNOWN else 'other'}{'/a' if link else ''}", raw, marked > 0))
 
     def close(depth: int) -> None:
         nonlocal skip, marked
-        while len(stack) > depth:
+        while len(stack.names) > depth:
             gone = stack.pop()
             marked -= gone in MARKS
-            if skip > len(stack):
+            if skip > len(stack.names):
                 skip = 0
-            if open_doubt and open_doubt[-1][0] > len(stack):
+            if open_doubt and open_doubt[-1][0] > len(stack.names):
                 _, start, name = open_doubt.pop()
                 doubtful.append((start, len(out), name))
 
     n = len(page)
-    while at < n:
-        m = _TAG.search(page, at)
-        if m is None:
-            text(page[at:])
-            break
-        text(page[at:m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+    tags = _tags(page)
+    tag = next(tags, None)
+    while tag is not None:
+        start, end, ends, name, attributes = tag
+        text(page[at:start])
+        at = end
         if not name:
+            tag = next(tags, None)
             continue
         known = name if name in KNOWN else "other"
-        if m[1] or m[4]:
-            if name in stack:
-                low = len(stack) - 1 - stack[::-1].index(name)
-                # an inline end tag does not reach out of its block
-                if name in BLOCKS or not any(s in BLOCKS for s in stack[low + 1:]):
-                    close(low)
+        if ends:
+            low = stack.innermost(name)
+            # an inline end tag does not reach out of its block
+            if low >= 0 and (name in BLOCKS or not stack.block_above(low)):
+                close(low)
             if not skip:
                 out.append(Token("tag", f"/{known}", "", marked > 0))
+            tag = next(tags, None)
             continue
-        attributes = m[3] if m[2] else m[6]
         for open_name, by in _CLOSES.items():
-            if name in by and open_name in stack:
-                low = len(stack) - 1 - stack[::-1].index(open_name)
-                if not any(s in BLOCKS for s in stack[low + 1:]):
+            if name in by:
+                low = stack.innermost(open_name)
+                if low >= 0 and not stack.block_above(low):
                     close(low)
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = end.end() if end else n
+            close_tag = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            at = close_tag.end() if close_tag else n
             if not skip:
                 out.append(Token("tag", "out", "", marked > 0))
+            try:
+                tag = tags.send(at)
+            except StopIteration:
+                tag = None
             continue
         if not skip:
             out.append(Token("tag", known, "", marked > 0))
-        if name in VOID:
-            continue
-        marked += name in MARKS
-        stack.append(name)
-        if not skip:
-            if _never_text(name, marked > 0):
-                skip = len(stack)
-            elif _in_doubt(name, attributes or ""):
-                open_doubt.append((len(stack), len(out), name))
-    doubtful += [(start, len(out), name) for _, start, name in open_doubt]
+        if name not in VOID:
+            top = not stack.names or stack.names[-1] in ("body", "html")
+            marked += name in MARKS
+            stack.push(name)
+            if not skip:
+                if _never_text(name) or (name == "header" and not marked and top):
+                    skip = len(stack.names)
+                elif _in_doubt(name, attributes or "") or (name == "header" and not marked):
+                    open_doubt.append((len(stack.names), len(out), name))
+        tag = next(tags, None)
+    text(page[at:])
+    close(0)
     return _decide(out, doubtful) if doubtful else out
 
 

@@ -1,6 +1,8 @@
 import itertools
 import random
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from subrev.llm import html_text
@@ -75,3 +77,30 @@ def test_best_region_against_all_regions():
         a, z = html_text.best_region(s)
         best = max([0, *(sum(s[i:j]) for i, j in itertools.combinations(range(len(s) + 1), 2))])
         assert sum(s[a:z]) == best
+
+
+@pytest.mark.parametrize("part", ['<a href="x ', "<a ", "<div>", "<p><b>", "<header><h1>", '<div class="ad">', "<li><div>", "</b>", "<!--", "<a title='x>\"", "<svg><a>"])
+def test_broken_pages_of_a_megabyte_take_linear_time(part):
+    page = part * (1_000_000 // len(part))
+    html_text.tokens(page)
+    begin = time.perf_counter()
+    html_text.tokens(page)
+    assert time.perf_counter() - begin < 6  # seconds; a quadratic scan takes minutes
+
+
+def words_of(page):
+    return " ".join(" ".join(t.text.split()) for t in html_text.tokens(page) if t.kind == "words").split()
+
+
+def test_title_in_a_header_of_the_text_stays():
+    post = '<body><div class="post"><header><h1>My title</h1></header><p>Some text of the post.</p></div></body>'
+    assert words_of(post) == "My title Some text of the post.".split()
+    site = '<body><header><h1>The site</h1></header><div><header><h2>Menu</h2><ul><li>Home</li></ul></header><p>Some text.</p></div></body>'
+    assert words_of(site) == ["Some", "text."]
+
+
+def test_unclosed_quotes_and_tags_keep_the_rest():
+    assert words_of('<p>one <a href="x>two</a> three</p><p>four</p>')[:1] == ["one"]
+    assert words_of("<p>a < b and c <3 d</p>") == "a < b and c <3 d".split()
+    assert words_of("<p>x</p><!-- never closed <p>y</p>") == ["x"]
+    assert words_of("<p>x <b") == ["x", "<b"]
