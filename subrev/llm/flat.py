@@ -125,6 +125,11 @@ def words(t: Texts, kind: np.ndarray = NOT_SPACE, lower: bool = False) -> Spans:
     return _spans(t, kind[fold[t.data] if lower else t.data], fold)
 
 
+def runs(t: Texts, kind: np.ndarray, fold: np.ndarray, begins: np.ndarray) -> Spans:
+    """Runs of bytes of a class, folded, cut in two at ``begins``."""
+    return _spans(t, kind[t.data], fold, begins)
+
+
 def lines(t: Texts) -> Spans:
     """Non-empty \\n-split lines."""
     return _spans(t, t.data != 0x0A, None)

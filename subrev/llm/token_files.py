@@ -3,7 +3,7 @@
 Documents in ascending id are encoded whole, an end id after each, and the ids are
 cut into shards of whole documents.  Within a shard frequent pairs of neighbouring
 symbols are replaced by new symbols, round after round; a round replaces many pairs
-at once whose occurrences cannot overlap.  A shard file holds the rules, the length
+at once whose occurrences cannot overlap (in a run of one symbol, every other pair).  A shard file holds the rules, the length
 that each rule expands to, the remaining sequence and where each document starts, so
 any range of ids is decoded from the symbols that cover it.
 
@@ -43,17 +43,26 @@ MIN_COUNT = 8
 TABLE_BITS = 16
 #: A round that shortens the sequence by less than this share is the last.
 LEAST_GAIN = 0.005
-#: Words whose ids a worker remembers.
+#: Runs whose ids a worker remembers before it forgets half of them, and runs that are encoded in one text.
 REMEMBERED = 600_000
+JOINED = 64
+#: Bytes of text that are encoded at once.
+SLICE_BYTES = 4 << 20
+_CLOSING = np.zeros(256, bool)
+_CLOSING[list(b".,;:!?")] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _HEAD = struct.Struct("<4s5q")
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Ids of whole texts from a tokenizer whose pieces never cross ASCII white space and that drops it.
+    """Ids of whole texts from a tokenizer whose pieces never cross ASCII white space, drop it and fold ASCII case.
 
-    The text is therefore the concatenation of its runs between white space, and a run
-    that was met before need not be encoded again.
+    The text is therefore the concatenation of its runs between white space, in lower case; closing
+    punctuation after an ASCII letter or digit is a piece of its own, so it is cut off.  The
+    different runs of a batch are found by their hashes, compared byte by byte, and
+    each is encoded once; runs met before are remembered, the least used are forgotten.
     """
 
     def __init__(self, path: str) -> None:
@@ -61,24 +70,96 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def _encode_new(self, runs: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        runs = [t.split() for t in texts]
-        known = self.known
-        new = {w for r in runs for w in r if w not in known}
-        more: dict[bytes, bytes] = {}
+        (self.comma,) = self.tokenizer.encode(",", add_special_tokens=False).ids
+        self.place: dict[bytes, int] = {}
+        self.uses = np.zeros(0, np.int64)
+        self.first = np.zeros(1, np.int64)  # ids of remembered run i: pool[first[i]: first[i + 1]]
+        self.pool = np.zeros(0, np.uint32)
+
+    def _ids_of(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts) of runs, many in one text with a comma between; those that hold one go alone."""
+        alone = [i for i, r in enumerate(runs) if b"," in r]
+        joined = [i for i, r in enumerate(runs) if b"," not in r]
+        texts = [" , ".join([runs[i].decode() for i in joined[k: k + JOINED]]) + " ," for k in range(0, len(joined), JOINED)]
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *found])
+        end = np.flatnonzero(ids == self.comma)
+        counts = np.zeros(len(runs), np.int64)
+        counts[joined] = np.diff(np.concatenate([[-1], end])) - 1
+        apart = self.tokenizer.encode_batch_fast([runs[i].decode() for i in alone], add_special_tokens=False)
+        counts[alone] = [len(e.ids) for e in apart]
+        # runs encoded alone come last in the pool, so the order of the runs is restored by their places
+        pool = np.concatenate([np.delete(ids, end), *[np.array(e.ids, np.uint32) for e in apart]])
+        order = np.array(joined + alone, np.int64)
+        start = np.zeros(len(runs), np.int64)
+        start[order] = np.cumsum(counts[order]) - counts[order]
+        return pool[_runs(start, counts)], counts
+
+    def _forget(self) -> None:
+        """Keep the half of the remembered runs that is used most."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[: REMEMBERED // 2])
+        new = np.full(len(self.uses), -1, np.int64)
+        new[keep] = np.arange(len(keep))
+        counts = np.diff(self.first)[keep]
+        self.pool = self.pool[_runs(self.first[keep], counts)]
+        self.first = np.concatenate([[0], np.cumsum(counts)])
+        self.uses = self.uses[keep] // 2
+        self.place = {r: int(new[i]) for r, i in self.place.items() if new[i] >= 0}
+
+    def encode(self, texts: flat.Texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        w = flat.runs(texts, flat.NOT_SPACE, flat.LOWER, _closing(texts))
+        if not len(w.hash):
+            return np.zeros(0, np.uint32), np.zeros(texts.n, np.int64)
+        _, first, of = np.unique(w.hash, return_index=True, return_inverse=True)
+        size, low = w.end - w.start, flat.LOWER[texts.data]
+        # bytes behind equal hashes are the same, or the run stands for itself
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        same = size == size[first[of]]
+        at = np.where(same, w.start[first[of]], w.start)
+        differs = low[np.repeat(w.start, size) + place] != low[np.repeat(at, size) + place]
+        odd = np.unique(np.concatenate([np.flatnonzero(~same), np.repeat(np.arange(len(size)), size)[differs]]))
+        of[odd] = len(first) + np.arange(len(odd))
+        first = np.concatenate([first, odd])
+
+        if len(self.uses) > REMEMBERED:
+            self._forget()
+        data = low.tobytes()
+        runs = [data[a:z] for a, z in zip(w.start[first].tolist(), w.end[first].tolist())]
+        known = self.place
+        new = list(dict.fromkeys(r for r in runs if r not in known))
         if new:
-            more = dict(zip(new, self._encode_new([w.decode() for w in new])))
-            if len(known) < REMEMBERED:
-                known.update(more)
-                more = {}
-        if more:
-            return [np.frombuffer(b"".join([known[w] if w in known else more[w] for w in r]), np.uint32) for r in runs]
-        return [np.frombuffer(b"".join([known[w] for w in r]), np.uint32) for r in runs]
+            ids, counts = self._ids_of(new)
+            known.update(zip(new, range(len(self.uses), len(self.uses) + len(new))))
+            self.pool = np.concatenate([self.pool, ids])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        entry = np.array([known[r] for r in runs], np.int64)[of]
+        self.uses += np.bincount(entry, minlength=len(self.uses))
+        counts = np.diff(self.first)[entry]
+        return self.pool[_runs(self.first[entry], counts)], np.bincount(w.doc, counts, texts.n).astype(np.int64)
+
+
+def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Places of consecutive entries: start[i], start[i] + 1, ... count[i] of them, for every i."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def _closing(t: flat.Texts) -> np.ndarray:
+    """Where closing punctuation begins that follows an ASCII letter or digit and ends its run."""
+    n = len(t.data)
+    mark = np.zeros(n + 1, bool)
+    mark[:n] = _CLOSING[t.data]
+    ends = np.ones(n + 1, bool)
+    ends[:n] = flat.WHITE[t.data]
+    ends[t.offsets] = True
+    start = np.flatnonzero(mark[1:n] & ~mark[: n - 1] & _PLAIN[t.data[: n - 1]]) + 1
+    edge = np.zeros(n + 1, bool)
+    edge[t.offsets] = True
+    start = start[~edge[start]]
+    stop = np.flatnonzero(~mark | edge)  # first place after a run of marks, or a text's beginning
+    after = stop[np.searchsorted(stop, start, "right")]
+    return start[ends[after]]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -88,12 +169,12 @@ def encoder(path: str) -> WordEncoder:
 
 
 def _choose(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Frequent pairs of which none ends with a symbol that another, or itself, begins with."""
+    """Frequent pairs of which none ends with a symbol that another begins with; a pair of one symbol shares it with no other."""
     order = np.lexsort((pairs, -counts))[: 4 * PAIRS_PER_ROUND]
     left, right, out = set(), set(), []
     for p in pairs[order].tolist():
         a, b = p >> 32, p & 0xFFFFFFFF
-        if a != b and a not in right and b not in left:
+        if a not in right and b not in left and (a != b or a not in left):
             left.add(a)
             right.add(b)
             out.append(p)
@@ -128,6 +209,10 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
         table[_place(chosen)] = np.arange(len(chosen))
         at = table[_place(code)]
         hit = np.flatnonzero(chosen[at] == code)
+        # in a run of one symbol the pairs overlap: every other one from the left is replaced
+        follows = np.concatenate([[False], (hit[1:] == hit[:-1] + 1) & (code[hit[1:]] == code[hit[:-1]])])
+        begin = np.flatnonzero(~follows)
+        hit = hit[(np.arange(len(hit)) - np.repeat(begin, np.diff(np.concatenate([begin, [len(hit)]])))) % 2 == 0]
         seq[hit] = top + at[hit]
         keep = np.ones(len(seq), bool)
         keep[hit + 1] = False
@@ -215,10 +300,10 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, shard_ids: int = SHA
                  pa.array([symbols_in(data)], pa.int64()), pa.array([data], pa.binary())], names=["part", "file", "doc_ids", "n_ids", "n_symbols", "data"])
 
         for batch in batches:
-            for b in flat.slices(batch, "text", 1 << 20):
+            for b in flat.slices(batch, "text", SLICE_BYTES):
                 part = b.column("part")[0].as_py()
-                texts = [x or b"" for x in b.column("text").cast(pa.binary()).to_pylist()]
-                for doc, found in zip(b.column("doc_id").to_pylist(), encode.encode(texts)):
+                encoded, counts = encode.encode(flat.texts_of(b.column("text")))
+                for doc, found in zip(b.column("doc_id").to_pylist(), np.split(encoded, np.cumsum(counts)[:-1])):
                     ids.append(doc)
                     kept.append(np.concatenate([found, end]))
                     n += len(found) + 1

@@ -4,26 +4,57 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import ODD, docs, documents, nothing, prose
 from pyspark.sql import functions as F
 
-from subrev.llm import token_counts, token_files
+from subrev.llm import flat, token_counts, token_files
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 MORE = ["", "Σίσυφος ΟΔΟΣ ς", "é ́x", "a b c\u0085d\x1ce", "don't 's 't\n're", "<|startoftext|>x<|endoftext|> y", "ǅİ İ", "x" * 3000]
 
 
-def test_run_by_run_encoding_equals_whole_texts():
+@pytest.mark.parametrize("remembered", [600_000, 40])
+def test_run_by_run_encoding_equals_whole_texts(monkeypatch, remembered):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(token_files, "REMEMBERED", remembered)
     whole, fast = Tokenizer.from_file(WORDS), token_files.WordEncoder(WORDS)
     rng = random.Random(3)
     alphabet = "aAbZ9 '.\n\té́ß Σ<|>漢\U0001f600"
-    texts = [t or "" for t in [*ODD, *MORE]] + ["".join(rng.choice(alphabet) for _ in range(60)) for _ in range(300)]
-    for t, ids in zip(texts, fast.encode([t.encode() for t in texts])):
-        assert ids.tolist() == whole.encode(t, add_special_tokens=False).ids, t
+    closing = ["x.. y,z, ,a, b.,c .d e.\u0338 f!\u0301 E\u0301. \u03a3. ok.) (ok). 5. 5.5, ; end.", ",", ", ,,", "a." * 500, "A,B. c!?"]
+    texts = [t or "" for t in [*ODD, *MORE, *closing]] + ["".join(rng.choice(alphabet + ",!") for _ in range(60)) for _ in range(300)]
+    for k in range(0, len(texts), 50):
+        part = texts[k: k + 50]
+        ids, counts = fast.encode(flat.texts_of(pa.array(part)))
+        for t, found in zip(part, np.split(ids, np.cumsum(counts)[:-1])):
+            assert found.tolist() == whole.encode(t, add_special_tokens=False).ids, t
+    assert len(fast.place) == len(fast.uses) == len(fast.first) - 1
+
+
+def test_runs_behind_equal_hashes_are_compared(monkeypatch):
+    real = flat.runs
+
+    def blind(*args):
+        w = real(*args)
+        w.hash[:] = 7
+        return w
+
+    texts = pa.array(["one two three one", "TWO two. 3", None])
+    fast = token_files.WordEncoder(WORDS)
+    want = fast.encode(flat.texts_of(texts))
+    monkeypatch.setattr(token_files.flat, "runs", blind)
+    got = token_files.WordEncoder(WORDS).encode(flat.texts_of(texts))
+    assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
+def test_a_run_of_one_id_is_compressed():
+    ids = np.full(100_000, 9, np.uint32)
+    base, rules, seq = token_files.compress(ids)
+    assert len(rules) >= 8 and len(seq) < 500
+    assert token_files.Shard(token_files.pack([ids, ids[:77]])).document(1).tolist() == [9] * 77
 
 
 @pytest.mark.parametrize("n, symbols", [(0, 5), (1, 5), (5000, 3), (20_000, 50), (3000, 100_000)])
