@@ -10,7 +10,7 @@ to the count of the whole document.
 
 Defined results: a null or empty text is one empty section; a text that ends with a
 line feed has no section after it; repeated rows get rows of their own; other columns
-are ignored.
+are ignored; an empty table has no row.
 """
 
 from __future__ import annotations

@@ -19,8 +19,8 @@ one pass without a shuffle; the model is bounded by ``SAMPLE`` and the lengths o
 Defined results: null and empty texts, and texts without a term, get the score of no
 neighbours; a document with several labels is toxic if half of them or more say so;
 null labels and labels of unknown documents are ignored; without labels of both kinds
-every score is the share of toxic labels (0 without labels); repeated rows get rows of
-their own; other columns are ignored.
+every score is the share of toxic documents among the labelled (0 without labels); repeated
+rows get rows of their own; other columns are ignored; an empty table has no row.
 """
 
 from __future__ import annotations
@@ -261,12 +261,26 @@ def term_weights(examples: list[tuple[int, int, dict[str, int] | Counts]]) -> di
     return out
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, text, toxic): at most ``sample`` documents of each kind, those of the least hash of their id."""
+def document_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic): one row per document that exists, is not held out and has a label."""
     kinds = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))) \
-        .groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = kinds.withColumn("rank", rank).where(F.col("rank") <= sample).select("doc_id", "toxic")
+        .groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
+    return kinds.join(docs.select(F.col("doc_id").cast("bigint").alias("doc_id")), "doc_id", "left_semi")
+
+
+def labelled_sample(docs: DataFrame, kinds: DataFrame, found: dict[int, int], sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, text, toxic): at most ``sample`` documents of each kind, those of the least hash of their id.
+
+    ``found`` counts the documents of each kind.  Hashes beyond those that can be among the least are
+    left out before the rows of a kind come together.
+    """
+    h = F.xxhash64("doc_id")
+    least = F.lit(False)
+    for kind, n in found.items():
+        share = min(1.0, 2 * sample / max(n, 1) + 50 / max(n, 1))
+        least = least | ((F.col("toxic") == kind) & (h <= F.lit(int(-(1 << 63) + share * ((1 << 64) - 1)) if share < 1 else (1 << 63) - 1)))
+    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(h, "doc_id"))
+    chosen = kinds.where(least).withColumn("rank", rank).where(F.col("rank") <= sample).select("doc_id", "toxic")
     # at most twice ``sample`` rows of two numbers, so they are broadcast
     met = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     again = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")))
@@ -274,8 +288,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    base = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).agg(F.avg("toxic")).first()[0] or 0.0
-    rows = labelled_sample(docs, labels).repartition(24, "doc_id").persist()
+    kinds = document_labels(docs, labels)
+    share = {r["toxic"]: r["count"] for r in kinds.groupBy("toxic").count().collect()}
+    base = share.get(1, 0) / sum(share.values()) if share else 0.0
+    rows = labelled_sample(docs, kinds, share).repartition(24, "doc_id").persist()
     try:
         found = rows.select("doc_id", "text", "toxic").mapInArrow(_counted, "doc_id bigint, toxic int, terms string, n binary")
         found = [(r["doc_id"], r["toxic"], Counts(r["terms"], bytes(r["n"]))) for r in found.toLocalIterator()]

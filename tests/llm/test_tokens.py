@@ -123,6 +123,30 @@ def test_section_counts(docs, rule):
         assert sum(r["n_tokens"] for r in mine) == seen[d] * len(encode.encode_ordinary(t or ""))
 
 
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_section_counts_against_bytes(docs, rule):
+    """Every token's bytes one by one: the section of the first, of the last, or of most of them."""
+    encode, _ = token_counts.encoder(RANKS, PATTERN)
+    want = Counter()
+    for d, t, *_ in documents():
+        data, line, of = (t or "").encode(), 0, []
+        for c in data:
+            of.append(line)
+            line += c == 0x0A
+        n = max(of, default=0) + 1
+        counts, crossing, at = [0] * n, [0] * n, 0
+        for token in encode.encode_ordinary(t or ""):
+            size = len(encode.decode_single_token_bytes(token))
+            mine, at = of[at: at + size], at + size
+            hits = Counter(mine)
+            s = {"first": mine[0], "last": mine[-1], "most": min(hits, key=lambda x: (-hits[x], x))}[rule]
+            counts[s] += 1
+            crossing[s] += len(hits) > 1
+        want.update((d, s, counts[s], crossing[s]) for s in range(n))
+    got = token_counts.section_tokens(docs, RANKS, PATTERN, rule).select("doc_id", "section", "n_tokens", "n_crossing").collect()
+    assert Counter(map(tuple, got)) == want
+
+
 def test_tokens_that_cross_a_boundary():
     start, end, bounds = np.array([0, 2, 6]), np.array([2, 6, 9]), np.array([0, 3, 5])
     assert token_counts.section_of(start, end, bounds, "first")[0].tolist() == [0, 0, 2]

@@ -105,3 +105,23 @@ def test_odd_texts_labels_and_columns(spark, docs, nothing):
         rows = toxicity.scores(clash, labels).collect()
         assert len(rows) == len(documents()) and all(0 <= r["score"] <= 1 for r in rows)
     assert toxicity.scores(nothing, one).count() == 0
+
+
+def test_labels_of_unknown_documents_change_nothing(spark, tables):
+    docs, labels = tables
+    more = spark.range(10**9, 10**9 + 3000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(1).alias("toxic")).select(*labels.columns)
+    twice = labels.unionByName(labels.where("toxic = 1")).unionByName(more)
+    few = docs.orderBy("doc_id").limit(60)
+    want = {r["doc_id"]: r["score"] for r in toxicity.scores(docs, labels).join(few.select("doc_id"), "doc_id", "left_semi").collect()}
+    got = {r["doc_id"]: r["score"] for r in toxicity.scores(docs, twice).join(few.select("doc_id"), "doc_id", "left_semi").collect()}
+    assert got == want
+
+
+def test_sample_takes_the_least_hashes(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
+    kinds = toxicity.document_labels(docs, labels)
+    share = {r["toxic"]: r["count"] for r in kinds.groupBy("toxic").count().collect()}
+    got = {(r["doc_id"], r["toxic"]) for r in toxicity.labelled_sample(docs, kinds, share, 40).collect()}
+    rows = sorted((r["h"], r["doc_id"], r["toxic"]) for r in kinds.withColumn("h", F.xxhash64("doc_id")).collect())
+    assert got == {(d, k) for k in (0, 1) for _, d, x in [r for r in rows if r[2] == k][:40] if x == k} and len(got) == 80
