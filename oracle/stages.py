@@ -121,6 +121,12 @@ FROM (SELECT *, CAST(regexp_replace(ticket_id, '[^0-9]', '', 'g') AS BIGINT) AS
     out["support_events_by_subscription"] = """SELECT ticket_id, s.account_id, resolution_bucket, e.reasons AS dirty_row_reason
 FROM sevents e LEFT JOIN subs_fe s ON s.subscription_id = 'S-' || regexp_replace(ticket_id, '[^0-9]', '', 'g')"""
 
+    out["fault_sample_one_row"] = "SELECT account_id, account_name, industry, country, churn_flag FROM clean_customers ORDER BY greatest(k * 7919 % 1000, 100), account_id LIMIT 1"
+    out["support_hours_per_row"] = f"""SELECT ticket_id, {rnd('x')} AS resolution_time_hours,
+  CASE WHEN x IS NULL THEN 'unknown' WHEN x < 24 THEN '<24h' WHEN x < 72 THEN '24-72h' ELSE '>72h' END AS resolution_bucket
+FROM (SELECT ticket_id, abs(CASE WHEN CAST(regexp_replace(ticket_id, '[^0-9]', '', 'g') AS BIGINT) % 3 <> 0 AND h IS NOT NULL THEN h
+  ELSE date_diff('second', submitted_at, closed_at) / 3600.0 END) AS x FROM sevents)"""
+
     def exact(report: str, keys: list[str], n: str) -> str:
         key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys)
         return f"SELECT '{report}' AS report, {key} AS group_key, CAST({n} AS BIGINT) AS exact, true AS close FROM ({known[report]})"

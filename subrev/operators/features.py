@@ -253,14 +253,16 @@ def first_use(fm: DataFrame, accounts: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- support
 def support_events(tickets: DataFrame, subs_fe: DataFrame | None = None,
-                   scores: Mapping[float, tuple[str, ...]] | None = None) -> DataFrame:
+                   scores: Mapping[float, tuple[str, ...]] | None = None, hours_per_row: bool = False) -> DataFrame:
     """One row per ticket: score, bucket and four more dirty reasons.
 
     When no ticket at all has resolution hours they are taken from the two
-    timestamps; when none has an account, from its subscription.
+    timestamps (with ``hours_per_row`` for every ticket without hours of its own); when none has an
+    account, from its subscription.
     """
     df = tickets
-    no_hours = tickets.agg(F.count("resolution_time_hours") == 0).scalar()
+    no_hours = (F.col("resolution_time_hours").isNull() if hours_per_row
+                else tickets.agg(F.count("resolution_time_hours") == 0).scalar())
     df = df.withColumn("resolution_time_hours", F.when(
         no_hours, dates.hours_between(F.col("submitted_at"), F.col("closed_at"))).otherwise(
         F.col("resolution_time_hours")))

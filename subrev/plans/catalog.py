@@ -575,6 +575,20 @@ def fault_injection(d: Data) -> DataFrame:
     return faults.inject(faults.sample_rows(_clean_customers(d), die), "accounts", die)
 
 
+def fault_sample_one_row(d: Data) -> DataFrame:
+    """A die that hits no row: the sample is the one row with the least."""
+    die = _die(_key_number())
+    return faults.sample_rows(_clean_customers(d), lambda name: F.greatest(die(name), F.lit(faults.SIDES // 10)))
+
+
+def support_hours_per_row(d: Data) -> DataFrame:
+    """Tickets of which every third lost its hours: they come from the two timestamps."""
+    t = d.features.input("support_tickets")
+    number = F.regexp_replace("ticket_id", "[^0-9]", "").cast("bigint")
+    t = t.withColumn("resolution_time_hours", F.when(number % 3 != 0, F.col("resolution_time_hours")))
+    return present(features.support_events(t, hours_per_row=True), "ticket_id", "resolution_time_hours", "resolution_bucket")
+
+
 def fault_injection_of(name: str) -> Callable[[Data], DataFrame]:
     """The fault rules of another table on its raw rows."""
     def run(d: Data) -> DataFrame:
@@ -729,6 +743,8 @@ _QUERIES: dict[str, Callable[[Data], DataFrame]] = {
     "new_ids_in_gaps": new_ids_in_gaps,
     **{f"fault_injection_{n}": fault_injection_of(n) for n in ("subscriptions", "feature_usage", "churn_events", "support_tickets")},
     "merge_raw": merge_raw,
+    "fault_sample_one_row": fault_sample_one_row,
+    "support_hours_per_row": support_hours_per_row,
 }
 for _name, _table in _FEATURE_QUERIES.items():
     _QUERIES[_name] = lambda d, t=_table: present(d.features[t])

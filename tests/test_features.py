@@ -202,3 +202,14 @@ def test_ticket_account_through_its_subscription(spark):
         "escalation_flag boolean, satisfaction_score double, subscription_id string")
     got = {r.ticket_id: r.account_id for r in features.support_events(tickets, sample(spark)).collect()}
     assert got == {"T1": "A1", "T2": None}
+
+
+def test_hours_from_timestamps_per_row(spark):
+    from datetime import datetime
+
+    rows = [("T1", "A", datetime(2024, 1, 1), datetime(2024, 1, 2), None), ("T2", "A", datetime(2024, 1, 1), datetime(2024, 1, 2), 3.0)]
+    tickets = spark.createDataFrame(rows, "ticket_id string, account_id string, submitted_at timestamp, closed_at timestamp, resolution_time_hours double") \
+        .withColumns({"priority": F.lit("high"), "escalation_flag": F.lit(False), "satisfaction_score": F.lit(1.0)})
+    for per_row, want in ((False, {"T1": None, "T2": 3.0}), (True, {"T1": 24.0, "T2": 3.0})):
+        got = {r.ticket_id: r.resolution_time_hours for r in features.support_events(tickets, hours_per_row=per_row).collect()}
+        assert got == want
