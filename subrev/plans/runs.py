@@ -67,6 +67,22 @@ class StageRun:
         return summary(self.spark, self.root)
 
 
+def remove_older(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    """Remove the folders of all but the ``keep`` newest committed runs, and of runs that never committed; returns their names.
+
+    Not to be called while a run of the stage is under way.
+    """
+    rows = manifest(spark, root)
+    newest_first = [] if rows is None else rows.select("seq", "folder").distinct().orderBy(F.desc("seq"), F.desc("folder")).limit(keep).collect()
+    kept = {r["folder"].rsplit("/", 1)[-1] for r in newest_first}
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/runs")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [x.getPath() for x in fs.listStatus(path) if x.getPath().getName() not in kept] if fs.exists(path) else []
+    for p in old:
+        fs.delete(p, True)
+    return sorted(p.getName() for p in old)
+
+
 def manifest(spark: SparkSession, root: str) -> DataFrame | None:
     """All committed runs of a stage."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/manifest")

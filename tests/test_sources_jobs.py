@@ -110,6 +110,9 @@ def test_a_killed_stage_leaves_the_former_one(spark, sf_dir, tmp_path, monkeypat
     again.write("clean/accounts", raw["accounts"])
     assert [r["run_id"] for r in again.commit().collect()] == ["third"]
     assert runs.newest(spark, root)["seq"] == 2
+    gone = runs.remove_older(spark, root)
+    assert len(gone) == 2 and [p.name for p in (tmp_path / "clean" / "runs").iterdir()] == [again.folder.rsplit("/", 1)[-1]]
+    assert spark.read.parquet(f"{runs.folder(spark, root)}/clean/accounts").count() == before["clean/accounts"]
 
 
 def test_features_read_plain_folders_too(spark, run, tmp_path):
