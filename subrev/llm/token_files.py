@@ -44,7 +44,7 @@ TABLE_BITS = 16
 #: A round that shortens the sequence by less than this share is the last.
 LEAST_GAIN = 0.005
 #: Runs whose ids a worker remembers before it forgets half of them, and runs that are encoded in one text.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 JOINED = 64
 #: Bytes of text that are encoded at once.
 SLICE_BYTES = 4 << 20
