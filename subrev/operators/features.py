@@ -331,6 +331,13 @@ def revenue_by_account(subs_fe: DataFrame, unique_keys: bool = False) -> DataFra
         _keys("_live_id", unique_keys).alias("num_active_subscriptions"))
 
 
+def account_revenue(accounts: DataFrame, subs_fe: DataFrame, unique_keys: bool = False) -> DataFrame:
+    """Account rows with their current revenue alone, as in :func:`account_base`."""
+    paid = revenue_by_account(subs_fe, unique_keys).select(F.col("account_id").alias("_acct"), "total_mrr")
+    return (accounts.select("account_id").join(paid, F.col("account_id") == F.col("_acct"), "left")
+            .select("account_id", F.coalesce("total_mrr", F.lit(0)).alias("total_mrr")))
+
+
 def usage_by_account(fm: DataFrame) -> DataFrame:
     """Total usage, and the mean over months of the number of different features used.
 
