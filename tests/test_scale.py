@@ -42,7 +42,8 @@ def test_deep_validation_writes_no_ranks_and_no_cohorts(data):
     ("schema_doc", {"churn_events", "accounts", "subscriptions", "feature_usage", "support_tickets"},
      {"subscriptions", "support_events", "support_by_account", "accounts"}),
     ("feature_usage_distribution", {"feature_usage"}, set()),
-    ("acct_mrr_stats_global", {"churn_events", "accounts", "subscriptions"}, {"subscriptions"})])
+    ("acct_mrr_stats_global", {"churn_events", "accounts", "subscriptions"}, {"subscriptions"}),
+    ("clean_usage", {"feature_usage"}, set())])
 def test_tables_a_query_writes(data, query, clean_made, features_made):
     lazy = rows(catalog._QUERIES[query](data))
     assert (set(data.clean._made), set(data.features._made)) == (clean_made, features_made)
