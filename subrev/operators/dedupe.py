@@ -85,11 +85,17 @@ def identical_count(df: DataFrame, pk: str, columns: Sequence[str], by: str = "k
 
 
 def flag_identical(df: DataFrame, pk: str, columns: Sequence[str], by: str = "key") -> DataFrame:
-    """Flag and log every member of the groups of :func:`identical_groups`."""
+    """Flag and log every member of the groups of :func:`identical_groups`.
+
+    Signatures meet by their SHA-256, so that neither exchange moves the cells.
+    """
     code = "duplicate_after_cleaning_detected"
-    groups = identical_groups(df, pk, columns, by).select(
-        F.col(pk if by == "key" else "signature").alias("_group"), F.lit(True).alias("_same"))
-    mine = F.col(pk) if by == "key" else signature(columns)
+    mine = F.col(pk) if by == "key" else F.unhex(F.sha2(signature(columns), 256))
+    if by == "key":
+        groups = identical_groups(df, pk, columns, by).select(F.col(pk).alias("_group"), F.lit(True).alias("_same"))
+    else:
+        groups = (df.groupBy(mine.alias("_group")).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1)
+                  .select("_group", F.lit(True).alias("_same")))
     out = df.withColumn("_mine", mine).join(groups, F.col("_mine").eqNullSafe(F.col("_group")), "left")
     log = RuleLog()
     log.correct(F.coalesce(F.col("_same"), F.lit(False)), code, "")
