@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subrev.functions import cases, dates, numeric
@@ -24,11 +24,11 @@ def _span(as_of: date | str) -> tuple[Column, Column, Column]:
     return start, paid, F.col("end_date").isNotNull()
 
 
-def ledger(subs_fe: DataFrame, as_of: date | str) -> DataFrame:
-    """Subscription x month with ``mrr`` and ``prev_mrr``. An end before the start gives no row."""
+def ledger(subs_fe: DataFrame, as_of: date | str, *carried: str) -> DataFrame:
+    """Subscription x month with ``mrr`` and ``prev_mrr``, and the ``carried`` columns. An end before the start gives no row."""
     start, paid, ended = _span(as_of)
     df = subs_fe.select("subscription_id", "account_id", "mrr_clean", start.alias("_start"), paid.alias("_paid"),
-                        ended.alias("_ended")).where(F.col("_start").isNotNull() & (F.col("_paid") > 0))
+                        ended.alias("_ended"), *carried).where(F.col("_start").isNotNull() & (F.col("_paid") > 0))
     last = F.col("_paid") - 1 + F.col("_ended").cast("bigint")
     df = df.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     i = F.col("_i")
@@ -37,23 +37,26 @@ def ledger(subs_fe: DataFrame, as_of: date | str) -> DataFrame:
         "subscription_id", "account_id", month.alias("month_start"), dates.month_key(month).alias("month"),
         F.when(i < F.col("_paid"), F.col("mrr_clean")).otherwise(0.0).alias("mrr"),
         F.when(i > 0, F.col("mrr_clean")).otherwise(0.0).alias("prev_mrr"),
-        dates.month_key(F.col("_start")).alias("cohort_month"), i.alias("months_since_signup"))
+        dates.month_key(F.col("_start")).alias("cohort_month"), i.alias("months_since_signup"), *carried)
 
 
 def ledger_with_prices(subs_fe: DataFrame, prices: DataFrame, as_of: date | str) -> DataFrame:
-    """Ledger in which ``prices(subscription_id, month, mrr)`` replaces the price of single months.
+    """Ledger in which ``prices(subscription_id, month, mrr)``, one row per subscription and month, replaces the price of single months.
 
-    The previous month is then another row; its window is keyed by subscription
-    and holds at most the months of one subscription.
+    The prices of a subscription, at most one per month, are folded to a map that its row meets before its months
+    are expanded; so a month and the month before it follow from one row, and ledger rows are not moved.
     """
-    base = ledger(subs_fe, as_of)
-    p = prices.select(F.col("subscription_id").alias("_sub"), F.col("month").alias("_month"), F.col("mrr").alias("_mrr"))
-    joined = base.join(p, (F.col("subscription_id") == F.col("_sub")) & (F.col("month") == F.col("_month")), "left")
-    active = F.col("mrr") != 0
-    repriced = joined.withColumn("mrr", F.when(active, F.coalesce("_mrr", "mrr")).otherwise(0.0)).drop(
-        "_sub", "_month", "_mrr")
-    by_month = Window.partitionBy("subscription_id").orderBy("month_start")
-    return repriced.withColumn("prev_mrr", F.lag("mrr", 1, 0.0).over(by_month))
+    one = F.struct("month", F.col("mrr").cast("double").alias("mrr"))
+    p = (prices.where(F.col("subscription_id").isNotNull() & F.col("month").isNotNull())
+         .groupBy(F.col("subscription_id").alias("_sub")).agg(F.map_from_entries(F.collect_list(one)).alias("_prices")))
+    base = ledger(subs_fe.join(p, F.col("subscription_id") == F.col("_sub"), "left"), as_of, "_prices")
+
+    def priced(usual: Column, month: Column) -> Column:
+        return F.when(usual != 0, F.coalesce(F.col("_prices")[month], usual)).otherwise(0.0)
+
+    before = dates.month_key(F.add_months("month_start", -1))
+    return base.withColumns({"mrr": priced(F.col("mrr"), F.col("month")),
+                             "prev_mrr": priced(F.col("prev_mrr"), before)}).drop("_prices")
 
 
 def with_changes(rows: DataFrame) -> DataFrame:
