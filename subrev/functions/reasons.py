@@ -8,6 +8,8 @@ projection: three columns appear on the table, ``dirty_row_flag``,
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +25,15 @@ def empty_reasons() -> Column:
     return F.array().cast(REASONS_TYPE)
 
 
+def _listed(cells: Sequence[tuple[Column, Column]], element: str) -> Column:
+    """The values whose condition holds, in order. Lists of one are joined, as that is compiled; dropping nulls from a list is not."""
+    none = F.array().cast(f"array<{element}>")
+    return F.concat(none, *[F.when(cond, F.array(value)).otherwise(none) for cond, value in cells])
+
+
 def append_reasons(existing: Column | None, *rules: tuple[Column, str]) -> Column:
     """Existing list plus the code of every rule that holds, each code once."""
-    fired = F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in rules]))
+    fired = _listed([(cond, F.lit(code)) for cond, code in rules], "string")
     if existing is None:
         return F.array_distinct(fired)
     return F.array_distinct(F.concat(F.coalesce(existing, empty_reasons()), fired))
@@ -53,7 +61,7 @@ class RuleLog:
 
     def __init__(self) -> None:
         self.rules: list[tuple[Column, str]] = []
-        self.cells: list[Column] = []
+        self.cells: list[tuple[Column, Column]] = []
 
     def flag(self, when: Column, code: str) -> None:
         """Flag the row, without a cell correction."""
@@ -69,12 +77,11 @@ class RuleLog:
             (F.lit(None) if corrected is None else corrected).cast("string").alias("corrected_value"),
             F.lit(code).alias("reason_code"),
         ).cast(CORRECTION_TYPE)
-        self.cells.append(F.when(when, cell))
+        self.cells.append((when, cell))
 
     def apply(self, df: DataFrame) -> DataFrame:
         prior = F.col(REASONS) if REASONS in df.columns else None
-        cells = F.array_compact(F.array(*self.cells)) if self.cells else F.array().cast(
-            f"array<{CORRECTION_TYPE}>")
+        cells = _listed(self.cells, CORRECTION_TYPE)
         if CORRECTIONS in df.columns:
             cells = F.concat(F.col(CORRECTIONS), cells)
         reasons = append_reasons(prior, *self.rules)
