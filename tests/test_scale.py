@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import pytest
 
-from subrev.operators import validate
+from pyspark.sql import functions as F
+
+from subrev.functions.reasons import CORRECTION_TYPE, RuleLog
+from subrev.operators import dedupe, ledger, validate
 from subrev.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -49,3 +52,38 @@ def test_tables_a_query_writes(data, query, clean_made, features_made):
     assert (set(data.clean._made), set(data.features._made)) == (clean_made, features_made)
     data.features.all()
     assert lazy == rows(catalog._QUERIES[query](data))
+
+
+@pytest.mark.parametrize("query", ["corrections_log", "dq_summary", "reason_lookup", "missingness"])
+def test_no_raw_table_is_landed_and_no_job_is_run(data, query):
+    assert catalog._QUERIES[query](data).count() > 0
+    assert set(data.landed) == {"accounts"} and not data._stages
+    assert not {"usage_monthly", "feature_month", "first_use"} & set(data.features._made)
+
+
+def test_repriced_ledger_rows_stay_with_their_subscription(spark):
+    subs = spark.sql("""select 's' subscription_id, 'a' account_id, 10.0D mrr_clean, date'2024-01-15' start_date, date'2024-03-01' end_date
+                        union all select 't', 'a', 0.0D, date'2024-02-01', null""")
+    prices = spark.sql("select 's' subscription_id, '2024-02' month, 25.0D mrr union all select 't', '2024-02', 5.0D")
+    out = ledger.ledger_with_prices(subs, prices, "2024-03-31")
+    got = sorted((r.subscription_id, r.month, r.mrr, r.prev_mrr) for r in out.collect())
+    assert got == [("s", "2024-01", 10.0, 0.0), ("s", "2024-02", 25.0, 10.0), ("s", "2024-03", 10.0, 25.0), ("s", "2024-04", 0.0, 10.0),
+                   ("t", "2024-02", 0.0, 0.0), ("t", "2024-03", 0.0, 0.0)]
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_equal_rows_are_flagged_by_a_digest(spark):
+    df = spark.sql("""select pk, x, array() dirty_row_reason, array() corrections from values ('a', 'u'), ('b', 'u'), ('c', null), ('d', null), ('e', 'v') t(pk, x)""")
+    df = df.withColumns({"dirty_row_reason": df.dirty_row_reason.cast("array<string>"), "corrections": df.corrections.cast(f"array<{CORRECTION_TYPE}>")})
+    out = dedupe.flag_identical(df, "pk", ("x",), "signature")
+    assert sorted(r.pk for r in out.where("dirty_row_flag").collect()) == ["a", "b", "c", "d"] and out.count() == 5
+    assert "sha2" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_rule_lists_are_compiled(spark):
+    log = RuleLog()
+    log.correct(F.col("id") > 1, "big", "id", F.col("id"))
+    log.flag(F.col("id") % 2 == 0, "even")
+    out = log.apply(spark.range(4))
+    assert [(r.dirty_row_reason, len(r.corrections)) for r in out.orderBy("id").collect()] == [(["even"], 0), ([], 0), (["big", "even"], 1), (["big"], 1)]
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
