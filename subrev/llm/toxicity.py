@@ -7,9 +7,10 @@ logarithm of how many times as often toxic examples hold it, at least ``NEUTRAL`
 the bare frequencies the ordinary words of a text outweigh the few that make it toxic.
 A term is never left out for being rare or neutral; a term that no example holds
 meets none.  The examples are kept as posting lists cut into blocks,
-with the greatest weight of each block.  For a document the sums of block maxima bound
-the cosine of every example in a block; blocks are read in falling order of that bound
-until it is below the k-th best cosine, so the k nearest are exact.  Their votes,
+with the greatest weight of each block; the terms of more than one example in ``COMMON``, whose lists have nothing to skip,
+are rows of a matrix, and their part of the cosine with every example is one product for a chunk of documents.
+No weight is negative, so the k-th of these parts is a floor of the k-th cosine, and the
+blocks whose bound (greatest part and sum of block maxima) is below it are not read: the k nearest are exact.  Their votes,
 weighted by cosine and by how often their kind occurs among all labels, and a prior vote are mapped to probabilities by isotonic regression
 on a part of the sample that is not in the index.
 
@@ -29,6 +30,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +48,10 @@ NEUTRAL = 0.02
 BEGINNINGS = (4, 5, 6)
 K = 15
 BLOCK = 32
-#: Blocks read before the first look at the bounds; each next lot has four times as many.
-FIRST_BLOCKS = 4
-#: A lot of more than one block in so many reads the lists whole.
-READ_ALL = 4
+#: A term that more than one example in so many holds is common.
+COMMON = 24
+#: Texts whose vectors and products are computed at once.
+CHUNK = 64
 #: Weight of the prior vote, in cosines.
 PRIOR = 0.5
 THRESHOLD = 0.7
@@ -76,6 +78,27 @@ def ranges(starts: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(n.sum()) + np.repeat(starts[of] - np.cumsum(n) + n, n), n
 
 
+class Words(dict):
+    """Words met so far by number; ``terms`` holds the terms of each that examples hold."""
+
+    def __init__(self, term: dict[str, int]) -> None:
+        super().__init__()
+        self.term, self.terms = term, []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = len(self.terms)
+        self.terms.append([self.term[t] for t in terms_of(word) if t in self.term])
+        return self[word]
+
+    def make_room(self) -> None:
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.terms = []
+
+    def __reduce__(self) -> tuple:
+        return Words, (self.term,)
+
+
 class Model:
     """Terms, examples as block-max posting lists, and the calibration."""
 
@@ -83,7 +106,7 @@ class Model:
         """``examples``: (doc_id, toxic, term counts) in a fixed order; ``base`` is the toxic share among all labels."""
         self.term = {t: i for i, t in enumerate(sorted(idf))}
         self.idf = np.array([idf[t] for t in sorted(idf)])
-        self.prior, self.memo = prior, {}
+        self.prior, self.words = prior, Words(self.term)
         kinds = Counter(toxic for _, toxic, _ in examples)
         #: what a vote of each kind counts: the sample is balanced, the labels are not
         self.weight = {1: base / max(kinds[1], 1), 0: (1 - base) / max(kinds[0], 1)}
@@ -97,12 +120,21 @@ class Model:
         self.doc = np.array([v[0] for v in indexed], np.int64)
         self.toxic = np.array([v[1] for v in indexed], float)
         self.blocks = -(-len(indexed) // BLOCK)
+        self.block_at = np.arange(self.blocks) * BLOCK
         # postings by term and example; the postings of a term in a block are a group, which has the greatest of their weights
         term = np.concatenate([np.zeros(0, np.int64), *(v[2] for v in indexed)])
         x = np.concatenate([np.zeros(0), *(v[3] for v in indexed)])
         example = np.repeat(np.arange(len(indexed)), [len(v[2]) for v in indexed])
+        common = np.flatnonzero(np.bincount(term, minlength=len(self.idf)) * COMMON > len(indexed))
+        #: row of a common term in the matrix, else -1
+        self.row = np.full(len(self.idf), -1, np.int64)
+        self.row[common] = np.arange(len(common))
+        self.common = np.zeros((len(common), len(indexed)))
+        listed = self.row[term] < 0
+        self.common[self.row[term[~listed]], example[~listed]] = x[~listed]
+        term, x, example = term[listed], x[listed], example[listed]
         by = np.lexsort((example, term))
-        self.example, self.x = example[by].astype(np.int32), x[by]
+        self.example, self.x = example[by], x[by]
         key = term[by] * max(self.blocks, 1) + example[by] // BLOCK
         first = np.flatnonzero(np.diff(key, prepend=-1))
         self.posting_at = np.append(first, len(key))
@@ -110,7 +142,12 @@ class Model:
         self.most = np.maximum.reduceat(self.x, first) if len(first) else np.zeros(0)
         self.group_at = np.searchsorted(key[first] // max(self.blocks, 1), np.arange(len(self.idf) + 1))
         self.steps: list[tuple[float, float]] = []
-        votes = [(self._vote(self.nearest(dict(zip(t.tolist(), x.tolist())))[1:]), toxic) for _, toxic, t, x in held]
+        votes = []
+        for at in range(0, len(held), CHUNK):
+            lot = held[at: at + CHUNK]
+            first = np.cumsum([0, *(len(v[2]) for v in lot)])
+            near = self._near(first, np.concatenate([v[2] for v in lot]), np.concatenate([v[3] for v in lot]))
+            votes += [(self._vote((sims, self.toxic[found])), v[1]) for v, (found, sims) in zip(lot, near)]
         share = {k: sum(1 for _, y in votes if y == k) for k in (0, 1)}
         weight = {1: base / max(share[1], 1), 0: (1 - base) / max(share[0], 1)}
         self.steps = isotonic([(v, y, weight[y]) for v, y in votes])
@@ -122,58 +159,59 @@ class Model:
         norm = math.sqrt((raw * raw).sum())
         return terms, raw / norm if norm else raw
 
+    def vectors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first, terms, weights): those of text i are ``first[i]`` to ``first[i + 1]`` (exclusive)."""
+        counts = [Counter(_WORD.findall(t.lower())) for t in texts]
+        self.words.make_room()
+        word = np.array([*chain.from_iterable(map(self.words.__getitem__, c) for c in counts)], np.int64)
+        n = np.array([*chain.from_iterable(c.values() for c in counts)], np.int64)
+        doc = np.repeat(np.arange(len(texts)), [len(c) for c in counts])
+        # the terms of every different word, then those of every word of every text, added up by text and term
+        used, of = np.unique(word, return_inverse=True)
+        lists = [self.words.terms[i] for i in used.tolist()]
+        flat = np.array([*chain.from_iterable(lists)], np.int64)
+        rows, each = ranges(np.cumsum([0, *map(len, lists)]), of)
+        key, n = np.repeat(doc, each) * max(len(self.idf), 1) + flat[rows], np.repeat(n, each)
+        by = np.argsort(key, kind="stable")
+        key = key[by]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        n = np.add.reduceat(n[by], first) if len(first) else n
+        doc, terms = np.divmod(key[first], max(len(self.idf), 1))
+        raw = (1 + np.log(n)) * self.idf[terms]
+        norm = np.sqrt(np.bincount(doc, raw * raw, len(texts)))[doc]
+        return np.searchsorted(doc, np.arange(len(texts) + 1)), terms, np.divide(raw, norm, out=np.zeros(len(raw)), where=norm > 0)
+
+    def _near(self, first: np.ndarray, terms: np.ndarray, x: np.ndarray, k: int = K) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(examples, cosines) of the k nearest with a cosine above 0, for each vector; of equal cosines the first in the index."""
+        texts, n = len(first) - 1, len(self.doc)
+        if not n:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * texts
+        row = self.row[terms]
+        held = row >= 0
+        query = np.zeros((texts, len(self.common)))
+        query[np.repeat(np.arange(texts), np.diff(first))[held], row[held]] = x[held]
+        parts, out = query @ self.common, []
+        for score, a, z in zip(parts, first.tolist(), first[1:].tolist()):
+            listed = ~held[a:z]
+            groups, each = ranges(self.group_at, terms[a:z][listed])
+            weight, block = np.repeat(x[a:z][listed], each), self.block[groups]
+            bound = np.maximum.reduceat(score, self.block_at) + np.bincount(block, weight * self.most[groups], self.blocks)
+            least = np.partition(score, n - k)[n - k] - 1e-9 if n >= k else 0.0
+            mine = (bound >= least)[block]
+            rows, each = ranges(self.posting_at, groups[mine])
+            score = score + np.bincount(self.example[rows], np.repeat(weight[mine], each) * self.x[rows], n)
+            found = np.flatnonzero((score >= least) & (score > 0))
+            found = found[np.lexsort((found, -np.round(score[found], 9)))[:k]]
+            out.append((found, score[found]))
+        return out
+
     def vector(self, text: str) -> dict[int, float]:
-        counts: dict[int, int] = {}
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            found = self.memo.get(word)
-            if found is None:
-                found = tuple(self.term[t] for t in terms_of(word) if t in self.term)
-                if len(self.memo) < REMEMBERED:
-                    self.memo[word] = found
-            for t in found:
-                counts[t] = counts.get(t, 0) + n
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = math.sqrt(sum(x * x for x in raw.values()))
-        return {t: x / norm for t, x in raw.items()} if norm else {}
+        _, terms, x = self.vectors([text])
+        return dict(zip(terms.tolist(), x.tolist()))
 
     def nearest(self, query: dict[int, float], k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(example, cosine, toxic) of the k nearest with a cosine above 0; of equal cosines the first in the index."""
-        found, sims, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        terms = np.array(sorted(query), np.int64)
-        groups, n = ranges(self.group_at, terms)
-        if not len(groups):
-            return found, sims, self.toxic[found]
-        x = np.repeat(np.array([query[t] for t in terms.tolist()]), n)
-        block = self.block[groups]
-        bound = np.bincount(block, x * self.most[groups], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        order, at, many = order[bound[order] > 0], 0, FIRST_BLOCKS
-        while at < len(order):
-            part = order[at:at + many]
-            if len(found) == k:
-                part = part[bound[part] >= least - 1e-9]
-            if not len(part):
-                break
-            at, many = at + many, many * 4
-            if len(part) * READ_ALL > self.blocks:
-                # most blocks are left: whole lists are read faster than their parts, all sums are made anew
-                lists = list(zip(self.posting_at[self.group_at[terms]].tolist(), self.posting_at[self.group_at[terms + 1]].tolist()))
-                weight = np.repeat(np.array([query[t] for t in terms.tolist()]), [b - a for a, b in lists])
-                score = np.bincount(np.concatenate([self.example[a:b] for a, b in lists]), weight * np.concatenate([self.x[a:b] for a, b in lists]))
-                found = np.flatnonzero(score > 0)
-                keep = np.lexsort((found, -np.round(score[found], 9)))[:k]
-                found, sims = found[keep], score[found[keep]]
-                break
-            chosen = np.zeros(self.blocks, bool)
-            chosen[part] = True
-            mine = chosen[block]
-            rows, n = ranges(self.posting_at, groups[mine])
-            score = np.bincount(self.example[rows], np.repeat(x[mine], n) * self.x[rows])
-            hit = np.flatnonzero(score > (max(0.0, least - 1e-9) if len(found) == k else 0.0))
-            found, sims = np.concatenate([found, hit]), np.concatenate([sims, score[hit]])
-            keep = np.lexsort((found, -np.round(sims, 9)))[:k]
-            found, sims = found[keep], sims[keep]
-            least = sims[-1] if len(sims) else 0.0
+        """(example, cosine, toxic) of the k nearest of one vector."""
+        ((found, sims),) = self._near(np.array([0, len(query)]), np.array(list(query), np.int64), np.array(list(query.values()), float), k)
         return found, sims, self.toxic[found]
 
     def _vote(self, near: tuple[np.ndarray, np.ndarray]) -> float:
@@ -183,13 +221,13 @@ class Model:
             return self.prior
         return float((yes + PRIOR * self.weight[1] * self.prior) / (yes + no + PRIOR * self.weight[1]))
 
-    def score(self, text: str) -> tuple[float, list[int]]:
-        """Probability and the ids of the nearest examples."""
-        found, sims, toxic = self.nearest(self.vector(text)) if self.term else (np.zeros(0, np.int64),) * 3
-        return apply_steps(self.steps, self._vote((sims, toxic))), self.doc[found].tolist()
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}}
+    def scores(self, texts: list[str]) -> list[tuple[float, list[int]]]:
+        """Probability and the ids of the nearest examples, of each text."""
+        out = []
+        for at in range(0, len(texts), CHUNK):
+            for found, sims in self._near(*self.vectors(texts[at: at + CHUNK])):
+                out.append((apply_steps(self.steps, self._vote((sims, self.toxic[found]))), self.doc[found].tolist()))
+        return out
 
 
 def isotonic(points: list[tuple[float, int, float]]) -> list[tuple[float, float]]:
@@ -310,7 +348,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ids = docs.select("doc_id").schema[0].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shared.value.score(x or "") for x in batch.column("text").to_pylist()]
+        found = shared.value.scores([x or "" for x in batch.column("text").to_pylist()])
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([f[0] for f in found], pa.float64()),
                                            pa.array([f[1] for f in found], pa.list_(pa.int64()))], names=["doc_id", "score", "evidence"])
 

@@ -125,3 +125,31 @@ def test_sample_takes_the_least_hashes(spark):
     got = {(r["doc_id"], r["toxic"]) for r in toxicity.labelled_sample(docs, kinds, share, 40).collect()}
     rows = sorted((r["h"], r["doc_id"], r["toxic"]) for r in kinds.withColumn("h", F.xxhash64("doc_id")).collect())
     assert got == {(d, k) for k in (0, 1) for _, d, x in [r for r in rows if r[2] == k][:40] if x == k} and len(got) == 80
+
+
+def test_a_chunk_reads_each_list_part_once_for_many_texts():
+    """Vectors and products are made for chunks of texts; common terms, rare ones and empty texts give what brute force does."""
+    rng = random.Random(3)
+    terms = [f"t{i}" for i in range(400)]
+    often = [rng.choice([0.6, 0.02]) for _ in terms]
+    idf = {t: rng.uniform(1, 4) for t in terms}
+    examples = [(i, rng.randrange(2), {t: rng.randint(1, 3) for t, p in zip(terms, often) if rng.random() < p / 4}) for i in range(900)]
+    model = toxicity.Model(idf, examples, 0.0, 0.3)
+    assert 0 < len(model.common) < len(terms) and len(model.example)
+    texts = [" ".join(rng.choice(terms) for _ in range(rng.randint(0, 60))) for _ in range(150)]
+    weight = np.zeros((len(model.doc), len(terms)))
+    place = {t: i for i, t in enumerate(sorted(terms))}
+    at = {d: i for i, d in enumerate(model.doc.tolist())}
+    for i, _, counts in examples:
+        if i in at:
+            raw = {place[t]: (1 + math.log(n)) * idf[t] for t, n in counts.items()}
+            norm = math.sqrt(sum(x * x for x in raw.values()))
+            weight[at[i], list(raw)] = [x / norm for x in raw.values()]
+    for text, (score, ids) in zip(texts, model.scores(texts)):
+        query = np.zeros(len(terms))
+        for t in set(text.split()):
+            query[place[t]] = (1 + math.log(text.split().count(t))) * idf[t]
+        cosine = weight @ query / (np.sqrt((query * query).sum()) or 1)
+        want = np.sort(cosine[cosine > 0])[::-1][:toxicity.K]
+        np.testing.assert_allclose(cosine[[at[d] for d in ids]], want, atol=1e-8)
+        assert 0 <= score <= 1
