@@ -21,6 +21,7 @@ other columns are ignored; an empty table writes no shard.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -52,6 +53,7 @@ _CLOSING = np.zeros(256, bool)
 _CLOSING[list(b".,;:!?")] = True
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
 _HEAD = struct.Struct("<4s5q")
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
@@ -63,13 +65,18 @@ class WordEncoder:
     punctuation after an ASCII letter or digit is a piece of its own, so it is cut off.  The
     different runs of a batch are found by their hashes, compared byte by byte, and
     each is encoded once; runs met before are remembered, the least used are forgotten.
+    A run of small Latin letters (ASCII, and the accented ones up to U+00FF) is one piece that the tokenizer's
+    normalizer and splitter leave as it is, so its model alone encodes it, over the bytes.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         (self.comma,) = self.tokenizer.encode(",", add_special_tokens=False).ids
         self.place: dict[bytes, int] = {}
         self.uses = np.zeros(0, np.int64)
@@ -79,9 +86,12 @@ class WordEncoder:
     def _ids_of(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, counts) of runs, many in one text with a comma between; those that hold one go alone."""
         alone = [i for i, r in enumerate(runs) if b"," in r]
-        joined = [i for i, r in enumerate(runs) if b"," not in r]
-        texts = [" , ".join([runs[i].decode() for i in joined[k: k + JOINED]]) + " ," for k in range(0, len(joined), JOINED)]
-        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        plain = [i for i, r in enumerate(runs) if _SMALL(r)]
+        mixed = sorted(set(range(len(runs))).difference(alone, plain))
+        joined, found = plain + mixed, []
+        for tokenizer, some in ((self.letters, plain), (self.tokenizer, mixed)):
+            texts = [" , ".join([runs[i].decode() for i in some[k: k + JOINED]]) + " ," for k in range(0, len(some), JOINED)]
+            found += [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         ids = np.concatenate([np.zeros(0, np.uint32), *found])
         end = np.flatnonzero(ids == self.comma)
         counts = np.zeros(len(runs), np.int64)
@@ -111,7 +121,9 @@ class WordEncoder:
         w = flat.runs(texts, flat.NOT_SPACE, flat.LOWER, _closing(texts))
         if not len(w.hash):
             return np.zeros(0, np.uint32), np.zeros(texts.n, np.int64)
-        _, first, of = np.unique(w.hash, return_index=True, return_inverse=True)
+        of = pa.array(w.hash).dictionary_encode().indices.to_numpy().astype(np.int64)
+        first = np.zeros(of.max() + 1, np.int64)
+        first[of[::-1]] = np.arange(len(of))[::-1]
         size, low = w.end - w.start, flat.LOWER[texts.data]
         # bytes behind equal hashes are the same, or the run stands for itself
         place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)

@@ -163,3 +163,23 @@ def test_long_texts(spark):
     got = token_counts.section_tokens(rows, RANKS, PATTERN).groupBy("doc_id").agg(F.sum("n_chars").alias("c")).collect()
     assert {r["doc_id"]: r["c"] for r in got} == {i: len(t) for i, t in enumerate(texts)}
     assert token_files.token_index(rows, WORDS).count() == len(texts)
+
+
+def test_letters_are_encoded_by_the_model_alone_and_as_the_whole_tokenizer_does():
+    from tokenizers import Tokenizer
+
+    encode = token_files.WordEncoder(WORDS)
+    whole = Tokenizer.from_file(WORDS)
+    texts = ["the the theaea s t re", "é éa naïve straße ÿ ß öäü", "a÷b ÷ Éa ÉÉ it's don't l'été", "é café K ſs ﬁ 1a a1 ,a a, a,b", "x" * 300 + " ä" * 50, "", None]
+    asked = []
+
+    class Seen:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    encode.tokenizer = Seen()
+    ids, counts = encode.encode(flat.texts_of(pa.array(texts)))
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+    assert asked and not any(f" {w} " in f" {t} " for t in asked for w in ("theaea", "éa", "straße", "öäü"))
