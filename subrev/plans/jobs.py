@@ -96,11 +96,15 @@ def run_reports(spark: SparkSession, feature_root: str, out: str, as_of: date |
     tune(spark)
     run = StageRun(spark, out, run_id, at)
     base = runs.folder(spark, feature_root)
-    tables = {n: spark.read.parquet(f"{base}/{n}") for n in FeatureTables.NAMES}
+    write_reports(run, {n: spark.read.parquet(f"{base}/{n}") for n in FeatureTables.NAMES}, as_of)
+    return run
+
+
+def write_reports(run: StageRun, tables: FeatureTables | Mapping[str, DataFrame], as_of: date | str) -> None:
+    """All reports from the feature tables, written ones or such as are made when a report asks for them; commits the run."""
     for name, report in REPORTS.items():
         run.write(name, report(tables, as_of), files.write_report)
     run.commit()
-    return run
 
 
 def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, as_of: date | str, run_id: str,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from subrev.functions.reasons import CORRECTION_TYPE, RuleLog
 from subrev.operators import dedupe, ledger, validate
-from subrev.plans import catalog
+from subrev.plans import catalog, stages
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -87,3 +87,10 @@ def test_rule_lists_are_compiled(spark):
     out = log.apply(spark.range(4))
     assert [(r.dirty_row_reason, len(r.corrections)) for r in out.orderBy("id").collect()] == [(["even"], 0), ([], 0), (["big", "even"], 1), (["big"], 1)]
     assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_reports_run_no_other_job(data, monkeypatch):
+    for job in ("run_clean", "run_features"):
+        monkeypatch.setattr(catalog.jobs, job, lambda *_: pytest.fail("the reports need no other job"))
+    got = [r.artifact for r in catalog._QUERIES["report_run_summary"](data).collect()]
+    assert sorted(got) == sorted(stages.REPORTS) and set(data._stages) == {"reports"} and not data.landed.keys() - {"accounts"}
