@@ -13,13 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime SQL settings the operators are written for. A join whose lookup side
 # turns out small is switched to a broadcast by AQE from measured sizes; a hot
 # key on the row side is split by the skew-join rule even when that costs a
-# later exchange.
+# later exchange.  Rows of text take ten to twenty times the room in a sort that
+# they take in a file or a shuffle, and the dedupes sort on both sides of their
+# exchange, so scans and shuffles are cut into parts of which a core's share of
+# memory holds the sorted rows: nothing is spilled.  Small shuffles are coalesced.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.files.maxPartitionBytes": "4m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "512",
 }
 # Settings a session has to be built with: without the call site of every column
 # function, which only helps while a plan is being written, plans build twice as fast.

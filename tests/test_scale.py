@@ -94,3 +94,13 @@ def test_reports_run_no_other_job(data, monkeypatch):
         monkeypatch.setattr(catalog.jobs, job, lambda *_: pytest.fail("the reports need no other job"))
     got = [r.artifact for r in catalog._QUERIES["report_run_summary"](data).collect()]
     assert sorted(got) == sorted(stages.REPORTS) and set(data._stages) == {"reports"} and not data.landed.keys() - {"accounts"}
+
+
+def test_a_scan_and_a_shuffle_are_cut_into_parts_that_sort_in_memory(spark, tmp_path):
+    rows = spark.range(1_200_000).select(F.concat(F.lit("U-"), F.col("id")).alias("pk"), F.sha2(F.col("id").cast("string"), 256).alias("cell"))
+    rows.coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(str(tmp_path / "rows"))
+    size = sum(f.stat().st_size for f in (tmp_path / "rows").glob("*.parquet"))
+    back = spark.read.parquet(str(tmp_path / "rows"))
+    assert back.rdd.getNumPartitions() >= size // (4 << 20) > 8
+    dedupe.keep_most_complete(back, "pk").write.parquet(str(tmp_path / "one"))
+    assert len(list((tmp_path / "one").glob("*.parquet"))) >= size // (16 << 20) > 2
