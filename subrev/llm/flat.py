@@ -86,8 +86,8 @@ class Spans:
     first: np.ndarray  # of the runs of text i: first[i] to first[i + 1]
 
 
-def _spans(t: Texts, inside: np.ndarray, fold: np.ndarray | None, begins: np.ndarray | None = None) -> Spans:
-    """Runs of bytes that are ``inside``; a run also begins where a text does, and at ``begins``."""
+def _spans(t: Texts, inside: np.ndarray, fold: np.ndarray | None, begins: np.ndarray | None = None, hashed: bool = True) -> Spans:
+    """Runs of bytes that are ``inside``; a run also begins where a text does, and at ``begins``. Without ``hashed`` there are no hashes."""
     n = len(t.data)
     cut = np.zeros(n + 1, bool)
     cut[t.offsets] = True
@@ -100,7 +100,7 @@ def _spans(t: Texts, inside: np.ndarray, fold: np.ndarray | None, begins: np.nda
     start, end = np.flatnonzero(start), np.flatnonzero(end) + 1
     first = np.searchsorted(start, t.offsets)
     doc = np.repeat(np.arange(t.n), np.diff(first))
-    if not len(start):
+    if not len(start) or not hashed:
         return Spans(start, end, doc, np.zeros(0, U64), first)
     at = np.flatnonzero(inside)
     length = end - start
@@ -125,9 +125,9 @@ def words(t: Texts, kind: np.ndarray = NOT_SPACE, lower: bool = False) -> Spans:
     return _spans(t, kind[fold[t.data] if lower else t.data], fold)
 
 
-def runs(t: Texts, kind: np.ndarray, fold: np.ndarray, begins: np.ndarray) -> Spans:
-    """Runs of bytes of a class, folded, cut in two at ``begins``."""
-    return _spans(t, kind[t.data], fold, begins)
+def runs(t: Texts, kind: np.ndarray, begins: np.ndarray) -> Spans:
+    """Runs of bytes of a class, cut in two at ``begins``, without hashes."""
+    return _spans(t, kind[t.data], None, begins, hashed=False)
 
 
 def lines(t: Texts) -> Spans:

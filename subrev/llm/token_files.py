@@ -21,7 +21,6 @@ other columns are ignored; an empty table writes no shard.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -53,7 +52,6 @@ _CLOSING = np.zeros(256, bool)
 _CLOSING[list(b".,;:!?")] = True
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
-_SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
 _HEAD = struct.Struct("<4s5q")
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
@@ -63,10 +61,10 @@ class WordEncoder:
 
     The text is therefore the concatenation of its runs between white space, in lower case; closing
     punctuation after an ASCII letter or digit is a piece of its own, so it is cut off.  The
-    different runs of a batch are found by their hashes, compared byte by byte, and
+    different runs of a batch are an Arrow dictionary of their bytes, and
     each is encoded once; runs met before are remembered, the least used are forgotten.
     A run of small Latin letters (ASCII, and the accented ones up to U+00FF) is one piece that the tokenizer's
-    normalizer and splitter leave as it is, so its model alone encodes it, over the bytes.
+    normalizer and splitter leave as it is, so its model alone encodes it, over the bytes in the alphabet of the model.
     """
 
     def __init__(self, path: str) -> None:
@@ -75,8 +73,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = Tokenizer(self.tokenizer.model)
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.letters.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         (self.comma,) = self.tokenizer.encode(",", add_special_tokens=False).ids
         self.place: dict[bytes, int] = {}
         self.uses = np.zeros(0, np.int64)
@@ -85,12 +82,11 @@ class WordEncoder:
 
     def _ids_of(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, counts) of runs, many in one text with a comma between; those that hold one go alone."""
-        alone = [i for i, r in enumerate(runs) if b"," in r]
-        plain = [i for i, r in enumerate(runs) if _SMALL(r)]
-        mixed = sorted(set(range(len(runs))).difference(alone, plain))
+        small, comma = _kinds(runs)
+        plain, mixed, alone = (np.flatnonzero(x).tolist() for x in (small, ~small & ~comma, comma))
         joined, found = plain + mixed, []
-        for tokenizer, some in ((self.letters, plain), (self.tokenizer, mixed)):
-            texts = [" , ".join([runs[i].decode() for i in some[k: k + JOINED]]) + " ," for k in range(0, len(some), JOINED)]
+        for tokenizer, some, text in ((self.letters, plain, _byte_level), (self.tokenizer, mixed, bytes.decode)):
+            texts = [text(b" , ".join([runs[i] for i in some[k: k + JOINED]]) + b" ,") for k in range(0, len(some), JOINED)]
             found += [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         ids = np.concatenate([np.zeros(0, np.uint32), *found])
         end = np.flatnonzero(ids == self.comma)
@@ -118,38 +114,49 @@ class WordEncoder:
 
     def encode(self, texts: flat.Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
-        w = flat.runs(texts, flat.NOT_SPACE, flat.LOWER, _closing(texts))
-        if not len(w.hash):
+        w = flat.runs(texts, flat.NOT_SPACE, _closing(texts))
+        if not len(w.start):
             return np.zeros(0, np.uint32), np.zeros(texts.n, np.int64)
-        of = pa.array(w.hash).dictionary_encode().indices.to_numpy().astype(np.int64)
-        first = np.zeros(of.max() + 1, np.int64)
-        first[of[::-1]] = np.arange(len(of))[::-1]
-        size, low = w.end - w.start, flat.LOWER[texts.data]
-        # bytes behind equal hashes are the same, or the run stands for itself
-        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        same = size == size[first[of]]
-        at = np.where(same, w.start[first[of]], w.start)
-        differs = low[np.repeat(w.start, size) + place] != low[np.repeat(at, size) + place]
-        odd = np.unique(np.concatenate([np.flatnonzero(~same), np.repeat(np.arange(len(size)), size)[differs]]))
-        of[odd] = len(first) + np.arange(len(odd))
-        first = np.concatenate([first, odd])
+        ends = np.concatenate([[0], np.cumsum(w.end - w.start)])
+        data = flat.LOWER[texts.data[flat.NOT_SPACE[texts.data]]]
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(w.start), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
+        of, different = found.indices.to_numpy(), flat.texts_of(found.dictionary)
 
         if len(self.uses) > REMEMBERED:
             self._forget()
-        data = low.tobytes()
-        runs = [data[a:z] for a, z in zip(w.start[first].tolist(), w.end[first].tolist())]
+        data, at = different.data.tobytes(), different.offsets.tolist()
+        runs = [data[a:z] for a, z in zip(at, at[1:])]
         known = self.place
-        new = list(dict.fromkeys(r for r in runs if r not in known))
-        if new:
+        entry = np.array([known.get(r, -1) for r in runs], np.int64)
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            new = [runs[i] for i in missing.tolist()]
             ids, counts = self._ids_of(new)
-            known.update(zip(new, range(len(self.uses), len(self.uses) + len(new))))
+            entry[missing] = len(self.uses) + np.arange(len(new))
+            known.update(zip(new, entry[missing].tolist()))
             self.pool = np.concatenate([self.pool, ids])
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
             self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
-        entry = np.array([known[r] for r in runs], np.int64)[of]
-        self.uses += np.bincount(entry, minlength=len(self.uses))
-        counts = np.diff(self.first)[entry]
-        return self.pool[_runs(self.first[entry], counts)], np.bincount(w.doc, counts, texts.n).astype(np.int64)
+        self.uses[entry] += np.bincount(of, minlength=len(entry))
+        counts = np.diff(self.first)[entry][of]
+        return self.pool[_runs(self.first[entry][of], counts)], np.bincount(w.doc, counts, texts.n).astype(np.int64)
+
+
+def _kinds(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Which runs are of small Latin letters alone, and which hold a comma."""
+    data = np.frombuffer(b"".join(runs), np.uint8)
+    size = np.fromiter(map(len, runs), np.int64, len(runs))
+    lead = data == 0xC3
+    after = np.concatenate([[False], lead[:-1]])
+    other = ~((data >= 0x61) & (data <= 0x7A) | lead | after & (data >= 0x9F) & (data != 0xB7))
+    other[:-1] |= lead[:-1] & ((data[1:] < 0x9F) | (data[1:] == 0xB7))
+    begin = np.cumsum(size) - size
+    return ~np.logical_or.reduceat(other, begin), np.logical_or.reduceat(data == 0x2C, begin)
+
+
+def _byte_level(data: bytes) -> str:
+    """The bytes of small Latin letters as the characters that stand for them in a byte-level vocabulary."""
+    return data.decode("latin-1").replace("\x9f", "\u0141").replace("\xa0", "\u0142").replace("\xad", "\u0143")
 
 
 def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -180,6 +187,17 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def _often(code: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs that occur often, in order, and how often. Symbols of 16 bits are sorted as pairs of 32."""
+    short = top <= 1 << 16
+    s = np.sort(((code >> 16) | (code & 0xFFFF)).astype(np.uint32) if short else code)
+    edge = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1], [True]]))
+    counts = np.diff(edge)
+    often = counts >= MIN_COUNT
+    pairs = s[edge[:-1][often]].astype(np.int64)
+    return (pairs >> 16 << 32) | (pairs & 0xFFFF) if short else pairs, counts[often]
+
+
 def _choose(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Frequent pairs of which none ends with a symbol that another begins with; a pair of one symbol shares it with no other."""
     order = np.lexsort((pairs, -counts))[: 4 * PAIRS_PER_ROUND]
@@ -209,11 +227,8 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
         if len(seq) < 2:
             break
         code = (seq[:-1] << 32) | seq[1:]
-        s = np.sort(code)
-        edge = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1], [True]]))
-        counts = np.diff(edge)
-        often = counts >= MIN_COUNT
-        chosen = _choose(s[edge[:-1][often]], counts[often]) if often.any() else np.zeros(0, np.int64)
+        pairs, counts = _often(code, top)
+        chosen = _choose(pairs, counts) if len(pairs) else np.zeros(0, np.int64)
         if not len(chosen):
             break
         # a pair's place in a small table by a hash of it; of two pairs in one place the later waits for another round
@@ -268,6 +283,7 @@ class Shard:
         self.left, self.right, self.expansion, self.seq = parts
         self.start = np.frombuffer(data, "<i8", docs + 1, at)
         self.at = np.concatenate([[0], np.cumsum(self._length(self.seq))])
+        self._flat, self._span = self._flatten()
 
     def _length(self, symbols: np.ndarray) -> np.ndarray:
         out = np.ones(len(symbols), np.int64)
@@ -282,15 +298,21 @@ class Shard:
         first = int(np.searchsorted(self.at, start, "right")) - 1
         last = int(np.searchsorted(self.at, end, "left"))
         seq, skip = self.seq[first:last], start - self.at[first]
-        while True:
-            new = seq >= self.base
-            if not new.any():
-                return seq[skip: skip + end - start].astype(np.uint32)
+        return self._flat[_runs(*(x[seq] for x in self._span))][skip: skip + end - start]
+
+    def _flatten(self) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """All ids below the first rule, then the ids of every rule one after the other; where each symbol's begin, and how many."""
+        seq = np.arange(self.base, self.base + len(self.left))
+        while (new := seq >= self.base).any():
             wide = np.repeat(seq, np.where(new, 2, 1))
             at = np.cumsum(np.where(new, 2, 1)) - np.where(new, 2, 1)
             wide[at[new]] = self.left[seq[new] - self.base]
             wide[at[new] + 1] = self.right[seq[new] - self.base]
             seq = wide
+        plain = np.arange(self.base)
+        count = np.concatenate([np.ones(self.base, np.int64), self.expansion])
+        begin = np.concatenate([plain, self.base + np.cumsum(self.expansion) - self.expansion])
+        return np.concatenate([plain, seq]).astype(np.uint32), (begin, count)
 
     def document(self, i: int) -> np.ndarray:
         return self.ids(int(self.start[i]), int(self.start[i + 1]))

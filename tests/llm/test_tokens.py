@@ -183,3 +183,32 @@ def test_letters_are_encoded_by_the_model_alone_and_as_the_whole_tokenizer_does(
     want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
     assert asked and not any(f" {w} " in f" {t} " for t in asked for w in ("theaea", "éa", "straße", "öäü"))
+
+
+def test_runs_are_told_apart_without_hashes(monkeypatch):
+    from tokenizers import Tokenizer
+
+    whole, texts = Tokenizer.from_file(WORDS), ["one two ONE, straße", None, "two! öäü one"]
+    monkeypatch.setattr(flat, "mix", lambda h: pytest.fail("a hash"))
+    ids, counts = token_files.WordEncoder(WORDS).encode(flat.texts_of(pa.array(texts)))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_small_latin_letters_and_their_byte_level_characters():
+    from tokenizers import pre_tokenizers
+
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    runs = [chr(c) for c in range(0x21, 0x250) if chr(c).strip() and not 0x7F <= c < 0xA1] + ["aß", "÷a", "a÷", "ÿÿ", "éÉ", "ñ漢", "a,b"]
+    small, comma = token_files._kinds([r.encode() for r in runs])
+    for r, s, c in zip(runs, small, comma):
+        assert s == all("a" <= x <= "z" or "ß" <= x <= "ÿ" and x != "÷" for x in r) and c == ("," in r), r
+        if s:
+            assert token_files._byte_level(r.encode()) == level.pre_tokenize_str(r)[0][0]
+
+
+@pytest.mark.parametrize("symbols", [1 << 10, 1 << 20])
+def test_pairs_are_counted_whatever_the_width_of_symbols(symbols):
+    seq = np.random.default_rng(symbols).integers(symbols - 30, symbols, 20_000)
+    want = {p: n for p, n in Counter(((seq[:-1] << 32) | seq[1:]).tolist()).items() if n >= token_files.MIN_COUNT}
+    pairs, counts = token_files._often((seq[:-1] << 32) | seq[1:], symbols)
+    assert dict(zip(pairs.tolist(), counts.tolist())) == want and pairs.tolist() == sorted(want)
