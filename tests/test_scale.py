@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from subrev.functions.reasons import CORRECTION_TYPE, RuleLog
-from subrev.operators import dedupe, ledger, validate
-from subrev.plans import catalog, stages
+from subrev.operators import audit, dedupe, ledger, quality, validate
+from subrev.plans import catalog, runs, stages
+from subrev.specs import TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -104,3 +105,20 @@ def test_a_scan_and_a_shuffle_are_cut_into_parts_that_sort_in_memory(spark, tmp_
     assert back.rdd.getNumPartitions() >= size // (4 << 20) > 8
     dedupe.keep_most_complete(back, "pk").write.parquet(str(tmp_path / "one"))
     assert len(list((tmp_path / "one").glob("*.parquet"))) >= size // (16 << 20) > 2
+
+
+def test_the_clean_job_takes_the_counts_of_its_tables_once(data, monkeypatch):
+    checked, real = [], quality._issues_clean
+    monkeypatch.setattr(quality, "_issues_clean", lambda spec, df: checked.append(spec.name) or real(spec, df))
+    monkeypatch.setattr(dedupe, "dedupe_counts", lambda *_: pytest.fail("the writes have counted these rows"))
+    base = runs.folder(data.spark, data.stage("clean"))
+    assert sorted(checked) == sorted(TABLES)
+    monkeypatch.undo()
+    raw, done = ({n: data.spark.read.parquet(f"{base}/{kind}/{n}") for n in TABLES} for kind in ("raw", "annotated"))
+    counts = quality.summary_counts(raw, done, unique_keys=True)
+    assert rows(counts) == rows(quality.summary_counts(raw, done))
+    assert rows(quality.dq_validation_by_table(raw, done, counts=counts)) == rows(quality.dq_validation_by_table(raw, done))
+    spec = TABLES["feature_usage"]
+    known = raw[spec.name].count(), done[spec.name].count()
+    assert known[0] > known[1]
+    assert rows(audit.table_metrics(raw[spec.name], done[spec.name], spec, rows=known)) == rows(audit.table_metrics(raw[spec.name], done[spec.name], spec))
