@@ -10,7 +10,9 @@ meets none.  The examples are kept as posting lists cut into blocks,
 with the greatest weight of each block; the terms of more than one example in ``COMMON``, whose lists have nothing to skip,
 are rows of a matrix, and their part of the cosine with every example is one product for a chunk of documents.
 No weight is negative, so the k-th of these parts is a floor of the k-th cosine, and the
-blocks whose bound (greatest part and sum of block maxima) is below it are not read: the k nearest are exact.  Their votes,
+blocks whose bound (greatest part and sum of block maxima) is below it are not read.  A text whose floor is
+below ``WORTH`` of the norm of its listed terms, as that of most neutral texts is, has next to no such block: its lists are read whole
+and no bound is summed.  The k nearest are exact either way.  Their votes,
 weighted by cosine and by how often their kind occurs among all labels, and a prior vote are mapped to probabilities by isotonic regression
 on a part of the sample that is not in the index.
 
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -50,13 +53,18 @@ K = 15
 BLOCK = 32
 #: A term that more than one example in so many holds is common.
 COMMON = 24
-#: Texts whose vectors and products are computed at once.
-CHUNK = 64
+#: The part of the norm of a text's listed terms that its floor reaches where blocks are worth their bounds.
+WORTH = 0.1
+#: Texts whose vectors and products are computed at once, and their letters (a longer text alone).
+CHUNK = 256
+CHUNK_CHARS = 4 << 20
 #: Weight of the prior vote, in cosines.
 PRIOR = 0.5
 THRESHOLD = 0.7
 REMEMBERED = 300_000
 _WORD = re.compile(r"[^\W_]+")
+#: Bytes of lower-cased texts; those of no word and no character beyond ASCII are blanks.
+_SPACED = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 
 
 def terms_of(word: str) -> list[str]:
@@ -78,22 +86,43 @@ def ranges(starts: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(n.sum()) + np.repeat(starts[of] - np.cumsum(n) + n, n), n
 
 
+def pieces_of(text: str) -> list[bytes]:
+    """Runs of ASCII letters, digits and characters beyond ASCII: one word each, but several or none where there are such characters."""
+    return text.lower().encode().translate(_SPACED).split()
+
+
+def chunks(texts: list[str]) -> Iterator[list[str]]:
+    lot: list[str] = []
+    size = 0
+    for text in texts:
+        if lot and (len(lot) == CHUNK or size + len(text) > CHUNK_CHARS):
+            yield lot
+            lot, size = [], 0
+        lot.append(text)
+        size += len(text)
+    if lot:
+        yield lot
+
+
 class Words(dict):
-    """Words met so far by number; ``terms`` holds the terms of each that examples hold."""
+    """Pieces met so far by number; ``terms[first[i]:first[i + 1]]`` are those of piece i that examples hold."""
 
     def __init__(self, term: dict[str, int]) -> None:
         super().__init__()
-        self.term, self.terms = term, []
+        self.term, self.first, self.terms = term, array("q", [0]), array("q")
 
-    def __missing__(self, word: str) -> int:
-        self[word] = len(self.terms)
-        self.terms.append([self.term[t] for t in terms_of(word) if t in self.term])
-        return self[word]
+    def __missing__(self, piece: bytes) -> int:
+        self[piece] = n = len(self.first) - 1
+        text = piece.decode()
+        for word in [text] if text.isascii() else _WORD.findall(text):
+            self.terms.extend([self.term[t] for t in terms_of(word) if t in self.term])
+        self.first.append(len(self.terms))
+        return n
 
     def make_room(self) -> None:
         if len(self) > REMEMBERED:
             self.clear()
-            self.terms = []
+            self.first, self.terms = array("q", [0]), array("q")
 
     def __reduce__(self) -> tuple:
         return Words, (self.term,)
@@ -121,7 +150,7 @@ class Model:
         self.toxic = np.array([v[1] for v in indexed], float)
         self.blocks = -(-len(indexed) // BLOCK)
         self.block_at = np.arange(self.blocks) * BLOCK
-        # postings by term and example; the postings of a term in a block are a group, which has the greatest of their weights
+        # postings by term and example
         term = np.concatenate([np.zeros(0, np.int64), *(v[2] for v in indexed)])
         x = np.concatenate([np.zeros(0), *(v[3] for v in indexed)])
         example = np.repeat(np.arange(len(indexed)), [len(v[2]) for v in indexed])
@@ -135,12 +164,8 @@ class Model:
         term, x, example = term[listed], x[listed], example[listed]
         by = np.lexsort((example, term))
         self.example, self.x = example[by], x[by]
-        key = term[by] * max(self.blocks, 1) + example[by] // BLOCK
-        first = np.flatnonzero(np.diff(key, prepend=-1))
-        self.posting_at = np.append(first, len(key))
-        self.block = (key[first] % max(self.blocks, 1)).astype(np.int32)
-        self.most = np.maximum.reduceat(self.x, first) if len(first) else np.zeros(0)
-        self.group_at = np.searchsorted(key[first] // max(self.blocks, 1), np.arange(len(self.idf) + 1))
+        self.list_at = np.searchsorted(term[by], np.arange(len(self.idf) + 1))
+        self._cut()
         self.steps: list[tuple[float, float]] = []
         votes = []
         for at in range(0, len(held), CHUNK):
@@ -152,6 +177,29 @@ class Model:
         weight = {1: base / max(share[1], 1), 0: (1 - base) / max(share[0], 1)}
         self.steps = isotonic([(v, y, weight[y]) for v, y in votes])
 
+    def _cut(self) -> None:
+        """The lists cut into blocks: the postings of a term in a block are a group, which has the greatest of their weights."""
+        blocks = max(self.blocks, 1)
+        key = np.repeat(np.arange(len(self.idf)), np.diff(self.list_at)) * blocks + self.example // BLOCK
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.posting_at = np.append(first, len(key))
+        self.block = (key[first] % blocks).astype(np.int32)
+        self.most = np.maximum.reduceat(self.x, first) if len(first) else np.zeros(0)
+        self.group_at = np.searchsorted(key[first] // blocks, np.arange(len(self.idf) + 1))
+
+    def __getstate__(self) -> dict:
+        """What is broadcast: the matrix by its weights above 0, and no groups, which follow from the lists."""
+        row, example = np.nonzero(self.common)
+        common = (self.common.shape, row.astype(np.int32), example.astype(np.int32), self.common[row, example])
+        rest = {k: v for k, v in self.__dict__.items() if k not in ("posting_at", "block", "most", "group_at")}
+        return rest | {"common": common, "example": self.example.astype(np.int32)}
+
+    def __setstate__(self, state: dict) -> None:
+        shape, row, example, x = state.pop("common")
+        self.__dict__.update(state, common=np.zeros(shape), example=state["example"].astype(np.int64))
+        self.common[row, example] = x
+        self._cut()
+
     def _weights(self, counts: dict[str, int] | Counts) -> tuple[np.ndarray, np.ndarray]:
         mine = [(self.term[t], n) for t, n in counts.items() if t in self.term]
         terms = np.array([t for t, _ in mine], np.int64)
@@ -161,22 +209,21 @@ class Model:
 
     def vectors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first, terms, weights): those of text i are ``first[i]`` to ``first[i + 1]`` (exclusive)."""
-        counts = [Counter(_WORD.findall(t.lower())) for t in texts]
         self.words.make_room()
-        word = np.array([*chain.from_iterable(map(self.words.__getitem__, c) for c in counts)], np.int64)
-        n = np.array([*chain.from_iterable(c.values() for c in counts)], np.int64)
-        doc = np.repeat(np.arange(len(texts)), [len(c) for c in counts])
-        # the terms of every different word, then those of every word of every text, added up by text and term
-        used, of = np.unique(word, return_inverse=True)
-        lists = [self.words.terms[i] for i in used.tolist()]
-        flat = np.array([*chain.from_iterable(lists)], np.int64)
-        rows, each = ranges(np.cumsum([0, *map(len, lists)]), of)
-        key, n = np.repeat(doc, each) * max(len(self.idf), 1) + flat[rows], np.repeat(n, each)
-        by = np.argsort(key, kind="stable")
+        pieces = [pieces_of(t) for t in texts]
+        each = np.array([len(p) for p in pieces], np.int64)
+        piece = np.fromiter(map(self.words.__getitem__, chain.from_iterable(pieces)), np.int64, each.sum())
+        # how often each text holds each piece, then the terms of these, added up by text and term
+        key = np.sort(np.repeat(np.arange(len(texts)) << 32, each) | piece)
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        n, key = np.diff(first, append=len(key)), key[first]
+        rows, each = ranges(np.frombuffer(self.words.first, np.int64), key & 0xFFFFFFFF)
+        key, n = np.repeat(key >> 32 << 32, each) | np.frombuffer(self.words.terms, np.int64)[rows], np.repeat(n, each)
+        by = np.argsort(key)
         key = key[by]
         first = np.flatnonzero(np.diff(key, prepend=-1))
         n = np.add.reduceat(n[by], first) if len(first) else n
-        doc, terms = np.divmod(key[first], max(len(self.idf), 1))
+        doc, terms = key[first] >> 32, key[first] & 0xFFFFFFFF
         raw = (1 + np.log(n)) * self.idf[terms]
         norm = np.sqrt(np.bincount(doc, raw * raw, len(texts)))[doc]
         return np.searchsorted(doc, np.arange(len(texts) + 1)), terms, np.divide(raw, norm, out=np.zeros(len(raw)), where=norm > 0)
@@ -188,23 +235,37 @@ class Model:
             return [(np.zeros(0, np.int64), np.zeros(0))] * texts
         row = self.row[terms]
         held = row >= 0
+        of = np.repeat(np.arange(texts), np.diff(first))
         query = np.zeros((texts, len(self.common)))
-        query[np.repeat(np.arange(texts), np.diff(first))[held], row[held]] = x[held]
+        query[of[held], row[held]] = x[held]
         parts, out = query @ self.common, []
-        for score, a, z in zip(parts, first.tolist(), first[1:].tolist()):
-            listed = ~held[a:z]
-            groups, each = ranges(self.group_at, terms[a:z][listed])
-            weight, block = np.repeat(x[a:z][listed], each), self.block[groups]
-            bound = np.maximum.reduceat(score, self.block_at) + np.bincount(block, weight * self.most[groups], self.blocks)
-            least = np.partition(score, n - k)[n - k] - 1e-9 if n >= k else 0.0
-            mine = (bound >= least)[block]
-            rows, each = ranges(self.posting_at, groups[mine])
-            score = score + np.bincount(self.example[rows], np.repeat(weight[mine], each) * self.x[rows], n)
+        of, terms, x = of[~held], terms[~held], x[~held]
+        worth = WORTH * np.sqrt(np.bincount(of, x * x, texts))
+        first = np.searchsorted(of, np.arange(texts + 1)).tolist()
+        for part, a, z, least in zip(parts, first, first[1:], worth.tolist()):
+            floor = np.partition(part, n - k)[n - k] if z > a and n >= k and part.max() >= least else -1.0
+            rows, weight = self._rows(terms[a:z], x[a:z], part, floor) if floor >= least else self._lists(terms[a:z], x[a:z])
+            score = part + np.bincount(self.example[rows], weight * self.x[rows], n)
+            least = np.partition(score, n - k)[n - k] - 2e-9 if n >= k else 0.0
             found = np.flatnonzero((score >= least) & (score > 0))
             found = found[np.lexsort((found, -np.round(score[found], 9)))[:k]]
             out.append((found, score[found]))
         return out
 
+    def _lists(self, terms: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(posting, weight of its term in the text) of all postings of the listed ``terms``."""
+        rows, each = ranges(self.list_at, terms)
+        return rows, np.repeat(x, each)
+
+    def _rows(self, terms: np.ndarray, x: np.ndarray, part: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the postings in blocks whose bound reaches ``floor``."""
+        groups, each = ranges(self.group_at, terms)
+        weight, block = np.repeat(x, each), self.block[groups]
+        bound = np.maximum.reduceat(part, self.block_at) + np.bincount(block, weight * self.most[groups], self.blocks)
+        mine = (bound >= floor - 1e-8)[block]
+        rows, each = ranges(self.posting_at, groups[mine])
+        return rows, np.repeat(weight[mine], each)
+
     def vector(self, text: str) -> dict[int, float]:
         _, terms, x = self.vectors([text])
         return dict(zip(terms.tolist(), x.tolist()))
@@ -224,8 +285,8 @@ class Model:
     def scores(self, texts: list[str]) -> list[tuple[float, list[int]]]:
         """Probability and the ids of the nearest examples, of each text."""
         out = []
-        for at in range(0, len(texts), CHUNK):
-            for found, sims in self._near(*self.vectors(texts[at: at + CHUNK])):
+        for lot in chunks(texts):
+            for found, sims in self._near(*self.vectors(lot)):
                 out.append((apply_steps(self.steps, self._vote((sims, self.toxic[found]))), self.doc[found].tolist()))
         return out
 

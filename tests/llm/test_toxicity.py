@@ -153,3 +153,61 @@ def test_a_chunk_reads_each_list_part_once_for_many_texts():
         want = np.sort(cosine[cosine > 0])[::-1][:toxicity.K]
         np.testing.assert_allclose(cosine[[at[d] for d in ids]], want, atol=1e-8)
         assert 0 <= score <= 1
+
+
+def model_of(seed=3, n=900, marks=("t0",)):
+    rng = random.Random(seed)
+    terms = [f"t{i}" for i in range(400)]
+    often = [rng.choice([0.6, 0.02]) for _ in terms]
+    idf = {t: 500.0 if t in marks else rng.uniform(1, 4) for t in terms}
+    examples = [(i, rng.randrange(2), {t: rng.randint(1, 3) for t, p in zip(terms, often) if t not in marks and rng.random() < p / 4}) for i in range(n)]
+    for i, (_, toxic, counts) in enumerate(examples):
+        if i % 9 == 0:
+            counts.update(dict.fromkeys(marks, 1))
+    return toxicity.Model(idf, examples, 0.0, 0.3), idf, examples
+
+
+def test_bounds_are_summed_only_where_they_skip_postings(monkeypatch):
+    model, idf, examples = model_of()
+    bounded, summed = toxicity.Model._rows, []
+
+    def rows(self, terms, x, part, floor):
+        out = bounded(self, terms, x, part, floor)
+        summed.append((len(out[0]), len(self._lists(terms, x)[0])))
+        return out
+
+    monkeypatch.setattr(toxicity.Model, "_rows", rows)
+    listed = [t for t, i in model.term.items() if model.row[i] < 0]
+    neutral = " ".join(listed[:60])
+    model.scores([neutral, "", "none of these"])
+    assert not summed
+    marked = neutral + " t0"
+    found, sims, _ = model.nearest(model.vector(marked))
+    assert summed and summed[0][0] < summed[0][1]
+    # the same neighbours as from all postings
+    monkeypatch.setattr(toxicity, "WORTH", math.inf)
+    every, same, _ = model.nearest(model.vector(marked))
+    assert len(summed) == 1 and every.tolist() == found.tolist() and same.tolist() == sims.tolist()
+
+
+def test_vectors_hold_the_terms_of_term_counts():
+    texts = ["Fool_fool, FOOL-born x2\x00y2 1990's", "ΟΔΟΣ ΟΔΟΣ. “naïve”–Straße… İstanbul ½ x y ét 漢字。かな", "", "---", "fool…fool fool foolish " * 3, "_a_ ß² 𝔘nicode\U0001f600wörter"]
+    held = {t for x in texts for t in toxicity.term_counts(x)} - {"fool"}
+    idf = {t: 1.0 + i % 3 for i, t in enumerate(sorted(held))}
+    model = toxicity.Model(idf, [(i, i % 2, {t: 1}) for i, t in enumerate(sorted(held))], 0.0, 0.3)
+    first, terms, x = model.vectors(texts)
+    names = sorted(idf)
+    for i, text in enumerate(texts):
+        raw = {t: (1 + math.log(n)) * idf[t] for t, n in toxicity.term_counts(text).items() if t in idf}
+        norm = math.sqrt(sum(v * v for v in raw.values()))
+        got = dict(zip((names[j] for j in terms[first[i]:first[i + 1]]), x[first[i]:first[i + 1]].tolist()))
+        assert got == pytest.approx({t: v / norm for t, v in raw.items()}, abs=1e-12)
+
+
+def test_chunks_keep_all_texts_and_bound_their_letters(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK", 4)
+    monkeypatch.setattr(toxicity, "CHUNK_CHARS", 10)
+    texts = ["a" * n for n in (3, 3, 3, 3, 0, 0, 0, 0, 25, 1, 1)]
+    lots = list(toxicity.chunks(texts))
+    assert [x for lot in lots for x in lot] == texts and list(toxicity.chunks([])) == []
+    assert all(len(lot) <= 4 and (len(lot) == 1 or sum(map(len, lot)) <= 10) for lot in lots)
