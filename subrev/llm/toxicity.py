@@ -154,17 +154,20 @@ class Model:
         term = np.concatenate([np.zeros(0, np.int64), *(v[2] for v in indexed)])
         x = np.concatenate([np.zeros(0), *(v[3] for v in indexed)])
         example = np.repeat(np.arange(len(indexed)), [len(v[2]) for v in indexed])
-        common = np.flatnonzero(np.bincount(term, minlength=len(self.idf)) * COMMON > len(indexed))
+        # the driver holds one copy of the vectors from here on
+        del vectors, indexed
+        common = np.flatnonzero(np.bincount(term, minlength=len(self.idf)) * COMMON > len(self.doc))
         #: row of a common term in the matrix, else -1
         self.row = np.full(len(self.idf), -1, np.int64)
         self.row[common] = np.arange(len(common))
-        self.common = np.zeros((len(common), len(indexed)))
+        self.common = np.zeros((len(common), len(self.doc)))
         listed = self.row[term] < 0
         self.common[self.row[term[~listed]], example[~listed]] = x[~listed]
         term, x, example = term[listed], x[listed], example[listed]
         by = np.lexsort((example, term))
-        self.example, self.x = example[by], x[by]
+        self.example, self.x = example[by].astype(np.int32), x[by]
         self.list_at = np.searchsorted(term[by], np.arange(len(self.idf) + 1))
+        del term, x, example, listed, by
         self._cut()
         self.steps: list[tuple[float, float]] = []
         votes = []
@@ -192,11 +195,11 @@ class Model:
         row, example = np.nonzero(self.common)
         common = (self.common.shape, row.astype(np.int32), example.astype(np.int32), self.common[row, example])
         rest = {k: v for k, v in self.__dict__.items() if k not in ("posting_at", "block", "most", "group_at")}
-        return rest | {"common": common, "example": self.example.astype(np.int32)}
+        return rest | {"common": common}
 
     def __setstate__(self, state: dict) -> None:
         shape, row, example, x = state.pop("common")
-        self.__dict__.update(state, common=np.zeros(shape), example=state["example"].astype(np.int64))
+        self.__dict__.update(state, common=np.zeros(shape))
         self.common[row, example] = x
         self._cut()
 

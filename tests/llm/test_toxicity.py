@@ -1,4 +1,5 @@
 import math
+import pickle
 import random
 import zlib
 
@@ -211,3 +212,14 @@ def test_chunks_keep_all_texts_and_bound_their_letters(monkeypatch):
     lots = list(toxicity.chunks(texts))
     assert [x for lot in lots for x in lot] == texts and list(toxicity.chunks([])) == []
     assert all(len(lot) <= 4 and (len(lot) == 1 or sum(map(len, lot)) <= 10) for lot in lots)
+
+
+def test_broadcast_leaves_out_what_follows_from_the_lists():
+    model, _, _ = model_of(marks=())
+    sent = pickle.dumps(model, 5)
+    assert len(sent) < model.common.nbytes
+    again = pickle.loads(sent)
+    texts = [" ".join(random.Random(i).choices(list(model.term), k=i % 50)) for i in range(120)]
+    assert again.scores(texts) == model.scores(texts)
+    for name in ("common", "example", "x", "list_at", "posting_at", "block", "most", "group_at"):
+        np.testing.assert_array_equal(getattr(again, name), getattr(model, name))
