@@ -37,10 +37,14 @@ def _count(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
+def _hits(conditions: Sequence[Column]) -> Column:
+    """Number of cells of a row that meet their condition."""
+    return _total([F.coalesce(c, F.lit(False)).cast("int") for c in conditions])
+
+
 def _cells(conditions: Sequence[Column]) -> Column:
     """Number of cells that meet their condition: added up in the row first, so it is one aggregate."""
-    hits = _total([F.coalesce(c, F.lit(False)).cast("int") for c in conditions])
-    return F.coalesce(F.sum(hits), F.lit(0))
+    return F.coalesce(F.sum(_hits(conditions)), F.lit(0))
 
 
 def native_columns(df: DataFrame) -> list[str]:
@@ -135,23 +139,28 @@ def _issues_raw(spec: TableSpec, raw: DataFrame) -> tuple[Column, Column]:
     return _cells(checks), _count(_any(checks))
 
 
-def consistency_flags(annotated: Mapping[str, DataFrame], name: str) -> DataFrame:
-    """The rows of one clean table with a boolean ``_bad``.
+def _inconsistent(name: str, df: DataFrame, limits: DataFrame | None) -> tuple[DataFrame, Column]:
+    """The rows joined to what they are checked against, and whether a row fails.
 
     accounts: churned without a date; subscriptions: start after end; usage:
-    after the end of its subscription or after its account's churn date.
+    after the end of its subscription or after its account's churn date (``_key`` and ``_day`` hold what that takes).
     """
-    df = annotated[name]
     if name == "accounts":
-        bad = F.col("churn_flag_clean") & text.is_blank(F.col("account_churn_date_clean"))
-    elif name == "subscriptions":
-        bad = dates.parse_date(F.col("start_date")) > dates.parse_date(F.col("end_date_clean"))
-    elif name == "feature_usage":
+        return df, F.col("churn_flag_clean") & text.is_blank(F.col("account_churn_date_clean"))
+    if name == "subscriptions":
+        return df, dates.parse_date(F.col("start_date")) > dates.parse_date(F.col("end_date_clean"))
+    if limits is not None:
+        return df.join(limits, F.col("_key") == F.col("_sub"), "left"), F.col("_day") > F.col("_last_day")
+    return df, F.lit(False)
+
+
+def consistency_flags(annotated: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """The rows of one clean table with a boolean ``_bad``."""
+    df, limits = annotated[name], None
+    if name == "feature_usage":
         limits = usage_limits(annotated["accounts"], annotated["subscriptions"])
-        df = df.join(limits, F.col("subscription_id_norm") == F.col("_sub"), "left")
-        bad = dates.parse_date(F.col("usage_date")) > F.col("_last_day")
-    else:
-        bad = F.lit(False)
+        df = df.withColumns({"_key": F.col("subscription_id_norm"), "_day": dates.parse_date(F.col("usage_date"))})
+    df, bad = _inconsistent(name, df, limits)
     return df.withColumn("_bad", F.coalesce(bad, F.lit(False)))
 
 
@@ -175,12 +184,22 @@ def _summary_parts(spec: TableSpec, raw: DataFrame, annotated: Mapping[str, Data
         n.alias("rows_before"), cells.alias("issues_before"), rows.alias("rows_with_issues_before"),
         _cells([text.is_missing_word(F.col(c)) for c in native]).alias("missing_cells"),
         (n * len(native)).alias("raw_cells"))
-    clean = consistency_flags(annotated, spec.name)
-    eff = effective_columns(annotated[spec.name])
-    counts = {
-        "rows_after": n, "incomplete_rows": _count(_required_missing(spec, clean)),
-        "invalid_cells": _cells([_invalid(spec.kind(b), F.col(c)) for b, c in eff.items()]),
-        "inconsistent_rows": _count(F.col("_bad")), "issues_after": _count(_issues_clean(spec, annotated[spec.name]))}
+    clean = annotated[spec.name]
+    eff = effective_columns(clean)
+    incomplete, issue = _required_missing(spec, clean), _issues_clean(spec, clean)
+    invalid = [_invalid(spec.kind(b), F.col(c)) for b, c in eff.items()]
+    limits = None
+    if spec.name == "feature_usage":
+        # A row meets its limit as the few numbers that are counted of it, not as its cells.
+        limits = usage_limits(annotated["accounts"], annotated["subscriptions"])
+        clean = clean.select(spec.pk, F.col("subscription_id_norm").alias("_key"), dates.parse_date(F.col("usage_date")).alias("_day"),
+                             incomplete.alias("_incomplete"), issue.alias("_issue"), _hits(invalid).alias("_invalid"))
+        incomplete, issue, bad_cells = F.col("_incomplete"), F.col("_issue"), F.coalesce(F.sum("_invalid"), F.lit(0))
+    else:
+        bad_cells = _cells(invalid)
+    clean, inconsistent = _inconsistent(spec.name, clean, limits)
+    counts = {"rows_after": n, "incomplete_rows": _count(incomplete), "invalid_cells": bad_cells,
+              "inconsistent_rows": _count(inconsistent), "issues_after": _count(issue)}
     each = [c.alias(name) for name, c in counts.items()]
     if unique_keys:
         after = clean.agg(n.alias("keys"), *each)

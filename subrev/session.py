@@ -17,6 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 # they take in a file or a shuffle, and the dedupes sort on both sides of their
 # exchange, so scans and shuffles are cut into parts of which a core's share of
 # memory holds the sorted rows: nothing is spilled.  Small shuffles are coalesced.
+# The JVM never compiles a method of more than 8,000 bytes: the wide projections of the
+# rules and counts would run interpreted as one, so they are left to expressions that are
+# compiled one by one.  Written tables are packed by zstd, and the shuffle files of a write
+# go when it is done (a plan that is run again makes them anew).
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,6 +30,9 @@ RUNTIME_CONF = {
     "spark.sql.files.maxPartitionBytes": "4m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "512",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 # Settings a session has to be built with: without the call site of every column
 # function, which only helps while a plan is being written, plans build twice as fast.

@@ -82,10 +82,12 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as subscriptions; an order with a 50-piece line also appears as a sparse copy."""
     lines = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
-             .agg(F.max("l_shipdate").alias("last_ship"), F.max("l_quantity").alias("top_quantity")))
-    o = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+             .agg(F.max(F.to_date("l_shipdate")).alias("last_ship"), F.max("l_quantity").alias("top_quantity")))
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.to_date("o_orderdate").alias("o_orderdate"),
+        F.floor("o_totalprice").alias("price")).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     key, prio = F.col("o_orderkey"), F.col("o_orderpriority")
-    price = F.floor("o_totalprice")
+    price = F.col("price")
     free = key % 46 == 0
     rare_seat = prio.isin("1-URGENT", "5-LOW") & (key % 10 < 2)
     copies = F.when(F.col("top_quantity") == 50, F.array(F.lit(False), F.lit(True))).otherwise(
@@ -109,24 +111,28 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as usage rows; line numbers repeat inside an order, so keys repeat too."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
-    li = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    okey, pkey, skey = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    secs = F.floor("l_extendedprice")
-    count = F.col("l_quantity").cast("bigint")
+    """Order lines as usage rows; line numbers repeat inside an order, so keys repeat too.
+
+    A line meets its part as whole numbers, days and signs, which pack to half of what its doubles and timestamps take.
+    """
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", (F.col("p_size") <= 5).alias("beta"))
+    skey = F.col("l_suppkey")
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", F.to_date("l_shipdate").alias("day"), F.floor("l_extendedprice").alias("secs"),
+        F.col("l_quantity").cast("bigint").alias("count"), ((F.col("l_tax") == 0) & (F.col("l_discount") == 0)).alias("unowned"),
+        (skey % 37 == 0).alias("iso"), (skey % 41 == 0).alias("minus"), (F.col("l_returnflag") == "R").alias("returned"))
+    li = li.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    okey, pkey, secs, count = F.col("l_orderkey"), F.col("l_partkey"), F.col("secs"), F.col("count")
     return li.select(
         F.concat(F.lit("U-"), okey.cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
         .alias("usage_id"),
-        F.when((F.col("l_tax") == 0) & (F.col("l_discount") == 0), _id("X-", okey)).otherwise(_id("S-", okey))
-        .alias("subscription_id"),
-        F.when(skey % 37 == 0, F.date_format("l_shipdate", "yyyy-MM-dd")).otherwise(_day(F.col("l_shipdate")))
-        .alias("usage_date"),
+        F.when(F.col("unowned"), _id("X-", okey)).otherwise(_id("S-", okey)).alias("subscription_id"),
+        F.when(F.col("iso"), F.date_format("day", "yyyy-MM-dd")).otherwise(_day(F.col("day"))).alias("usage_date"),
         F.when(pkey % 29 != 0, F.col("p_brand")).alias("feature_name"),
         F.when(pkey % 31 == 0, -count).otherwise(count).cast("string").alias("usage_count"),
-        F.when(skey % 41 == 0, -secs).otherwise(secs).cast("string").alias("usage_duration_secs"),
-        F.when(F.col("l_returnflag") == "R", "1").otherwise("0").alias("error_count"),
-        _yes(F.col("p_size") <= 5).alias("is_beta_feature"))
+        F.when(F.col("minus"), -secs).otherwise(secs).cast("string").alias("usage_duration_secs"),
+        F.when(F.col("returned"), "1").otherwise("0").alias("error_count"),
+        _yes(F.col("beta")).alias("is_beta_feature"))
 
 
 def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,13 +163,16 @@ def churn_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Only a finished order of a customer with a balance under 2,500 has a date.
     """
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
-    o = table(spark, sf_dir, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
-    copies = F.when(F.col("o_totalprice") < 50000, F.array(F.lit(False), F.lit(True))).otherwise(
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", (F.col("o_orderstatus") == "F").alias("done"),
+        F.to_date("o_orderdate").alias("o_orderdate"), (F.col("o_totalprice") < 50000).alias("cheap"))
+    o = o.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
+    copies = F.when(F.col("cheap"), F.array(F.lit(False), F.lit(True))).otherwise(
         F.array(F.lit(False)))
     o = o.withColumn("sparse", F.explode(copies))
     full = ~F.col("sparse")
     bal, prio, seg = F.col("c_acctbal"), F.col("o_orderpriority"), F.col("c_mktsegment")
-    gone = F.when((F.col("o_orderstatus") == "F") & (bal < 2500), F.date_add(F.to_date("o_orderdate"), 30))
+    gone = F.when(F.col("done") & (bal < 2500), F.date_add("o_orderdate", 30))
     return o.select(
         _id("C-", F.col("o_orderkey")).alias("churn_event_id"), _id("A-", F.col("o_custkey")).alias("account_id"),
         F.when(F.col("c_nationkey") == 24, F.date_format(gone, "yyyy-MM-dd")).otherwise(_day(gone))

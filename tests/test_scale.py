@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -122,3 +124,36 @@ def test_the_clean_job_takes_the_counts_of_its_tables_once(data, monkeypatch):
     known = raw[spec.name].count(), done[spec.name].count()
     assert known[0] > known[1]
     assert rows(audit.table_metrics(raw[spec.name], done[spec.name], spec, rows=known)) == rows(audit.table_metrics(raw[spec.name], done[spec.name], spec))
+
+
+def test_dq_summary_scans_usage_and_tickets_once_and_does_not_write_them(data):
+    got = rows(catalog._QUERIES["dq_summary"](data))
+    assert not {"feature_usage", "support_tickets"} & set(data.clean._made)
+    written = {n: data.clean[n] for n in TABLES}
+    assert got == rows(catalog.present(quality.dq_summary(data.once, written), digits=6))
+    flagged = quality.consistency_flags(written, "feature_usage")
+    counts = {r.table_name: r for r in quality.summary_counts(data.once, written).collect()}["feature_usage"]
+    assert counts.inconsistent_rows == flagged.where("_bad").count() and counts.rows_after == flagged.count()
+
+
+def test_shuffle_files_go_when_a_table_is_written(data):
+    held = data.spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = held.getAllFiles().size()
+    data.store.put("few", data.spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n")).repartition(3))
+    for _ in range(50):
+        if held.getAllFiles().size() <= before:
+            break
+        time.sleep(0.1)
+    assert held.getAllFiles().size() <= before and data.store.get("few").count() == 7
+
+
+def test_wide_rules_are_not_one_method_that_is_never_compiled(data):
+    assert int(data.spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_rows_meet_parts_and_lines_as_whole_numbers(data):
+    for name in ("feature_usage", "subscriptions", "churn_events"):
+        plan = data.raw[name]._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("Join LeftOuter"):].split("\n+- ")[0]
+        assert "cast(l_shipdate" in plan or "cast(o_orderdate" in plan, name
+        assert "date_format(cast(o_orderdate" not in below and "date_format(l_shipdate" not in plan, name
