@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from subrev.functions.reasons import CORRECTION_TYPE, RuleLog
-from subrev.operators import audit, dedupe, ledger, quality, validate
+from subrev.operators import audit, dedupe, features, ledger, quality, validate
 from subrev.plans import catalog, runs, stages
 from subrev.specs import TABLES
 
@@ -157,3 +157,28 @@ def test_rows_meet_parts_and_lines_as_whole_numbers(data):
         below = plan[plan.index("Join LeftOuter"):].split("\n+- ")[0]
         assert "cast(l_shipdate" in plan or "cast(o_orderdate" in plan, name
         assert "date_format(cast(o_orderdate" not in below and "date_format(l_shipdate" not in plan, name
+
+
+def test_distinct_estimates_rank_no_feature_month(data):
+    got = rows(catalog._QUERIES["distinct_estimates"](data))
+    assert set(data.features._made) == {"subscriptions", "cohorts"}
+    assert "feature_usage" not in data.clean._made
+    data.features.all()
+    assert got == rows(catalog._QUERIES["distinct_estimates"](data))
+
+
+def test_usage_rows_are_moved_once_for_their_months(spark):
+    usage = spark.sql("""select * from values ('s', date'2024-01-05', 'f', 2L, 3L, 0L), ('s', date'2024-01-09', 'f', 1L, null, 1L), ('s', date'2024-01-09', 'g', null, 1L, 0L),
+                         ('s', date'2024-02-01', null, 4L, 4L, null), (null, null, 'f', 1L, 1L, 1L) t(subscription_id, usage_date, feature_name, usage_count, usage_duration_secs, error_count)""")
+    seen = []
+    out = features.usage_monthly(usage, lambda df: seen.append(df) or df)
+    got = {(r.subscription_id, r.usage_month): tuple(r[c] for c in seen[0].columns[2:7]) for r in out.collect()}
+    assert got == {("s", "2024-01"): (3, 4.0, 2, 1, 31), ("s", "2024-02"): (4, 4.0, 0, 0, 29), (None, None): (1, 1.0, 1, 1, 0)}
+    assert seen[0]._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_feature_months_are_added_up_once_for_rows_and_ranks(data):
+    kept = []
+    tables = stages.FeatureTables(data.clean, catalog.AS_OF, lambda name, df: kept.append(name) or data.store.put(f"once/{name}", df))
+    out = tables["feature_month"]
+    assert "feature_month_base" in kept and rows(out) == rows(data.features.view("feature_month"))
